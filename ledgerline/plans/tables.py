@@ -29,26 +29,31 @@ PATH_PROP = "ledgerline.path"
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, keep: int = 2,
-                 write_partitions: int | None = None):
+                 write_partitions: int | None = None, db_prefix: str = ""):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep = keep
         self.write_partitions = write_partitions
+        self.db_prefix = db_prefix  # several warehouses in one catalog
+
+    def q(self, name: str) -> str:
+        """Catalog name of ``db.table`` (database prefixed)."""
+        return f"{self.db_prefix}{name}" if "." in name else name
 
     # -- K3 / K4 -------------------------------------------------------------
     def ensure_schemas(self, *names: str) -> None:
         for n in names:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{n}`")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.db_prefix}{n}`")
 
     def drop_table(self, name: str) -> None:
-        self.spark.sql(f"DROP VIEW IF EXISTS {name}")
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.spark.sql(f"DROP VIEW IF EXISTS {self.q(name)}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.q(name)}")
 
     # -- versions ------------------------------------------------------------
     def _props(self, name: str) -> dict[str, str]:
-        if not self.spark.catalog.tableExists(name):
+        if not self.spark.catalog.tableExists(self.q(name)):
             return {}
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.q(name)}").collect()
         return {r["key"]: r["value"] for r in rows}
 
     def current_version(self, name: str) -> int:
@@ -61,7 +66,7 @@ class Warehouse:
         return self.current_path(name) is not None
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.table(name)
+        return self.spark.table(self.q(name))
 
     def read_or_empty(self, name: str, schema: T.StructType) -> DataFrame:
         """K5: the table, or an empty one of the declared type on first run."""
@@ -111,7 +116,7 @@ class Warehouse:
 
     def _publish(self, name: str, path: str, version: int, select: str = "*") -> None:
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {name} "
+            f"CREATE OR REPLACE VIEW {self.q(name)} "
             f"TBLPROPERTIES ('{VERSION_PROP}' = '{version}', '{PATH_PROP}' = '{path}') "
             f"AS SELECT {select} FROM parquet.`{path}`")
 

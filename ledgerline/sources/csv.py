@@ -58,5 +58,7 @@ def read_csv_by_position(spark: SparkSession, path: str, schema: T.StructType,
 def force_all_columns(df: DataFrame) -> int:
     """Count with every column parsed, so FAILFAST sees malformed rows
     (a bare ``count()`` prunes columns and skips the check)."""
-    probe = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.select(probe.alias("_h")).agg(F.count("_h")).first()[0]
+    # max() of a hash over all columns cannot be folded away, so every
+    # column is parsed and FAILFAST sees short or long rows
+    probe = F.max(F.xxhash64(*[F.col(c) for c in df.columns]))
+    return df.agg(F.count(F.lit(1)).alias("n"), probe.alias("_h")).first()["n"]

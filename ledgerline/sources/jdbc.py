@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 def jdbc_bounds(spark: SparkSession, url: str, table: str, column: str,
                 properties: dict | None = None) -> tuple[int, int] | None:
-    q = f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}) b"
+    col = f'"{column}"'  # ANSI-quoted, as Spark created it
+    q = f"(SELECT MIN({col}) AS lo, MAX({col}) AS hi FROM {table}) b"
     row = spark.read.jdbc(url, q, properties=properties or {}).first()
     if row is None or row[0] is None:
         return None
