@@ -16,7 +16,7 @@ from ledgerline.functions.predicates import active_rows
 from ledgerline.plans.profiles import DIMENSIONS, Profile
 
 # Largest lookup side (rows) that is shipped to every task.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:

@@ -413,6 +413,7 @@ def registry() -> dict[str, str]:
     for prof in (PSQL, GCP):
         for d in ("customer", "product", "store"):
             q[f"scd2_{d}_{prof.name}"] = scd2_sql(d, prof)
+    q["scd2_customer_nullsafe"] = scd2_sql("customer", with_rule(PSQL, "nullsafe"))
     q["scd2_three_batches_psql"] = scd2_sql("customer", PSQL, ("b1", "b2", "b3"))
     q["scd2_three_batches_gcp"] = scd2_sql("customer", GCP, ("b1", "b2", "b3"))
     q["scd2_rerun_psql"] = scd2_sql("customer", PSQL, ("b1", "b2", "b2"))

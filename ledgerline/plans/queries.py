@@ -122,6 +122,7 @@ def registry() -> dict[str, Query]:
     for prof in (PSQL, GCP):
         for d in ("customer", "product", "store"):
             q[f"scd2_{d}_{prof.name}"] = _scd2(d, prof)
+    q["scd2_customer_nullsafe"] = _scd2("customer", with_rule(PSQL, "nullsafe"))
     q["scd2_three_batches_psql"] = _scd2("customer", PSQL, ("b1", "b2", "b3"))
     q["scd2_three_batches_gcp"] = _scd2("customer", GCP, ("b1", "b2", "b3"))
     q["scd2_rerun_psql"] = _scd2("customer", PSQL, ("b1", "b2", "b2"))
