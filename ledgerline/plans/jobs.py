@@ -126,8 +126,14 @@ def job_gcp(spark: SparkSession, wh: Warehouse, files: dict[str, str], landing_r
     """One stamp per run; the stamp is also the load time."""
     stamp = new_stamp(now)
     land_files(spark, files, landing_root, stamp)
+    return job_gcp_landed(spark, wh, landing_root, stamp, tuple(files))
+
+
+def job_gcp_landed(spark: SparkSession, wh: Warehouse, landing_root: str, stamp: str,
+                   tables: tuple[str, ...] = SOURCE_TABLES) -> RunResult:
+    """The part of W3 after landing: by-position views, row gates, load."""
     sources = {}
-    for t in files:
+    for t in tables:
         df = batch_view(spark, landing_root, stamp, t, source_schema(t, GCP), view=f"src_{t}")
         G.require_rows(df, t)  # K9
         sources[t] = df

@@ -2,7 +2,8 @@
 
 Layout: ``<root>/<stamp>/<table>/`` (CSV written by Spark, one folder per
 table). A stamp folder is never overwritten (``errorifexists``); a
-``_LANDED`` marker is written last, so readers only trust complete batches.
+``LANDED`` marker (holding the stamp) is written last, so readers only trust
+complete batches. (Not ``_``-prefixed: Spark's file listing skips those.)
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 
 from ledgerline.sources.csv import read_csv_by_position
 
-MARKER = "_LANDED"
+MARKER = "LANDED"
 
 
 def batch_path(root: str, stamp: str, table: str) -> str:
