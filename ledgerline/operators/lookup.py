@@ -1,10 +1,12 @@
 """Fact key lookup against the active dimension versions.
 
 Each dimension contributes (natural id -> surrogate key) from its active rows.
-A lookup side is broadcast only after a bounded count proves it small
-(``limit(n + 1).count()`` stops early on a huge dimension); otherwise the join
-is left to a shuffle join, which AQE may still turn into a broadcast from
-runtime sizes and whose hot keys AQE's skew-join handling splits.
+A lookup side is broadcast only after an exact count proves it small (a
+partial-aggregate count: one row per task reaches the driver; a
+``limit(n).count()`` would instead funnel up to n rows per task into one
+task); otherwise the join is a shuffle join, which AQE may still turn into a
+broadcast from runtime sizes and whose hot keys AQE's skew-join handling
+splits.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ BROADCAST_MAX_ROWS = 1_000_000
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """Size check before any broadcast: at most ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,

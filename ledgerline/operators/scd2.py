@@ -1,20 +1,24 @@
 """Slowly changing dimension (type 2) as a pure DataFrame rewrite.
 
 ``scd2_apply(dim, stage, spec, profile, run)`` returns the next version of
-the whole dimension. Plan shape (two keyed joins, no window over the data):
-
-1. ``stage LEFT JOIN active(dim)`` on the profile's match key, with a marker
-   column telling "matched" apart from NULL keys. Rows with no active match,
-   or whose change test is TRUE, are the versions to open.
-2. Their matched keys are the keys to close. ``dim LEFT JOIN closed_keys``
-   flips ``is_active`` / ``effective_end_date``: on every version of the id
-   (psql: the outer UPDATE filters on id only) or on the active one (gcp).
-   The closed-key side is usually small, and AQE broadcasts it from runtime
-   size; otherwise both sides shuffle on the key.
-3. New versions get carry-forward (psql), keys (sequence or hash), start =
+the whole dimension. Plan shape (keyed joins and a union, no window over the
+data); the dimension is large and grows every run, a batch is usually small:
+
+1. Old values for the batch: active dimension rows whose key is in the batch.
+   When the batch keys fit a broadcast (size checked), this is a broadcast
+   semi join: the dimension is only scanned, never shuffled. Otherwise both
+   sides hash-shuffle on the key.
+2. ``stage LEFT JOIN old`` (both batch-sized) with a literal marker for
+   "matched" gives ``_hit`` / ``_changed``; it is checkpointed once, because
+   it feeds both the rows to open and the keys to close.
+3. ``dim LEFT JOIN closed_keys`` flips ``is_active`` / ``effective_end_date``
+   on every version of the id (psql: the outer UPDATE filters on id only) or
+   on the active one (gcp). Closed keys are broadcast when their counted size
+   allows it, so the dimension streams through without a shuffle.
+4. New versions get carry-forward (psql), keys (sequence or hash), start =
    run time, end NULL, and are appended with ``unionByName``.
 
-Both sides of step 1 read one immutable snapshot, which is what the psql
+Both sides read one immutable snapshot, which is what the psql
 data-modifying CTE sees; for gcp "no active version after the close" selects
 the same rows as "unmatched or changed" as long as each key has at most one
 active version (``gates.require_single_active``).
@@ -29,8 +33,10 @@ from pyspark.sql import types as T
 from ledgerline.functions.keys import hash_key
 from ledgerline.functions.predicates import active_rows, change_predicate
 from ledgerline.functions.timestamps import ts_literal
+from ledgerline.operators.lookup import BROADCAST_MAX_ROWS, fits_broadcast
 from ledgerline.operators.sequence import assign_sequence, max_key
 from ledgerline.plans.profiles import DimSpec, Profile
+from ledgerline.session import materialize
 
 
 def dim_schema(spec: DimSpec, profile: Profile) -> T.StructType:
@@ -63,11 +69,14 @@ def _kind(spec: DimSpec, col: str) -> str:
     return "time"
 
 
-def changed_rows(stage: DataFrame, dim: DataFrame, spec: DimSpec, profile: Profile) -> DataFrame:
-    """Step 1: staged rows joined to their active version.
+def changed_rows(stage: DataFrame, dim: DataFrame, spec: DimSpec, profile: Profile,
+                  batch_fits: bool | None = None,
+                  max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Steps 1-2: staged rows joined to their active version.
 
     Adds ``_hit`` (an active version exists), ``_changed`` (change test is
-    TRUE) and the old values as ``_o_<col>``.
+    TRUE) and the old values as ``_o_<col>``. ``batch_fits``: result of a
+    size check of the batch keys already made by the caller.
     """
     keys = profile.match_keys(spec)
     tracked = profile.tracked(spec)
@@ -76,6 +85,13 @@ def changed_rows(stage: DataFrame, dim: DataFrame, spec: DimSpec, profile: Profi
         *[F.col(k).alias(f"_d_{k}") for k in keys],
         *[F.col(c).alias(f"_o_{c}") for c in old_cols],
         F.lit(True).alias("_hit"))
+    if batch_fits is None:
+        batch_fits = fits_broadcast(stage.select(*keys), max_broadcast_rows)
+    if batch_fits:
+        batch_keys = stage.select(*[F.col(k).alias(f"_b_{k}") for k in keys])
+        active = active.join(F.broadcast(batch_keys),
+                             [active[f"_d_{k}"] == batch_keys[f"_b_{k}"] for k in keys],
+                             "left_semi")
     cond = [stage[k] == active[f"_d_{k}"] for k in keys]
     j = stage.join(active, cond, "left").drop(*[f"_d_{k}" for k in keys])
     pairs = [(F.col(f"_o_{c}"), F.col(c), _kind(spec, c)) for c in tracked]
@@ -90,9 +106,11 @@ def versions_to_open(joined: DataFrame) -> DataFrame:
 
 
 def close_versions(dim: DataFrame, closed_keys: DataFrame, keys: list[str], scope: str,
-                   run_ts: str) -> DataFrame:
+                   run_ts: str, broadcast_keys: bool = False) -> DataFrame:
     """End the versions of the changed keys."""
     marked = closed_keys.select(*keys).withColumn("_close", F.lit(True))
+    if broadcast_keys:
+        marked = F.broadcast(marked)
     j = dim.join(marked, keys, "left")
     hit = F.coalesce(F.col("_close"), F.lit(False))
     if scope == "active":
@@ -142,10 +160,11 @@ def scd2_apply(dim: DataFrame, stage: DataFrame, spec: DimSpec, profile: Profile
                run_ts: str, stamp: str, num_partitions: int | None = None) -> DataFrame:
     """Next version of the whole dimension after one staged batch."""
     keys = profile.match_keys(spec)
-    joined = changed_rows(stage, dim, spec, profile)
+    joined = materialize(changed_rows(stage, dim, spec, profile))
     opened = versions_to_open(joined)
-    closed_keys = opened.filter(F.col("_hit"))
-    kept = close_versions(dim, closed_keys, keys, profile.close_scope, run_ts)
+    closed_keys = opened.filter(F.col("_hit")).select(*keys)
+    kept = close_versions(dim, closed_keys, keys, profile.close_scope, run_ts,
+                          broadcast_keys=fits_broadcast(closed_keys))
     added = new_versions(opened, spec, profile, run_ts, stamp, dim=dim,
                          num_partitions=num_partitions)
     return kept.unionByName(added)

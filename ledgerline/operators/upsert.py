@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.keys import epoch_key
 from ledgerline.functions.timestamps import ts_literal
+from ledgerline.operators.lookup import BROADCAST_MAX_ROWS, fits_broadcast
 from ledgerline.operators.sequence import assign_sequence, max_key
 from ledgerline.plans.profiles import Profile
 
@@ -57,16 +58,8 @@ def empty_fact(spark, profile: Profile) -> DataFrame:
     return spark.createDataFrame([], fact_schema(profile))
 
 
-def upsert(target: DataFrame, source: DataFrame, key: str, update_cols: tuple[str, ...],
-           insert_cols: tuple[str, ...], key_col: str, key_kind: str, run_ts: str,
-           schema: T.StructType, num_partitions: int | None = None,
-           order_cols: list[str] | None = None) -> DataFrame:
-    src_cols = [c for c in source.columns]
-    s = source.select(*[F.col(c).alias(f"_s_{c}") for c in src_cols], F.lit(True).alias("_s"))
-    t = target.withColumn("_t", F.lit(True))
-    j = t.join(s, t[key] == s[f"_s_{key}"], "full_outer")
-    matched_s = F.coalesce(F.col("_s"), F.lit(False))
-    matched_t = F.coalesce(F.col("_t"), F.lit(False))
+def _merge_columns(schema: T.StructType, key: str, key_col: str, update_cols, insert_cols,
+                   src_cols: list[str], matched_s, matched_t) -> list:
     out = []
     for f in schema.fields:
         c = f.name
@@ -81,22 +74,75 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update_cols: tuple[st
         else:
             v = F.col(c)
         out.append(v.cast(f.dataType).alias(c))
-    merged = j.select(F.col(key_col), matched_t.alias("_t"), *out)
+    return out
+
+
+def upsert(target: DataFrame, source: DataFrame, key: str, update_cols: tuple[str, ...],
+           insert_cols: tuple[str, ...], key_col: str, key_kind: str, run_ts: str,
+           schema: T.StructType, num_partitions: int | None = None,
+           order_cols: list[str] | None = None, key_start: int | None = None,
+           source_fits: bool | None = None,
+           max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Merge ``source`` into ``target`` on ``key``.
+
+    Small source (size checked): the target streams through a broadcast
+    left join (no shuffle of the target); new rows are the source rows not
+    among the matched ids, found from a broadcast semi join of the target's
+    key column. Large source: one full outer join, both sides shuffled.
+    """
+    src_cols = list(source.columns)
+    s = source.select(*[F.col(c).alias(f"_s_{c}") for c in src_cols], F.lit(True).alias("_s"))
+    t = target.withColumn("_t", F.lit(True))
+    matched_s = F.coalesce(F.col("_s"), F.lit(False))
+    matched_t = F.coalesce(F.col("_t"), F.lit(False))
+    cols = _merge_columns(schema, key, key_col, update_cols, insert_cols, src_cols,
+                          matched_s, matched_t)
+    if source_fits is None:
+        source_fits = fits_broadcast(source.select(key), max_broadcast_rows)
+    if source_fits:
+        updated = (t.join(F.broadcast(s), t[key] == s[f"_s_{key}"], "left")
+                   .select(F.col(key_col), matched_t.alias("_t"), *cols))
+        hit_ids = target.select(F.col(key).alias("_m_key")).join(
+            F.broadcast(source.select(F.col(key).alias("_k"))),
+            F.col("_m_key") == F.col("_k"), "left_semi")
+        fresh = s.join(hit_ids, s[f"_s_{key}"] == hit_ids["_m_key"], "left_anti")
+        fresh = _fresh_rows(fresh, schema, key, key_col, update_cols, insert_cols, src_cols)
+        merged = updated.unionByName(fresh)
+    else:
+        j = t.join(s, t[key] == s[f"_s_{key}"], "full_outer")
+        merged = j.select(F.col(key_col), matched_t.alias("_t"), *cols)
     if key_kind == "epoch":
         k = F.when(F.col("_t"), F.col(key_col)).otherwise(epoch_key(F.col(key), ts_literal(run_ts)))
         return merged.withColumn(key_col, k.cast(schema[key_col].dataType)).select(*schema.names)
     # sequence: existing rows keep theirs; new rows are numbered after the max
-    start = max_key(target, key_col)
+    start = key_start if key_start is not None else max_key(target, key_col)
     old = merged.filter(F.col("_t")).select(*schema.names)
     new = assign_sequence(merged.filter(~F.col("_t")).drop(key_col), order_cols or [key],
-                          start, key_col,
-                          schema[key_col].dataType, num_partitions)
+                          start, key_col, schema[key_col].dataType, num_partitions)
     return old.unionByName(new.select(*schema.names))
 
 
+def _fresh_rows(fresh: DataFrame, schema: T.StructType, key: str, key_col: str, update_cols,
+                insert_cols, src_cols: list[str]) -> DataFrame:
+    """Source rows with no target row, projected like merged rows."""
+    out = []
+    for f in schema.fields:
+        c = f.name
+        if c == key_col:
+            v = F.lit(None)
+        elif c in src_cols and (c == key or c in update_cols or c in insert_cols):
+            v = F.col(f"_s_{c}")
+        else:
+            v = F.lit(None)
+        out.append(v.cast(f.dataType).alias(c))
+    return fresh.select(F.lit(False).alias("_t"), *out)
+
+
 def upsert_fact(target: DataFrame, staged: DataFrame, profile: Profile, run_ts: str,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, key_start: int | None = None,
+                source_fits: bool | None = None) -> DataFrame:
     """D5 (psql: 8 update columns, sale_date_key kept) / D6 (gcp: 11)."""
     return upsert(target, staged, "id", profile.fact_update_cols, FACT_INSERT_COLS,
                   "sales_key", profile.fact_key_kind, run_ts, fact_schema(profile),
-                  num_partitions, order_cols=["sales_id"])
+                  num_partitions, order_cols=["sales_id"], key_start=key_start,
+                  source_fits=source_fits)

@@ -16,15 +16,17 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.functions.timestamps import new_stamp, stamp_to_text
 from ledgerline.operators import gates as G
-from ledgerline.operators.lookup import lookup_keys
+from ledgerline.operators.lookup import fits_broadcast, lookup_keys
 from ledgerline.operators.scd2 import dim_schema, scd2_apply
 from ledgerline.operators.staging import stage_dimension, stage_sales
 from ledgerline.operators.upsert import fact_schema, upsert_fact
 from ledgerline.plans.profiles import DIMENSIONS, GCP, PSQL, Profile
-from ledgerline.plans.tables import Warehouse
+from ledgerline.operators.sequence import max_key
+from ledgerline.plans.tables import PartitionedTable, Warehouse
 from ledgerline.sources.csv import force_all_columns, read_csv_by_name
 from ledgerline.sources.jdbc import read_jdbc_table
 from ledgerline.sources.landing import batch_view, land_files
@@ -60,9 +62,50 @@ def _source_gates(df: DataFrame, table: str, key: str) -> None:
     G.require_unique(df, [key], table)
 
 
+# Most distinct partition values a run may touch before the fact is
+# rewritten whole instead (the list of touched dates goes to the driver).
+MAX_TOUCHED_PARTITIONS = 20_000
+
+
+def merge_fact_partitions(spark: SparkSession, wh: Warehouse, profile: Profile, fname: str,
+                          staged: DataFrame, run_ts: str, gates=None) -> list | None:
+    """Fact upsert that rewrites only the touched ``sale_date_key`` partitions.
+
+    Touched = dates of the staged rows and current dates of the fact rows
+    they match (a gcp update may move a row to another date). The match is a
+    semi join of the fact's (id, date) columns - pruned scan, and with a
+    batch that fits a broadcast, no shuffle of the fact.
+    """
+    table = PartitionedTable(wh, fname, "sale_date_key", profile.fact_cluster_by)
+    cols = fact_schema(profile).names
+    if not table.exists():
+        merged = upsert_fact(wh.spark.createDataFrame([], fact_schema(profile)), staged,
+                             profile, run_ts)
+        table.write(merged, None, gates)
+        return None
+    fact = table.read(cols)
+    ids = staged.select("id")
+    ids = F.broadcast(ids) if fits_broadcast(ids) else ids
+    matched = fact.select("id", "sale_date_key").join(ids, "id", "left_semi")
+    dates = matched.select("sale_date_key").union(staged.select("sale_date_key")).distinct()
+    touched = [r[0] for r in dates.limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
+    if len(touched) > MAX_TOUCHED_PARTITIONS:
+        touched = None  # rewrite every partition
+        target = fact
+    else:
+        keep = F.col("sale_date_key").isin([d for d in touched if d is not None])
+        if None in touched:
+            keep = keep | F.col("sale_date_key").isNull()
+        target = fact.filter(keep)  # partition pruning
+    start = max_key(fact, "sales_key") if profile.fact_key_kind == "sequence" else None
+    merged = upsert_fact(target, staged, profile, run_ts, key_start=start)
+    table.write(merged, touched, gates)
+    return touched
+
+
 def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
                   sources: dict[str, DataFrame], run_ts: str, stamp: str,
-                  deep_gates: bool = False) -> RunResult:
+                  deep_gates: bool = False, fact_mode: str = "partitions") -> RunResult:
     _, stage_db, dwh_db = SCHEMAS[profile.name]
     wh.ensure_schemas(stage_db, dwh_db)
     versions = {}
@@ -92,19 +135,31 @@ def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
                             f"{stage_db}.fact_sales")
     G.require_unique(staged, ["id"], "staged sales")  # C4
     fname = f"{dwh_db}.fact_sales"
-    fact = wh.read_or_empty(fname, fact_schema(profile))
-    merged = upsert_fact(fact, staged, profile, run_ts)
 
     def fact_gates(w):
         G.require_not_null(w, ["sales_key", "id", "source_system"], "fact_sales")
         if deep_gates:
             G.require_unique(w, ["id"], "fact_sales")  # C3
 
-    versions[fname] = wh.write_snapshot(merged, fname, profile.fact_partition_by,
-                                        profile.fact_cluster_by, gates=fact_gates)
+    if fact_mode == "partitions":
+        versions[fname] = merge_fact_partitions(spark, wh, profile, fname, staged, run_ts,
+                                                fact_gates)
+    else:
+        fact = wh.read_or_empty(fname, fact_schema(profile))
+        merged = upsert_fact(fact, staged, profile, run_ts)
+        versions[fname] = wh.write_snapshot(merged, fname, profile.fact_partition_by,
+                                            profile.fact_cluster_by, gates=fact_gates)
     return RunResult(stamp, run_ts, versions)
 
 
+def read_fact(wh: Warehouse, profile: Profile, fact_mode: str = "partitions") -> DataFrame:
+    fname = f"{SCHEMAS[profile.name][2]}.fact_sales"
+    cols = fact_schema(profile).names
+    if fact_mode == "partitions":
+        return PartitionedTable(wh, fname, "sale_date_key").read(cols)
+    return wh.read(fname).select(*cols)
+
+
 def job_psql(spark: SparkSession, wh: Warehouse, url: str, run_ts: str,
              properties: dict | None = None, partitions: int = 8,
              tables: tuple[str, ...] = SOURCE_TABLES) -> RunResult:

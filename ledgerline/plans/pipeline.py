@@ -31,15 +31,15 @@ def dimension_after(spark: SparkSession, sf_dir: str, spec: DimSpec, profile: Pr
     for i, b in enumerate(batches):
         run = RUNS[b]
         stage = staged_dimension(spark, sf_dir, spec, profile, b)
+        # scd2_apply checkpoints its batch-sized intermediate results, so the
+        # next day's plan stays short without materialising the whole dimension
         dim = scd2_apply(dim, stage, spec, profile, run.run_ts, run.stamp)
-        if i < len(batches) - 1:
-            dim = materialize(dim)
     return dim
 
 
 def all_dimensions_after(spark: SparkSession, sf_dir: str, profile: Profile,
                          batches: tuple[str, ...]) -> dict[str, DataFrame]:
-    return {name: materialize(dimension_after(spark, sf_dir, spec, profile, batches))
+    return {name: dimension_after(spark, sf_dir, spec, profile, batches)
             for name, spec in DIMENSIONS.items()}
 
 
@@ -58,8 +58,7 @@ def fact_after(spark: SparkSession, sf_dir: str, profile: Profile,
     dims = {name: empty_dim(spark, spec, profile) for name, spec in DIMENSIONS.items()}
     for i, b in enumerate(batches):
         run = RUNS[b]
-        dims = {name: materialize(dimension_after(spark, sf_dir, spec, profile, (b,),
-                                                  start=dims[name]))
+        dims = {name: dimension_after(spark, sf_dir, spec, profile, (b,), start=dims[name])
                 for name, spec in DIMENSIONS.items()}
         staged = staged_fact(spark, sf_dir, profile, b, dims)
         fact = upsert_fact(fact, staged, profile, run.run_ts)

@@ -40,7 +40,7 @@ def test_w1_then_w2(spark, tmpdir_path):
     for t in FILES:
         write_jdbc_table(wh.read(f"public.{t}"), url, t, DERBY, truncate=False)
     r1 = job_psql(spark, wh, url, "2024-01-01 03:00:00", DERBY, partitions=2)
-    assert r1.versions["dwh.fact_sales"] == 1
+    assert "dwh.fact_sales" in r1.versions
     fact = {r.id: r for r in wh.read("dwh.fact_sales").collect()}
     assert fact["emea_3"].store_key is None  # store 9 unknown: LEFT join keeps the sale
     assert fact["emea_1"].updated_at == datetime(2023, 10, 1, 13)  # psql: the sale date
@@ -65,10 +65,19 @@ def test_w3_gcp(spark, tmpdir_path):
     # a second run with one changed customer
     files2 = dict(FILES)
     files2["customers"] = FILES["customers"].replace("12 Birch Rd", "7 Elm Ct")
+    # sale 1 moves from 2023-10-01 to 2023-10-05: its old partition must go
+    files2["sales"] = FILES["sales"].replace("1,1,1,1,2023-10-01 13:00:00", "1,1,1,1,2023-10-05 13:00:00")
     files2 = write_files(os.path.join(tmpdir_path, "in2"), files2)
-    job_gcp(spark, wh, files2, landing, now=datetime(2024, 1, 2, 3, 0, 0))
+    r2 = job_gcp(spark, wh, files2, landing, now=datetime(2024, 1, 2, 3, 0, 0))
+    assert sorted(str(d) for d in r2.versions["dwh.fact_sales"]) == [
+        "2023-10-01", "2023-10-02", "2023-10-05"]
     dim = wh.read("dwh.dim_customer")
     assert dim.count() == 4 and dim.filter("is_active").count() == 3
+    fact = {r.id: r for r in wh.read("dwh.fact_sales").collect()}
+    assert len(fact) == 2 and str(fact["global_1"].sale_date_key) == "2023-10-05"
+    assert fact["global_1"].sales_key == "1704078000_global_1"
+    parts = [r[0] for r in spark.sql("SHOW PARTITIONS w3_dwh.fact_sales").collect()]
+    assert not any("2023-10-01" in p for p in parts)
 
 
 def test_empty_file_gate(spark, tmpdir_path):
