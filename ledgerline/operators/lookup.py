@@ -7,6 +7,14 @@ partial-aggregate count: one row per task reaches the driver; a
 task); otherwise the join is a shuffle join, which AQE may still turn into a
 broadcast from runtime sizes and whose hot keys AQE's skew-join handling
 splits.
+
+Hot keys (one customer may hold a third of all sales) are also handled
+explicitly when a lookup cannot be broadcast (``salt_buckets`` > 0): keys
+with at least ``hot_min_rows`` sales are found by a partial-aggregate count,
+their sales rows are spread over ``salt_buckets`` salts by a hash of the row
+id (deterministic, so a retried task sees the same salt), and only the
+lookup rows of those keys are copied once per salt. The result is the plain
+join's; no row is dropped or capped.
 """
 
 from __future__ import annotations
@@ -32,6 +40,31 @@ def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     return F.broadcast(df) if ok else df
 
 
+def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
+    """Keys with at least ``min_rows`` rows; at most ``rows / min_rows`` of
+    them exist, so the result has a proven size bound."""
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+              .filter(F.col("_n") >= min_rows).select(F.col(key).alias("_hot_key")))
+
+
+def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str,
+                salt_buckets: int, hot_min_rows: int, row_id: list[str] | None = None) -> DataFrame:
+    """``left JOIN right ON left_key = right_key`` with hot keys split."""
+    hot = F.broadcast(hot_keys(left, left_key, hot_min_rows).withColumn("_hot", F.lit(True)))
+    rid = F.xxhash64(*[F.col(c) for c in (row_id or left.columns)])
+    lft = (left.join(hot, left[left_key] == hot["_hot_key"], "left").drop("_hot_key")
+           .withColumn("_salt", F.when(F.col("_hot"), F.pmod(rid, F.lit(salt_buckets)))
+                       .otherwise(F.lit(0)).cast("int"))
+           .drop("_hot"))
+    rgt = (right.join(hot, right[right_key] == hot["_hot_key"], "left").drop("_hot_key")
+           .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
+                                          .otherwise(F.array(F.lit(0)))))
+           .drop("_hot")
+           .withColumnRenamed("_salt", "_rsalt"))
+    cond = (lft[left_key] == rgt[right_key]) & (lft["_salt"] == rgt["_rsalt"])
+    return lft.join(rgt, cond, how).drop("_salt", "_rsalt")
+
+
 def dim_lookup(dim: DataFrame, dim_name: str, profile: Profile) -> DataFrame:
     spec = DIMENSIONS[dim_name]
     rows = active_rows(dim)
@@ -43,7 +76,9 @@ def dim_lookup(dim: DataFrame, dim_name: str, profile: Profile) -> DataFrame:
 
 def lookup_keys(sales: DataFrame, dims: dict[str, DataFrame], profile: Profile,
                 max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-                broadcast_checked: dict[str, bool] | None = None) -> DataFrame:
+                broadcast_checked: dict[str, bool] | None = None,
+                salt_buckets: int = 16, hot_min_rows: int = 1_000_000,
+                row_id: list[str] | None = ("sale_id",)) -> DataFrame:
     """Add customer_key / product_key / store_key to ``sales``.
 
     psql: LEFT join on natural id (unmatched rows kept, key NULL).
@@ -51,12 +86,19 @@ def lookup_keys(sales: DataFrame, dims: dict[str, DataFrame], profile: Profile,
     ``broadcast_checked`` lets a caller pass size checks it already made.
     """
     out = sales
+    rid = [c for c in (row_id or []) if c in sales.columns] or None
     for name in ("customer", "product", "store"):
         spec = DIMENSIONS[name]
         lk = dim_lookup(dims[name], name, profile)
         checked = (broadcast_checked or {}).get(name)
-        lk = maybe_broadcast(lk, max_broadcast_rows, checked)
-        out = (out.join(lk, out[spec.natural_id] == lk[f"_lk_{spec.natural_id}"],
-                        profile.lookup_how)
-               .drop(f"_lk_{spec.natural_id}"))
+        small = fits_broadcast(lk, max_broadcast_rows) if checked is None else checked
+        lkey = f"_lk_{spec.natural_id}"
+        if small:
+            out = out.join(F.broadcast(lk), out[spec.natural_id] == lk[lkey], profile.lookup_how)
+        elif salt_buckets > 1:
+            out = salted_join(out, lk, spec.natural_id, lkey, profile.lookup_how,
+                              salt_buckets, hot_min_rows, rid)
+        else:
+            out = out.join(lk, out[spec.natural_id] == lk[lkey], profile.lookup_how)
+        out = out.drop(lkey)
     return out

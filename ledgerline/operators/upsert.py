@@ -23,10 +23,14 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.keys import epoch_key
 from ledgerline.functions.timestamps import ts_literal
-from ledgerline.operators.lookup import BROADCAST_MAX_ROWS, fits_broadcast
+from ledgerline.operators.lookup import fits_broadcast
 from ledgerline.operators.sequence import assign_sequence, max_key
 from ledgerline.plans.profiles import Profile
 
+# The upsert broadcasts whole source rows (~15 columns), so its cap is lower
+# than for key-only lookup sides.
+WIDE_BROADCAST_MAX_ROWS = 250_000
+
 FACT_INSERT_COLS = ("sales_id", "id", "source_system", "customer_key", "product_key",
                     "store_key", "sale_time", "sale_date_key", "quantity", "total_amount",
                     "updated_at", "dwh_load_date")
@@ -82,7 +86,7 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update_cols: tuple[st
            schema: T.StructType, num_partitions: int | None = None,
            order_cols: list[str] | None = None, key_start: int | None = None,
            source_fits: bool | None = None,
-           max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+           max_broadcast_rows: int = WIDE_BROADCAST_MAX_ROWS) -> DataFrame:
     """Merge ``source`` into ``target`` on ``key``.
 
     Small source (size checked): the target streams through a broadcast

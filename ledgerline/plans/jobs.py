@@ -127,7 +127,7 @@ def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
 
         cluster = tuple(spec.key_col if c == "KEY" else c for c in profile.dim_cluster_by)
         versions[name] = wh.write_snapshot(new, name, profile.dim_partition_by, cluster,
-                                           gates=dim_gates)
+                                           gates=dim_gates, split_by=("id",))
     sales = sources["sales"]
     _source_gates(sales, "sales", "sale_id")
     dims = {n: wh.read(f"{dwh_db}.dim_{n}") for n in DIMENSIONS}
@@ -148,7 +148,8 @@ def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
         fact = wh.read_or_empty(fname, fact_schema(profile))
         merged = upsert_fact(fact, staged, profile, run_ts)
         versions[fname] = wh.write_snapshot(merged, fname, profile.fact_partition_by,
-                                            profile.fact_cluster_by, gates=fact_gates)
+                                            profile.fact_cluster_by, gates=fact_gates,
+                                            split_by=("id",))
     return RunResult(stamp, run_ts, versions)
 
 

@@ -81,10 +81,15 @@ class Warehouse:
     # -- D7 / K1 / K2 / K7 / K8 ---------------------------------------------
     def write_snapshot(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
                        cluster_by: tuple[str, ...] = (),
-                       gates: Callable[[DataFrame], None] | None = None) -> int:
+                       gates: Callable[[DataFrame], None] | None = None,
+                       split_by: tuple[str, ...] = ()) -> int:
+        """``split_by``: a high-cardinality column appended to the range
+        layout, so one hot partition value is still spread over many tasks."""
         version = self.current_version(name) + 1
         path = self.version_path(name, version)
-        layout = list(partition_by) + list(cluster_by)
+        layout = list(dict.fromkeys(list(partition_by) + list(cluster_by)))
+        if layout:
+            layout += [c for c in split_by if c not in layout]
         out = df
         if layout:
             n = self.write_partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
@@ -148,8 +153,9 @@ class PartitionedTable:
     """
 
     def __init__(self, wh: Warehouse, name: str, partition_col: str,
-                 cluster_by: tuple[str, ...] = ()):
+                 cluster_by: tuple[str, ...] = (), split_by: tuple[str, ...] = ("id",)):
         self.wh, self.name, self.col, self.cluster_by = wh, name, partition_col, cluster_by
+        self.split_by = split_by  # spreads a hot partition value over many tasks
         self.spark = wh.spark
 
     @property
@@ -165,6 +171,7 @@ class PartitionedTable:
 
     def _layout(self, df: DataFrame) -> DataFrame:
         layout = [self.col] + list(self.cluster_by)
+        layout += [c for c in self.split_by if c in df.columns and c not in layout]
         n = self.wh.write_partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         return df.repartitionByRange(n, *layout).sortWithinPartitions(*layout)
 
