@@ -48,6 +48,20 @@ def require_single_active(dim: DataFrame, keys: list[str], label: str = "dimensi
     require_unique(dim.filter(F.col("is_active") == F.lit(True)), keys, label)
 
 
+def require_max_length(df: DataFrame, limits: dict[str, int], label: str = "table") -> None:
+    """Declared VARCHAR(n) lengths, one aggregate over all limited columns.
+
+    (Decimal ranges need no gate: the ANSI cast to DECIMAL(p,s) raises on
+    overflow.)"""
+    cols = [c for c in limits if c in df.columns]
+    if not cols:
+        return
+    row = df.agg(*[F.max(F.length(F.col(c))).alias(c) for c in cols]).first()
+    bad = {c: row[c] for c in cols if row[c] is not None and row[c] > limits[c]}
+    if bad:
+        raise GateError(f"{label}: value longer than declared in {bad} (limits {limits})")
+
+
 def require_rows(df: DataFrame, label: str = "table") -> None:
     """K9: the table must not be empty."""
     if df.isEmpty():

@@ -24,7 +24,7 @@ from ledgerline.operators.lookup import fits_broadcast, lookup_keys
 from ledgerline.operators.scd2 import dim_schema, scd2_apply
 from ledgerline.operators.staging import stage_dimension, stage_sales
 from ledgerline.operators.upsert import fact_schema, upsert_fact
-from ledgerline.plans.profiles import DIMENSIONS, GCP, PSQL, Profile
+from ledgerline.plans.profiles import DIMENSIONS, GCP, PSQL, PSQL_LENGTHS, Profile
 from ledgerline.operators.sequence import max_key
 from ledgerline.plans.tables import PartitionedTable, Warehouse
 from ledgerline.sources.csv import force_all_columns, read_csv_by_name
@@ -121,6 +121,8 @@ def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
 
         def dim_gates(w, spec=spec, keys=keys):
             G.require_not_null(w, [spec.key_col, "id", "source_system"], spec.name)
+            if profile.name == "psql":
+                G.require_max_length(w, PSQL_LENGTHS, spec.name)  # C5
             if deep_gates:
                 G.require_unique(w, [spec.key_col], spec.name)
                 G.require_single_active(w, keys, spec.name)

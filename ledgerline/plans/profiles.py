@@ -127,6 +127,11 @@ GCP = Profile(
 
 PROFILES = {"psql": PSQL, "gcp": GCP}
 
+# Declared VARCHAR lengths of the psql warehouse tables.
+PSQL_LENGTHS = {"id": 50, "source_system": 20, "customer_name": 100, "customer_address": 255,
+                "product_name": 100, "product_category": 100, "store_name": 100,
+                "store_location": 255}
+
 
 def with_rule(profile: Profile, change_rule: str) -> Profile:
     """Same profile with another change rule (e.g. ``nullsafe``)."""

@@ -49,6 +49,14 @@ class Warehouse:
         self.spark.sql(f"DROP VIEW IF EXISTS {self.q(name)}")
         self.spark.sql(f"DROP TABLE IF EXISTS {self.q(name)}")
 
+    def ensure_table(self, name: str, schema: T.StructType,
+                     partition_by: tuple[str, ...] = ()) -> None:
+        """K5 as DDL: a typed, partitioned, managed parquet table if absent
+        (used for tables written in place, like the partitioned fact)."""
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.q(name)} ({cols}) USING parquet{part}")
+
     # -- versions ------------------------------------------------------------
     def _props(self, name: str) -> dict[str, str]:
         if not self.spark.catalog.tableExists(self.q(name)):

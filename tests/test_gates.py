@@ -60,3 +60,16 @@ def test_salted_lookup_equals_plain_join(spark):
         a = sorted(tuple(r) for r in plain.collect())
         b = sorted(tuple(r) for r in salted.select(*plain.columns).collect())
         assert a == b and len(a) == (3000 if how == "left" else 1000 + 1600)
+
+
+def test_max_length(spark):
+    df = spark.createDataFrame([("abc",), ("abcdef",)], "name string")
+    G.require_max_length(df, {"name": 6})
+    with pytest.raises(G.GateError):
+        G.require_max_length(df, {"name": 5})
+
+
+def test_decimal_overflow_raises(spark):
+    df = spark.createDataFrame([("123456789.99",)], "v string")
+    with pytest.raises(Exception):
+        df.selectExpr("CAST(v AS DECIMAL(10,2)) AS v").collect()
