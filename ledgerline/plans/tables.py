@@ -12,7 +12,10 @@ it is being read, so every write of a table is a new version folder
    catalog update, so readers see the old or the new version, never a mix;
 4. drop versions older than the last ``keep``.
 
-A crash before step 3 leaves readers on the previous version.
+A crash before step 3 leaves readers on the previous version. Step 3 also
+creates an empty marker file ``CURRENT-<N>`` next to the versions, so a new
+session without a persistent metastore re-attaches the published version
+(the highest marker), never an unpublished folder.
 """
 
 from __future__ import annotations
@@ -60,10 +63,32 @@ class Warehouse:
     # -- versions ------------------------------------------------------------
     def _props(self, name: str) -> dict[str, str]:
         if not self.spark.catalog.tableExists(self.q(name)):
-            return {}
+            if not self._attach(name):
+                return {}
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.q(name)}").collect()
         return {r["key"]: r["value"] for r in rows}
 
+    def table_root(self, name: str) -> str:
+        db, table = name.split(".", 1) if "." in name else ("default", name)
+        return f"{self.root}/{db}/{table}"
+
+    def _markers(self, name: str) -> list[int]:
+        fs, path = self._fs(self.table_root(name) + "/CURRENT-*")
+        found = fs.globStatus(path) or []
+        return sorted(int(st.getPath().getName().split("-", 1)[1]) for st in found)
+
+    def _attach(self, name: str) -> bool:
+        """Publish the last marked version in this session's catalog."""
+        marks = self._markers(name)
+        if not marks:
+            return False
+        version = marks[-1]
+        path = self.version_path(name, version)
+        db = self.q(name).split(".", 1)[0]
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+        self._publish(name, path, version)
+        return True
+
     def current_version(self, name: str) -> int:
         return int(self._props(name).get(VERSION_PROP, 0))
 
@@ -115,6 +140,7 @@ class Warehouse:
             cols.append(f"CAST({c} AS {f.dataType.simpleString()}) AS {c}"
                         if f.name in partition_by else c)
         self._publish(name, path, version, ", ".join(cols))
+        self._mark(name, version)
         self._expire(name, version)
         return version
 
@@ -133,16 +159,31 @@ class Warehouse:
             f"TBLPROPERTIES ('{VERSION_PROP}' = '{version}', '{PATH_PROP}' = '{path}') "
             f"AS SELECT {select} FROM parquet.`{path}`")
 
+    def _mark(self, name: str, version: int) -> None:
+        fs, path = self._fs(f"{self.table_root(name)}/CURRENT-{version}")
+        fs.create(path, True).close()
+
     def _expire(self, name: str, version: int) -> None:
         for v in range(1, version - self.keep + 1):
             self.delete_path(self.version_path(name, v))
+        for v in self._markers(name):
+            if v < version:
+                self.delete_path(f"{self.table_root(name)}/CURRENT-{v}")
 
-    def delete_path(self, path: str) -> None:
-        """Remove a folder through the Hadoop file system of its scheme."""
+    def _fs(self, path: str):
+        """Hadoop file system and path object for any scheme (file, hdfs, s3a...)."""
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(conf)
+        return p.getFileSystem(conf), p
+
+    def path_exists(self, path: str) -> bool:
+        fs, p = self._fs(path)
+        return fs.exists(p)
+
+    def delete_path(self, path: str) -> None:
+        """Remove a file or folder through the Hadoop file system of its scheme."""
+        fs, p = self._fs(path)
         if fs.exists(p):
             fs.delete(p, True)
 
@@ -170,8 +211,21 @@ class PartitionedTable:
     def qname(self) -> str:
         return self.wh.q(self.name)
 
+    @property
+    def location(self) -> str:
+        return self.wh.table_root(self.name) + "/data"
+
     def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.qname)
+        if self.spark.catalog.tableExists(self.qname):
+            return True
+        if self.wh.path_exists(self.wh.table_root(self.name) + "/CREATED"):
+            # new session, no persistent metastore: re-attach the folder
+            db = self.qname.split(".", 1)[0]
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+            self.spark.sql(f"CREATE TABLE {self.qname} USING parquet LOCATION '{self.location}'")
+            self.spark.sql(f"ALTER TABLE {self.qname} RECOVER PARTITIONS")
+            return True
+        return False
 
     def read(self, columns: list[str] | None = None) -> DataFrame:
         df = self.spark.table(self.qname)
@@ -196,7 +250,9 @@ class PartitionedTable:
         layout = [self.col] + list(self.cluster_by)
         if not self.exists():
             (staged.sortWithinPartitions(*layout).write.partitionBy(self.col)
-             .format("parquet").saveAsTable(self.qname))
+             .format("parquet").option("path", self.location).saveAsTable(self.qname))
+            fs, marker = self.wh._fs(self.wh.table_root(self.name) + "/CREATED")
+            fs.create(marker, True).close()
         else:
             cols = self.read().columns  # table order: partition column last
             (staged.select(*cols).sortWithinPartitions(*layout).write
@@ -207,6 +263,8 @@ class PartitionedTable:
                     if v is not None:
                         self.spark.sql(f"ALTER TABLE {self.qname} DROP IF EXISTS PARTITION "
                                        f"({self.col} = '{v}')")
+                        # external table: the dropped partition's files go too
+                        self.wh.delete_path(f"{self.location}/{self.col}={v}")
         self.spark.catalog.refreshTable(self.qname)
         self.wh.delete_path(copy_path)
 

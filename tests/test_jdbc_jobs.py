@@ -103,3 +103,22 @@ def test_snapshot_versions_and_swap(spark, tmpdir_path):
             raise GateError("no")
         wh.write_snapshot(spark.range(9), "t.x", gates=gate)
     assert wh.read("t.x").count() == 3  # readers stay on the last good version
+
+
+def test_reattach_in_new_catalog_state(spark, tmpdir_path):
+    """Without a persistent metastore, a later run re-attaches the published
+    snapshot (CURRENT marker) and the partitioned fact from storage."""
+    from ledgerline.plans.tables import PartitionedTable
+    root = os.path.join(tmpdir_path, "wh")
+    wh = Warehouse(spark, root, db_prefix="ra_")
+    wh.ensure_schemas("t")
+    wh.write_snapshot(spark.range(4).selectExpr("id"), "t.snap")
+    wh.write_snapshot(spark.range(6).selectExpr("id"), "t.snap")
+    pt = PartitionedTable(wh, "t.fact", "d")
+    pt.write(spark.range(10).selectExpr("CAST(id AS STRING) AS id", "CAST(id % 3 AS INT) AS d"), None)
+    spark.sql("DROP VIEW ra_t.snap")
+    spark.sql("DROP TABLE ra_t.fact")  # external: files stay
+    wh2 = Warehouse(spark, root, db_prefix="ra_")
+    assert wh2.current_version("t.snap") == 2 and wh2.read("t.snap").count() == 6
+    pt2 = PartitionedTable(wh2, "t.fact", "d")
+    assert pt2.exists() and pt2.read().count() == 10
