@@ -68,6 +68,34 @@ def require_rows(df: DataFrame, label: str = "table") -> None:
         raise GateError(f"{label}: no rows")
 
 
+def require_batch_key(df: DataFrame, keys: list[str], label: str = "batch") -> int:
+    """K9 + C1 + C4 in one grouped pass: rows exist, no NULL key, no key twice.
+
+    Counts per key (partial aggregation before the shuffle), then one global
+    sum; returns the row count."""
+    r = _key_stats(df, keys).first()
+    if not r["n_rows"]:
+        raise GateError(f"{label}: no rows")
+    if r["n_null_keys"]:
+        raise GateError(f"{label}: {r['n_null_keys']} row(s) with NULL key {keys}")
+    if r["n_duplicate_keys"]:
+        raise GateError(f"{label}: {r['n_duplicate_keys']} duplicate key(s) {keys}")
+    return int(r["n_rows"])
+
+
+def _key_stats(df: DataFrame, keys: list[str]) -> DataFrame:
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    dup = ~null_key & (F.col("n") > 1)
+    return per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_rows"),
+        F.coalesce(F.sum(F.when(null_key, F.col("n"))), F.lit(0)).cast("long")
+        .alias("n_null_keys"),
+        F.count(F.when(dup, F.lit(1))).cast("long").alias("n_duplicate_keys"),
+        F.coalesce(F.sum(F.when(dup, F.col("n"))), F.lit(0)).cast("long")
+        .alias("n_duplicate_rows"))
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """A1: (table_name, n) per table, one partial-aggregate job per table."""
     parts = [df.agg(F.count(F.lit(1)).cast("long").alias("n"))
@@ -83,18 +111,7 @@ def constraint_report(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFra
     count per key (partial aggregation before the shuffle), then a global
     sum over the per-key counts.
     """
-    parts = []
-    for name, (df, keys) in tables.items():
-        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        dup = ~null_key & (F.col("n") > 1)
-        parts.append(per_key.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_rows"),
-            F.coalesce(F.sum(F.when(null_key, F.col("n"))), F.lit(0)).cast("long")
-            .alias("n_null_keys"),
-            F.count(F.when(dup, F.lit(1))).cast("long").alias("n_duplicate_keys"),
-            F.coalesce(F.sum(F.when(dup, F.col("n"))), F.lit(0)).cast("long")
-            .alias("n_duplicate_rows"),
-        ).select(F.lit(name).alias("table_name"), "n_rows", "n_null_keys",
-                 "n_duplicate_keys", "n_duplicate_rows"))
+    parts = [_key_stats(df, keys).select(F.lit(name).alias("table_name"), "n_rows",
+                                         "n_null_keys", "n_duplicate_keys", "n_duplicate_rows")
+             for name, (df, keys) in tables.items()]
     return reduce(DataFrame.unionByName, parts)

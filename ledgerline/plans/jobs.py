@@ -56,10 +56,8 @@ def job_load_csv(spark: SparkSession, wh: Warehouse, files: dict[str, str],
     return out
 
 
-def _source_gates(df: DataFrame, table: str, key: str) -> None:
-    G.require_rows(df, table)
-    G.require_not_null(df, [key], table)
-    G.require_unique(df, [key], table)
+def _source_gates(df: DataFrame, table: str, key: str) -> int:
+    return G.require_batch_key(df, [key], table)
 
 
 # Most distinct partition values a run may touch before the fact is

@@ -73,3 +73,11 @@ def test_decimal_overflow_raises(spark):
     df = spark.createDataFrame([("123456789.99",)], "v string")
     with pytest.raises(Exception):
         df.selectExpr("CAST(v AS DECIMAL(10,2)) AS v").collect()
+
+
+def test_batch_key_gate(spark):
+    ok = spark.createDataFrame([(1,), (2,)], "id int")
+    assert G.require_batch_key(ok, ["id"]) == 2
+    for rows in ([], [(1,), (None,)], [(1,), (1,)]):
+        with pytest.raises(G.GateError):
+            G.require_batch_key(spark.createDataFrame(rows, "id int"), ["id"])
