@@ -76,10 +76,21 @@ def merge_fact_partitions(spark: SparkSession, wh: Warehouse, profile: Profile,
     """
     table = PartitionedTable(wh, fname, "sale_date_key", profile.fact_cluster_by)
     cols = fact_schema(profile).names
+    sequence = profile.fact_key_kind == "sequence"
+    written_max = []
+
+    def gates_and_max(copy: DataFrame) -> None:
+        if gates is not None:
+            gates(copy)
+        if sequence:  # every new key lies in the rewritten partitions
+            written_max.append(max_key(copy, "sales_key"))
+
     if not table.exists():
         merged = upsert_fact(wh.spark.createDataFrame([], fact_schema(profile)), staged,
-                             profile, run_ts)
-        table.write(merged, None, gates)
+                             profile, run_ts, key_start=0)
+        table.write(merged, None, gates_and_max)
+        if sequence:
+            wh.write_sequence(fname, written_max[0])
         return None
     fact = table.read(cols)
     ids = staged.select("id")
@@ -95,9 +106,16 @@ def merge_fact_partitions(spark: SparkSession, wh: Warehouse, profile: Profile,
         if None in touched:
             keep = keep | F.col("sale_date_key").isNull()
         target = fact.filter(keep)  # partition pruning
-    start = max_key(fact, "sales_key") if profile.fact_key_kind == "sequence" else None
+    start = None
+    if sequence:
+        # the recorded sequence value avoids scanning the whole fact's keys
+        start = wh.read_sequence(fname)
+        if start is None:
+            start = max_key(fact, "sales_key")
     merged = upsert_fact(target, staged, profile, run_ts, key_start=start)
-    table.write(merged, touched, gates)
+    table.write(merged, touched, gates_and_max)
+    if sequence:
+        wh.write_sequence(fname, max(start, written_max[0]))
     return touched
 
 

@@ -159,6 +159,21 @@ class Warehouse:
             f"TBLPROPERTIES ('{VERSION_PROP}' = '{version}', '{PATH_PROP}' = '{path}') "
             f"AS SELECT {select} FROM parquet.`{path}`")
 
+    # -- sequences (what backs serial keys) ---------------------------------
+    def read_sequence(self, name: str) -> int | None:
+        """Last value handed out for ``name``'s sequence key, if recorded."""
+        fs, path = self._fs(self.table_root(name) + "/SEQUENCE-*")
+        found = fs.globStatus(path) or []
+        vals = [int(st.getPath().getName().split("-", 1)[1]) for st in found]
+        return max(vals) if vals else None
+
+    def write_sequence(self, name: str, value: int) -> None:
+        old = self.read_sequence(name)
+        fs, path = self._fs(f"{self.table_root(name)}/SEQUENCE-{value}")
+        fs.create(path, True).close()
+        if old is not None and old != value:
+            self.delete_path(f"{self.table_root(name)}/SEQUENCE-{old}")
+
     def _mark(self, name: str, version: int) -> None:
         fs, path = self._fs(f"{self.table_root(name)}/CURRENT-{version}")
         fs.create(path, True).close()
