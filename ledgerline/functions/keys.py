@@ -17,8 +17,12 @@ def random_key() -> Column:
     return F.expr("uuid()")
 
 
-def epoch_key(id_col: Column | str, run_ts: Column) -> Column:
-    """``<unix seconds of run>_<id>``."""
+def epoch_key(id_col: Column | str, run_ts: str) -> Column:
+    """``<unix seconds of run>_<id>``; the zone-less run time counts as UTC
+    whatever the session time zone (UNIX_SECONDS of the run instant)."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    secs = F.unix_seconds(run_ts.cast("timestamp"))
+    t = F.lit(run_ts).cast("timestamp_ntz")
+    instant = F.make_timestamp(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t),
+                               F.second(t), F.lit("UTC"))
+    secs = F.unix_seconds(instant)
     return F.concat(secs.cast("string"), F.lit("_"), c.cast("string"))

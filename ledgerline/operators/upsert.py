@@ -116,7 +116,7 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update_cols: tuple[st
         j = t.join(s, t[key] == s[f"_s_{key}"], "full_outer")
         merged = j.select(F.col(key_col), matched_t.alias("_t"), *cols)
     if key_kind == "epoch":
-        k = F.when(F.col("_t"), F.col(key_col)).otherwise(epoch_key(F.col(key), ts_literal(run_ts)))
+        k = F.when(F.col("_t"), F.col(key_col)).otherwise(epoch_key(F.col(key), run_ts))
         return merged.withColumn(key_col, k.cast(schema[key_col].dataType)).select(*schema.names)
     # sequence: existing rows keep theirs; new rows are numbered after the max
     start = key_start if key_start is not None else max_key(target, key_col)

@@ -31,3 +31,15 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "sales_key" in df.columns
+
+
+@pytest.mark.parametrize("name", ["fact_merge_gcp", "stage_customers_gcp", "scd2_store_gcp"])
+def test_session_time_zone_does_not_matter(spark, con, name):
+    """Zone-less time stamps throughout: a non-UTC session gives the same rows."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        r = compare(spark, name, entry.queries()[name], entry.oracle_sql()[name], SF_SMALL, con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["cols_ok"] and r["rows_ok"], (r["spark_sample"], r["oracle_sample"])
