@@ -30,3 +30,41 @@ def test_no_single_partition_exchange_in_dimension_merge(spark):
         p = plan_of(entry.queries()[name](spark, SF_SMALL))
         assert "SinglePartition" not in p, name
         assert "Window" not in p, name
+
+
+def _written(spark, df, tmp):
+    df.write.mode("overwrite").parquet(tmp)
+    return spark.read.parquet(tmp)
+
+
+def test_small_batch_never_shuffles_the_dimension(spark, tmpdir_path):
+    """gcp SCD2 with a dimension read from parquet and a small batch: the
+    final plan streams the dimension through broadcast joins only."""
+    import os
+
+    from ledgerline.operators.scd2 import scd2_apply
+    from ledgerline.plans.pipeline import dimension_after, staged_dimension
+    from ledgerline.plans.profiles import CUSTOMER, GCP
+    from ledgerline.sources.retail import RUNS
+    dim = _written(spark, dimension_after(spark, SF_SMALL, CUSTOMER, GCP, ("b1",)),
+                   os.path.join(tmpdir_path, "dim"))
+    stage = staged_dimension(spark, SF_SMALL, CUSTOMER, GCP, "b2")
+    out = scd2_apply(dim, stage, CUSTOMER, GCP, RUNS["b2"].run_ts, RUNS["b2"].stamp)
+    p = plan_of(out)
+    assert "Exchange hashpartitioning" not in p and "SortMergeJoin" not in p
+    assert "BroadcastHashJoin" in p
+
+
+def test_small_batch_never_shuffles_the_fact(spark, tmpdir_path):
+    import os
+
+    from ledgerline.operators.upsert import upsert_fact
+    from ledgerline.plans.pipeline import fact_after, staged_fact, all_dimensions_after
+    from ledgerline.plans.profiles import GCP
+    from ledgerline.sources.retail import RUNS
+    fact = _written(spark, fact_after(spark, SF_SMALL, GCP, ("b1",)), os.path.join(tmpdir_path, "f"))
+    dims = all_dimensions_after(spark, SF_SMALL, GCP, ("b1", "b2"))
+    staged = _written(spark, staged_fact(spark, SF_SMALL, GCP, "b2", dims),
+                      os.path.join(tmpdir_path, "s"))
+    p = plan_of(upsert_fact(fact, staged, GCP, RUNS["b2"].run_ts))
+    assert "Exchange hashpartitioning" not in p and "SortMergeJoin" not in p
