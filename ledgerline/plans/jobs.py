@@ -20,16 +20,17 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.timestamps import new_stamp, stamp_to_text
 from ledgerline.operators import gates as G
-from ledgerline.operators.lookup import fits_broadcast, lookup_keys
+from ledgerline.operators.lookup import BROADCAST_MAX_ROWS, fits_broadcast, lookup_keys
 from ledgerline.operators.scd2 import dim_schema, scd2_apply
 from ledgerline.operators.staging import stage_dimension, stage_sales
-from ledgerline.operators.upsert import fact_schema, upsert_fact
+from ledgerline.operators.upsert import WIDE_BROADCAST_MAX_ROWS, fact_schema, upsert_fact
 from ledgerline.plans.profiles import DIMENSIONS, GCP, PSQL, PSQL_LENGTHS, Profile
 from ledgerline.operators.sequence import max_key
 from ledgerline.plans.tables import PartitionedTable, Warehouse
 from ledgerline.sources.csv import force_all_columns, read_csv_by_name
 from ledgerline.sources.jdbc import read_jdbc_table
 from ledgerline.sources.landing import batch_view, land_files
+from ledgerline.sources.registry import TableSpec, load_registry
 from ledgerline.sources.schemas import SOURCE_TABLES, source_schema
 
 # Schema names per profile.
@@ -66,7 +67,8 @@ MAX_TOUCHED_PARTITIONS = 20_000
 
 
 def merge_fact_partitions(spark: SparkSession, wh: Warehouse, profile: Profile, fname: str,
-                          staged: DataFrame, run_ts: str, gates=None) -> list | None:
+                          staged: DataFrame, run_ts: str, gates=None,
+                          batch_rows: int | None = None) -> list | None:
     """Fact upsert that rewrites only the touched ``sale_date_key`` partitions.
 
     Touched = dates of the staged rows and current dates of the fact rows
@@ -94,7 +96,10 @@ def merge_fact_partitions(spark: SparkSession, wh: Warehouse, profile: Profile,
         return None
     fact = table.read(cols)
     ids = staged.select("id")
-    ids = F.broadcast(ids) if fits_broadcast(ids) else ids
+    # staged rows <= batch rows (the lookup only drops rows), so the batch
+    # count from the gate is a proven bound
+    small = batch_rows <= BROADCAST_MAX_ROWS if batch_rows is not None else fits_broadcast(ids)
+    ids = F.broadcast(ids) if small else ids
     matched = fact.select("id", "sale_date_key").join(ids, "id", "left_semi")
     dates = matched.select("sale_date_key").union(staged.select("sale_date_key")).distinct()
     touched = [r[0] for r in dates.limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
@@ -112,7 +117,8 @@ def merge_fact_partitions(spark: SparkSession, wh: Warehouse, profile: Profile,
         start = wh.read_sequence(fname)
         if start is None:
             start = max_key(fact, "sales_key")
-    merged = upsert_fact(target, staged, profile, run_ts, key_start=start)
+    wide_ok = batch_rows <= WIDE_BROADCAST_MAX_ROWS if batch_rows is not None else None
+    merged = upsert_fact(target, staged, profile, run_ts, key_start=start, source_fits=wide_ok)
     table.write(merged, touched, gates_and_max)
     if sequence:
         wh.write_sequence(fname, max(start, written_max[0]))
@@ -127,12 +133,13 @@ def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
     versions = {}
     for spec in DIMENSIONS.values():
         src = sources[spec.source_table]
-        _source_gates(src, spec.source_table, spec.natural_id)
+        n_batch = _source_gates(src, spec.source_table, spec.natural_id)
         staged = wh.stage_table(stage_dimension(src, spec, profile, run_ts, stamp),
                                 f"{stage_db}.dim_{spec.name}")
         name = f"{dwh_db}.dim_{spec.name}"
         dim = wh.read_or_empty(name, dim_schema(spec, profile))
-        new = scd2_apply(dim, staged, spec, profile, run_ts, stamp)
+        new = scd2_apply(dim, staged, spec, profile, run_ts, stamp,
+                         batch_fits=n_batch <= BROADCAST_MAX_ROWS)
         keys = profile.match_keys(spec)
 
         def dim_gates(w, spec=spec, keys=keys):
@@ -147,7 +154,7 @@ def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
         versions[name] = wh.write_snapshot(new, name, profile.dim_partition_by, cluster,
                                            gates=dim_gates, split_by=("id",))
     sales = sources["sales"]
-    _source_gates(sales, "sales", "sale_id")
+    n_sales = _source_gates(sales, "sales", "sale_id")
     dims = {n: wh.read(f"{dwh_db}.dim_{n}") for n in DIMENSIONS}
     staged = wh.stage_table(stage_sales(lookup_keys(sales, dims, profile), profile, run_ts, stamp),
                             f"{stage_db}.fact_sales")
@@ -161,7 +168,7 @@ def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
 
     if fact_mode == "partitions":
         versions[fname] = merge_fact_partitions(spark, wh, profile, fname, staged, run_ts,
-                                                fact_gates)
+                                                fact_gates, batch_rows=n_sales)
     else:
         fact = wh.read_or_empty(fname, fact_schema(profile))
         merged = upsert_fact(fact, staged, profile, run_ts)
@@ -195,20 +202,35 @@ def job_psql(spark: SparkSession, wh: Warehouse, url: str, run_ts: str,
     return job_warehouse(spark, wh, PSQL, sources, run_ts, stamp)
 
 
+def files_from_registry(registry: dict[str, TableSpec], data_dir: str) -> dict[str, str]:
+    """One ``<data_dir>/<table>.csv`` per registry entry, in registry order."""
+    return {name: f"{data_dir.rstrip('/')}/{name}.csv" for name in registry}
+
+
+def job_load_csv_registry(spark: SparkSession, wh: Warehouse, registry_path: str,
+                          data_dir: str, profile: Profile = PSQL) -> dict[str, int]:
+    """W1 driven by the table registry, as the reference's CSV DAG is."""
+    return job_load_csv(spark, wh, files_from_registry(load_registry(registry_path), data_dir),
+                        profile)
+
+
 def job_gcp(spark: SparkSession, wh: Warehouse, files: dict[str, str], landing_root: str,
-            now: datetime | None = None) -> RunResult:
-    """One stamp per run; the stamp is also the load time."""
+            now: datetime | None = None,
+            registry: dict[str, TableSpec] | None = None) -> RunResult:
+    """One stamp per run; the stamp is also the load time. ``registry``
+    (S4) supplies the by-position schemas; default: the declared ones."""
     stamp = new_stamp(now)
     land_files(spark, files, landing_root, stamp)
-    return job_gcp_landed(spark, wh, landing_root, stamp, tuple(files))
+    return job_gcp_landed(spark, wh, landing_root, stamp, tuple(files), registry)
 
 
 def job_gcp_landed(spark: SparkSession, wh: Warehouse, landing_root: str, stamp: str,
-                   tables: tuple[str, ...] = SOURCE_TABLES) -> RunResult:
+                   tables: tuple[str, ...] = SOURCE_TABLES,
+                   registry: dict[str, TableSpec] | None = None) -> RunResult:
     """The part of W3 after landing: by-position views, row gates, load."""
     sources = {}
     for t in tables:
-        df = batch_view(spark, landing_root, stamp, t, source_schema(t, GCP), view=f"src_{t}")
-        G.require_rows(df, t)  # K9
-        sources[t] = df
+        schema = registry[t].schema if registry else source_schema(t, GCP)
+        df = batch_view(spark, landing_root, stamp, t, schema, view=f"src_{t}")
+        sources[t] = df  # K9 row gate: part of the batch key gate in job_warehouse
     return job_warehouse(spark, wh, GCP, sources, stamp_to_text(stamp), stamp)

@@ -165,3 +165,44 @@ def test_job_path_equals_oracle_checked_path(spark, tmpdir_path, pname):
     for name, spec in DIMENSIONS.items():
         d = wh.read(f"dwh.dim_{name}")
         assert rows(d) == rows(dimension_after(spark, sf, spec, prof, ("b1", "b2")).select(*d.columns))
+
+
+def test_w3_with_registry(spark, tmpdir_path):
+    """The registry (S4) supplies the by-position schemas of the gcp load."""
+    from ledgerline.sources.registry import load_registry
+    reg_path = os.path.join(tmpdir_path, "public.yaml")
+    with open(reg_path, "w") as fh:
+        fh.write(REGISTRY_YAML)
+    reg = load_registry(reg_path)
+    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="rg_")
+    files = write_files(os.path.join(tmpdir_path, "in"))
+    r = job_gcp(spark, wh, {t: files[t] for t in reg}, os.path.join(tmpdir_path, "landing"),
+                now=datetime(2024, 1, 1, 3, 0, 0), registry=reg)
+    assert r.stamp == "20240101030000"
+    assert wh.read("dwh.fact_sales").count() == 2
+
+
+REGISTRY_YAML = """tables:
+  - customers:
+      type: dimension
+      schema_fields: [{'name': 'customer_id', 'type': 'INTEGER'}, {'name': 'name', 'type': 'STRING'},
+                      {'name': 'address', 'type': 'STRING'}, {'name': 'created_at', 'type': 'TIMESTAMP'},
+                      {'name': 'updated_at', 'type': 'TIMESTAMP'}]
+  - products:
+      type: dimension
+      schema_fields: [{'name': 'product_id', 'type': 'INTEGER'}, {'name': 'name', 'type': 'STRING'},
+                      {'name': 'category', 'type': 'STRING'}, {'name': 'price', 'type': 'FLOAT64'},
+                      {'name': 'created_at', 'type': 'TIMESTAMP'}, {'name': 'updated_at', 'type': 'TIMESTAMP'}]
+  - stores:
+      type: dimension
+      schema_fields: [{'name': 'store_id', 'type': 'INTEGER'}, {'name': 'name', 'type': 'STRING'},
+                      {'name': 'location', 'type': 'STRING'}, {'name': 'created_at', 'type': 'TIMESTAMP'},
+                      {'name': 'updated_at', 'type': 'TIMESTAMP'}]
+  - sales:
+      type: fact
+      schema_fields: [{'name': 'sale_id', 'type': 'INTEGER'}, {'name': 'customer_id', 'type': 'INTEGER'},
+                      {'name': 'product_id', 'type': 'INTEGER'}, {'name': 'store_id', 'type': 'INTEGER'},
+                      {'name': 'sale_date', 'type': 'TIMESTAMP'}, {'name': 'quantity', 'type': 'INTEGER'},
+                      {'name': 'total_amount', 'type': 'FLOAT'}, {'name': 'created_at', 'type': 'TIMESTAMP'},
+                      {'name': 'updated_at', 'type': 'TIMESTAMP'}]
+"""
