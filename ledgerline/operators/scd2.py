@@ -158,7 +158,8 @@ def new_versions(opened: DataFrame, spec: DimSpec, profile: Profile, run_ts: str
 
 def scd2_apply(dim: DataFrame, stage: DataFrame, spec: DimSpec, profile: Profile,
                run_ts: str, stamp: str, num_partitions: int | None = None,
-               batch_fits: bool | None = None, key_start: int | None = None) -> DataFrame:
+               batch_fits: bool | None = None, key_start: int | None = None,
+               closed_fits: bool | None = None) -> DataFrame:
     """Next version of the whole dimension after one staged batch.
 
     ``batch_fits``: a size check of the batch the caller already made (e.g.
@@ -168,8 +169,10 @@ def scd2_apply(dim: DataFrame, stage: DataFrame, spec: DimSpec, profile: Profile
     joined = materialize(changed_rows(stage, dim, spec, profile, batch_fits))
     opened = versions_to_open(joined)
     closed_keys = opened.filter(F.col("_hit")).select(*keys)
+    if closed_fits is None:
+        closed_fits = fits_broadcast(closed_keys)
     kept = close_versions(dim, closed_keys, keys, profile.close_scope, run_ts,
-                          broadcast_keys=fits_broadcast(closed_keys))
+                          broadcast_keys=closed_fits)
     added = new_versions(opened, spec, profile, run_ts, stamp, key_start=key_start, dim=dim,
                          num_partitions=num_partitions)
     return kept.unionByName(added)

@@ -423,6 +423,10 @@ def registry() -> dict[str, str]:
     q["fact_stage_gcp"] = fact_stage_sql(GCP)
     q["fact_upsert_psql"] = fact_sql(PSQL)
     q["fact_merge_gcp"] = fact_sql(GCP)
+    for base, variant in (("scd2_customer_psql", "shuffled"), ("scd2_customer_gcp", "shuffled"),
+                          ("fact_stage_psql", "salted"), ("fact_stage_gcp", "salted"),
+                          ("fact_upsert_psql", "shuffled"), ("fact_merge_gcp", "shuffled")):
+        q[f"{base}_{variant}"] = q[base]  # same rows, other physical plan
     q["surrogate_sequence"] = surrogate_sequence_sql()
     q["surrogate_hash"] = surrogate_hash_sql()
     q["row_count_gate"] = row_count_sql()

@@ -1,8 +1,12 @@
 """Multi-day warehouse runs over the retail views, as DataFrames.
 
 These chain the operators exactly as the jobs do, but keep every table as a
-DataFrame (checkpointed between days to cut lineage) instead of writing
-snapshots. Used by the registered queries and the benchmark.
+DataFrame instead of writing snapshots. Used by the registered queries and
+the benchmark.
+
+``shuffle=True`` forces the large-batch strategies (no broadcast of batch
+keys, closed keys or the upsert source; lookups through the salted join with
+a low hot-key threshold), so the oracle checks those plans too.
 """
 
 from __future__ import annotations
@@ -25,43 +29,56 @@ def staged_dimension(spark: SparkSession, sf_dir: str, spec: DimSpec, profile: P
     return stage_dimension(src, spec, profile, run.run_ts, run.stamp)
 
 
+# Hot-key threshold used with ``shuffle=True`` so the test data has hot keys.
+TEST_HOT_MIN_ROWS = 15
+
+
 def dimension_after(spark: SparkSession, sf_dir: str, spec: DimSpec, profile: Profile,
-                    batches: tuple[str, ...], start: DataFrame | None = None) -> DataFrame:
+                    batches: tuple[str, ...], start: DataFrame | None = None,
+                    shuffle: bool = False) -> DataFrame:
     dim = start if start is not None else empty_dim(spark, spec, profile)
     for i, b in enumerate(batches):
         run = RUNS[b]
         stage = staged_dimension(spark, sf_dir, spec, profile, b)
         # scd2_apply checkpoints its batch-sized intermediate results, so the
         # next day's plan stays short without materialising the whole dimension
-        dim = scd2_apply(dim, stage, spec, profile, run.run_ts, run.stamp)
+        force = False if shuffle else None
+        dim = scd2_apply(dim, stage, spec, profile, run.run_ts, run.stamp,
+                         batch_fits=force, closed_fits=force)
     return dim
 
 
 def all_dimensions_after(spark: SparkSession, sf_dir: str, profile: Profile,
-                         batches: tuple[str, ...]) -> dict[str, DataFrame]:
-    return {name: dimension_after(spark, sf_dir, spec, profile, batches)
+                         batches: tuple[str, ...], shuffle: bool = False) -> dict[str, DataFrame]:
+    return {name: dimension_after(spark, sf_dir, spec, profile, batches, shuffle=shuffle)
             for name, spec in DIMENSIONS.items()}
 
 
 def staged_fact(spark: SparkSession, sf_dir: str, profile: Profile, batch: str,
-                dims: dict[str, DataFrame]) -> DataFrame:
+                dims: dict[str, DataFrame], shuffle: bool = False) -> DataFrame:
     run = RUNS[batch]
     sales = sales_source(spark, sf_dir, batch, profile)
-    keyed = lookup_keys(sales, dims, profile)
+    if shuffle:
+        keyed = lookup_keys(sales, dims, profile, max_broadcast_rows=0,
+                            hot_min_rows=TEST_HOT_MIN_ROWS)
+    else:
+        keyed = lookup_keys(sales, dims, profile)
     return stage_sales(keyed, profile, run.run_ts, run.stamp)
 
 
 def fact_after(spark: SparkSession, sf_dir: str, profile: Profile,
-               batches: tuple[str, ...] = ("b1", "b2")) -> DataFrame:
+               batches: tuple[str, ...] = ("b1", "b2"), shuffle: bool = False) -> DataFrame:
     """Day by day: dims, then staged sales against them, then the fact merge."""
     fact = empty_fact(spark, profile)
     dims = {name: empty_dim(spark, spec, profile) for name, spec in DIMENSIONS.items()}
     for i, b in enumerate(batches):
         run = RUNS[b]
-        dims = {name: dimension_after(spark, sf_dir, spec, profile, (b,), start=dims[name])
+        dims = {name: dimension_after(spark, sf_dir, spec, profile, (b,), start=dims[name],
+                                      shuffle=shuffle)
                 for name, spec in DIMENSIONS.items()}
-        staged = staged_fact(spark, sf_dir, profile, b, dims)
-        fact = upsert_fact(fact, staged, profile, run.run_ts)
+        staged = staged_fact(spark, sf_dir, profile, b, dims, shuffle=shuffle)
+        fact = upsert_fact(fact, staged, profile, run.run_ts,
+                           source_fits=False if shuffle else None)
         if i < len(batches) - 1:
             fact = materialize(fact)
     return fact

@@ -28,8 +28,9 @@ def _stage(dim_name: str, profile) -> Query:
     return lambda spark, sf: staged_dimension(spark, sf, DIMENSIONS[dim_name], profile, "b2")
 
 
-def _scd2(dim_name: str, profile, batches=("b1", "b2")) -> Query:
-    return lambda spark, sf: dimension_after(spark, sf, DIMENSIONS[dim_name], profile, batches)
+def _scd2(dim_name: str, profile, batches=("b1", "b2"), shuffle: bool = False) -> Query:
+    return lambda spark, sf: dimension_after(spark, sf, DIMENSIONS[dim_name], profile, batches,
+                                             shuffle=shuffle)
 
 
 def _changed(profile) -> Query:
@@ -72,15 +73,15 @@ def clean_values_query(spark: SparkSession, sf: str) -> DataFrame:
     return clean_values(raw, [c for c in raw.columns if c.startswith("v_")])
 
 
-def fact_stage(profile) -> Query:
+def fact_stage(profile, shuffle: bool = False) -> Query:
     def q(spark, sf):
-        dims = all_dimensions_after(spark, sf, profile, ("b1",))
-        return staged_fact(spark, sf, profile, "b1", dims)
+        dims = all_dimensions_after(spark, sf, profile, ("b1",), shuffle=shuffle)
+        return staged_fact(spark, sf, profile, "b1", dims, shuffle=shuffle)
     return q
 
 
-def fact_upsert(profile) -> Query:
-    return lambda spark, sf: fact_after(spark, sf, profile, ("b1", "b2"))
+def fact_upsert(profile, shuffle: bool = False) -> Query:
+    return lambda spark, sf: fact_after(spark, sf, profile, ("b1", "b2"), shuffle=shuffle)
 
 
 def surrogate_sequence(spark: SparkSession, sf: str) -> DataFrame:
@@ -132,6 +133,14 @@ def registry() -> dict[str, Query]:
     q["fact_stage_gcp"] = fact_stage(GCP)
     q["fact_upsert_psql"] = fact_upsert(PSQL)
     q["fact_merge_gcp"] = fact_upsert(GCP)
+    # the same results through the large-batch plans (shuffle joins, salted
+    # hot-key lookups, full outer merge)
+    q["scd2_customer_psql_shuffled"] = _scd2("customer", PSQL, shuffle=True)
+    q["scd2_customer_gcp_shuffled"] = _scd2("customer", GCP, shuffle=True)
+    q["fact_stage_psql_salted"] = fact_stage(PSQL, shuffle=True)
+    q["fact_stage_gcp_salted"] = fact_stage(GCP, shuffle=True)
+    q["fact_upsert_psql_shuffled"] = fact_upsert(PSQL, shuffle=True)
+    q["fact_merge_gcp_shuffled"] = fact_upsert(GCP, shuffle=True)
     q["surrogate_sequence"] = surrogate_sequence
     q["surrogate_hash"] = surrogate_hash
     q["row_count_gate"] = row_count_gate
