@@ -34,7 +34,7 @@ from ledgerline.functions.keys import hash_key
 from ledgerline.functions.predicates import active_rows, change_predicate
 from ledgerline.functions.timestamps import ts_literal
 from ledgerline.operators.lookup import BROADCAST_MAX_ROWS, fits_broadcast
-from ledgerline.operators.sequence import assign_sequence, max_key
+from ledgerline.operators.sequence import KeySequence, assign_sequence, next_start
 from ledgerline.plans.profiles import DimSpec, Profile
 from ledgerline.session import materialize
 
@@ -125,7 +125,8 @@ def close_versions(dim: DataFrame, closed_keys: DataFrame, keys: list[str], scop
 
 def new_versions(opened: DataFrame, spec: DimSpec, profile: Profile, run_ts: str,
                  stamp: str, key_start: int | None = None, dim: DataFrame | None = None,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None,
+                 seq: KeySequence | None = None) -> DataFrame:
     """Rows to insert, typed like the dimension."""
     schema = dim_schema(spec, profile)
     cols = {}
@@ -150,21 +151,21 @@ def new_versions(opened: DataFrame, spec: DimSpec, profile: Profile, run_ts: str
         (cols[f.name] if f.name in cols else F.col(f.name)).cast(f.dataType).alias(f.name)
         for f in schema.fields if f.name != spec.key_col or profile.dim_key_kind == "hash"])
     if profile.dim_key_kind == "sequence":
-        start = key_start if key_start is not None else (max_key(dim, spec.key_col) if dim is not None else 0)
+        start = key_start if key_start is not None else next_start(seq, dim, spec.key_col)
         rows = assign_sequence(rows, [spec.natural_id], start, spec.key_col,
-                               profile.dim_key_type, num_partitions)
+                               profile.dim_key_type, num_partitions, seq)
     return rows.select(*[f.name for f in schema.fields])
 
 
 def scd2_apply(dim: DataFrame, stage: DataFrame, spec: DimSpec, profile: Profile,
                run_ts: str, stamp: str, num_partitions: int | None = None,
                batch_fits: bool | None = None, key_start: int | None = None,
-               closed_fits: bool | None = None) -> DataFrame:
+               closed_fits: bool | None = None, seq: KeySequence | None = None) -> DataFrame:
     """Next version of the whole dimension after one staged batch.
 
     ``batch_fits``: a size check of the batch the caller already made (e.g.
-    the row count of its batch gate); ``key_start``: last sequence key, when
-    the caller keeps it."""
+    the row count of its batch gate); ``key_start`` / ``seq``: last sequence
+    key, when the caller keeps it (``seq`` is advanced past the new keys)."""
     keys = profile.match_keys(spec)
     joined = materialize(changed_rows(stage, dim, spec, profile, batch_fits))
     opened = versions_to_open(joined)
@@ -174,5 +175,5 @@ def scd2_apply(dim: DataFrame, stage: DataFrame, spec: DimSpec, profile: Profile
     kept = close_versions(dim, closed_keys, keys, profile.close_scope, run_ts,
                           broadcast_keys=closed_fits)
     added = new_versions(opened, spec, profile, run_ts, stamp, key_start=key_start, dim=dim,
-                         num_partitions=num_partitions)
+                         num_partitions=num_partitions, seq=seq)
     return kept.unionByName(added)

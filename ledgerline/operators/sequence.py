@@ -15,6 +15,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,9 +27,18 @@ _ROW_BITS = (1 << 33) - 1
 INT4_MAX = 2**31 - 1
 
 
+@dataclass
+class KeySequence:
+    """Last key handed out (what backs a ``serial`` column). ``None`` means
+    unknown: the next user scans the table once for its max key."""
+
+    value: int | None = None
+
+
 def assign_sequence(df: DataFrame, order_cols: list[str], start: int, col: str,
                     key_type: T.DataType = T.LongType(),
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None,
+                    seq: KeySequence | None = None) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
@@ -43,12 +54,21 @@ def assign_sequence(df: DataFrame, order_cols: list[str], start: int, col: str,
     if isinstance(key_type, T.IntegerType) and start + running > INT4_MAX:
         raise OverflowError(f"{col}: sequence would pass the int4 range "
                             f"({start} + {running} > {INT4_MAX})")
+    if seq is not None:
+        seq.value = start + running
     off_df = spark.createDataFrame(offsets, "_pid int, _off long")
     keyed = tagged.join(F.broadcast(off_df), "_pid")
     key = (F.lit(start).cast("long") + F.col("_off") + F.col("_row") + F.lit(1)).cast(key_type)
     return keyed.withColumn(col, key).drop("_pid", "_row", "_off")
 
 
+def next_start(seq: KeySequence | None, table: DataFrame | None, col: str) -> int:
+    """Start of the next keys: the sequence's value, else the table's max."""
+    if seq is not None and seq.value is not None:
+        return seq.value
+    return max_key(table, col) if table is not None else 0
+
+
 def max_key(df: DataFrame, col: str) -> int:
     """Current largest key (0 for an empty table): one scalar to the driver."""
     v = df.agg(F.max(col).alias("m")).first()["m"]

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from ledgerline.functions.keys import epoch_key
 from ledgerline.functions.timestamps import ts_literal
 from ledgerline.operators.lookup import fits_broadcast
-from ledgerline.operators.sequence import assign_sequence, max_key
+from ledgerline.operators.sequence import KeySequence, assign_sequence, next_start
 from ledgerline.plans.profiles import Profile
 
 # The upsert broadcasts whole source rows (~15 columns), so its cap is lower
@@ -86,7 +86,8 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update_cols: tuple[st
            schema: T.StructType, num_partitions: int | None = None,
            order_cols: list[str] | None = None, key_start: int | None = None,
            source_fits: bool | None = None,
-           max_broadcast_rows: int = WIDE_BROADCAST_MAX_ROWS) -> DataFrame:
+           max_broadcast_rows: int = WIDE_BROADCAST_MAX_ROWS,
+           seq: KeySequence | None = None) -> DataFrame:
     """Merge ``source`` into ``target`` on ``key``.
 
     Small source (size checked): the target streams through a broadcast
@@ -119,10 +120,10 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update_cols: tuple[st
         k = F.when(F.col("_t"), F.col(key_col)).otherwise(epoch_key(F.col(key), run_ts))
         return merged.withColumn(key_col, k.cast(schema[key_col].dataType)).select(*schema.names)
     # sequence: existing rows keep theirs; new rows are numbered after the max
-    start = key_start if key_start is not None else max_key(target, key_col)
+    start = key_start if key_start is not None else next_start(seq, target, key_col)
     old = merged.filter(F.col("_t")).select(*schema.names)
     new = assign_sequence(merged.filter(~F.col("_t")).drop(key_col), order_cols or [key],
-                          start, key_col, schema[key_col].dataType, num_partitions)
+                          start, key_col, schema[key_col].dataType, num_partitions, seq)
     return old.unionByName(new.select(*schema.names))
 
 
@@ -144,9 +145,9 @@ def _fresh_rows(fresh: DataFrame, schema: T.StructType, key: str, key_col: str,
 
 def upsert_fact(target: DataFrame, staged: DataFrame, profile: Profile, run_ts: str,
                 num_partitions: int | None = None, key_start: int | None = None,
-                source_fits: bool | None = None) -> DataFrame:
+                source_fits: bool | None = None, seq: KeySequence | None = None) -> DataFrame:
     """D5 (psql: 8 update columns, sale_date_key kept) / D6 (gcp: 11)."""
     return upsert(target, staged, "id", profile.fact_update_cols, FACT_INSERT_COLS,
                   "sales_key", profile.fact_key_kind, run_ts, fact_schema(profile),
                   num_partitions, order_cols=["sales_id"], key_start=key_start,
-                  source_fits=source_fits)
+                  source_fits=source_fits, seq=seq)

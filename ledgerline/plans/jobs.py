@@ -25,7 +25,7 @@ from ledgerline.operators.scd2 import dim_schema, scd2_apply
 from ledgerline.operators.staging import stage_dimension, stage_sales
 from ledgerline.operators.upsert import WIDE_BROADCAST_MAX_ROWS, fact_schema, upsert_fact
 from ledgerline.plans.profiles import DIMENSIONS, GCP, PSQL, PSQL_LENGTHS, Profile
-from ledgerline.operators.sequence import max_key
+from ledgerline.operators.sequence import KeySequence, max_key
 from ledgerline.plans.tables import PartitionedTable, Warehouse
 from ledgerline.sources.csv import force_all_columns, read_csv_by_name
 from ledgerline.sources.jdbc import read_jdbc_table
@@ -138,8 +138,9 @@ def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
                                 f"{stage_db}.dim_{spec.name}")
         name = f"{dwh_db}.dim_{spec.name}"
         dim = wh.read_or_empty(name, dim_schema(spec, profile))
+        seq = KeySequence(wh.read_sequence(name) if wh.exists(name) else 0)
         new = scd2_apply(dim, staged, spec, profile, run_ts, stamp,
-                         batch_fits=n_batch <= BROADCAST_MAX_ROWS)
+                         batch_fits=n_batch <= BROADCAST_MAX_ROWS, seq=seq)
         keys = profile.match_keys(spec)
 
         def dim_gates(w, spec=spec, keys=keys):
@@ -153,6 +154,8 @@ def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
         cluster = tuple(spec.key_col if c == "KEY" else c for c in profile.dim_cluster_by)
         versions[name] = wh.write_snapshot(new, name, profile.dim_partition_by, cluster,
                                            gates=dim_gates, split_by=("id",))
+        if profile.dim_key_kind == "sequence" and seq.value is not None:
+            wh.write_sequence(name, seq.value)
     sales = sources["sales"]
     n_sales = _source_gates(sales, "sales", "sale_id")
     dims = {n: wh.read(f"{dwh_db}.dim_{n}") for n in DIMENSIONS}

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators.lookup import lookup_keys
 from ledgerline.operators.scd2 import empty_dim, scd2_apply
+from ledgerline.operators.sequence import KeySequence
 from ledgerline.operators.staging import stage_dimension, stage_sales
 from ledgerline.operators.upsert import empty_fact, upsert_fact
 from ledgerline.plans.profiles import DIMENSIONS, DimSpec, Profile
@@ -35,8 +36,10 @@ TEST_HOT_MIN_ROWS = 15
 
 def dimension_after(spark: SparkSession, sf_dir: str, spec: DimSpec, profile: Profile,
                     batches: tuple[str, ...], start: DataFrame | None = None,
-                    shuffle: bool = False) -> DataFrame:
+                    shuffle: bool = False, seq: KeySequence | None = None) -> DataFrame:
     dim = start if start is not None else empty_dim(spark, spec, profile)
+    if seq is None:  # from empty the sequence is known; else scan once
+        seq = KeySequence(0 if start is None else None)
     for i, b in enumerate(batches):
         run = RUNS[b]
         stage = staged_dimension(spark, sf_dir, spec, profile, b)
@@ -44,7 +47,7 @@ def dimension_after(spark: SparkSession, sf_dir: str, spec: DimSpec, profile: Pr
         # next day's plan stays short without materialising the whole dimension
         force = False if shuffle else None
         dim = scd2_apply(dim, stage, spec, profile, run.run_ts, run.stamp,
-                         batch_fits=force, closed_fits=force)
+                         batch_fits=force, closed_fits=force, seq=seq)
     return dim
 
 
@@ -71,14 +74,16 @@ def fact_after(spark: SparkSession, sf_dir: str, profile: Profile,
     """Day by day: dims, then staged sales against them, then the fact merge."""
     fact = empty_fact(spark, profile)
     dims = {name: empty_dim(spark, spec, profile) for name, spec in DIMENSIONS.items()}
+    seqs = {name: KeySequence(0) for name in DIMENSIONS}
+    fact_seq = KeySequence(0)
     for i, b in enumerate(batches):
         run = RUNS[b]
         dims = {name: dimension_after(spark, sf_dir, spec, profile, (b,), start=dims[name],
-                                      shuffle=shuffle)
+                                      shuffle=shuffle, seq=seqs[name])
                 for name, spec in DIMENSIONS.items()}
         staged = staged_fact(spark, sf_dir, profile, b, dims, shuffle=shuffle)
         fact = upsert_fact(fact, staged, profile, run.run_ts,
-                           source_fits=False if shuffle else None)
+                           source_fits=False if shuffle else None, seq=fact_seq)
         if i < len(batches) - 1:
             fact = materialize(fact)
     return fact

@@ -139,6 +139,9 @@ def test_fact_sequence_recorded(spark, tmpdir_path):
     keys = sorted(r.sales_key for r in fact.select("sales_key").collect())
     assert keys == list(range(1, len(keys) + 1))
     assert wh.read_sequence("dwh.fact_sales") == len(keys)
+    for d in ("customer", "product", "store"):
+        dim = wh.read(f"dwh.dim_{d}")
+        assert wh.read_sequence(f"dwh.dim_{d}") == dim.agg({f"{d}_key": "max"}).first()[0]
 
 
 @pytest.mark.parametrize("pname", ["psql", "gcp"])
