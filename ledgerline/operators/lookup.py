@@ -34,12 +34,6 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return df.count() <= max_rows
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                    checked: bool | None = None) -> DataFrame:
-    ok = fits_broadcast(df, max_rows) if checked is None else checked
-    return F.broadcast(df) if ok else df
-
-
 def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
     """Keys with at least ``min_rows`` rows; at most ``rows / min_rows`` of
     them exist, so the result has a proven size bound."""
@@ -48,9 +42,15 @@ def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
 
 
 def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str,
-                salt_buckets: int, hot_min_rows: int, row_id: list[str] | None = None) -> DataFrame:
-    """``left JOIN right ON left_key = right_key`` with hot keys split."""
-    hot = F.broadcast(hot_keys(left, left_key, hot_min_rows).withColumn("_hot", F.lit(True)))
+                salt_buckets: int, hot_min_rows: int, row_id: list[str] | None = None,
+                hot: DataFrame | None = None) -> DataFrame:
+    """``left JOIN right ON left_key = right_key`` with hot keys split.
+
+    ``hot``: the hot keys (column ``_hot_key``) when the caller found them on
+    a smaller input than ``left`` (e.g. the sales before earlier lookups)."""
+    if hot is None:
+        hot = hot_keys(left, left_key, hot_min_rows)
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     rid = F.xxhash64(*[F.col(c) for c in (row_id or left.columns)])
     lft = (left.join(hot, left[left_key] == hot["_hot_key"], "left").drop("_hot_key")
            .withColumn("_salt", F.when(F.col("_hot"), F.pmod(rid, F.lit(salt_buckets)))
@@ -96,8 +96,11 @@ def lookup_keys(sales: DataFrame, dims: dict[str, DataFrame], profile: Profile,
         if small:
             out = out.join(F.broadcast(lk), out[spec.natural_id] == lk[lkey], profile.lookup_how)
         elif salt_buckets > 1:
+            # hot keys come from the input sales, not from the frame already
+            # joined to earlier dimensions (that would recompute those joins)
+            hot = hot_keys(sales, spec.natural_id, hot_min_rows)
             out = salted_join(out, lk, spec.natural_id, lkey, profile.lookup_how,
-                              salt_buckets, hot_min_rows, rid)
+                              salt_buckets, hot_min_rows, rid, hot=hot)
         else:
             out = out.join(lk, out[spec.natural_id] == lk[lkey], profile.lookup_how)
         out = out.drop(lkey)

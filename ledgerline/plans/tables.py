@@ -284,10 +284,6 @@ class PartitionedTable:
         self.wh.delete_path(copy_path)
 
 
-def typed_empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
     """K6: column defaults (is_active TRUE, ...) for rows that lack a value."""
     for c, v in defaults.items():
