@@ -26,6 +26,7 @@ from ledgerline.operators.staging import stage_dimension, stage_sales
 from ledgerline.operators.upsert import WIDE_BROADCAST_MAX_ROWS, fact_schema, upsert_fact
 from ledgerline.plans.profiles import DIMENSIONS, GCP, PSQL, PSQL_LENGTHS, Profile
 from ledgerline.operators.sequence import KeySequence, max_key
+from ledgerline.plans.parallel import run_parallel
 from ledgerline.plans.tables import PartitionedTable, Warehouse
 from ledgerline.sources.csv import force_all_columns, read_csv_by_name
 from ledgerline.sources.jdbc import read_jdbc_table
@@ -127,11 +128,13 @@ def merge_fact_partitions(spark: SparkSession, wh: Warehouse, profile: Profile,
 
 def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
                   sources: dict[str, DataFrame], run_ts: str, stamp: str,
-                  deep_gates: bool = False, fact_mode: str = "partitions") -> RunResult:
+                  deep_gates: bool = False, fact_mode: str = "partitions",
+                  parallel: bool = True) -> RunResult:
     _, stage_db, dwh_db = SCHEMAS[profile.name]
     wh.ensure_schemas(stage_db, dwh_db)
     versions = {}
-    for spec in DIMENSIONS.values():
+
+    def load_dimension(spec):
         src = sources[spec.source_table]
         n_batch = _source_gates(src, spec.source_table, spec.natural_id)
         staged = wh.stage_table(stage_dimension(src, spec, profile, run_ts, stamp),
@@ -143,7 +146,7 @@ def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
                          batch_fits=n_batch <= BROADCAST_MAX_ROWS, seq=seq)
         keys = profile.match_keys(spec)
 
-        def dim_gates(w, spec=spec, keys=keys):
+        def dim_gates(w):
             G.require_not_null(w, [spec.key_col, "id", "source_system"], spec.name)
             if profile.name == "psql":
                 G.require_max_length(w, PSQL_LENGTHS, spec.name)  # C5
@@ -152,10 +155,17 @@ def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
                 G.require_single_active(w, keys, spec.name)
 
         cluster = tuple(spec.key_col if c == "KEY" else c for c in profile.dim_cluster_by)
-        versions[name] = wh.write_snapshot(new, name, profile.dim_partition_by, cluster,
-                                           gates=dim_gates, split_by=("id",))
+        version = wh.write_snapshot(new, name, profile.dim_partition_by, cluster,
+                                    gates=dim_gates, split_by=("id",))
         if profile.dim_key_kind == "sequence" and seq.value is not None:
             wh.write_sequence(name, seq.value)
+        return name, version
+
+    # the dimensions are independent: their jobs run side by side
+    done = run_parallel({spec.name: (lambda spec=spec: load_dimension(spec))
+                         for spec in DIMENSIONS.values()},
+                        max_workers=None if parallel else 1)
+    versions.update(dict(done.values()))
     sales = sources["sales"]
     n_sales = _source_gates(sales, "sales", "sale_id")
     dims = {n: wh.read(f"{dwh_db}.dim_{n}") for n in DIMENSIONS}

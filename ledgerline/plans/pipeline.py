@@ -18,6 +18,7 @@ from ledgerline.operators.scd2 import empty_dim, scd2_apply
 from ledgerline.operators.sequence import KeySequence
 from ledgerline.operators.staging import stage_dimension, stage_sales
 from ledgerline.operators.upsert import empty_fact, upsert_fact
+from ledgerline.plans.parallel import run_parallel
 from ledgerline.plans.profiles import DIMENSIONS, DimSpec, Profile
 from ledgerline.session import materialize
 from ledgerline.sources.retail import RUNS, dimension_source, sales_source
@@ -53,8 +54,9 @@ def dimension_after(spark: SparkSession, sf_dir: str, spec: DimSpec, profile: Pr
 
 def all_dimensions_after(spark: SparkSession, sf_dir: str, profile: Profile,
                          batches: tuple[str, ...], shuffle: bool = False) -> dict[str, DataFrame]:
-    return {name: dimension_after(spark, sf_dir, spec, profile, batches, shuffle=shuffle)
-            for name, spec in DIMENSIONS.items()}
+    return run_parallel({name: (lambda spec=spec: dimension_after(spark, sf_dir, spec, profile,
+                                                                  batches, shuffle=shuffle))
+                         for name, spec in DIMENSIONS.items()})
 
 
 def staged_fact(spark: SparkSession, sf_dir: str, profile: Profile, batch: str,
@@ -78,9 +80,11 @@ def fact_after(spark: SparkSession, sf_dir: str, profile: Profile,
     fact_seq = KeySequence(0)
     for i, b in enumerate(batches):
         run = RUNS[b]
-        dims = {name: dimension_after(spark, sf_dir, spec, profile, (b,), start=dims[name],
-                                      shuffle=shuffle, seq=seqs[name])
-                for name, spec in DIMENSIONS.items()}
+        dims = run_parallel({
+            name: (lambda name=name, spec=spec: dimension_after(
+                spark, sf_dir, spec, profile, (b,), start=dims[name], shuffle=shuffle,
+                seq=seqs[name]))
+            for name, spec in DIMENSIONS.items()})
         staged = staged_fact(spark, sf_dir, profile, b, dims, shuffle=shuffle)
         fact = upsert_fact(fact, staged, profile, run.run_ts,
                            source_fits=False if shuffle else None, seq=fact_seq)
