@@ -85,7 +85,8 @@ def fact_after(spark: SparkSession, sf_dir: str, profile: Profile,
                 spark, sf_dir, spec, profile, (b,), start=dims[name], shuffle=shuffle,
                 seq=seqs[name]))
             for name, spec in DIMENSIONS.items()})
-        staged = staged_fact(spark, sf_dir, profile, b, dims, shuffle=shuffle)
+        # the staging table (K2) of the jobs: built once, read by every merge step
+        staged = materialize(staged_fact(spark, sf_dir, profile, b, dims, shuffle=shuffle))
         fact = upsert_fact(fact, staged, profile, run.run_ts,
                            source_fits=False if shuffle else None, seq=fact_seq)
         if i < len(batches) - 1:
