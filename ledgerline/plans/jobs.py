@@ -133,10 +133,15 @@ def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
     _, stage_db, dwh_db = SCHEMAS[profile.name]
     wh.ensure_schemas(stage_db, dwh_db)
     versions = {}
+    # every batch gate passes before anything is written
+    keys_of = {spec.source_table: spec.natural_id for spec in DIMENSIONS.values()}
+    keys_of["sales"] = "sale_id"
+    counts = run_parallel({t: (lambda t=t: _source_gates(sources[t], t, keys_of[t]))
+                           for t in keys_of})
 
     def load_dimension(spec):
         src = sources[spec.source_table]
-        n_batch = _source_gates(src, spec.source_table, spec.natural_id)
+        n_batch = counts[spec.source_table]
         staged = wh.stage_table(stage_dimension(src, spec, profile, run_ts, stamp),
                                 f"{stage_db}.dim_{spec.name}")
         name = f"{dwh_db}.dim_{spec.name}"
@@ -167,7 +172,7 @@ def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
                         max_workers=None if parallel else 1)
     versions.update(dict(done.values()))
     sales = sources["sales"]
-    n_sales = _source_gates(sales, "sales", "sale_id")
+    n_sales = counts["sales"]
     dims = {n: wh.read(f"{dwh_db}.dim_{n}") for n in DIMENSIONS}
     staged = wh.stage_table(stage_sales(lookup_keys(sales, dims, profile), profile, run_ts, stamp),
                             f"{stage_db}.fact_sales")

@@ -209,3 +209,19 @@ REGISTRY_YAML = """tables:
                       {'name': 'total_amount', 'type': 'FLOAT'}, {'name': 'created_at', 'type': 'TIMESTAMP'},
                       {'name': 'updated_at', 'type': 'TIMESTAMP'}]
 """
+
+
+def test_bad_batch_writes_nothing(spark, tmpdir_path):
+    """A duplicate id in one table stops the run before any table is written."""
+    from ledgerline.plans.jobs import job_warehouse
+    from ledgerline.plans.profiles import PSQL
+    from ledgerline.sources.retail import RUNS, dimension_source, sales_source
+    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="bad_")
+    sf = "/root/testdata/sf0.001"
+    src = {t: dimension_source(spark, sf, t, "b1", PSQL) for t in ("customers", "products", "stores")}
+    src["sales"] = sales_source(spark, sf, "b1", PSQL)
+    src["stores"] = src["stores"].unionByName(src["stores"].limit(1))  # one id twice
+    with pytest.raises(GateError):
+        job_warehouse(spark, wh, PSQL, src, RUNS["b1"].run_ts, RUNS["b1"].stamp)
+    for d in ("customer", "product", "store"):
+        assert not wh.exists(f"dwh.dim_{d}")
