@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.keys import hash_key
+from ledgerline.functions.keys import hash_key, random_key
 from ledgerline.functions.predicates import active_rows, change_predicate
 from ledgerline.functions.timestamps import ts_literal
 from ledgerline.operators.lookup import BROADCAST_MAX_ROWS, fits_broadcast
@@ -147,9 +147,13 @@ def new_versions(opened: DataFrame, spec: DimSpec, profile: Profile, run_ts: str
     cols["effective_end_date"] = F.lit(None).cast("timestamp_ntz")
     if profile.dim_key_kind == "hash":
         cols[spec.key_col] = hash_key("id", stamp)
+    elif profile.dim_key_kind == "uuid":
+        # GENERATE_UUID() literally: not repeatable, so only for paths that
+        # write the rows before anything reads the keys (the jobs do)
+        cols[spec.key_col] = random_key()
     rows = opened.select(*[
         (cols[f.name] if f.name in cols else F.col(f.name)).cast(f.dataType).alias(f.name)
-        for f in schema.fields if f.name != spec.key_col or profile.dim_key_kind == "hash"])
+        for f in schema.fields if f.name != spec.key_col or profile.dim_key_kind != "sequence"])
     if profile.dim_key_kind == "sequence":
         start = key_start if key_start is not None else next_start(seq, dim, spec.key_col)
         rows = assign_sequence(rows, [spec.natural_id], start, spec.key_col,

@@ -61,7 +61,7 @@ class Profile:
     change_rule: str                        # padded | hash | nullsafe
     close_scope: str                        # all_versions | active
     carry_forward: bool                     # NULL text attrs take the old value
-    dim_key_kind: str                       # sequence | hash
+    dim_key_kind: str                       # sequence | hash | uuid
     writes_created: bool                    # created_at + created_date in dims
     store_load_date_is_run_ts: bool
     lookup_how: str                         # left | inner

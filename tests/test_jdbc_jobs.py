@@ -225,3 +225,24 @@ def test_bad_batch_writes_nothing(spark, tmpdir_path):
         job_warehouse(spark, wh, PSQL, src, RUNS["b1"].run_ts, RUNS["b1"].stamp)
     for d in ("customer", "product", "store"):
         assert not wh.exists(f"dwh.dim_{d}")
+
+
+def test_uuid_keys_written_before_read(spark, tmpdir_path):
+    from dataclasses import replace
+
+    from ledgerline.plans.jobs import job_warehouse
+    from ledgerline.plans.profiles import GCP
+    from ledgerline.sources.retail import RUNS, dimension_source, sales_source
+    prof = replace(GCP, dim_key_kind="uuid")
+    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="uu_")
+    sf = "/root/testdata/sf0.001"
+    src = {t: dimension_source(spark, sf, t, "b1", prof) for t in ("customers", "products", "stores")}
+    src["sales"] = sales_source(spark, sf, "b1", prof)
+    job_warehouse(spark, wh, prof, src, RUNS["b1"].run_ts, RUNS["b1"].stamp)
+    dim = wh.read("dwh.dim_customer")
+    a = sorted(r.customer_key for r in dim.collect())
+    b = sorted(r.customer_key for r in wh.read("dwh.dim_customer").collect())
+    assert a == b and len(set(a)) == len(a) and all(len(k) == 36 for k in a)
+    # every fact key points at a stored dimension key
+    fact = wh.read("dwh.fact_sales")
+    assert fact.join(dim, "customer_key", "left_anti").count() == 0
