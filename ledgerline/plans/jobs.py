@@ -29,7 +29,7 @@ from ledgerline.operators.sequence import KeySequence, max_key
 from ledgerline.plans.parallel import run_parallel
 from ledgerline.plans.tables import PartitionedTable, Warehouse
 from ledgerline.sources.csv import force_all_columns, read_csv_by_name
-from ledgerline.sources.jdbc import read_jdbc_table
+from ledgerline.sources.jdbc import read_jdbc_table, write_jdbc_table
 from ledgerline.sources.landing import batch_view, land_files
 from ledgerline.sources.registry import TableSpec, load_registry
 from ledgerline.sources.schemas import SOURCE_TABLES, source_schema
@@ -45,16 +45,28 @@ class RunResult:
     versions: dict
 
 
-def job_load_csv(spark: SparkSession, wh: Warehouse, files: dict[str, str],
-                 profile: Profile = PSQL, db: str = "public") -> dict[str, int]:
-    """W1. An empty file raises before anything is replaced."""
-    wh.ensure_schemas(db)
-    out = {}
+def job_load_csv(spark: SparkSession, wh: Warehouse | None, files: dict[str, str],
+                 profile: Profile = PSQL, db: str = "public", jdbc_url: str | None = None,
+                 jdbc_properties: dict | None = None) -> dict[str, int]:
+    """CSV by name -> cleaning -> full refresh of each source table, into
+    warehouse snapshots or, with ``jdbc_url``, into the source database
+    (TRUNCATE keeps the table definition, then batched INSERTs from every
+    task). Every file is parsed and gated before anything is replaced."""
+    frames = {}
     for table, path in files.items():
         df = read_csv_by_name(spark, path, source_schema(table, profile))
         if force_all_columns(df) == 0:  # parses every column: FAILFAST applies
             raise G.GateError(f"{table}: no rows in {path}")
-        out[table] = wh.full_refresh(df, f"{db}.{table}")
+        frames[table] = df
+    out = {}
+    if jdbc_url is None:
+        wh.ensure_schemas(db)
+    for table, df in frames.items():
+        if jdbc_url is not None:
+            write_jdbc_table(df, jdbc_url, table, jdbc_properties, truncate=True)
+            out[table] = 0
+        else:
+            out[table] = wh.full_refresh(df, f"{db}.{table}")
     return out
 
 

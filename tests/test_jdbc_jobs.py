@@ -246,3 +246,17 @@ def test_uuid_keys_written_before_read(spark, tmpdir_path):
     # every fact key points at a stored dimension key
     fact = wh.read("dwh.fact_sales")
     assert fact.join(dim, "customer_key", "left_anti").count() == 0
+
+
+def test_w1_into_database_then_w2(spark, tmpdir_path):
+    """W1 into the source database (truncate + insert, twice: no duplicates),
+    then W2 reads it over JDBC."""
+    url = derby_url("w1target")
+    files = write_files(os.path.join(tmpdir_path, "in"))
+    job_load_csv(spark, None, files, jdbc_url=url, jdbc_properties=DERBY)
+    job_load_csv(spark, None, files, jdbc_url=url, jdbc_properties=DERBY)
+    back = read_jdbc_table(spark, url, "customers", properties=DERBY)
+    assert back.count() == 3
+    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="w1db_")
+    job_psql(spark, wh, url, "2024-01-01 03:00:00", DERBY, partitions=2)
+    assert wh.read("dwh.fact_sales").count() == 3
