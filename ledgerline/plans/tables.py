@@ -20,6 +20,7 @@ session without a persistent metastore re-attaches the published version
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -246,6 +247,12 @@ class PartitionedTable:
         df = self.spark.table(self.qname)
         return df.select(*columns) if columns else df
 
+    def partition_values(self) -> list[str]:
+        """Current partition values, from the catalog (no data scan)."""
+        rows = self.spark.sql(f"SHOW PARTITIONS {self.qname}").collect()
+        prefix = f"{self.col}="
+        return [r[0][len(prefix):] for r in rows if r[0].startswith(prefix)]
+
     def _layout(self, df: DataFrame) -> DataFrame:
         layout = [self.col] + list(self.cluster_by)
         layout += [c for c in self.split_by if c in df.columns and c not in layout]
@@ -255,7 +262,7 @@ class PartitionedTable:
     def write(self, df: DataFrame, touched: list | None,
               gates: Callable[[DataFrame], None] | None = None) -> None:
         """``touched``: partition values this write owns (None: all)."""
-        run_id = self.spark.sparkContext.applicationId + "-" + str(abs(hash((self.name, id(df)))))
+        run_id = uuid.uuid4().hex
         db, table = self.name.split(".", 1)
         copy_path = f"{self.wh.root}/incoming/{self.wh.db_prefix}{db}/{table}/{run_id}"
         self._layout(df).write.mode("errorifexists").parquet(copy_path)
@@ -269,17 +276,20 @@ class PartitionedTable:
             fs, marker = self.wh._fs(self.wh.table_root(self.name) + "/CREATED")
             fs.create(marker, True).close()
         else:
+            if touched is None:  # whole-table rewrite: every partition is touched
+                touched = self.partition_values()
             cols = self.read().columns  # table order: partition column last
             (staged.select(*cols).sortWithinPartitions(*layout).write
              .insertInto(self.qname, overwrite=True))
             if touched is not None:
-                present = {r[0] for r in staged.select(self.col).distinct().collect()}
-                for v in set(touched) - present:
-                    if v is not None:
-                        self.spark.sql(f"ALTER TABLE {self.qname} DROP IF EXISTS PARTITION "
-                                       f"({self.col} = '{v}')")
-                        # external table: the dropped partition's files go too
-                        self.wh.delete_path(f"{self.location}/{self.col}={v}")
+                present = {str(r[0]) for r in staged.select(self.col).distinct().collect()}
+                for v in {str(t) for t in touched if t is not None} - present:
+                    if v == "__HIVE_DEFAULT_PARTITION__":
+                        continue
+                    self.spark.sql(f"ALTER TABLE {self.qname} DROP IF EXISTS PARTITION "
+                                   f"({self.col} = '{v}')")
+                    # external table: the dropped partition's files go too
+                    self.wh.delete_path(f"{self.location}/{self.col}={v}")
         self.spark.catalog.refreshTable(self.qname)
         self.wh.delete_path(copy_path)
 

@@ -260,3 +260,21 @@ def test_w1_into_database_then_w2(spark, tmpdir_path):
     wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="w1db_")
     job_psql(spark, wh, url, "2024-01-01 03:00:00", DERBY, partitions=2)
     assert wh.read("dwh.fact_sales").count() == 3
+
+
+def test_whole_rewrite_fallback_drops_emptied_partitions(spark, tmpdir_path, monkeypatch):
+    """Past the touched-partition limit the fact is rewritten whole; a row
+    that moved must still leave its old partition."""
+    import ledgerline.plans.jobs as J
+    monkeypatch.setattr(J, "MAX_TOUCHED_PARTITIONS", 1)
+    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="fb_")
+    landing = os.path.join(tmpdir_path, "landing")
+    job_gcp(spark, wh, write_files(os.path.join(tmpdir_path, "in")), landing,
+            now=datetime(2024, 1, 1, 3, 0, 0))
+    moved = dict(FILES)
+    moved["sales"] = FILES["sales"].replace("1,1,1,1,2023-10-01 13:00:00", "1,1,1,1,2023-10-05 13:00:00")
+    r = job_gcp(spark, wh, write_files(os.path.join(tmpdir_path, "in2"), moved), landing,
+                now=datetime(2024, 1, 2, 3, 0, 0))
+    assert r.versions["dwh.fact_sales"] is None  # whole rewrite
+    fact = wh.read("dwh.fact_sales")
+    assert fact.count() == 2 and fact.filter("sale_date_key = DATE'2023-10-01'").count() == 0
