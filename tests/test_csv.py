@@ -55,3 +55,14 @@ def test_landing_and_batch_view(spark, tmpdir_path):
                     source_schema("customers", GCP), view="v_customers")
     assert spark.sql("SELECT COUNT(*) FROM v_customers").first()[0] == 3
     assert {r.customer_id for r in df.collect()} == {1, 2, 3}
+
+
+def test_multiline_quoted_field_keeps_empty_vs_null(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "ml.csv")
+    with open(p, "w") as fh:
+        fh.write('customer_id,name,address,created_at,updated_at\n'
+                 '1,"Ada\nPark",,2023-10-01 10:00:00,2023-10-01 10:00:00\n'
+                 '2,Ben,\\N,2023-10-01 10:00:00,2023-10-01 10:00:00\n')
+    rows = {r.customer_id: r for r in read_csv_by_name(
+        spark, p, source_schema("customers", PSQL), multi_line=True).collect()}
+    assert rows[1].name == "Ada\nPark" and rows[1].address == "" and rows[2].address is None
