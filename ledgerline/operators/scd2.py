@@ -171,11 +171,15 @@ def scd2_apply(dim: DataFrame, stage: DataFrame, spec: DimSpec, profile: Profile
     the row count of its batch gate); ``key_start`` / ``seq``: last sequence
     key, when the caller keeps it (``seq`` is advanced past the new keys)."""
     keys = profile.match_keys(spec)
+    if batch_fits is None:
+        batch_fits = fits_broadcast(stage.select(*keys))
     joined = materialize(changed_rows(stage, dim, spec, profile, batch_fits))
     opened = versions_to_open(joined)
     closed_keys = opened.filter(F.col("_hit")).select(*keys)
     if closed_fits is None:
-        closed_fits = fits_broadcast(closed_keys)
+        # closed keys are a subset of the batch keys: a batch that fits
+        # proves they fit too; otherwise count them
+        closed_fits = True if batch_fits else fits_broadcast(closed_keys)
     kept = close_versions(dim, closed_keys, keys, profile.close_scope, run_ts,
                           broadcast_keys=closed_fits)
     added = new_versions(opened, spec, profile, run_ts, stamp, key_start=key_start, dim=dim,
