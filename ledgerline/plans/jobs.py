@@ -86,7 +86,8 @@ def merge_fact_partitions(spark: SparkSession, wh: Warehouse, profile: Profile,
 
     Touched = dates of the staged rows and current dates of the fact rows
     they match (a gcp update may move a row to another date). The match is a
-    semi join of the fact's (id, date) columns - pruned scan, and with a
+    semi join of the fact's id column (the date is the partition folder),
+    restricted to partitions the batch does not already touch, and with a
     batch that fits a broadcast, no shuffle of the fact.
     """
     table = PartitionedTable(wh, fname, "sale_date_key", profile.fact_cluster_by)
@@ -108,21 +109,35 @@ def merge_fact_partitions(spark: SparkSession, wh: Warehouse, profile: Profile,
             wh.write_sequence(fname, written_max[0])
         return None
     fact = table.read(cols)
-    ids = staged.select("id")
-    # staged rows <= batch rows (the lookup only drops rows), so the batch
-    # count from the gate is a proven bound
-    small = batch_rows <= BROADCAST_MAX_ROWS if batch_rows is not None else fits_broadcast(ids)
-    ids = F.broadcast(ids) if small else ids
-    matched = fact.select("id", "sale_date_key").join(ids, "id", "left_semi")
-    dates = matched.select("sale_date_key").union(staged.select("sale_date_key")).distinct()
-    touched = [r[0] for r in dates.limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
-    if len(touched) > MAX_TOUCHED_PARTITIONS:
-        touched = None  # rewrite every partition
-        target = fact
+    col = F.col("sale_date_key")
+    # 1. dates the batch writes to (batch-sized distinct)
+    batch_dates = [r[0] for r in staged.select("sale_date_key").distinct()
+                   .limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
+    touched = None
+    if len(batch_dates) <= MAX_TOUCHED_PARTITIONS:
+        # 2. current dates of matched fact rows, probed only in partitions the
+        # batch does not already touch (partition pruning on NOT IN); if the
+        # batch covers every date, nothing is scanned
+        known = [d for d in batch_dates if d is not None]
+        other = col.isNotNull() & ~col.isin(known) if known else col.isNotNull()
+        if None not in batch_dates:  # the NULL-date partition is not touched yet
+            other = other | col.isNull()
+        ids = staged.select("id")
+        small = (batch_rows <= BROADCAST_MAX_ROWS if batch_rows is not None
+                 else fits_broadcast(ids))
+        ids = F.broadcast(ids) if small else ids
+        moved_from = (fact.filter(other).select("id", "sale_date_key")
+                      .join(ids, "id", "left_semi").select("sale_date_key").distinct())
+        extra = [r[0] for r in moved_from.limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
+        touched = list(dict.fromkeys(batch_dates + extra))
+        if len(touched) > MAX_TOUCHED_PARTITIONS:
+            touched = None
+    if touched is None:
+        target = fact  # rewrite every partition
     else:
-        keep = F.col("sale_date_key").isin([d for d in touched if d is not None])
+        keep = col.isin([d for d in touched if d is not None])
         if None in touched:
-            keep = keep | F.col("sale_date_key").isNull()
+            keep = keep | col.isNull()
         target = fact.filter(keep)  # partition pruning
     start = None
     if sequence:
