@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.keys import epoch_key
-from ledgerline.functions.timestamps import ts_literal
 from ledgerline.operators.lookup import fits_broadcast
 from ledgerline.operators.sequence import KeySequence, assign_sequence, next_start
 from ledgerline.plans.profiles import Profile
