@@ -187,8 +187,12 @@ def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
                 G.require_single_active(w, keys, spec.name)
 
         cluster = tuple(spec.key_col if c == "KEY" else c for c in profile.dim_cluster_by)
+        # unpartitioned dimensions (psql) are bucketed on their match key, so a
+        # batch too large to broadcast joins without shuffling the dimension
+        bucket_by = () if profile.dim_partition_by else tuple(keys)
         version = wh.write_snapshot(new, name, profile.dim_partition_by, cluster,
-                                    gates=dim_gates, split_by=("id",))
+                                    gates=dim_gates, split_by=("id",),
+                                    bucket_by=bucket_by, buckets=wh.buckets())
         if profile.dim_key_kind == "sequence" and seq.value is not None:
             wh.write_sequence(name, seq.value)
         return name, version

@@ -33,13 +33,18 @@ PATH_PROP = "ledgerline.path"
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, keep: int = 2,
-                 write_partitions: int | None = None, db_prefix: str = ""):
+                 write_partitions: int | None = None, db_prefix: str = "",
+                 dim_buckets: int | None = None):
         self.spark = spark
+        self.dim_buckets = dim_buckets  # default: spark.sql.shuffle.partitions
         self.root = root.rstrip("/")
         self.keep = keep
         self.write_partitions = write_partitions
         self.db_prefix = db_prefix  # several warehouses in one catalog
 
+    def buckets(self) -> int:
+        return self.dim_buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
     def q(self, name: str) -> str:
         """Catalog name of ``db.table`` (database prefixed)."""
         return f"{self.db_prefix}{name}" if "." in name else name
@@ -87,7 +92,19 @@ class Warehouse:
         path = self.version_path(name, version)
         db = self.q(name).split(".", 1)[0]
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
-        self._publish(name, path, version)
+        spec = self._bucket_spec(name, version)
+        if spec is None:
+            self._publish(name, path, version)
+        else:  # re-create the bucketed version table over its files
+            n, cols = spec
+            vtable = self._version_table(name, version)
+            keys = ", ".join(f"`{c}`" for c in cols)
+            schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                               for f in self.spark.read.parquet(path).schema.fields)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {vtable} ({schema}) USING parquet "
+                           f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {n} BUCKETS "
+                           f"LOCATION '{path}'")
+            self._publish(name, path, version, "*", vtable)
         return True
 
     def current_version(self, name: str) -> int:
@@ -100,6 +117,8 @@ class Warehouse:
         return self.current_path(name) is not None
 
     def read(self, name: str) -> DataFrame:
+        if not self.spark.catalog.tableExists(self.q(name)):
+            self._attach(name)  # new session without a persistent metastore
         return self.spark.table(self.q(name))
 
     def read_or_empty(self, name: str, schema: T.StructType) -> DataFrame:
@@ -116,23 +135,37 @@ class Warehouse:
     def write_snapshot(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
                        cluster_by: tuple[str, ...] = (),
                        gates: Callable[[DataFrame], None] | None = None,
-                       split_by: tuple[str, ...] = ()) -> int:
+                       split_by: tuple[str, ...] = (),
+                       bucket_by: tuple[str, ...] = (), buckets: int = 0) -> int:
         """``split_by``: a high-cardinality column appended to the range
-        layout, so one hot partition value is still spread over many tasks."""
+        layout, so one hot partition value is still spread over many tasks.
+        ``bucket_by`` / ``buckets`` (unpartitioned tables only): write the
+        version as a bucketed catalog table, so later joins on those columns
+        do not shuffle this table; one file per bucket."""
         version = self.current_version(name) + 1
         path = self.version_path(name, version)
-        layout = list(dict.fromkeys(list(partition_by) + list(cluster_by)))
-        if layout:
-            layout += [c for c in split_by if c not in layout]
-        out = df
-        if layout:
-            n = self.write_partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            out = out.repartitionByRange(n, *layout).sortWithinPartitions(*layout)
-        w = out.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        written = self.spark.read.parquet(path)
+        if bucket_by and buckets and not partition_by:
+            vtable = self._version_table(name, version)
+            (df.repartition(buckets, *bucket_by).sortWithinPartitions(*bucket_by)
+             .write.mode("errorifexists").format("parquet").option("path", path)
+             .bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(vtable))
+            written = self.spark.table(vtable)
+            source = vtable
+            self._mark_buckets(name, version, buckets, bucket_by)
+        else:
+            layout = list(dict.fromkeys(list(partition_by) + list(cluster_by)))
+            if layout:
+                layout += [c for c in split_by if c not in layout]
+            out = df
+            if layout:
+                n = self.write_partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+                out = out.repartitionByRange(n, *layout).sortWithinPartitions(*layout)
+            w = out.write.mode("errorifexists")
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            w.parquet(path)
+            written = self.spark.read.parquet(path)
+            source = f"parquet.`{path}`"
         if gates is not None:
             gates(written)
         cols = []
@@ -140,11 +173,26 @@ class Warehouse:
             c = f"`{f.name}`"
             cols.append(f"CAST({c} AS {f.dataType.simpleString()}) AS {c}"
                         if f.name in partition_by else c)
-        self._publish(name, path, version, ", ".join(cols))
+        self._publish(name, path, version, ", ".join(cols), source)
         self._mark(name, version)
         self._expire(name, version)
         return version
 
+    def _version_table(self, name: str, version: int) -> str:
+        return f"{self.q(name)}__v{version}"
+
+    def _mark_buckets(self, name: str, version: int, buckets: int, cols: tuple[str, ...]) -> None:
+        fs, path = self._fs(f"{self.table_root(name)}/BUCKETED-{version}-{buckets}-{'+'.join(cols)}")
+        fs.create(path, True).close()
+
+    def _bucket_spec(self, name: str, version: int) -> tuple[int, list[str]] | None:
+        fs, path = self._fs(f"{self.table_root(name)}/BUCKETED-{version}-*")
+        found = fs.globStatus(path) or []
+        if not found:
+            return None
+        _, _, n, cols = found[0].getPath().getName().split("-", 3)
+        return int(n), cols.split("+")
+
     def full_refresh(self, df: DataFrame, name: str, **kw) -> int:
         """K1: replace the whole table (old version kept until expiry)."""
         return self.write_snapshot(df, name, **kw)
@@ -154,11 +202,12 @@ class Warehouse:
         self.write_snapshot(df, name)
         return self.read(name)
 
-    def _publish(self, name: str, path: str, version: int, select: str = "*") -> None:
+    def _publish(self, name: str, path: str, version: int, select: str = "*",
+                 source: str | None = None) -> None:
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.q(name)} "
             f"TBLPROPERTIES ('{VERSION_PROP}' = '{version}', '{PATH_PROP}' = '{path}') "
-            f"AS SELECT {select} FROM parquet.`{path}`")
+            f"AS SELECT {select} FROM {source or f'parquet.`{path}`'}")
 
     # -- sequences (what backs serial keys) ---------------------------------
     def read_sequence(self, name: str) -> int | None:
@@ -181,7 +230,11 @@ class Warehouse:
 
     def _expire(self, name: str, version: int) -> None:
         for v in range(1, version - self.keep + 1):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._version_table(name, v)}")
             self.delete_path(self.version_path(name, v))
+            fs, pattern = self._fs(f"{self.table_root(name)}/BUCKETED-{v}-*")
+            for st in fs.globStatus(pattern) or []:
+                fs.delete(st.getPath(), False)
         for v in self._markers(name):
             if v < version:
                 self.delete_path(f"{self.table_root(name)}/CURRENT-{v}")

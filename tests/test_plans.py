@@ -68,3 +68,39 @@ def test_small_batch_never_shuffles_the_fact(spark, tmpdir_path):
                       os.path.join(tmpdir_path, "s"))
     p = plan_of(upsert_fact(fact, staged, GCP, RUNS["b2"].run_ts))
     assert "Exchange hashpartitioning" not in p and "SortMergeJoin" not in p
+
+
+def test_bucketed_dimension_not_shuffled_in_large_batch_joins(spark, tmpdir_path):
+    """psql dimensions are bucketed on id: with broadcasts off, both SCD2
+    joins shuffle only the batch side."""
+    import os
+
+    from ledgerline.operators.scd2 import changed_rows, close_versions
+    from ledgerline.plans.pipeline import dimension_after, staged_dimension
+    from ledgerline.plans.profiles import CUSTOMER, PSQL
+    from ledgerline.plans.tables import Warehouse
+    from ledgerline.sources.retail import RUNS
+    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="bk_", dim_buckets=8)
+    wh.ensure_schemas("dwh")
+    wh.write_snapshot(dimension_after(spark, SF_SMALL, CUSTOMER, PSQL, ("b1",)),
+                      "dwh.dim_customer", bucket_by=("id",), buckets=8)
+    dim = wh.read("dwh.dim_customer")
+    stage = staged_dimension(spark, SF_SMALL, CUSTOMER, PSQL, "b2")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = changed_rows(stage, dim, CUSTOMER, PSQL, batch_fits=False)
+        p1 = plan_of(joined)
+        kept = close_versions(dim, stage.select("id"), ["id"], "all_versions",
+                              RUNS["b2"].run_ts, broadcast_keys=False)
+        p2 = plan_of(kept)
+        assert joined.count() == stage.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in p1 and p1.count("Exchange hashpartitioning") == 1
+    assert "SortMergeJoin" in p2 and p2.count("Exchange hashpartitioning") == 1
+    # a new session state re-attaches the bucketed version from storage
+    spark.sql("DROP VIEW bk_dwh.dim_customer")
+    spark.sql("DROP TABLE bk_dwh.dim_customer__v1")
+    wh2 = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="bk_")
+    assert wh2.read("dwh.dim_customer").count() == dim.count()
