@@ -16,7 +16,7 @@ from ledgerline.functions.keys import hash_key
 from ledgerline.operators.gates import constraint_report, row_counts
 from ledgerline.operators.scd2 import changed_rows, new_versions, versions_to_open
 from ledgerline.operators.sequence import assign_sequence
-from ledgerline.plans.pipeline import (all_dimensions_after, dimension_after, fact_after,
+from ledgerline.plans.daily_runs import (all_dimensions_after, dimension_after, fact_after,
                                        staged_dimension, staged_fact)
 from ledgerline.plans.profiles import CUSTOMER, DIMENSIONS, GCP, PSQL, with_rule
 from ledgerline.sources.retail import RUNS, dimension_source, read_table, sales_all

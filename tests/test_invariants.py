@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerline.plans.pipeline import dimension_after, fact_after
+from ledgerline.plans.daily_runs import dimension_after, fact_after
 from ledgerline.plans.profiles import CUSTOMER, GCP, PSQL
 
 SF = "/root/testdata/sf0.01"

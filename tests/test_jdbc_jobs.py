@@ -147,9 +147,9 @@ def test_fact_sequence_recorded(spark, tmpdir_path):
 @pytest.mark.parametrize("pname", ["psql", "gcp"])
 def test_job_path_equals_oracle_checked_path(spark, tmpdir_path, pname):
     """The written warehouse (snapshots, touched-partition fact) holds exactly
-    the rows of the DataFrame pipeline that the DuckDB oracle checks."""
+    the rows of the DataFrame runs that the DuckDB oracle checks."""
     from ledgerline.plans.jobs import job_warehouse, read_fact
-    from ledgerline.plans.pipeline import dimension_after, fact_after
+    from ledgerline.plans.daily_runs import dimension_after, fact_after
     from ledgerline.plans.profiles import DIMENSIONS, PROFILES
     from ledgerline.sources.retail import RUNS, dimension_source, sales_source
     prof = PROFILES[pname]

@@ -43,7 +43,7 @@ def test_small_batch_never_shuffles_the_dimension(spark, tmpdir_path):
     import os
 
     from ledgerline.operators.scd2 import scd2_apply
-    from ledgerline.plans.pipeline import dimension_after, staged_dimension
+    from ledgerline.plans.daily_runs import dimension_after, staged_dimension
     from ledgerline.plans.profiles import CUSTOMER, GCP
     from ledgerline.sources.retail import RUNS
     dim = _written(spark, dimension_after(spark, SF_SMALL, CUSTOMER, GCP, ("b1",)),
@@ -59,7 +59,7 @@ def test_small_batch_never_shuffles_the_fact(spark, tmpdir_path):
     import os
 
     from ledgerline.operators.upsert import upsert_fact
-    from ledgerline.plans.pipeline import fact_after, staged_fact, all_dimensions_after
+    from ledgerline.plans.daily_runs import fact_after, staged_fact, all_dimensions_after
     from ledgerline.plans.profiles import GCP
     from ledgerline.sources.retail import RUNS
     fact = _written(spark, fact_after(spark, SF_SMALL, GCP, ("b1",)), os.path.join(tmpdir_path, "f"))
@@ -76,7 +76,7 @@ def test_bucketed_dimension_not_shuffled_in_large_batch_joins(spark, tmpdir_path
     import os
 
     from ledgerline.operators.scd2 import changed_rows, close_versions
-    from ledgerline.plans.pipeline import dimension_after, staged_dimension
+    from ledgerline.plans.daily_runs import dimension_after, staged_dimension
     from ledgerline.plans.profiles import CUSTOMER, PSQL
     from ledgerline.plans.tables import Warehouse
     from ledgerline.sources.retail import RUNS
