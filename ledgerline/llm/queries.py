@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, hash_sharding, packing, quality_rules, secret_scan, warc
+from ledgerline.llm import decontaminate, hash_sharding, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, warc
 from ledgerline.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.dedup(read(spark, sf, "documents"), with_text=False).drop("kept")
+
+
 def op2_hash_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return hash_sharding.shard(read(spark, sf, "documents"))
 
@@ -40,6 +44,11 @@ def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(read(spark, sf, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup.dedup(read(spark, sf, "documents"), with_text=False).drop("kept")
+
+
 def registry() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op2_hash_sharding, op4_quality_rules, op6_secret_scan, op7_decontaminate, op8_warc, op9_packing)}
+        op1_suffix_dedup, op2_hash_sharding, op4_quality_rules, op6_secret_scan, op7_decontaminate, op8_warc, op9_packing,
+        op10_substring_dedup)}
