@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, hash_sharding, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, warc
+from ledgerline.llm import decontaminate, hash_sharding, jaccard_join, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, warc
 from ledgerline.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), *quality_rules.BASE, "base_failed", "kept")
 
 
+def op5_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.components_of(read(spark, sf, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secret_scan.scan(read(spark, sf, "documents")).drop("found")
 
@@ -50,5 +54,5 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_suffix_dedup, op2_hash_sharding, op4_quality_rules, op6_secret_scan, op7_decontaminate, op8_warc, op9_packing,
+        op1_suffix_dedup, op2_hash_sharding, op4_quality_rules, op5_jaccard_join, op6_secret_scan, op7_decontaminate, op8_warc, op9_packing,
         op10_substring_dedup)}
