@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, hash_sharding, jaccard_join, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, warc
+from ledgerline.llm import decontaminate, hash_sharding, jaccard_join, line_dedup, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, warc
 from ledgerline.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_hash_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return hash_sharding.shard(read(spark, sf, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.report(read(spark, sf, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.score(read(spark, sf, "documents")).select(
         F.col("row.doc_id").alias("doc_id"), *quality_rules.BASE, "base_failed", "kept")
@@ -54,5 +58,5 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_suffix_dedup, op2_hash_sharding, op4_quality_rules, op5_jaccard_join, op6_secret_scan, op7_decontaminate, op8_warc, op9_packing,
+        op1_suffix_dedup, op2_hash_sharding, op3_line_dedup, op4_quality_rules, op5_jaccard_join, op6_secret_scan, op7_decontaminate, op8_warc, op9_packing,
         op10_substring_dedup)}
