@@ -165,8 +165,9 @@ def report(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS,
 
 def filter_lines(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars", **options) -> DataFrame:
     """``docs`` with the removed lines taken out of the text; ``length_col``,
-    where the table has it, follows."""
+    where the table has it, follows. Documents that lose their last word go."""
     out = dedup(docs, text_col=text_col, **options)
+    out = out.where((F.col("n_removed") == 0) | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
     columns = []
     for c in docs.columns:
         if c == text_col:
