@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,17 +49,37 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.upper(F.concat(*parts)), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compress the last column, so that the join moves less."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        packed = pa.array([squeeze(x.as_py().encode()) for x in batch.column(batch.num_columns - 1)], pa.binary())
+        yield batch.set_column(batch.num_columns - 1, "html", packed)
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        texts = pa.array([unpack(x.as_py()).decode() if x.is_valid else None for x in batch.column(batch.num_columns - 1)], pa.string())
+        yield batch.set_column(batch.num_columns - 1, "html", texts)
+
+
 def write_archive(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> None:
     """Write a record per row of ``pages`` (page_id, url, html) under ``path``."""
     keyed = with_row_id(pages, "page_id", "html")
     html = text_or_empty("html")
-    rows = keyed.select("_rid", "page_id", F.translate(text_or_empty("url"), "\r\n", "").alias("url"), html.alias("html"),
+    rows = keyed.select("_rid", F.col("page_id").cast("long"), F.translate(text_or_empty("url"), "\r\n", "").alias("url"), html.alias("html"),
                         base32_sha1(html.cast("binary")).alias("digest"), F.octet_length(html).cast("long").alias("bytes"))
     firsts = checkpoint(rows.where(F.col("bytes") >= min_revisit_bytes).groupBy("digest", "bytes")
                         .agg(F.min(F.struct("_rid", "page_id")).alias("first"), F.count("*").alias("n")).where("n > 1")
                         .select("digest", "bytes", "first"))
-    joined = rows.join(firsts, ["digest", "bytes"], "left")
+    ship_package(pages.sparkSession)
+    squeezed = rows.select("_rid", "page_id", "url", "digest", "bytes", "html").mapInArrow(
+        _squeeze, "_rid long, page_id long, url string, digest string, bytes long, html binary")
+    joined = squeezed.join(firsts, ["digest", "bytes"], "left")
     revisit = F.coalesce(F.col("first._rid") != F.col("_rid"), F.lit(False))
+    joined = joined.select("_rid", "page_id", "url", "digest", "bytes", "first", F.when(~revisit, F.col("html")).alias("html")).mapInArrow(
+        _unpack, "_rid long, page_id long, url string, digest string, bytes long, first struct<_rid:long,page_id:long>, html string")
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes"), F.lit(END))
     block = F.when(revisit, F.lit("")).otherwise(F.concat(http, F.col("html")))
     head = F.concat(
