@@ -6,7 +6,7 @@ comparable; nothing calls ``current_timestamp()`` inside an operator.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ STAMP_FORMAT = "yyyyMMddHHmmss"
 
 def new_stamp(now: datetime | None = None) -> str:
     """14-digit batch folder stamp."""
-    return (now or datetime.utcnow()).strftime(STAMP_FORMAT_PY)
+    return (now or datetime.now(timezone.utc).replace(tzinfo=None)).strftime(STAMP_FORMAT_PY)
 
 
 def stamp_to_text(stamp: str) -> str:

@@ -1,20 +1,15 @@
 """Fact key lookup against the active dimension versions.
 
 Each dimension contributes (natural id -> surrogate key) from its active rows.
-A lookup side is broadcast only after an exact count proves it small (a
-partial-aggregate count: one row per task reaches the driver; a
-``limit(n).count()`` would instead funnel up to n rows per task into one
-task); otherwise the join is a shuffle join, which AQE may still turn into a
-broadcast from runtime sizes and whose hot keys AQE's skew-join handling
-splits.
-
-Hot keys (one customer may hold a third of all sales) are also handled
-explicitly when a lookup cannot be broadcast (``salt_buckets`` > 0): keys
-with at least ``hot_min_rows`` sales are found by a partial-aggregate count,
-their sales rows are spread over ``salt_buckets`` salts by a hash of the row
-id (deterministic, so a retried task sees the same salt), and only the
-lookup rows of those keys are copied once per salt. The result is the plain
-join's; no row is dropped or capped.
+The joins carry no hint: Catalyst broadcasts a side whose size in bytes is
+below the session's threshold, AQE turns a shuffle join into a broadcast join
+from run-time sizes and splits skewed partitions.
+
+``salted=True`` splits hot keys explicitly (one customer may hold a third of
+all sales): one partial-aggregate pass counts the sales of all three keys, a
+key is split by its count, its sales are spread by a hash of the row id and the
+lookup row is copied once per split. NULL keys stay out of the join. The result
+is the plain join's; no row is dropped or capped.
 """
 
 from __future__ import annotations
@@ -24,45 +19,51 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.predicates import active_rows
 from ledgerline.plans.profiles import DIMENSIONS, Profile
+from ledgerline.session import materialize
 
-# Largest lookup side (rows) that is shipped to every task.
-BROADCAST_MAX_ROWS = 1_000_000
+# Rows of one key that a task of a salted lookup takes.
+ROWS_PER_SALT = 1_000_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Size check before any broadcast: at most ``max_rows`` rows."""
-    return df.count() <= max_rows
-
-
-def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
-    """Keys with at least ``min_rows`` rows; at most ``rows / min_rows`` of
-    them exist, so the result has a proven size bound."""
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-              .filter(F.col("_n") >= min_rows).select(F.col(key).alias("_hot_key")))
+def hot_splits(df: DataFrame, keys: list[str], rows_per_salt: int) -> DataFrame:
+    """(key_name, key, splits) of the keys of any of the columns ``keys`` with
+    more than ``rows_per_salt`` rows, from one pass; NULL is a key like any
+    other. There are at most ``len(keys) * rows / rows_per_salt`` of them."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("key_name"), F.col(k).cast("long").alias("key"))
+                                for k in keys]))
+    return (df.select(pairs.alias("p")).groupBy("p.key_name", "p.key").agg(F.count(F.lit(1)).alias("n"))
+              .where(F.col("n") > rows_per_salt)
+              .select("key_name", "key", F.ceil(F.col("n") / rows_per_salt).cast("int").alias("splits")))
 
 
 def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str,
-                salt_buckets: int, hot_min_rows: int, row_id: list[str] | None = None,
+                rows_per_salt: int = ROWS_PER_SALT, row_id: list[str] | None = None,
                 hot: DataFrame | None = None) -> DataFrame:
     """``left JOIN right ON left_key = right_key`` with hot keys split.
 
-    ``hot``: the hot keys (column ``_hot_key``) when the caller found them on
-    a smaller input than ``left`` (e.g. the sales before earlier lookups)."""
+    A key gets as many splits as its count asks for. Left rows of a hot key are
+    spread by a hash of the row id (the same in a retried task), the right row
+    is copied once per split. NULL keys match nothing; they are kept out of the
+    join, so they are never shuffled into one task.
+    ``hot``: the result of ``hot_splits`` when the caller has it already."""
     if hot is None:
-        hot = hot_keys(left, left_key, hot_min_rows)
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+        hot = hot_splits(left, [left_key], rows_per_salt)
+    hot = hot.where((F.col("key_name") == left_key) & F.col("key").isNotNull()).select(
+        F.col("key").alias("_hot_key"), F.col("splits").alias("_splits"))
     rid = F.xxhash64(*[F.col(c) for c in (row_id or left.columns)])
-    lft = (left.join(hot, left[left_key] == hot["_hot_key"], "left").drop("_hot_key")
-           .withColumn("_salt", F.when(F.col("_hot"), F.pmod(rid, F.lit(salt_buckets)))
-                       .otherwise(F.lit(0)).cast("int"))
-           .drop("_hot"))
-    rgt = (right.join(hot, right[right_key] == hot["_hot_key"], "left").drop("_hot_key")
-           .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-                                          .otherwise(F.array(F.lit(0)))))
-           .drop("_hot")
-           .withColumnRenamed("_salt", "_rsalt"))
+    unknown = left.where(F.col(left_key).isNull())
+    lft = left.where(F.col(left_key).isNotNull())
+    lft = (lft.join(hot, lft[left_key].cast("long") == hot["_hot_key"], "left").drop("_hot_key")
+           .withColumn("_salt", F.coalesce(F.pmod(rid, F.col("_splits")), F.lit(0)).cast("int")).drop("_splits"))
+    rgt = (right.join(hot, right[right_key].cast("long") == hot["_hot_key"], "left").drop("_hot_key")
+           .withColumn("_rsalt", F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1)))
+           .drop("_splits"))
     cond = (lft[left_key] == rgt[right_key]) & (lft["_salt"] == rgt["_rsalt"])
-    return lft.join(rgt, cond, how).drop("_salt", "_rsalt")
+    joined = lft.join(rgt, cond, how).drop("_salt", "_rsalt")
+    if how != "left":
+        return joined
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+    return joined.unionByName(unknown.select("*", *nulls))
 
 
 def dim_lookup(dim: DataFrame, dim_name: str, profile: Profile) -> DataFrame:
@@ -75,32 +76,28 @@ def dim_lookup(dim: DataFrame, dim_name: str, profile: Profile) -> DataFrame:
 
 
 def lookup_keys(sales: DataFrame, dims: dict[str, DataFrame], profile: Profile,
-                max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-                broadcast_checked: dict[str, bool] | None = None,
-                salt_buckets: int = 16, hot_min_rows: int = 1_000_000,
+                salted: bool = False, rows_per_salt: int = ROWS_PER_SALT,
                 row_id: list[str] | None = ("sale_id",)) -> DataFrame:
     """Add customer_key / product_key / store_key to ``sales``.
 
     psql: LEFT join on natural id (unmatched rows kept, key NULL).
     gcp: INNER join on natural id and source_system (unmatched rows dropped).
-    ``broadcast_checked`` lets a caller pass size checks it already made.
+    Catalyst and AQE choose broadcast or shuffle by size. ``salted``: split hot
+    keys explicitly, for sales so skewed that AQE's skew join is not enough.
     """
     out = sales
     rid = [c for c in (row_id or []) if c in sales.columns] or None
-    for name in ("customer", "product", "store"):
+    names = ("customer", "product", "store")
+    hot = None
+    if salted:
+        # one pass over the input sales for all three keys
+        hot = materialize(hot_splits(sales, [DIMENSIONS[n].natural_id for n in names], rows_per_salt))
+    for name in names:
         spec = DIMENSIONS[name]
         lk = dim_lookup(dims[name], name, profile)
-        checked = (broadcast_checked or {}).get(name)
-        small = fits_broadcast(lk, max_broadcast_rows) if checked is None else checked
         lkey = f"_lk_{spec.natural_id}"
-        if small:
-            out = out.join(F.broadcast(lk), out[spec.natural_id] == lk[lkey], profile.lookup_how)
-        elif salt_buckets > 1:
-            # hot keys come from the input sales, not from the frame already
-            # joined to earlier dimensions (that would recompute those joins)
-            hot = hot_keys(sales, spec.natural_id, hot_min_rows)
-            out = salted_join(out, lk, spec.natural_id, lkey, profile.lookup_how,
-                              salt_buckets, hot_min_rows, rid, hot=hot)
+        if salted:
+            out = salted_join(out, lk, spec.natural_id, lkey, profile.lookup_how, rows_per_salt, rid, hot=hot)
         else:
             out = out.join(lk, out[spec.natural_id] == lk[lkey], profile.lookup_how)
         out = out.drop(lkey)

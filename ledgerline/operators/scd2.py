@@ -4,17 +4,15 @@
 the whole dimension. Plan shape (keyed joins and a union, no window over the
 data); the dimension is large and grows every run, a batch is usually small:
 
-1. Old values for the batch: active dimension rows whose key is in the batch.
-   When the batch keys fit a broadcast (size checked), this is a broadcast
-   semi join: the dimension is only scanned, never shuffled. Otherwise both
-   sides hash-shuffle on the key.
+1. Old values for the batch: active dimension rows whose key is in the batch,
+   a semi join. Catalyst and AQE choose its form by size in bytes: small batch
+   keys are broadcast, so the dimension is only scanned.
 2. ``stage LEFT JOIN old`` (both batch-sized) with a literal marker for
    "matched" gives ``_hit`` / ``_changed``; it is checkpointed once, because
    it feeds both the rows to open and the keys to close.
 3. ``dim LEFT JOIN closed_keys`` flips ``is_active`` / ``effective_end_date``
    on every version of the id (psql: the outer UPDATE filters on id only) or
-   on the active one (gcp). Closed keys are broadcast when their counted size
-   allows it, so the dimension streams through without a shuffle.
+   on the active one (gcp). Here too the side's size decides the join's form.
 4. New versions get carry-forward (psql), keys (sequence or hash), start =
    run time, end NULL, and are appended with ``unionByName``.
 
@@ -33,7 +31,6 @@ from pyspark.sql import types as T
 from ledgerline.functions.keys import hash_key, random_key
 from ledgerline.functions.predicates import active_rows, change_predicate
 from ledgerline.functions.timestamps import ts_literal
-from ledgerline.operators.lookup import BROADCAST_MAX_ROWS, fits_broadcast
 from ledgerline.operators.sequence import KeySequence, assign_sequence, next_start
 from ledgerline.plans.profiles import DimSpec, Profile
 from ledgerline.session import materialize
@@ -70,13 +67,12 @@ def _kind(spec: DimSpec, col: str) -> str:
 
 
 def changed_rows(stage: DataFrame, dim: DataFrame, spec: DimSpec, profile: Profile,
-                  batch_fits: bool | None = None,
-                  max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                 strategy: str | None = None) -> DataFrame:
     """Steps 1-2: staged rows joined to their active version.
 
     Adds ``_hit`` (an active version exists), ``_changed`` (change test is
-    TRUE) and the old values as ``_o_<col>``. ``batch_fits``: result of a
-    size check of the batch keys already made by the caller.
+    TRUE) and the old values as ``_o_<col>``. ``strategy``: a join hint for
+    the batch side; by default Catalyst and AQE choose by size.
     """
     keys = profile.match_keys(spec)
     tracked = profile.tracked(spec)
@@ -85,13 +81,8 @@ def changed_rows(stage: DataFrame, dim: DataFrame, spec: DimSpec, profile: Profi
         *[F.col(k).alias(f"_d_{k}") for k in keys],
         *[F.col(c).alias(f"_o_{c}") for c in old_cols],
         F.lit(True).alias("_hit"))
-    if batch_fits is None:
-        batch_fits = fits_broadcast(stage.select(*keys), max_broadcast_rows)
-    if batch_fits:
-        batch_keys = stage.select(*[F.col(k).alias(f"_b_{k}") for k in keys])
-        active = active.join(F.broadcast(batch_keys),
-                             [active[f"_d_{k}"] == batch_keys[f"_b_{k}"] for k in keys],
-                             "left_semi")
+    batch_keys = _hinted(stage.select(*[F.col(k).alias(f"_b_{k}") for k in keys]), strategy)
+    active = active.join(batch_keys, [active[f"_d_{k}"] == batch_keys[f"_b_{k}"] for k in keys], "left_semi")
     cond = [stage[k] == active[f"_d_{k}"] for k in keys]
     j = stage.join(active, cond, "left").drop(*[f"_d_{k}" for k in keys])
     pairs = [(F.col(f"_o_{c}"), F.col(c), _kind(spec, c)) for c in tracked]
@@ -101,16 +92,18 @@ def changed_rows(stage: DataFrame, dim: DataFrame, spec: DimSpec, profile: Profi
              .withColumn("_changed", hit & F.coalesce(pred, F.lit(False))))
 
 
+def _hinted(df: DataFrame, strategy: str | None) -> DataFrame:
+    return df.hint(strategy) if strategy else df
+
+
 def versions_to_open(joined: DataFrame) -> DataFrame:
     return joined.filter(~F.col("_hit") | F.col("_changed"))
 
 
 def close_versions(dim: DataFrame, closed_keys: DataFrame, keys: list[str], scope: str,
-                   run_ts: str, broadcast_keys: bool = False) -> DataFrame:
+                   run_ts: str, strategy: str | None = None) -> DataFrame:
     """End the versions of the changed keys."""
-    marked = closed_keys.select(*keys).withColumn("_close", F.lit(True))
-    if broadcast_keys:
-        marked = F.broadcast(marked)
+    marked = _hinted(closed_keys.select(*keys).withColumn("_close", F.lit(True)), strategy)
     j = dim.join(marked, keys, "left")
     hit = F.coalesce(F.col("_close"), F.lit(False))
     if scope == "active":
@@ -163,25 +156,17 @@ def new_versions(opened: DataFrame, spec: DimSpec, profile: Profile, run_ts: str
 
 def scd2_apply(dim: DataFrame, stage: DataFrame, spec: DimSpec, profile: Profile,
                run_ts: str, stamp: str, num_partitions: int | None = None,
-               batch_fits: bool | None = None, key_start: int | None = None,
-               closed_fits: bool | None = None, seq: KeySequence | None = None) -> DataFrame:
+               key_start: int | None = None, strategy: str | None = None,
+               seq: KeySequence | None = None) -> DataFrame:
     """Next version of the whole dimension after one staged batch.
 
-    ``batch_fits``: a size check of the batch the caller already made (e.g.
-    the row count of its batch gate); ``key_start`` / ``seq``: last sequence
-    key, when the caller keeps it (``seq`` is advanced past the new keys)."""
+    ``key_start`` / ``seq``: last sequence key, when the caller keeps it
+    (``seq`` is advanced past the new keys); ``strategy``: a join hint."""
     keys = profile.match_keys(spec)
-    if batch_fits is None:
-        batch_fits = fits_broadcast(stage.select(*keys))
-    joined = materialize(changed_rows(stage, dim, spec, profile, batch_fits))
+    joined = materialize(changed_rows(stage, dim, spec, profile, strategy))
     opened = versions_to_open(joined)
     closed_keys = opened.filter(F.col("_hit")).select(*keys)
-    if closed_fits is None:
-        # closed keys are a subset of the batch keys: a batch that fits
-        # proves they fit too; otherwise count them
-        closed_fits = True if batch_fits else fits_broadcast(closed_keys)
-    kept = close_versions(dim, closed_keys, keys, profile.close_scope, run_ts,
-                          broadcast_keys=closed_fits)
+    kept = close_versions(dim, closed_keys, keys, profile.close_scope, run_ts, strategy)
     added = new_versions(opened, spec, profile, run_ts, stamp, key_start=key_start, dim=dim,
                          num_partitions=num_partitions, seq=seq)
     return kept.unionByName(added)

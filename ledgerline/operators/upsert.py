@@ -1,6 +1,7 @@
 """Keyed upsert of the fact.
 
-One full outer join on the business id; per output column:
+A left join of the target with the source, and an anti join for the new rows,
+on the business id; per output column:
 
 * key column: coalesce of both sides;
 * update columns: the source value when the source row is there;
@@ -22,14 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.keys import epoch_key
-from ledgerline.operators.lookup import fits_broadcast
 from ledgerline.operators.sequence import KeySequence, assign_sequence, next_start
 from ledgerline.plans.profiles import Profile
 
-# The upsert broadcasts whole source rows (~15 columns), so its cap is lower
-# than for key-only lookup sides.
-WIDE_BROADCAST_MAX_ROWS = 250_000
-
 FACT_INSERT_COLS = ("sales_id", "id", "source_system", "customer_key", "product_key",
                     "store_key", "sale_time", "sale_date_key", "quantity", "total_amount",
                     "updated_at", "dwh_load_date")
@@ -84,45 +80,32 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update_cols: tuple[st
            insert_cols: tuple[str, ...], key_col: str, key_kind: str, run_ts: str,
            schema: T.StructType, num_partitions: int | None = None,
            order_cols: list[str] | None = None, key_start: int | None = None,
-           source_fits: bool | None = None,
-           max_broadcast_rows: int = WIDE_BROADCAST_MAX_ROWS,
-           seq: KeySequence | None = None) -> DataFrame:
+           strategy: str | None = None, seq: KeySequence | None = None) -> DataFrame:
     """Merge ``source`` into ``target`` on ``key``.
 
-    Small source (size checked): the target streams through a broadcast
-    left join (no shuffle of the target); new rows are the source rows not
-    among the matched ids, found from a broadcast semi join of the target's
-    key column. Large source: one full outer join, both sides shuffled.
+    Old rows are one left join of the target with the source, new rows the
+    source rows without a target id (anti join). Catalyst and AQE choose the
+    joins' form by size; ``strategy`` is a join hint for the source side.
     """
     src_cols = list(source.columns)
     s = source.select(*[F.col(c).alias(f"_s_{c}") for c in src_cols], F.lit(True).alias("_s"))
-    t = target.withColumn("_t", F.lit(True))
+    hinted = s.hint(strategy) if strategy else s
     matched_s = F.coalesce(F.col("_s"), F.lit(False))
-    matched_t = F.coalesce(F.col("_t"), F.lit(False))
-    cols = _merge_columns(schema, key, key_col, update_cols, insert_cols, src_cols,
-                          matched_s, matched_t)
-    if source_fits is None:
-        source_fits = fits_broadcast(source.select(key), max_broadcast_rows)
-    if source_fits:
-        updated = (t.join(F.broadcast(s), t[key] == s[f"_s_{key}"], "left")
-                   .select(F.col(key_col), matched_t.alias("_t"), *cols))
-        hit_ids = target.select(F.col(key).alias("_m_key")).join(
-            F.broadcast(source.select(F.col(key).alias("_k"))),
-            F.col("_m_key") == F.col("_k"), "left_semi")
-        fresh = s.join(hit_ids, s[f"_s_{key}"] == hit_ids["_m_key"], "left_anti")
-        fresh = _fresh_rows(fresh, schema, key, key_col, update_cols, insert_cols, src_cols)
-        merged = updated.unionByName(fresh)
-    else:
-        j = t.join(s, t[key] == s[f"_s_{key}"], "full_outer")
-        merged = j.select(F.col(key_col), matched_t.alias("_t"), *cols)
+    cols = _merge_columns(schema, key, key_col, update_cols, insert_cols, src_cols, matched_s, F.lit(True))
+    old = target.join(hinted, target[key] == s[f"_s_{key}"], "left").select(
+        F.col(key_col).cast(schema[key_col].dataType).alias(key_col), *cols).select(*schema.names)
+    ids = target.select(F.col(key).alias("_m_key"))
+    wanted = source.select(F.col(key).alias("_k"))
+    wanted = wanted.hint(strategy) if strategy else wanted
+    hit_ids = ids.join(wanted, F.col("_m_key") == F.col("_k"), "left_semi")
+    fresh = s.join(hit_ids, s[f"_s_{key}"] == hit_ids["_m_key"], "left_anti")
+    fresh = _fresh_rows(fresh, schema, key, key_col, update_cols, insert_cols, src_cols)
     if key_kind == "epoch":
-        k = F.when(F.col("_t"), F.col(key_col)).otherwise(epoch_key(F.col(key), run_ts))
-        return merged.withColumn(key_col, k.cast(schema[key_col].dataType)).select(*schema.names)
-    # sequence: existing rows keep theirs; new rows are numbered after the max
-    start = key_start if key_start is not None else next_start(seq, target, key_col)
-    old = merged.filter(F.col("_t")).select(*schema.names)
-    new = assign_sequence(merged.filter(~F.col("_t")).drop(key_col), order_cols or [key],
-                          start, key_col, schema[key_col].dataType, num_partitions, seq)
+        new = fresh.withColumn(key_col, epoch_key(F.col(key), run_ts).cast(schema[key_col].dataType))
+    else:  # sequence: existing rows keep theirs; new rows are numbered after the max
+        start = key_start if key_start is not None else next_start(seq, target, key_col)
+        new = assign_sequence(fresh.drop(key_col), order_cols or [key], start, key_col,
+                              schema[key_col].dataType, num_partitions, seq)
     return old.unionByName(new.select(*schema.names))
 
 
@@ -139,14 +122,14 @@ def _fresh_rows(fresh: DataFrame, schema: T.StructType, key: str, key_col: str,
         else:
             v = F.lit(None)
         out.append(v.cast(f.dataType).alias(c))
-    return fresh.select(F.lit(False).alias("_t"), *out)
+    return fresh.select(*out)
 
 
 def upsert_fact(target: DataFrame, staged: DataFrame, profile: Profile, run_ts: str,
                 num_partitions: int | None = None, key_start: int | None = None,
-                source_fits: bool | None = None, seq: KeySequence | None = None) -> DataFrame:
+                strategy: str | None = None, seq: KeySequence | None = None) -> DataFrame:
     """D5 (psql: 8 update columns, sale_date_key kept) / D6 (gcp: 11)."""
     return upsert(target, staged, "id", profile.fact_update_cols, FACT_INSERT_COLS,
                   "sales_key", profile.fact_key_kind, run_ts, fact_schema(profile),
                   num_partitions, order_cols=["sales_id"], key_start=key_start,
-                  source_fits=source_fits, seq=seq)
+                  strategy=strategy, seq=seq)

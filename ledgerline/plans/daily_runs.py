@@ -4,9 +4,9 @@ These chain the operators exactly as the jobs do, but keep every table as a
 DataFrame instead of writing snapshots. Used by the registered queries and
 the benchmark.
 
-``shuffle=True`` forces the large-batch strategies (no broadcast of batch
-keys, closed keys or the upsert source; lookups through the salted join with
-a low hot-key threshold), so the oracle checks those plans too.
+``shuffle=True`` asks for the plans of large batches (sort-merge joins instead
+of broadcasts, lookups through the salted join), so the oracle checks those
+plans too.
 """
 
 from __future__ import annotations
@@ -31,10 +31,6 @@ def staged_dimension(spark: SparkSession, sf_dir: str, spec: DimSpec, profile: P
     return stage_dimension(src, spec, profile, run.run_ts, run.stamp)
 
 
-# Hot-key threshold used with ``shuffle=True`` so the test data has hot keys.
-TEST_HOT_MIN_ROWS = 15
-
-
 def dimension_after(spark: SparkSession, sf_dir: str, spec: DimSpec, profile: Profile,
                     batches: tuple[str, ...], start: DataFrame | None = None,
                     shuffle: bool = False, seq: KeySequence | None = None) -> DataFrame:
@@ -46,9 +42,8 @@ def dimension_after(spark: SparkSession, sf_dir: str, spec: DimSpec, profile: Pr
         stage = staged_dimension(spark, sf_dir, spec, profile, b)
         # scd2_apply checkpoints its batch-sized intermediate results, so the
         # next day's plan stays short without materialising the whole dimension
-        force = False if shuffle else None
         dim = scd2_apply(dim, stage, spec, profile, run.run_ts, run.stamp,
-                         batch_fits=force, closed_fits=force, seq=seq)
+                         strategy="merge" if shuffle else None, seq=seq)
     return dim
 
 
@@ -60,14 +55,11 @@ def all_dimensions_after(spark: SparkSession, sf_dir: str, profile: Profile,
 
 
 def staged_fact(spark: SparkSession, sf_dir: str, profile: Profile, batch: str,
-                dims: dict[str, DataFrame], shuffle: bool = False) -> DataFrame:
+                dims: dict[str, DataFrame], shuffle: bool = False,
+                sales_batch: str | None = None) -> DataFrame:
     run = RUNS[batch]
-    sales = sales_source(spark, sf_dir, batch, profile)
-    if shuffle:
-        keyed = lookup_keys(sales, dims, profile, max_broadcast_rows=0,
-                            hot_min_rows=TEST_HOT_MIN_ROWS)
-    else:
-        keyed = lookup_keys(sales, dims, profile)
+    sales = sales_source(spark, sf_dir, sales_batch or batch, profile)
+    keyed = lookup_keys(sales, dims, profile, salted=shuffle)
     return stage_sales(keyed, profile, run.run_ts, run.stamp)
 
 
@@ -88,7 +80,7 @@ def fact_after(spark: SparkSession, sf_dir: str, profile: Profile,
         # the staging table (K2) of the jobs: built once, read by every merge step
         staged = materialize(staged_fact(spark, sf_dir, profile, b, dims, shuffle=shuffle))
         fact = upsert_fact(fact, staged, profile, run.run_ts,
-                           source_fits=False if shuffle else None, seq=fact_seq)
+                           strategy="merge" if shuffle else None, seq=fact_seq)
         if i < len(batches) - 1:
             fact = materialize(fact)
     return fact

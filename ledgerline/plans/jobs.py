@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.timestamps import new_stamp, stamp_to_text
 from ledgerline.operators import gates as G
-from ledgerline.operators.lookup import BROADCAST_MAX_ROWS, fits_broadcast, lookup_keys
+from ledgerline.operators.lookup import lookup_keys
 from ledgerline.operators.scd2 import dim_schema, scd2_apply
 from ledgerline.operators.staging import stage_dimension, stage_sales
-from ledgerline.operators.upsert import WIDE_BROADCAST_MAX_ROWS, fact_schema, upsert_fact
+from ledgerline.operators.upsert import fact_schema, upsert_fact
 from ledgerline.plans.profiles import DIMENSIONS, GCP, PSQL, PSQL_LENGTHS, Profile
 from ledgerline.operators.sequence import KeySequence, max_key
 from ledgerline.plans.parallel import run_parallel
@@ -32,6 +32,7 @@ from ledgerline.sources.csv import force_all_columns, read_csv_by_name
 from ledgerline.sources.jdbc import read_jdbc_table, write_jdbc_table
 from ledgerline.sources.landing import batch_view, land_files
 from ledgerline.sources.registry import TableSpec, load_registry
+from ledgerline.session import materialize
 from ledgerline.sources.schemas import SOURCE_TABLES, source_schema
 
 # Schema names per profile.
@@ -47,14 +48,15 @@ class RunResult:
 
 def job_load_csv(spark: SparkSession, wh: Warehouse | None, files: dict[str, str],
                  profile: Profile = PSQL, db: str = "public", jdbc_url: str | None = None,
-                 jdbc_properties: dict | None = None) -> dict[str, int]:
+                 jdbc_properties: dict | None = None, multi_line: bool = False) -> dict[str, int]:
     """CSV by name -> cleaning -> full refresh of each source table, into
     warehouse snapshots or, with ``jdbc_url``, into the source database
     (TRUNCATE keeps the table definition, then batched INSERTs from every
-    task). Every file is parsed and gated before anything is replaced."""
+    task). Every file is parsed and gated before anything is replaced.
+    ``multi_line``: quoted fields may hold line breaks (files are not split)."""
     frames = {}
     for table, path in files.items():
-        df = read_csv_by_name(spark, path, source_schema(table, profile))
+        df = read_csv_by_name(spark, path, source_schema(table, profile), multi_line=multi_line)
         if force_all_columns(df) == 0:  # parses every column: FAILFAST applies
             raise G.GateError(f"{table}: no rows in {path}")
         frames[table] = df
@@ -74,83 +76,41 @@ def _source_gates(df: DataFrame, table: str, key: str) -> int:
     return G.require_batch_key(df, [key], table)
 
 
-# Most distinct partition values a run may touch before the fact is
-# rewritten whole instead (the list of touched dates goes to the driver).
-MAX_TOUCHED_PARTITIONS = 20_000
-
-
 def merge_fact_partitions(spark: SparkSession, wh: Warehouse, profile: Profile, fname: str,
-                          staged: DataFrame, run_ts: str, gates=None,
-                          batch_rows: int | None = None) -> list | None:
+                          staged: DataFrame, run_ts: str, gates=None) -> str:
     """Fact upsert that rewrites only the touched ``sale_date_key`` partitions.
 
-    Touched = dates of the staged rows and current dates of the fact rows
-    they match (a gcp update may move a row to another date). The match is a
-    semi join of the fact's id column (the date is the partition folder),
-    restricted to partitions the batch does not already touch, and with a
-    batch that fits a broadcast, no shuffle of the fact.
+    Touched = dates of the staged rows and current dates of the fact rows they
+    match (a gcp update may move a row to another date), kept as a DataFrame.
+    The last sequence key is recorded before the rows are published, so a run
+    that stops in between leaves a gap and never a key used twice.
     """
-    table = PartitionedTable(wh, fname, "sale_date_key", profile.fact_cluster_by)
-    cols = fact_schema(profile).names
+    schema = fact_schema(profile)
+    table = PartitionedTable(wh, fname, "sale_date_key", schema, profile.fact_cluster_by)
     sequence = profile.fact_key_kind == "sequence"
-    written_max = []
 
-    def gates_and_max(copy: DataFrame) -> None:
+    def check(written: DataFrame) -> None:
+        G.require_unique(written, ["id"], fname)  # C3: moved ids have all their dates here
         if gates is not None:
-            gates(copy)
+            gates(written)
         if sequence:  # every new key lies in the rewritten partitions
-            written_max.append(max_key(copy, "sales_key"))
+            last = max_key(written, "sales_key")
+            wh.write_sequence(fname, max(last, wh.read_sequence(fname) or 0))
 
     if not table.exists():
-        merged = upsert_fact(wh.spark.createDataFrame([], fact_schema(profile)), staged,
-                             profile, run_ts, key_start=0)
-        table.write(merged, None, gates_and_max)
-        if sequence:
-            wh.write_sequence(fname, written_max[0])
-        return None
-    fact = table.read(cols)
-    col = F.col("sale_date_key")
-    # 1. dates the batch writes to (batch-sized distinct)
-    batch_dates = [r[0] for r in staged.select("sale_date_key").distinct()
-                   .limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
-    touched = None
-    if len(batch_dates) <= MAX_TOUCHED_PARTITIONS:
-        # 2. current dates of matched fact rows, probed only in partitions the
-        # batch does not already touch (partition pruning on NOT IN); if the
-        # batch covers every date, nothing is scanned
-        known = [d for d in batch_dates if d is not None]
-        other = col.isNotNull() & ~col.isin(known) if known else col.isNotNull()
-        if None not in batch_dates:  # the NULL-date partition is not touched yet
-            other = other | col.isNull()
-        ids = staged.select("id")
-        small = (batch_rows <= BROADCAST_MAX_ROWS if batch_rows is not None
-                 else fits_broadcast(ids))
-        ids = F.broadcast(ids) if small else ids
-        moved_from = (fact.filter(other).select("id", "sale_date_key")
-                      .join(ids, "id", "left_semi").select("sale_date_key").distinct())
-        extra = [r[0] for r in moved_from.limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
-        touched = list(dict.fromkeys(batch_dates + extra))
-        if len(touched) > MAX_TOUCHED_PARTITIONS:
-            touched = None
-    if touched is None:
-        target = fact  # rewrite every partition
-    else:
-        keep = col.isin([d for d in touched if d is not None])
-        if None in touched:
-            keep = keep | col.isNull()
-        target = fact.filter(keep)  # partition pruning
+        merged = upsert_fact(spark.createDataFrame([], schema), staged, profile, run_ts,
+                             key_start=wh.read_sequence(fname) or 0 if sequence else 0)
+        return table.write(merged, None, check)
+    moved_from = (table.read(["id", "sale_date_key"]).join(staged.select("id"), "id", "left_semi")
+                  .select("sale_date_key"))
+    touched = materialize(staged.select("sale_date_key").unionByName(moved_from).distinct())
     start = None
     if sequence:
-        # the recorded sequence value avoids scanning the whole fact's keys
         start = wh.read_sequence(fname)
         if start is None:
-            start = max_key(fact, "sales_key")
-    wide_ok = batch_rows <= WIDE_BROADCAST_MAX_ROWS if batch_rows is not None else None
-    merged = upsert_fact(target, staged, profile, run_ts, key_start=start, source_fits=wide_ok)
-    table.write(merged, touched, gates_and_max)
-    if sequence:
-        wh.write_sequence(fname, max(start, written_max[0]))
-    return touched
+            start = max_key(table.read(["sales_key"]), "sales_key")
+    merged = upsert_fact(table.read(touched=touched), staged, profile, run_ts, key_start=start)
+    return table.write(merged, touched, check)
 
 
 def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
@@ -163,19 +123,19 @@ def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
     # every batch gate passes before anything is written
     keys_of = {spec.source_table: spec.natural_id for spec in DIMENSIONS.values()}
     keys_of["sales"] = "sale_id"
-    counts = run_parallel({t: (lambda t=t: _source_gates(sources[t], t, keys_of[t]))
-                           for t in keys_of})
+    run_parallel({t: (lambda t=t: _source_gates(sources[t], t, keys_of[t])) for t in keys_of})
 
     def load_dimension(spec):
         src = sources[spec.source_table]
-        n_batch = counts[spec.source_table]
         staged = wh.stage_table(stage_dimension(src, spec, profile, run_ts, stamp),
                                 f"{stage_db}.dim_{spec.name}")
         name = f"{dwh_db}.dim_{spec.name}"
         dim = wh.read_or_empty(name, dim_schema(spec, profile))
-        seq = KeySequence(wh.read_sequence(name) if wh.exists(name) else 0)
-        new = scd2_apply(dim, staged, spec, profile, run_ts, stamp,
-                         batch_fits=n_batch <= BROADCAST_MAX_ROWS, seq=seq)
+        seq = KeySequence(wh.read_sequence(name) if wh.exists(name) else wh.read_sequence(name) or 0)
+        new = scd2_apply(dim, staged, spec, profile, run_ts, stamp, seq=seq)
+        if profile.dim_key_kind == "sequence" and seq.value is not None:
+            # before publishing: a stopped run leaves a gap, never a key used twice
+            wh.write_sequence(name, seq.value)
         keys = profile.match_keys(spec)
 
         def dim_gates(w):
@@ -193,8 +153,6 @@ def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
         version = wh.write_snapshot(new, name, profile.dim_partition_by, cluster,
                                     gates=dim_gates, split_by=("id",),
                                     bucket_by=bucket_by, buckets=wh.buckets())
-        if profile.dim_key_kind == "sequence" and seq.value is not None:
-            wh.write_sequence(name, seq.value)
         return name, version
 
     # the dimensions are independent: their jobs run side by side
@@ -203,7 +161,6 @@ def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
                         max_workers=None if parallel else 1)
     versions.update(dict(done.values()))
     sales = sources["sales"]
-    n_sales = counts["sales"]
     dims = {n: wh.read(f"{dwh_db}.dim_{n}") for n in DIMENSIONS}
     staged = wh.stage_table(stage_sales(lookup_keys(sales, dims, profile), profile, run_ts, stamp),
                             f"{stage_db}.fact_sales")
@@ -212,27 +169,32 @@ def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
 
     def fact_gates(w):
         G.require_not_null(w, ["sales_key", "id", "source_system"], "fact_sales")
-        if deep_gates:
-            G.require_unique(w, ["id"], "fact_sales")  # C3
 
     if fact_mode == "partitions":
         versions[fname] = merge_fact_partitions(spark, wh, profile, fname, staged, run_ts,
-                                                fact_gates, batch_rows=n_sales)
+                                                fact_gates)
     else:
         fact = wh.read_or_empty(fname, fact_schema(profile))
         merged = upsert_fact(fact, staged, profile, run_ts)
+
+        def snapshot_gates(w):
+            G.require_unique(w, ["id"], fname)  # C3
+            fact_gates(w)
+
         versions[fname] = wh.write_snapshot(merged, fname, profile.fact_partition_by,
-                                            profile.fact_cluster_by, gates=fact_gates,
+                                            profile.fact_cluster_by, gates=snapshot_gates,
                                             split_by=("id",))
     return RunResult(stamp, run_ts, versions)
 
 
 def read_fact(wh: Warehouse, profile: Profile, fact_mode: str = "partitions") -> DataFrame:
     fname = f"{SCHEMAS[profile.name][2]}.fact_sales"
-    cols = fact_schema(profile).names
+    schema = fact_schema(profile)
     if fact_mode == "partitions":
-        return PartitionedTable(wh, fname, "sale_date_key").read(cols)
-    return wh.read(fname).select(*cols)
+        table = PartitionedTable(wh, fname, "sale_date_key", schema)
+        table.exists()  # a new session re-attaches the list of partitions
+        return table.read()
+    return wh.read(fname).select(*schema.names)
 
 
 def job_psql(spark: SparkSession, wh: Warehouse, url: str, run_ts: str,

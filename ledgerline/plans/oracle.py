@@ -226,15 +226,18 @@ def sales_all_sql(p: Profile) -> str:
 
 def sales_batch_sql(p: Profile, batch: str) -> str:
     s = sales_all_sql(p)
+    if batch == "all":
+        return s
     if batch == "b1":
         return f"SELECT * FROM ({s}) s WHERE sale_id % 4 <> 0"
     idt = _sqltype(p.id_type)
     return (f"SELECT * REPLACE (CASE WHEN sale_id % 6 = 0 THEN sale_date + INTERVAL 1 DAY "
             f"ELSE sale_date END AS sale_date, CAST(quantity + 1 AS {idt}) AS quantity, "
-            f"{_t('2024-01-02 00:00:00')} AS updated_at) FROM ({s}) s WHERE sale_id % 3 = 0")
+            f"{_t('2024-01-02 00:00:00')} AS updated_at) FROM ({s}) s WHERE sale_id % 3 = 0 OR sale_id % 4 = 0")
 
 
-def fact_stage_ctes(p: Profile, batch: str, dims: dict[str, str], out: str) -> list[str]:
+def fact_stage_ctes(p: Profile, batch: str, dims: dict[str, str], out: str,
+                    sales: str | None = None) -> list[str]:
     how = "LEFT JOIN" if p.lookup_how == "left" else "JOIN"
     joins = []
     for name, alias in (("customer", "dc"), ("product", "dp"), ("store", "ds")):
@@ -252,7 +255,7 @@ def fact_stage_ctes(p: Profile, batch: str, dims: dict[str, str], out: str) -> l
         cols.append("created_at")
     cols += [f"{upd} AS updated_at", f"{_load(p, batch)} AS dwh_load_date"]
     return [f"{out}_k AS (SELECT s.*, dc.customer_key, dp.product_key, ds.store_key "
-            f"FROM ({sales_batch_sql(p, batch)}) s {' '.join(joins)})",
+            f"FROM ({sales_batch_sql(p, sales or batch)}) s {' '.join(joins)})",
             f"{out} AS (SELECT {', '.join(cols)} FROM {out}_k)"]
 
 
@@ -315,10 +318,10 @@ def _empty_fact(p: Profile) -> str:
 def fact_stage_sql(p: Profile) -> str:
     ctes, dims = [], {}
     for name, spec in DIMENSIONS.items():
-        c, last = dim_chain(spec, p, ("b1",), f"{name[0]}d")
+        c, last = dim_chain(spec, p, ("b1", "b2"), f"{name[0]}d")
         ctes += c
         dims[name] = last
-    ctes += fact_stage_ctes(p, "b1", dims, "fs1")
+    ctes += fact_stage_ctes(p, "b2", dims, "fs1", sales="all")
     return _with(ctes, "SELECT * FROM fs1")
 
 
@@ -374,12 +377,12 @@ def surrogate_sequence_sql() -> str:
 
 
 def surrogate_hash_sql() -> str:
-    stg = stage_sql(DIMENSIONS["customer"], GCP, "b1")
-    return f"SELECT id, md5(id || '|' || '{RUNS['b1'].stamp}') AS customer_key FROM ({stg}) s"
+    stg = stage_sql(DIMENSIONS["customer"], GCP, "b2")
+    return f"SELECT id, md5(id || '|' || '{RUNS['b2'].stamp}') AS customer_key FROM ({stg}) s"
 
 
 def row_count_sql() -> str:
-    parts = [f"SELECT '{t}' AS table_name, CAST(COUNT(*) AS BIGINT) AS n FROM ({source_sql(t, 'b1', PSQL)}) x"
+    parts = [f"SELECT '{t}' AS table_name, CAST(COUNT(*) AS BIGINT) AS n FROM ({source_sql(t, 'b2', PSQL)}) x"
              for t in ("customers", "products", "stores")]
     parts.append(f"SELECT 'sales' AS table_name, CAST(COUNT(*) AS BIGINT) AS n FROM ({sales_all_sql(PSQL)}) x")
     return " UNION ALL ".join(parts)

@@ -75,8 +75,8 @@ def clean_values_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def fact_stage(profile, shuffle: bool = False) -> Query:
     def q(spark, sf):
-        dims = all_dimensions_after(spark, sf, profile, ("b1",), shuffle=shuffle)
-        return staged_fact(spark, sf, profile, "b1", dims, shuffle=shuffle)
+        dims = all_dimensions_after(spark, sf, profile, ("b1", "b2"), shuffle=shuffle)
+        return staged_fact(spark, sf, profile, "b2", dims, shuffle=shuffle, sales_batch="all")
     return q
 
 
@@ -91,12 +91,12 @@ def surrogate_sequence(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def surrogate_hash(spark: SparkSession, sf: str) -> DataFrame:
-    stage = staged_dimension(spark, sf, CUSTOMER, GCP, "b1")
-    return stage.select("id", hash_key("id", RUNS["b1"].stamp).alias("customer_key"))
+    stage = staged_dimension(spark, sf, CUSTOMER, GCP, "b2")
+    return stage.select("id", hash_key("id", RUNS["b2"].stamp).alias("customer_key"))
 
 
 def row_count_gate(spark: SparkSession, sf: str) -> DataFrame:
-    tables = {t: dimension_source(spark, sf, t, "b1", PSQL)
+    tables = {t: dimension_source(spark, sf, t, "b2", PSQL)
               for t in ("customers", "products", "stores")}
     tables["sales"] = sales_all(spark, sf, PSQL)
     return row_counts(tables)

@@ -2,7 +2,7 @@
 
 Parquet tables take no MERGE/UPDATE, and a path cannot be overwritten while
 it is being read, so every write of a table is a new version folder
-``<root>/<db>/<table>/v<N>``:
+``<root>/<db>/<table>/v<N>-<attempt>``:
 
 1. write the new version (layout: partition columns via ``partitionBy``,
    cluster columns via range partitioning + sort, so row groups carry tight
@@ -13,7 +13,7 @@ it is being read, so every write of a table is a new version folder
 4. drop versions older than the last ``keep``.
 
 A crash before step 3 leaves readers on the previous version. Step 3 also
-creates an empty marker file ``CURRENT-<N>`` next to the versions, so a new
+creates an empty marker file ``CURRENT-<N>-<attempt>`` next to the versions, so a new
 session without a persistent metastore re-attaches the published version
 (the highest marker), never an unpublished folder.
 """
@@ -78,18 +78,19 @@ class Warehouse:
         db, table = name.split(".", 1) if "." in name else ("default", name)
         return f"{self.root}/{db}/{table}"
 
-    def _markers(self, name: str) -> list[int]:
+    def _markers(self, name: str) -> list[tuple[int, str]]:
+        """(version, attempt) of the published versions, rising."""
         fs, path = self._fs(self.table_root(name) + "/CURRENT-*")
-        found = fs.globStatus(path) or []
-        return sorted(int(st.getPath().getName().split("-", 1)[1]) for st in found)
+        found = [st.getPath().getName().split("-") for st in fs.globStatus(path) or []]
+        return sorted((int(v), attempt) for _, v, attempt in found)
 
     def _attach(self, name: str) -> bool:
         """Publish the last marked version in this session's catalog."""
         marks = self._markers(name)
         if not marks:
             return False
-        version = marks[-1]
-        path = self.version_path(name, version)
+        version, attempt = marks[-1]
+        path = f"{self.version_path(name, version)}-{attempt}"
         db = self.q(name).split(".", 1)[0]
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
         spec = self._bucket_spec(name, version)
@@ -97,7 +98,7 @@ class Warehouse:
             self._publish(name, path, version)
         else:  # re-create the bucketed version table over its files
             n, cols = spec
-            vtable = self._version_table(name, version)
+            vtable = self._version_table(name, version, attempt)
             keys = ", ".join(f"`{c}`" for c in cols)
             schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                                for f in self.spark.read.parquet(path).schema.fields)
@@ -143,43 +144,52 @@ class Warehouse:
         version as a bucketed catalog table, so later joins on those columns
         do not shuffle this table; one file per bucket."""
         version = self.current_version(name) + 1
-        path = self.version_path(name, version)
-        if bucket_by and buckets and not partition_by:
-            vtable = self._version_table(name, version)
-            (df.repartition(buckets, *bucket_by).sortWithinPartitions(*bucket_by)
-             .write.mode("errorifexists").format("parquet").option("path", path)
-             .bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(vtable))
-            written = self.spark.table(vtable)
-            source = vtable
-            self._mark_buckets(name, version, buckets, bucket_by)
-        else:
-            layout = list(dict.fromkeys(list(partition_by) + list(cluster_by)))
-            if layout:
-                layout += [c for c in split_by if c not in layout]
-            out = df
-            if layout:
-                n = self.write_partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-                out = out.repartitionByRange(n, *layout).sortWithinPartitions(*layout)
-            w = out.write.mode("errorifexists")
-            if partition_by:
-                w = w.partitionBy(*partition_by)
-            w.parquet(path)
-            written = self.spark.read.parquet(path)
-            source = f"parquet.`{path}`"
-        if gates is not None:
-            gates(written)
+        attempt = uuid.uuid4().hex[:8]  # a failed attempt never blocks the next one
+        path = f"{self.version_path(name, version)}-{attempt}"
+        vtable = self._version_table(name, version, attempt)
+        try:
+            written, source = self._write_files(df, path, vtable, partition_by, cluster_by, split_by,
+                                                bucket_by, buckets)
+            if gates is not None:
+                gates(written)
+        except BaseException:
+            self.spark.sql(f"DROP TABLE IF EXISTS {vtable}")
+            self.delete_path(path)
+            raise
         cols = []
         for f in df.schema.fields:  # keep column order and partition column types
             c = f"`{f.name}`"
             cols.append(f"CAST({c} AS {f.dataType.simpleString()}) AS {c}"
                         if f.name in partition_by else c)
+        if source == vtable:
+            self._mark_buckets(name, version, buckets, bucket_by)
         self._publish(name, path, version, ", ".join(cols), source)
-        self._mark(name, version)
+        self._mark(name, version, attempt)
         self._expire(name, version)
         return version
 
-    def _version_table(self, name: str, version: int) -> str:
-        return f"{self.q(name)}__v{version}"
+    def _write_files(self, df, path, vtable, partition_by, cluster_by, split_by, bucket_by,
+                     buckets) -> tuple[DataFrame, str]:
+        """Write one version; returns it as read back and its name in SQL."""
+        if bucket_by and buckets and not partition_by:
+            (df.repartition(buckets, *bucket_by).sortWithinPartitions(*bucket_by)
+             .write.mode("errorifexists").format("parquet").option("path", path)
+             .bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(vtable))
+            return self.spark.table(vtable), vtable
+        layout = list(dict.fromkeys(list(partition_by) + list(cluster_by)))
+        out = df
+        if layout:
+            layout += [c for c in split_by if c not in layout]
+            n = self.write_partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            out = out.repartitionByRange(n, *layout).sortWithinPartitions(*layout)
+        w = out.write.mode("errorifexists")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+        return self.spark.read.parquet(path), f"parquet.`{path}`"
+
+    def _version_table(self, name: str, version: int, attempt: str) -> str:
+        return f"{self.q(name)}__v{version}_{attempt}"
 
     def _mark_buckets(self, name: str, version: int, buckets: int, cols: tuple[str, ...]) -> None:
         fs, path = self._fs(f"{self.table_root(name)}/BUCKETED-{version}-{buckets}-{'+'.join(cols)}")
@@ -224,20 +234,24 @@ class Warehouse:
         if old is not None and old != value:
             self.delete_path(f"{self.table_root(name)}/SEQUENCE-{old}")
 
-    def _mark(self, name: str, version: int) -> None:
-        fs, path = self._fs(f"{self.table_root(name)}/CURRENT-{version}")
+    def _mark(self, name: str, version: int, attempt: str) -> None:
+        fs, path = self._fs(f"{self.table_root(name)}/CURRENT-{version}-{attempt}")
         fs.create(path, True).close()
 
     def _expire(self, name: str, version: int) -> None:
-        for v in range(1, version - self.keep + 1):
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._version_table(name, v)}")
-            self.delete_path(self.version_path(name, v))
-            fs, pattern = self._fs(f"{self.table_root(name)}/BUCKETED-{v}-*")
-            for st in fs.globStatus(pattern) or []:
-                fs.delete(st.getPath(), False)
-        for v in self._markers(name):
+        """Drop versions older than the last ``keep`` and outdated markers."""
+        fs, pattern = self._fs(f"{self.table_root(name)}/v*")
+        for st in fs.globStatus(pattern) or []:
+            v, _, attempt = st.getPath().getName()[1:].partition("-")
+            if v.isdigit() and int(v) <= version - self.keep:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._version_table(name, int(v), attempt)}")
+                fs.delete(st.getPath(), True)
+                _, marks = self._fs(f"{self.table_root(name)}/BUCKETED-{v}-*")
+                for m in fs.globStatus(marks) or []:
+                    fs.delete(m.getPath(), False)
+        for v, attempt in self._markers(name):
             if v < version:
-                self.delete_path(f"{self.table_root(name)}/CURRENT-{v}")
+                self.delete_path(f"{self.table_root(name)}/CURRENT-{v}-{attempt}")
 
     def _fs(self, path: str):
         """Hadoop file system and path object for any scheme (file, hdfs, s3a...)."""
@@ -258,53 +272,68 @@ class Warehouse:
 
 
 class PartitionedTable:
-    """A fact kept as one partitioned catalog table, rewritten per partition.
-
-    Used where a full snapshot per run would not scale (the fact): a run
-    rewrites only the partitions it touches. Steps: write the merged rows of
-    the touched partitions to a staged copy in the shared folder (so the
-    overwrite never reads the table it replaces), gate the copy, then
-    ``INSERT OVERWRITE`` with dynamic partition overwrite (only partitions
-    present in the copy are replaced), and drop touched partitions that came
-    out empty (rows that moved to another date). Atomic per partition, not
-    per table: the trade against rewriting the whole fact every day.
+    """A fact rewritten by partition and published in one step.
+
+    Used where a full snapshot per run would not scale (the fact). Every run
+    adds its rows under a folder of its own, ``data/load_run=<run>/<col>=<v>``;
+    a small snapshot table, ``<name>__parts`` (partition value, run), says
+    which run's folder holds a partition now. A write
+
+    1. writes the merged rows of the touched partitions to the new run's
+       folder (nothing reads it yet);
+    2. gates what was written (unique ids included);
+    3. publishes the new list of partitions: the old one without the touched
+       values, and the values the run wrote. That is one catalog update, so
+       readers see all moved rows in their old or all in their new partition.
+
+    A crash before step 3 leaves a folder that no list names. Touched values
+    stay a DataFrame throughout, NULL is a partition like any other, and a
+    value that came out empty simply leaves the list.
     """
 
-    def __init__(self, wh: Warehouse, name: str, partition_col: str,
+    RUN = "load_run"
+
+    def __init__(self, wh: Warehouse, name: str, partition_col: str, schema: T.StructType,
                  cluster_by: tuple[str, ...] = (), split_by: tuple[str, ...] = ("id",)):
         self.wh, self.name, self.col, self.cluster_by = wh, name, partition_col, cluster_by
         self.split_by = split_by  # spreads a hot partition value over many tasks
-        self.spark = wh.spark
-
-    @property
-    def qname(self) -> str:
-        return self.wh.q(self.name)
+        self.schema, self.spark = schema, wh.spark
+        self.parts = f"{name}__parts"
 
     @property
     def location(self) -> str:
         return self.wh.table_root(self.name) + "/data"
 
     def exists(self) -> bool:
-        if self.spark.catalog.tableExists(self.qname):
-            return True
-        if self.wh.path_exists(self.wh.table_root(self.name) + "/CREATED"):
-            # new session, no persistent metastore: re-attach the folder
-            db = self.qname.split(".", 1)[0]
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
-            self.spark.sql(f"CREATE TABLE {self.qname} USING parquet LOCATION '{self.location}'")
-            self.spark.sql(f"ALTER TABLE {self.qname} RECOVER PARTITIONS")
-            return True
-        return False
-
-    def read(self, columns: list[str] | None = None) -> DataFrame:
-        df = self.spark.table(self.qname)
-        return df.select(*columns) if columns else df
-
-    def partition_values(self) -> list[str]:
-        """Current partition values, from the catalog (no data scan)."""
-        rows = self.spark.sql(f"SHOW PARTITIONS {self.qname}").collect()
-        prefix = f"{self.col}="
-        return [r[0][len(prefix):] for r in rows if r[0].startswith(prefix)]
+        found = self.wh.exists(self.parts)
+        if found and not self.spark.catalog.tableExists(self.wh.q(self.name)):
+            self._create_view()
+        return found
+
+    def _create_view(self) -> None:
+        """The table by name, for SQL users; it follows the list of partitions."""
+        cols = ", ".join(f"CAST(d.`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                         for f in self.schema.fields)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.wh.q(self.name)} AS SELECT {cols} "
+                       f"FROM parquet.`{self.location}` d LEFT SEMI JOIN {self.wh.q(self.parts)} p "
+                       f"ON d.{self.RUN} = p.{self.RUN} AND d.`{self.col}` <=> p.`{self.col}`")
+
+    def _data(self) -> DataFrame:
+        schema = T.StructType([*self.schema.fields, T.StructField(self.RUN, T.StringType())])
+        return self.spark.read.schema(schema).parquet(self.location)
+
+    def read(self, columns: list[str] | None = None, touched: DataFrame | None = None) -> DataFrame:
+        """The published rows; with ``touched`` (a column of partition values)
+        only those partitions."""
+        live = self.wh.read(self.parts)
+        if touched is not None:
+            t = touched.select(F.col(self.col).alias("_t"))
+            live = live.join(t, live[self.col].eqNullSafe(t["_t"]), "left_semi")
+        # the filter marks the list as selective: its runs prune the folders at run time
+        live = live.where(F.col(self.RUN) >= "r").select(F.col(self.RUN).alias("_r"), F.col(self.col).alias("_p"))
+        d = self._data()
+        rows = d.join(live, (d[self.RUN] == live["_r"]) & d[self.col].eqNullSafe(live["_p"]), "left_semi")
+        return rows.select(*(columns or self.schema.names))
 
     def _layout(self, df: DataFrame) -> DataFrame:
         layout = [self.col] + list(self.cluster_by)
@@ -312,39 +341,35 @@ class PartitionedTable:
         n = self.wh.write_partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         return df.repartitionByRange(n, *layout).sortWithinPartitions(*layout)
 
-    def write(self, df: DataFrame, touched: list | None,
-              gates: Callable[[DataFrame], None] | None = None) -> None:
-        """``touched``: partition values this write owns (None: all)."""
-        run_id = uuid.uuid4().hex
-        db, table = self.name.split(".", 1)
-        copy_path = f"{self.wh.root}/incoming/{self.wh.db_prefix}{db}/{table}/{run_id}"
-        self._layout(df).write.mode("errorifexists").parquet(copy_path)
-        staged = self.spark.read.parquet(copy_path)
+    def write(self, df: DataFrame, touched: DataFrame | None,
+              gates: Callable[[DataFrame], None] | None = None) -> str:
+        """``touched``: the partition values this write owns (None: all).
+        Returns the run's name."""
+        run = f"r{uuid.uuid4().hex}"
+        names = self.schema.names
+        (self._layout(df.select(*names)).withColumn(self.RUN, F.lit(run)).write.mode("append")
+         .partitionBy(self.RUN, self.col).parquet(self.location))
+        written = self._data().where(F.col(self.RUN) == run).select(*names)
         if gates is not None:
-            gates(staged)
-        layout = [self.col] + list(self.cluster_by)
-        if not self.exists():
-            (staged.sortWithinPartitions(*layout).write.partitionBy(self.col)
-             .format("parquet").option("path", self.location).saveAsTable(self.qname))
-            fs, marker = self.wh._fs(self.wh.table_root(self.name) + "/CREATED")
-            fs.create(marker, True).close()
-        else:
-            if touched is None:  # whole-table rewrite: every partition is touched
-                touched = self.partition_values()
-            cols = self.read().columns  # table order: partition column last
-            (staged.select(*cols).sortWithinPartitions(*layout).write
-             .insertInto(self.qname, overwrite=True))
-            if touched is not None:
-                present = {str(r[0]) for r in staged.select(self.col).distinct().collect()}
-                for v in {str(t) for t in touched if t is not None} - present:
-                    if v == "__HIVE_DEFAULT_PARTITION__":
-                        continue
-                    self.spark.sql(f"ALTER TABLE {self.qname} DROP IF EXISTS PARTITION "
-                                   f"({self.col} = '{v}')")
-                    # external table: the dropped partition's files go too
-                    self.wh.delete_path(f"{self.location}/{self.col}={v}")
-        self.spark.catalog.refreshTable(self.qname)
-        self.wh.delete_path(copy_path)
+            gates(written)
+        parts = written.select(self.col).distinct().withColumn(self.RUN, F.lit(run))
+        if touched is not None and self.exists():
+            t = touched.select(F.col(self.col).alias("_t"))
+            old = self.wh.read(self.parts)
+            parts = old.join(t, old[self.col].eqNullSafe(t["_t"]), "left_anti").unionByName(parts)
+        self.wh.write_snapshot(parts, self.parts)
+        if not self.spark.catalog.tableExists(self.wh.q(self.name)):
+            self._create_view()
+        return run
+
+    def vacuum(self) -> None:
+        """Remove the folders of runs that no partition names any more; to be
+        run when no reader holds an older list."""
+        live = {r[0] for r in self.wh.read(self.parts).select(self.RUN).distinct().collect()}  # one row a run
+        fs, pattern = self.wh._fs(f"{self.location}/{self.RUN}=*")
+        for st in fs.globStatus(pattern) or []:
+            if st.getPath().getName().split("=", 1)[1] not in live:
+                fs.delete(st.getPath(), True)
 
 
 def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:

@@ -37,6 +37,9 @@ def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"CSV lacks declared column(s) {missing}; has {df.columns}")
+    unknown = [c for c in df.columns if c not in schema.names]
+    if unknown:
+        raise ValueError(f"CSV has undeclared column(s) {unknown}; declared are {schema.names}")
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 

@@ -1,7 +1,7 @@
 """Batch landing under a run stamp, and the view over one batch.
 
-Layout: ``<root>/<stamp>/<table>/`` (CSV written by Spark, one folder per
-table). A stamp folder is never overwritten (``errorifexists``); a
+Layout: ``<root>/<stamp>/<table>/`` (the files as they came, or CSV written by
+Spark; one folder per table). A stamp folder is never overwritten; a
 ``LANDED`` marker (holding the stamp) is written last, so readers only trust
 complete batches. (Not ``_``-prefixed: Spark's file listing skips those.)
 """
@@ -13,6 +13,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ledgerline.plans.parallel import run_parallel
 from ledgerline.sources.csv import read_csv_by_position
 
 MARKER = "LANDED"
@@ -30,11 +31,28 @@ def land_batch(df: DataFrame, root: str, table: str, stamp: str) -> str:
 
 
 def land_files(spark: SparkSession, files: dict[str, str], root: str, stamp: str) -> dict[str, str]:
-    """Copy local/remote CSV files (table -> path) into the stamp folder."""
-    out = {}
-    for table, src in files.items():
-        df = spark.read.option("header", True).option("escape", '"').csv(src)
-        out[table] = land_batch(df, root, table, stamp)
+    """Copy CSV files (table -> path) byte for byte into the stamp folder.
+
+    The copy goes through the Hadoop file system of either path, so nothing is
+    parsed here: blanks, short rows and quoted line breaks reach the reader as
+    they were sent. A table's file is copied whole before it gets its name, and
+    the stamp is marked after the last one; an existing file is an error."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def copy(table: str, src: str) -> str:
+        source, folder = hadoop.Path(src), hadoop.Path(batch_path(root, stamp, table))
+        fs = folder.getFileSystem(conf)
+        target = hadoop.Path(folder, source.getName())
+        if fs.exists(target):
+            raise FileExistsError(target.toString())
+        part = hadoop.Path(folder, f"_{source.getName()}.part")
+        hadoop.FileUtil.copy(source.getFileSystem(conf), source, fs, part, False, True, conf)
+        if not fs.rename(part, target):
+            raise OSError(f"cannot publish {target.toString()}")
+        return folder.toString()
+
+    out = run_parallel({table: (lambda t=table, f=src: copy(t, f)) for table, src in files.items()})
     mark_landed(spark, root, stamp)
     return out
 
@@ -45,8 +63,8 @@ def mark_landed(spark: SparkSession, root: str, stamp: str) -> None:
 
 
 def batch_view(spark: SparkSession, root: str, stamp: str, table: str,
-               schema: T.StructType, view: str | None = None) -> DataFrame:
+               schema: T.StructType, view: str | None = None, multi_line: bool = False) -> DataFrame:
     """External-table equivalent: exactly one batch, bound by position."""
-    df = read_csv_by_position(spark, batch_path(root, stamp, table), schema)
+    df = read_csv_by_position(spark, batch_path(root, stamp, table), schema, multi_line)
     df.createOrReplaceTempView(view or table)
     return df

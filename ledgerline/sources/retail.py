@@ -126,14 +126,17 @@ def sales_all(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
 
 
 def sales_source(spark: SparkSession, sf_dir: str, batch: str, profile: Profile) -> DataFrame:
-    """Sales batch: day 1 has sale_id % 4 <> 0; day 2 re-sends sale_id % 3 = 0
-    with quantity + 1 and, where sale_id % 6 = 0, the sale one day later."""
+    """Sales batch: day 1 has sale_id % 4 <> 0; day 2 has all others, and
+    re-sends sale_id % 3 = 0. All of day 2 has quantity + 1 and, where
+    sale_id % 6 = 0, the sale one day later. "all": every sale as it is."""
+    if batch == "all":
+        return sales_all(spark, sf_dir, profile)
     s = sales_all(spark, sf_dir, profile)
     if batch == "b1":
         return s.filter(F.col("sale_id") % 4 != 0)
     if batch == "b2":
         sid = F.col("sale_id")
-        return (s.filter(sid % 3 == 0)
+        return (s.filter((sid % 3 == 0) | (sid % 4 == 0))
                 .withColumn("sale_date", F.when(sid % 6 == 0, F.col("sale_date") + F.expr("INTERVAL 1 DAY"))
                             .otherwise(F.col("sale_date")))
                 .withColumn("quantity", (F.col("quantity") + 1).cast(profile.id_type))

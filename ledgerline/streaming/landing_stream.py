@@ -1,26 +1,24 @@
 """Re-aimed trigger: run the gcp warehouse load for every newly landed batch.
 
-The reference runs its load from a scheduler. Here the trigger is a
+Instead of a scheduler the trigger is a
 Structured Streaming query over the ``LANDED`` markers under the landing
 root: the file source's checkpoint remembers which batches were processed,
 and ``foreachBatch`` runs the (batch) warehouse job once per new stamp, in
 stamp order. Only the stamps - one tiny row per landed batch - reach the
 driver; the load itself is the usual distributed job.
 
-Replays after a failure are safe: re-applying an already loaded batch adds
-no dimension version and rewrites the same fact rows.
+Replaying the batch that failed is safe: it adds no dimension version and
+rewrites the same fact rows. Which batches were loaded is known only from the
+checkpoint location, so that must be given and must last between restarts.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.plans.jobs import job_gcp_landed
 from ledgerline.plans.tables import Warehouse
-from ledgerline.session import scratch_root
 from ledgerline.sources.landing import MARKER
 from ledgerline.sources.schemas import SOURCE_TABLES
 
@@ -30,7 +28,7 @@ def landed_markers(spark: SparkSession, landing_root: str) -> DataFrame:
 
 
 def start_landing_stream(spark: SparkSession, wh: Warehouse, landing_root: str,
-                         checkpoint_location: str | None = None,
+                         checkpoint_location: str,
                          tables: tuple[str, ...] = SOURCE_TABLES,
                          available_now: bool = True,
                          interval: str = "1 minute") -> StreamingQuery:
@@ -42,9 +40,8 @@ def start_landing_stream(spark: SparkSession, wh: Warehouse, landing_root: str,
             job_gcp_landed(spark, wh, landing_root, stamp, tables)
             loaded.append(stamp)
 
-    ckpt = checkpoint_location or os.path.join(scratch_root(spark), "landing-stream")
     writer = (landed_markers(spark, landing_root).writeStream.foreachBatch(apply)
-              .option("checkpointLocation", ckpt).queryName("ledgerline_landing"))
+              .option("checkpointLocation", checkpoint_location).queryName("ledgerline_landing"))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=interval)
     q = writer.start()

@@ -1,6 +1,7 @@
 """S5 (JDBC copy, against in-process Derby: no server, no port), W1, W2, W3
 and the snapshot writer (D7)."""
 
+import glob
 import os
 from datetime import datetime
 
@@ -10,7 +11,7 @@ from ledgerline.operators.gates import GateError
 from ledgerline.plans.jobs import job_gcp, job_load_csv, job_psql
 from ledgerline.plans.tables import Warehouse
 from ledgerline.sources.jdbc import read_jdbc_table, write_jdbc_table
-from tests.fixtures import FILES, write_files
+from tests.fixtures import FILES, HEADERS, changed, write_files
 
 DERBY = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
 
@@ -34,56 +35,152 @@ def test_w1_then_w2(spark, tmpdir_path):
     files = write_files(os.path.join(tmpdir_path, "in"))
     job_load_csv(spark, wh, files)
     cust = {r.customer_id: r for r in wh.read("public.customers").collect()}
-    assert cust[2].address is None and cust[3].address == "5, Cedar Ln"
+    assert cust[42].address is None and cust[41].address == "Quay 4, Upper Town"
+    assert cust[47].name == 'Pia "P" Voss'
     # the loaded source tables become the JDBC source of the psql warehouse
     url = derby_url("w2src")
     for t in FILES:
         write_jdbc_table(wh.read(f"public.{t}"), url, t, DERBY, truncate=False)
-    r1 = job_psql(spark, wh, url, "2024-01-01 03:00:00", DERBY, partitions=2)
+    r1 = job_psql(spark, wh, url, "2024-03-13 03:00:00", DERBY, partitions=2)
     assert "dwh.fact_sales" in r1.versions
-    fact = {r.id: r for r in wh.read("dwh.fact_sales").collect()}
-    assert fact["emea_3"].store_key is None  # store 9 unknown: LEFT join keeps the sale
-    assert fact["emea_1"].updated_at == datetime(2023, 10, 1, 13)  # psql: the sale date
+    fact = {r.sales_id: r for r in wh.read("dwh.fact_sales").collect()}
+    assert fact[7009].store_key is None  # store 88 unknown: LEFT join keeps the sale
+    assert fact[7001].updated_at == datetime(2024, 3, 10, 12)  # psql: the sale date
     # unchanged re-run: no new dimension versions, same fact rows
-    job_psql(spark, wh, url, "2024-01-02 03:00:00", DERBY, partitions=2)
-    assert wh.read("dwh.dim_customer").count() == 3
-    assert wh.read("dwh.fact_sales").count() == 3
+    job_psql(spark, wh, url, "2024-03-14 03:00:00", DERBY, partitions=2)
+    assert wh.read("dwh.dim_customer").count() == 4
+    assert wh.read("dwh.fact_sales").count() == 4
     assert wh.current_version("dwh.dim_customer") == 2
 
 
+def gcp_run(spark, wh, folder, day, files=None):
+    """One gcp load of ``files``, landed under ``folder``."""
+    paths = write_files(os.path.join(folder, f"in{day}"), files)
+    return job_gcp(spark, wh, paths, os.path.join(folder, "landing"), now=datetime(2024, 3, day, 3, 0, 0))
+
+
+def facts(wh):
+    return sorted((r.sales_id, str(r.sale_date_key), r.sales_key) for r in wh.read("dwh.fact_sales").collect())
+
+
 def test_w3_gcp(spark, tmpdir_path):
     wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="w3_")
-    files = write_files(os.path.join(tmpdir_path, "in"))
-    landing = os.path.join(tmpdir_path, "landing")
-    r = job_gcp(spark, wh, files, landing, now=datetime(2024, 1, 1, 3, 0, 0))
-    assert r.stamp == "20240101030000"
-    fact = {r.id: r for r in wh.read("dwh.fact_sales").collect()}
-    assert set(fact) == {"global_1", "global_2"}  # store 9 unknown: INNER join drops it
-    assert fact["global_1"].sales_key == "1704078000_global_1"
+    r = gcp_run(spark, wh, tmpdir_path, 13)
+    assert r.stamp == "20240313030000"
+    before = facts(wh)
+    assert [f[0] for f in before] == [7001, 7002, 7005]  # store 88 unknown: INNER join drops it
     prod = {r.product_id: r for r in wh.read("dwh.dim_product").collect()}
-    assert str(prod[1].product_price) == "329.95"  # no truncation on this path
-    # a second run with one changed customer
-    files2 = dict(FILES)
-    files2["customers"] = FILES["customers"].replace("12 Birch Rd", "7 Elm Ct")
-    # sale 1 moves from 2023-10-01 to 2023-10-05: its old partition must go
-    files2["sales"] = FILES["sales"].replace("1,1,1,1,2023-10-01 13:00:00", "1,1,1,1,2023-10-05 13:00:00")
-    files2 = write_files(os.path.join(tmpdir_path, "in2"), files2)
-    r2 = job_gcp(spark, wh, files2, landing, now=datetime(2024, 1, 2, 3, 0, 0))
-    assert sorted(str(d) for d in r2.versions["dwh.fact_sales"]) == [
-        "2023-10-01", "2023-10-02", "2023-10-05"]
+    assert str(prod[900].product_price) == "1250.25"  # no truncation on this path
+    # a second run: one changed customer, and a sale that moves to another day
+    moved = changed("sales", "7005", sale_date="2024-03-15 09:05:00")
+    moved["customers"] = changed("customers", "60", address="Canal Row")["customers"]
+    gcp_run(spark, wh, tmpdir_path, 14, moved)
     dim = wh.read("dwh.dim_customer")
-    assert dim.count() == 4 and dim.filter("is_active").count() == 3
-    fact = {r.id: r for r in wh.read("dwh.fact_sales").collect()}
-    assert len(fact) == 2 and str(fact["global_1"].sale_date_key) == "2023-10-05"
-    assert fact["global_1"].sales_key == "1704078000_global_1"
-    parts = [r[0] for r in spark.sql("SHOW PARTITIONS w3_dwh.fact_sales").collect()]
-    assert not any("2023-10-01" in p for p in parts)
+    assert dim.count() == 5 and dim.filter("is_active").count() == 4
+    after = facts(wh)
+    assert after == [*before[:2], (7005, "2024-03-15", before[2][2])]
+
+
+def test_null_date_is_a_partition(spark, tmpdir_path):
+    """A sale without a date gets one, and loses it again: never two rows."""
+    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="nd_")
+    gcp_run(spark, wh, tmpdir_path, 13, changed("sales", "7002", sale_date=""))
+    assert [f[:2] for f in facts(wh)] == [(7001, "2024-03-10"), (7002, "None"), (7005, "2024-03-12")]
+    gcp_run(spark, wh, tmpdir_path, 14)
+    assert [f[:2] for f in facts(wh)] == [(7001, "2024-03-10"), (7002, "2024-03-10"), (7005, "2024-03-12")]
+    gcp_run(spark, wh, tmpdir_path, 15, changed("sales", "7002", sale_date=""))
+    assert [f[:2] for f in facts(wh)][1] == (7002, "None") and len(facts(wh)) == 3
+
+
+@pytest.mark.parametrize("step", ["write_snapshot", "_publish", "_mark", "_expire"])
+def test_crash_between_steps_then_rerun(spark, tmpdir_path, monkeypatch, step):
+    """A run that stops while the fact is published leaves the old rows; the
+    next run gives each id once."""
+    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix=f"cr{step.strip('_')}_")
+    gcp_run(spark, wh, tmpdir_path, 13)
+    moved = changed("sales", "7001", sale_date="2024-03-20 12:00:00")
+    whole = getattr(Warehouse, step)
+
+    def stop(self, *args, **kw):
+        if any(str(a).endswith("fact_sales__parts") for a in args):
+            raise RuntimeError("stopped")
+        return whole(self, *args, **kw)
+
+    monkeypatch.setattr(Warehouse, step, stop)
+    with pytest.raises(RuntimeError):
+        gcp_run(spark, wh, tmpdir_path, 14, moved)
+    monkeypatch.setattr(Warehouse, step, whole)
+    assert len(facts(wh)) == 3
+    gcp_run(spark, wh, tmpdir_path, 15, moved)
+    assert [f[:2] for f in facts(wh)] == [(7001, "2024-03-20"), (7002, "2024-03-10"), (7005, "2024-03-12")]
+
+
+def test_stopped_run_never_repeats_a_sequence_key(spark, tmpdir_path, monkeypatch):
+    from ledgerline.plans.jobs import job_warehouse
+    from ledgerline.plans.profiles import PSQL
+    from ledgerline.sources.retail import RUNS, dimension_source, sales_source
+    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="sk_")
+    sf = "/root/testdata/sf0.001"
+
+    def load(batch):
+        src = {t: dimension_source(spark, sf, t, batch, PSQL) for t in ("customers", "products", "stores")}
+        src["sales"] = sales_source(spark, sf, batch, PSQL)
+        job_warehouse(spark, wh, PSQL, src, RUNS[batch].run_ts, RUNS[batch].stamp, parallel=False)
+
+    load("b1")
+    whole = Warehouse._expire
+
+    def stop(self, name, version):
+        if name in ("dwh.dim_customer", "dwh.fact_sales__parts"):
+            raise RuntimeError("stopped")
+        return whole(self, name, version)
+
+    monkeypatch.setattr(Warehouse, "_expire", stop)
+    with pytest.raises(RuntimeError):
+        load("b2")
+    monkeypatch.setattr(Warehouse, "_expire", whole)
+    load("b2")
+    for name, key in (("dim_customer", "customer_key"), ("fact_sales", "sales_key")):
+        df = wh.read(f"dwh.{name}")
+        assert df.select(key).distinct().count() == df.count()
+    assert wh.read("dwh.fact_sales").select("id").distinct().count() == wh.read("dwh.fact_sales").count()
+
+
+def test_failed_gate_does_not_block_the_table(spark, tmpdir_path):
+    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="fg_")
+    wh.ensure_schemas("t")
+    for layout in ({}, {"bucket_by": ("id",), "buckets": 2}):
+        name = f"t.x{len(layout)}"
+
+        def refuse(df):
+            raise GateError("no")
+        for _ in range(2):
+            with pytest.raises(GateError):
+                wh.write_snapshot(spark.range(3), name, gates=refuse, **layout)
+        assert wh.write_snapshot(spark.range(4), name, **layout) == 1
+        assert wh.read(name).count() == 4
+
+
+def test_vacuum_removes_only_dead_runs(spark, tmpdir_path):
+    from ledgerline.plans.tables import PartitionedTable
+    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="va_")
+    wh.ensure_schemas("t")
+    rows = spark.range(10).selectExpr("CAST(id AS STRING) AS id", "CAST(id % 3 AS INT) AS d")
+    pt = PartitionedTable(wh, "t.fact", "d", rows.schema)
+    pt.write(rows, None)
+    pt.write(rows.where("d = 1"), rows.select("d").where("d = 1"))
+    pt.write(rows, None)
+    assert len(os.listdir(pt.location)) >= 3
+    pt.vacuum()
+    assert len(glob.glob(f"{pt.location}/load_run=*")) == 1
+    assert pt.read().count() == 10 and wh.read("t.fact").count() == 10
+    assert pt.read(touched=rows.select("d").where("d = 2")).count() == 3
 
 
 def test_empty_file_gate(spark, tmpdir_path):
     wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="w1_")
     files = write_files(os.path.join(tmpdir_path, "in"),
-                        {"customers": "customer_id,name,address,created_at,updated_at\n"})
+                        {"customers": HEADERS["customers"] + "\n"})
     with pytest.raises(GateError):
         job_load_csv(spark, wh, files)
     assert not wh.exists("public.customers")
@@ -97,7 +194,7 @@ def test_snapshot_versions_and_swap(spark, tmpdir_path):
                           "t.x", partition_by=("p",))
     assert wh.current_version("t.x") == 3 and wh.read("t.x").count() == 3
     assert wh.read("t.x").columns == ["id", "p"]
-    assert not os.path.exists(wh.version_path("t.x", 1))
+    assert not glob.glob(wh.version_path("t.x", 1) + "-*")
     with pytest.raises(GateError):
         def gate(df):
             raise GateError("no")
@@ -114,13 +211,13 @@ def test_reattach_in_new_catalog_state(spark, tmpdir_path):
     wh.ensure_schemas("t")
     wh.write_snapshot(spark.range(4).selectExpr("id"), "t.snap")
     wh.write_snapshot(spark.range(6).selectExpr("id"), "t.snap")
-    pt = PartitionedTable(wh, "t.fact", "d")
-    pt.write(spark.range(10).selectExpr("CAST(id AS STRING) AS id", "CAST(id % 3 AS INT) AS d"), None)
-    spark.sql("DROP VIEW ra_t.snap")
-    spark.sql("DROP TABLE ra_t.fact")  # external: files stay
+    rows = spark.range(10).selectExpr("CAST(id AS STRING) AS id", "CAST(id % 3 AS INT) AS d")
+    PartitionedTable(wh, "t.fact", "d", rows.schema).write(rows, None)
+    for view in ("snap", "fact", "fact__parts"):
+        spark.sql(f"DROP VIEW ra_t.{view}")
     wh2 = Warehouse(spark, root, db_prefix="ra_")
     assert wh2.current_version("t.snap") == 2 and wh2.read("t.snap").count() == 6
-    pt2 = PartitionedTable(wh2, "t.fact", "d")
+    pt2 = PartitionedTable(wh2, "t.fact", "d", rows.schema)
     assert pt2.exists() and pt2.read().count() == 10
 
 
@@ -172,43 +269,25 @@ def test_job_path_equals_oracle_checked_path(spark, tmpdir_path, pname):
 
 def test_w3_with_registry(spark, tmpdir_path):
     """The registry (S4) supplies the by-position schemas of the gcp load."""
+    import yaml
+
+    from ledgerline.plans.profiles import GCP
     from ledgerline.sources.registry import load_registry
+    from ledgerline.sources.schemas import source_schema
+    kinds = {"bigint": "INTEGER", "double": "FLOAT64", "string": "STRING", "timestamp_ntz": "TIMESTAMP"}
+    tables = [{t: {"type": "fact" if t == "sales" else "dimension",
+                   "schema_fields": [{"name": f.name, "type": kinds[f.dataType.simpleString()]}
+                                     for f in source_schema(t, GCP).fields]}} for t in FILES]
     reg_path = os.path.join(tmpdir_path, "public.yaml")
     with open(reg_path, "w") as fh:
-        fh.write(REGISTRY_YAML)
+        yaml.safe_dump({"tables": tables}, fh)
     reg = load_registry(reg_path)
     wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="rg_")
     files = write_files(os.path.join(tmpdir_path, "in"))
     r = job_gcp(spark, wh, {t: files[t] for t in reg}, os.path.join(tmpdir_path, "landing"),
-                now=datetime(2024, 1, 1, 3, 0, 0), registry=reg)
-    assert r.stamp == "20240101030000"
-    assert wh.read("dwh.fact_sales").count() == 2
-
-
-REGISTRY_YAML = """tables:
-  - customers:
-      type: dimension
-      schema_fields: [{'name': 'customer_id', 'type': 'INTEGER'}, {'name': 'name', 'type': 'STRING'},
-                      {'name': 'address', 'type': 'STRING'}, {'name': 'created_at', 'type': 'TIMESTAMP'},
-                      {'name': 'updated_at', 'type': 'TIMESTAMP'}]
-  - products:
-      type: dimension
-      schema_fields: [{'name': 'product_id', 'type': 'INTEGER'}, {'name': 'name', 'type': 'STRING'},
-                      {'name': 'category', 'type': 'STRING'}, {'name': 'price', 'type': 'FLOAT64'},
-                      {'name': 'created_at', 'type': 'TIMESTAMP'}, {'name': 'updated_at', 'type': 'TIMESTAMP'}]
-  - stores:
-      type: dimension
-      schema_fields: [{'name': 'store_id', 'type': 'INTEGER'}, {'name': 'name', 'type': 'STRING'},
-                      {'name': 'location', 'type': 'STRING'}, {'name': 'created_at', 'type': 'TIMESTAMP'},
-                      {'name': 'updated_at', 'type': 'TIMESTAMP'}]
-  - sales:
-      type: fact
-      schema_fields: [{'name': 'sale_id', 'type': 'INTEGER'}, {'name': 'customer_id', 'type': 'INTEGER'},
-                      {'name': 'product_id', 'type': 'INTEGER'}, {'name': 'store_id', 'type': 'INTEGER'},
-                      {'name': 'sale_date', 'type': 'TIMESTAMP'}, {'name': 'quantity', 'type': 'INTEGER'},
-                      {'name': 'total_amount', 'type': 'FLOAT'}, {'name': 'created_at', 'type': 'TIMESTAMP'},
-                      {'name': 'updated_at', 'type': 'TIMESTAMP'}]
-"""
+                now=datetime(2024, 3, 13, 3, 0, 0), registry=reg)
+    assert r.stamp == "20240313030000"
+    assert wh.read("dwh.fact_sales").count() == 3
 
 
 def test_bad_batch_writes_nothing(spark, tmpdir_path):
@@ -256,25 +335,59 @@ def test_w1_into_database_then_w2(spark, tmpdir_path):
     job_load_csv(spark, None, files, jdbc_url=url, jdbc_properties=DERBY)
     job_load_csv(spark, None, files, jdbc_url=url, jdbc_properties=DERBY)
     back = read_jdbc_table(spark, url, "customers", properties=DERBY)
-    assert back.count() == 3
+    assert back.count() == 4
     wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="w1db_")
-    job_psql(spark, wh, url, "2024-01-01 03:00:00", DERBY, partitions=2)
-    assert wh.read("dwh.fact_sales").count() == 3
+    job_psql(spark, wh, url, "2024-03-13 03:00:00", DERBY, partitions=2)
+    assert wh.read("dwh.fact_sales").count() == 4
 
 
-def test_whole_rewrite_fallback_drops_emptied_partitions(spark, tmpdir_path, monkeypatch):
-    """Past the touched-partition limit the fact is rewritten whole; a row
-    that moved must still leave its old partition."""
-    import ledgerline.plans.jobs as J
-    monkeypatch.setattr(J, "MAX_TOUCHED_PARTITIONS", 1)
-    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="fb_")
-    landing = os.path.join(tmpdir_path, "landing")
-    job_gcp(spark, wh, write_files(os.path.join(tmpdir_path, "in")), landing,
-            now=datetime(2024, 1, 1, 3, 0, 0))
-    moved = dict(FILES)
-    moved["sales"] = FILES["sales"].replace("1,1,1,1,2023-10-01 13:00:00", "1,1,1,1,2023-10-05 13:00:00")
-    r = job_gcp(spark, wh, write_files(os.path.join(tmpdir_path, "in2"), moved), landing,
-                now=datetime(2024, 1, 2, 3, 0, 0))
-    assert r.versions["dwh.fact_sales"] is None  # whole rewrite
-    fact = wh.read("dwh.fact_sales")
-    assert fact.count() == 2 and fact.filter("sale_date_key = DATE'2023-10-01'").count() == 0
+def test_landing_copies_bytes(spark, tmpdir_path):
+    """Blanks and quoted line breaks arrive as sent; a short row raises."""
+    from ledgerline.plans.profiles import GCP
+    from ledgerline.sources.landing import batch_view, land_files
+    from ledgerline.sources.schemas import source_schema
+    landing, schema = os.path.join(tmpdir_path, "landing"), source_schema("stores", GCP)
+    made = "2024-03-04 08:15:00"
+    body = f'{HEADERS["stores"]}\n3,"  Dock  ","two\nlines",{made},{made}\n'
+    paths = write_files(os.path.join(tmpdir_path, "a"), {"stores": body})
+    land_files(spark, paths, landing, "20240313030000")
+    with open(os.path.join(landing, "20240313030000", "stores", "stores.csv")) as fh:
+        assert fh.read() == body
+    got = batch_view(spark, landing, "20240313030000", "stores", schema, multi_line=True).collect()
+    assert [(r.name, r.location) for r in got] == [("  Dock  ", "two\nlines")]
+    with pytest.raises(Exception, match="exists|stores.csv"):
+        land_files(spark, paths, landing, "20240313030000")
+    short = write_files(os.path.join(tmpdir_path, "b"), {"stores": f'{HEADERS["stores"]}\n4,Short\n'})
+    land_files(spark, short, landing, "20240314030000")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        batch_view(spark, landing, "20240314030000", "stores", schema).collect()
+
+
+def test_w1_takes_quoted_line_breaks_and_rejects_unknown_columns(spark, tmpdir_path):
+    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="ml_")
+    made = "2024-03-04 08:15:00"
+    files = write_files(os.path.join(tmpdir_path, "in"), {"stores": f'{HEADERS["stores"]}\n3,Dock,"two\nlines",{made},{made}\n'})
+    job_load_csv(spark, wh, files, multi_line=True)
+    assert wh.read("public.stores").first().location == "two\nlines"
+    files = write_files(os.path.join(tmpdir_path, "in"), {"stores": f'{HEADERS["stores"]},colour\n3,Dock,x,{made},{made},red\n'})
+    with pytest.raises(ValueError, match="colour"):
+        job_load_csv(spark, wh, files)
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_null_keys_do_not_meet_in_one_task(spark, how):
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators.lookup import salted_join
+    left = spark.range(20_000).select("id", F.when(F.col("id") % 10 == 0, F.col("id") % 7).alias("k"))
+    right = spark.range(7).selectExpr("id AS rk", "id * 2 AS v")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = salted_join(left, right, "k", "rk", how, 100, ["id"])
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert out.count() == (20_000 if how == "left" else 2_000)
+        assert max(sizes) <= sum(sizes) / 3
+        assert out.where("k IS NOT NULL AND v <> 2 * k").count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)

@@ -1,57 +1,51 @@
-"""S4 registry and K10 parameterised SQL (the reference's own unit tests,
-re-aimed at our helpers)."""
-
-import os
+"""S4 table registry and K10 query text."""
 
 import pytest
 
 from ledgerline.plans.sql import read_sql_file, render_sql, run_sql
 from ledgerline.sources.registry import RegistryError, load_registry, parse_registry
 
-YAML = """tables:
-  - table1:
-      type: dimension
-      schema_fields: [{'name': 'col1', 'type': 'INTEGER', 'mode': 'NULLABLE'},
-                      {'name': 'col2', 'type': 'FLOAT64', 'mode': 'NULLABLE'}]
-  - table2:
-      type: fact
-      schema_fields: [{'name': 'col3', 'type': 'TIMESTAMP'}, {'name': 'col4', 'type': 'STRING'}]
-"""
-
-
-def test_registry(tmpdir_path):
-    p = os.path.join(tmpdir_path, "public.yaml")
-    with open(p, "w") as fh:
-        fh.write(YAML)
-    reg = load_registry(p)
-    assert list(reg) == ["table1", "table2"]
-    assert reg["table1"].as_tuple()[:3] == ("table1", ["col1", "col2"], "dimension")
-    assert reg["table2"].role == "fact"
-    assert [f.dataType.simpleString() for f in reg["table1"].schema.fields] == ["bigint", "double"]
-
-
-def test_registry_missing_or_empty(tmpdir_path):
-    with pytest.raises(RegistryError):
-        load_registry(os.path.join(tmpdir_path, "nope.yaml"))
+
+def entry(name, role, **fields):
+    return {name: {"type": role, "schema_fields": [{"name": n, "type": t} for n, t in fields.items()]}}
+
+
+def test_registry_keeps_order_roles_and_types(tmp_path):
+    import yaml
+    path = tmp_path / "warehouse.yaml"
+    path.write_text(yaml.safe_dump({"tables": [
+        entry("harbours", "dimension", code="INTEGER", depth="FLOAT64", label="STRING"),
+        entry("arrivals", "fact", ship="STRING", at="TIMESTAMP", tons="INTEGER")]}))
+    found = load_registry(str(path))
+    assert list(found) == ["harbours", "arrivals"]
+    assert [found[t].role for t in found] == ["dimension", "fact"]
+    assert found["harbours"].schema.simpleString() == "struct<code:bigint,depth:double,label:string>"
+    assert found["arrivals"].as_tuple()[1] == ["ship", "at", "tons"]
+
+
+@pytest.mark.parametrize("content", [{"tables": []}, {}, None])
+def test_registry_rejects_what_it_cannot_use(content):
     with pytest.raises(RegistryError):
-        parse_registry({"tables": []})
+        parse_registry(content)
 
 
-TEMPLATE = "SELECT id, '{time_stamp}' AS s FROM `{project_id}.staging.t`"
+def test_registry_file_must_exist(tmp_path):
+    with pytest.raises(RegistryError):
+        load_registry(str(tmp_path / "absent.yaml"))
 
 
-def test_render(tmpdir_path):
-    assert render_sql(TEMPLATE, project_id="p", time_stamp="20220901010101") == \
-        "SELECT id, '20220901010101' AS s FROM `p.staging.t`"
+def test_query_text(tmp_path):
+    path = tmp_path / "late.sql"
+    path.write_text("SELECT ship FROM {db}.arrivals WHERE at > TIMESTAMP '{since}'")
+    assert read_sql_file(str(path), db="dwh", since="2024-05-01 00:00:00") == \
+        "SELECT ship FROM dwh.arrivals WHERE at > TIMESTAMP '2024-05-01 00:00:00'"
     with pytest.raises(KeyError):
-        render_sql(TEMPLATE, project_id="p")
-    p = os.path.join(tmpdir_path, "empty.sql")
-    open(p, "w").close()
-    assert read_sql_file(p, project_id="x", time_stamp="y") == ""
+        render_sql("SELECT {what} FROM t", db="dwh")
+    path.write_text("")
+    assert read_sql_file(str(path), anything="unused") == ""
 
 
-def test_run_sql_named_parameters(spark):
-    spark.range(5).createOrReplaceTempView("nums")
-    df = run_sql(spark, "SELECT COUNT(*) AS n FROM IDENTIFIER(:t) WHERE id >= :lo",
-                 {"t": "nums", "lo": 2})
-    assert df.first().n == 3
+def test_named_parameters(spark):
+    spark.range(12).selectExpr("id AS tons").createOrReplaceTempView("arrivals_t")
+    got = run_sql(spark, "SELECT SUM(tons) AS s FROM IDENTIFIER(:t) WHERE tons % :step = 0", {"t": "arrivals_t", "step": 5})
+    assert got.first().s == 15
