@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +39,9 @@ from ledgerline.llm import textops
 from ledgerline.llm.common import checkpoint, partitions, ship_package, text_or_empty, with_row_id
 
 COUNTERS = 1 << 16
-CELLS = 128
+#: Hashed counts per document, and how many more a document of WIDE_FROM
+#: shingles on has; the wide vector folds into the narrow one.
+CELLS, WIDE_CELLS, WIDE_FROM = 64, 256, 2000
 #: Rows of a posting list that meet in one task.
 BLOCK_ROWS = 4096
 #: Estimated candidates beyond which the prefix grows by one more match.
@@ -127,30 +130,67 @@ def _postings(k: int, percent: int, counts: np.ndarray):
     return run
 
 
-def _sets(k: int):
+def _cells(k: int):
+    """(rid, cells): the vector of hashed counts of every text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rids = batch.column(0).to_numpy(zero_copy_only=False)
             for first, offs, data in textops.blocks(batch.column(1)):
                 grams, soffs = shingle_sets(data, offs, k)
-                docs = len(offs) - 1
-                doc = np.repeat(np.arange(docs), np.diff(soffs))
-                cells = np.bincount(doc * CELLS + (grams % np.uint64(CELLS)).astype(np.int64), minlength=docs * CELLS)
-                cells = np.minimum(cells, 255).astype(np.uint8).reshape(docs, CELLS)
+                docs, n = len(offs) - 1, np.diff(soffs)
+                doc = np.repeat(np.arange(docs), n)
+                at = doc * WIDE_CELLS + (grams % np.uint64(WIDE_CELLS)).astype(np.int64)
+                wide = np.bincount(at, minlength=docs * WIDE_CELLS).reshape(docs, WIDE_CELLS)
+                narrow = np.minimum(_fold(wide), 255).astype(np.uint8)
+                wide = np.minimum(wide, 255).astype(np.uint8)
+                cells = [(wide if n[i] >= WIDE_FROM else narrow)[i].tobytes() for i in range(docs)]
+                yield _batch("rid cells", rids[first:first + docs], pa.array(cells, pa.binary()))
+    return run
+
+
+def _fold(wide: np.ndarray) -> np.ndarray:
+    return wide.reshape(len(wide), WIDE_CELLS // CELLS, CELLS).sum(1)
+
+
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts (rid, text) compressed, for a join that moves them."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        yield _batch("rid text", batch.column(0), pa.array([squeeze(t.as_py().encode()) for t in batch.column(1)], pa.binary()))
+
+
+def _sets(k: int):
+    """(rid, shingles) of compressed texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            rids = batch.column(0).to_numpy(zero_copy_only=False)
+            texts = pa.array([unpack(t.as_py()) for t in batch.column(1)], pa.binary())
+            for first, offs, data in textops.blocks(texts):
+                grams, soffs = shingle_sets(data, offs, k)
                 sets = [grams[a:b].tobytes() for a, b in zip(soffs[:-1], soffs[1:], strict=True)]
-                yield _batch("rid shingles cells", rids[first:first + docs], pa.array(sets, pa.binary()),
-                             pa.array([c.tobytes() for c in cells], pa.binary()))
+                yield _batch("rid shingles", rids[first:first + len(sets)], pa.array(sets, pa.binary()))
     return run
 
 
 def _pairs(percent: int, max_lag: int | None):
     """Candidate pairs inside the groups of sorted rows (token, i, j, block,
-    rid, n, m, comp, cells): (a, b, need, distance)."""
+    rid, n, m, comp, cells): (a, b, need, distance). With ``max_lag``, pairs of
+    members further apart give only a row (rid, -1, ...) for each member."""
     def pairs(t: pa.Table):
         col = {c: t.column(c).to_numpy(zero_copy_only=False) for c in ("token", "i", "j", "block", "rid", "n", "m", "comp")}
-        cells = np.frombuffer(b"".join(t.column("cells").to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16)
-        live, lag = np.arange(len(cells)), 1
-        while len(live) and (max_lag is None or lag <= max_lag):
+        raw = [np.frombuffer(c, np.uint8) for c in t.column("cells").to_pylist()]
+        wide = np.flatnonzero([len(c) == WIDE_CELLS for c in raw])
+        wide_at = np.full(len(raw), -1)
+        wide_at[wide] = np.arange(len(wide))
+        wides = np.array([raw[i] for i in wide], np.int16).reshape(-1, WIDE_CELLS)
+        cells = np.zeros((len(raw), CELLS), np.int16)
+        small = np.flatnonzero(wide_at < 0)
+        if len(small):
+            cells[small] = np.concatenate([raw[i] for i in small]).reshape(-1, CELLS)
+        cells[wide] = np.minimum(_fold(wides), 255)
+        live, lag, further = np.arange(len(cells)), 1, []
+        while len(live):
             live = live[live + lag < len(cells)]
             x, y = live, live + lag
             near = (col["token"][x] == col["token"][y]) & (col["i"][x] == col["i"][y]) & (col["j"][x] == col["j"][y])
@@ -161,11 +201,21 @@ def _pairs(percent: int, max_lag: int | None):
             for a in range(0, len(x), 1 << 16):
                 p, q = x[a:a + (1 << 16)], y[a:a + (1 << 16)]
                 distance = np.abs(cells[p] - cells[q]).sum(1, dtype=np.int64)
+                both = np.flatnonzero((wide_at[p] >= 0) & (wide_at[q] >= 0))
+                if len(both):
+                    distance[both] = np.abs(wides[wide_at[p[both]]] - wides[wide_at[q[both]]]).sum(1, dtype=np.int64)
                 keep = (100 + percent) * distance <= (100 - percent) * (col["n"][p] + col["n"][q])
                 p, q = p[keep], q[keep]
-                if len(p):
-                    yield _batch("a b need distance", col["rid"][p], col["rid"][q], np.minimum(col["m"][p], col["m"][q]).astype(np.int64), distance[keep])
+                if not len(p):
+                    continue
+                if max_lag is not None and lag > max_lag:
+                    further += [col["rid"][p], col["rid"][q]]
+                    continue
+                yield _batch("a b need distance", col["rid"][p], col["rid"][q], np.minimum(col["m"][p], col["m"][q]).astype(np.int64), distance[keep])
             lag += 1
+        if further:
+            rid = np.unique(np.concatenate(further))
+            yield _batch("a b need distance", rid, np.full(len(rid), -1), np.zeros(len(rid), np.int64), np.zeros(len(rid), np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -223,21 +273,17 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def _candidates(live: DataFrame, comps: DataFrame, sets: DataFrame, percent: int, max_lag: int | None) -> DataFrame:
-    """Pairs (a, b, need, distance, shared) of different components."""
-    labels = sets.select("rid", "cells").join(comps, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
+def _candidates(live: DataFrame, labels: DataFrame, percent: int, max_lag: int | None) -> DataFrame:
+    """Rows (a, b, need, distance) of the lists of ``live`` (token, rid, n, m, c),
+    for the documents in ``labels`` (rid, cells, comp)."""
     rows = live.join(labels, "rid")
-    lists = live.join(labels.select("rid", "comp"), "rid").groupBy("token").agg(
-        F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token", "c")
-    rows = rows.join(lists, "token")
-    blocks = F.ceil(F.col("c") / BLOCK_ROWS).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("blocks", F.ceil(F.col("c") / BLOCK_ROWS).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rows = rows.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
                        "rid", "n", "m", "comp", "cells")
     dealt = rows.repartition(partitions(live), "token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "rid")
-    pairs = dealt.mapInArrow(_pairs(percent, max_lag), "a long, b long, need long, distance long")
-    return pairs.groupBy("a", "b").agg(F.min("need").alias("need"), F.min("distance").alias("distance"), F.count("*").alias("shared"))
+    return dealt.mapInArrow(_pairs(percent, max_lag), "a long, b long, need long, distance long")
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -262,22 +308,26 @@ def join(docs: DataFrame, shingle: int = 3, percent: int = 90, id_col: str = "do
     firsts = checkpoint(sizes.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("rid").alias("rep"), F.count("*").alias("c")))
 
     postings = texts.mapInArrow(_postings(shingle, percent, counts), "token long, rid long, n long, m long")
-    twice = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+    twice = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
+    live = checkpoint(postings.join(twice, "token").select("token", "rid", "n", "m", F.col("c").cast("int").alias("c")))
     copies = sizes.join(firsts.where("c > 1"), ["n", "h1", "h2"]).where("rid <> rep").select("rid")
-    live = checkpoint(postings.join(twice, "token", "left_semi").join(copies, "rid", "left_anti"))
-    wanted = live.select("rid").distinct()
-    sets = checkpoint(texts.join(wanted, "rid", "left_semi").mapInArrow(_sets(shingle), "rid long, shingles binary, cells binary"))
-
-    none = live.sparkSession.createDataFrame([], "rid long, comp long")
-    # round 1: list neighbours, of which each document tries its two likeliest
-    near = _candidates(live, none, sets, percent, 2)
-    best = near.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy("distance", "a"))).where("r <= 2")
+    cells = texts.mapInArrow(_cells(shingle), "rid long, cells binary").join(copies, "rid", "left_anti")
+
+    # round 1: list neighbours, of which each document tries its two likeliest;
+    # documents with candidates further off in a list are named for round 2
+    near = checkpoint(_candidates(live, cells.withColumn("comp", F.col("rid")), percent, 2).groupBy("a", "b").agg(
+        F.min("distance").alias("distance")))
+    named = near.select(F.col("a").alias("rid")).union(near.where("b >= 0").select("b")).distinct()
+    sets = checkpoint(texts.mapInArrow(_squeeze, "rid long, text binary").join(named, "rid", "left_semi")
+                      .mapInArrow(_sets(shingle), "rid long, shingles binary"))
+    best = near.where("b >= 0").withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy("distance", "a"))).where("r <= 2")
     links = _links(best, sets, percent)
     comps = checkpoint(components(links))
     # round 2: all candidates between different components
-    rest = _candidates(live, comps, sets, percent, None).where("shared >= need")
-    more = _links(rest, sets, percent)
-    links = links.unionByName(more)
+    labels = cells.join(named, "rid", "left_semi").join(comps, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
+    rest = _candidates(live, labels, percent, None).groupBy("a", "b").agg(
+        F.min("need").alias("need"), F.count("*").alias("shared")).where("shared >= need")
+    links = links.unionByName(_links(rest, sets, percent))
     comps = checkpoint(components(links))
 
     labels = sizes.join(firsts.select("n", "h1", "h2", "rep"), ["n", "h1", "h2"], "left").select(
