@@ -406,6 +406,11 @@ def constraint_report_sql() -> str:
 
 def registry() -> dict[str, str]:
     q: dict[str, str] = {}
+    for prof in (PSQL, GCP):  # the written path gives the rows of the rules
+        q[f"job_fact_{prof.name}"] = fact_sql(prof)
+        q[f"job_customer_{prof.name}"] = scd2_sql("customer", prof)
+    q["csv_by_name_customers"] = source_sql("customers", "b2", PSQL)
+    q["landed_products"] = source_sql("products", "b2", GCP)
     for prof in (PSQL, GCP):
         for d in ("customer", "product", "store"):
             q[f"stage_{d}s_{prof.name}"] = stage_dim_sql(d, prof)

@@ -6,6 +6,7 @@ tables. ``ledgerline.plans.oracle`` holds the matching DuckDB SQL.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,13 @@ from ledgerline.operators.sequence import assign_sequence
 from ledgerline.plans.daily_runs import (all_dimensions_after, dimension_after, fact_after,
                                        staged_dimension, staged_fact)
 from ledgerline.plans.profiles import CUSTOMER, DIMENSIONS, GCP, PSQL, with_rule
-from ledgerline.sources.retail import RUNS, dimension_source, read_table, sales_all
+from ledgerline.plans.jobs import job_warehouse, read_fact
+from ledgerline.plans.tables import Warehouse
+from ledgerline.session import scratch_root
+from ledgerline.sources.csv import read_csv_by_name
+from ledgerline.sources.landing import batch_view, land_files
+from ledgerline.sources.retail import RUNS, dimension_source, read_table, sales_all, sales_source
+from ledgerline.sources.schemas import source_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,8 +118,48 @@ def constraint_report_query(spark: SparkSession, sf: str) -> DataFrame:
     return constraint_report(tables)
 
 
+def _job(profile, table: str) -> Query:
+    """W2 / W3 from the sources on: two daily loads written to a warehouse of
+    their own in the shared folder, and ``table`` read back from it."""
+    def q(spark, sf):
+        run_id = uuid.uuid4().hex[:12]
+        wh = Warehouse(spark, f"{scratch_root(spark)}/job-{run_id}", db_prefix=f"job{run_id}_")
+        for batch in ("b1", "b2"):
+            sources = {t: dimension_source(spark, sf, t, batch, profile) for t in ("customers", "products", "stores")}
+            sources["sales"] = sales_source(spark, sf, batch, profile)
+            job_warehouse(spark, wh, profile, sources, RUNS[batch].run_ts, RUNS[batch].stamp)
+        if table == "fact_sales":
+            return read_fact(wh, profile)
+        return wh.read(f"dwh.{table}")
+    return q
+
+
+def _as_csv(df: DataFrame, null: str = "") -> str:
+    path = f"{scratch_root(df.sparkSession)}/csv-{uuid.uuid4().hex}"
+    df.write.option("header", True).option("escape", '"').option("nullValue", null).csv(path)
+    return path
+
+
+def csv_by_name_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """S1 + S3: all customers as CSV with the NULL marker, read by header name."""
+    path = _as_csv(dimension_source(spark, sf, "customers", "b2", PSQL), "\\N")
+    return read_csv_by_name(spark, path, source_schema("customers", PSQL))
+
+
+def landed_products(spark: SparkSession, sf: str) -> DataFrame:
+    """S2 + S6 + S7: all products as CSV, landed by copy, read by position."""
+    root, stamp = f"{scratch_root(spark)}/landing-{uuid.uuid4().hex}", RUNS["b2"].stamp
+    land_files(spark, {"products": _as_csv(dimension_source(spark, sf, "products", "b2", GCP))}, root, stamp)
+    return batch_view(spark, root, stamp, "products", source_schema("products", GCP), view="landed_products_view")
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {}
+    for prof in (PSQL, GCP):
+        q[f"job_fact_{prof.name}"] = _job(prof, "fact_sales")
+        q[f"job_customer_{prof.name}"] = _job(prof, "dim_customer")
+    q["csv_by_name_customers"] = csv_by_name_customers
+    q["landed_products"] = landed_products
     for prof in (PSQL, GCP):
         for d in ("customer", "product", "store"):
             q[f"stage_{d}s_{prof.name}"] = _stage(d, prof)

@@ -31,7 +31,7 @@ def land_batch(df: DataFrame, root: str, table: str, stamp: str) -> str:
 
 
 def land_files(spark: SparkSession, files: dict[str, str], root: str, stamp: str) -> dict[str, str]:
-    """Copy CSV files (table -> path) byte for byte into the stamp folder.
+    """Copy CSV files or folders (table -> path) byte for byte into the stamp folder.
 
     The copy goes through the Hadoop file system of either path, so nothing is
     parsed here: blanks, short rows and quoted line breaks reach the reader as
@@ -42,14 +42,18 @@ def land_files(spark: SparkSession, files: dict[str, str], root: str, stamp: str
 
     def copy(table: str, src: str) -> str:
         source, folder = hadoop.Path(src), hadoop.Path(batch_path(root, stamp, table))
-        fs = folder.getFileSystem(conf)
-        target = hadoop.Path(folder, source.getName())
-        if fs.exists(target):
-            raise FileExistsError(target.toString())
-        part = hadoop.Path(folder, f"_{source.getName()}.part")
-        hadoop.FileUtil.copy(source.getFileSystem(conf), source, fs, part, False, True, conf)
-        if not fs.rename(part, target):
-            raise OSError(f"cannot publish {target.toString()}")
+        fs, from_fs = folder.getFileSystem(conf), source.getFileSystem(conf)
+        sources = [source]
+        if from_fs.getFileStatus(source).isDirectory():  # all files of a folder
+            sources = [st.getPath() for st in from_fs.listStatus(source) if st.getPath().getName()[0] not in "._"]
+        for one in sources:
+            target = hadoop.Path(folder, one.getName())
+            if fs.exists(target):
+                raise FileExistsError(target.toString())
+            part = hadoop.Path(folder, f"_{one.getName()}.part")
+            hadoop.FileUtil.copy(from_fs, one, fs, part, False, True, conf)
+            if not fs.rename(part, target):
+                raise OSError(f"cannot publish {target.toString()}")
         return folder.toString()
 
     out = run_parallel({table: (lambda t=table, f=src: copy(t, f)) for table, src in files.items()})
