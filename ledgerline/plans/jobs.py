@@ -7,7 +7,7 @@ step is a distributed DataFrame job.
   ``job_warehouse``.
 * ``job_warehouse``: per dimension stage -> gates -> SCD2 -> snapshot; then
   fact lookup -> stage -> gate -> upsert -> snapshot. Dimensions before the
-  fact is a hard barrier, as in the reference chain.
+  fact is a hard barrier.
 """
 
 from __future__ import annotations
@@ -220,7 +220,7 @@ def files_from_registry(registry: dict[str, TableSpec], data_dir: str) -> dict[s
 
 def job_load_csv_registry(spark: SparkSession, wh: Warehouse, registry_path: str,
                           data_dir: str, profile: Profile = PSQL) -> dict[str, int]:
-    """W1 driven by the table registry, as the reference's CSV DAG is."""
+    """W1 driven by the table registry."""
     return job_load_csv(spark, wh, files_from_registry(load_registry(registry_path), data_dir),
                         profile)
 

@@ -34,7 +34,7 @@ def test_dimension_invariants(spark, profile):
         assert n_over == 0
     else:
         # psql closes every version of a changed id, so older versions get
-        # their end re-stamped and overlap later ones (reference behaviour)
+        # their end re-stamped and overlap later ones (the psql rule)
         assert n_over > 0
 
 
