@@ -26,11 +26,6 @@ def load_stamp(profile: Profile, run_ts: str, stamp: str | None) -> Column:
     return ts_literal(run_ts)
 
 
-def rename_cols(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """P1."""
-    return df.select(*[F.col(c).alias(mapping.get(c, c)) for c in df.columns])
-
-
 def stage_dimension(src: DataFrame, dim: DimSpec, profile: Profile, run_ts: str,
                     stamp: str | None = None) -> DataFrame:
     cols = [business_id(profile.source_system, dim.natural_id).alias("id"),

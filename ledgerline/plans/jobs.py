@@ -29,7 +29,7 @@ from ledgerline.operators.sequence import KeySequence, max_key
 from ledgerline.plans.parallel import run_parallel
 from ledgerline.plans.tables import PartitionedTable, Warehouse
 from ledgerline.sources.csv import force_all_columns, read_csv_by_name
-from ledgerline.sources.jdbc import read_jdbc_table, write_jdbc_table
+from ledgerline.sources.jdbc import copy_jdbc_table, write_jdbc_table
 from ledgerline.sources.landing import batch_view, land_files
 from ledgerline.sources.registry import TableSpec, load_registry
 from ledgerline.session import materialize
@@ -206,8 +206,8 @@ def job_psql(spark: SparkSession, wh: Warehouse, url: str, run_ts: str,
     keys = {"customers": "customer_id", "products": "product_id", "stores": "store_id",
             "sales": "sale_id"}
     for t in tables:
-        df = read_jdbc_table(spark, url, t, keys.get(t), partitions, properties=properties)
-        wh.full_refresh(df, f"{src_db}.{t}")
+        copy_jdbc_table(spark, url, t, lambda df, t=t: wh.full_refresh(df, f"{src_db}.{t}"), keys.get(t), partitions,
+                        properties=properties)
     sources = {t: wh.read(f"{src_db}.{t}") for t in tables}
     stamp = datetime.strptime(run_ts, "%Y-%m-%d %H:%M:%S").strftime("%Y%m%d%H%M%S")
     return job_warehouse(spark, wh, PSQL, sources, run_ts, stamp)

@@ -46,8 +46,9 @@ def write_jdbc_table(df: DataFrame, url: str, table: str, properties: dict | Non
 
 def copy_jdbc_table(spark: SparkSession, url: str, table: str, writer,
                     partition_column: str | None = None, num_partitions: int = 8,
-                    properties: dict | None = None) -> DataFrame:
-    """Read ``table`` and hand it to ``writer`` (e.g. a snapshot writer)."""
+                    properties: dict | None = None):
+    """Read ``table`` and hand it to ``writer`` (e.g. a snapshot writer), whose
+    result is returned."""
     df = read_jdbc_table(spark, url, table, partition_column, num_partitions,
                          properties=properties)
     return writer(df)
