@@ -55,8 +55,9 @@ class Warehouse:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.db_prefix}{n}`")
 
     def drop_table(self, name: str) -> None:
-        self.spark.sql(f"DROP VIEW IF EXISTS {self.q(name)}")
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.q(name)}")
+        if self.spark.catalog.tableExists(self.q(name)):  # a view and a table need their own command
+            kind = "VIEW" if self.spark.catalog.getTable(self.q(name)).tableType == "VIEW" else "TABLE"
+            self.spark.sql(f"DROP {kind} {self.q(name)}")
 
     def ensure_table(self, name: str, schema: T.StructType,
                      partition_by: tuple[str, ...] = ()) -> None:
