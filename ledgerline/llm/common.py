@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.session import materialize
+from ledgerline.session import ensure_checkpoint_dir, materialize
 
 #: White space that separates words: blank and the five ASCII controls 09-0D.
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -37,6 +38,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return materialize(df)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Cut lineage with a Parquet table in the shared checkpoint folder; for
+    tables so large that their columns are worth compressing."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def partitions(df: DataFrame) -> int:
     """Shuffle partitions of the session, for explicit repartitioning."""
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))

@@ -72,14 +72,14 @@ def _remove(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, text, spans in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
-                words = (text.as_py() or "").encode().split()
+            for doc, text, spans in win.texts_of(batch):
+                words = text.split()
                 n = len(words)
-                if spans.is_valid:
-                    gone = win.covered(spans.as_py(), WIDTH, n)
+                if spans is not None:
+                    gone = win.covered(spans, WIDTH, n)
                     words = [words[i] for i in np.flatnonzero(~gone)]
                 kept = b" ".join(words)
-                out.append((doc.as_py(), n, n - len(words), hashlib.sha256(kept).hexdigest(), kept.decode() if with_text else None))
+                out.append((doc, n, n - len(words), hashlib.sha256(kept).hexdigest(), kept.decode() if with_text else None))
             cols = zip(*out, strict=True) if out else [[]] * 5
             yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
     return run
@@ -90,6 +90,6 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_
     ship_package(docs.sparkSession)
     keyed = with_row_id(docs, id_col, text_col, "rid")
     texts = keyed.select("rid", text_or_empty(text_col).alias("text"))
-    found = win.repeated_windows(texts, win.Spec(WIDTH, GRAM, win.word_units, True), solve)
+    found = win.repeated_windows(texts, win.Spec(WIDTH, GRAM, win.word_units, win.word_values, True), solve)
     base = keyed.select("rid", F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return win.per_text(base, found).select("doc_id", "text", "spans").mapInArrow(_remove(with_text), RESULT)
+    return win.per_text(base, found).mapInArrow(_remove(with_text), RESULT)

@@ -150,15 +150,14 @@ def _remove(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, text, spans in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
-                data = (text.as_py() or "").encode()
-                if not spans.is_valid:
-                    out.append((doc.as_py(), len(data), 0, 0, hashlib.sha256(data).hexdigest(), data.decode() if with_text else None))
+            for doc, data, spans in win.texts_of(batch):
+                if spans is None:
+                    out.append((doc, len(data), 0, 0, hashlib.sha256(data).hexdigest(), data.decode() if with_text else None))
                     continue
-                gone = win.covered(spans.as_py(), WIDTH, len(data))
+                gone = win.covered(spans, WIDTH, len(data))
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
                 n_spans = int(gone[0]) + int((np.diff(gone.astype(np.int8)) == 1).sum()) if len(gone) else 0
-                out.append((doc.as_py(), len(data), int(gone.sum()), n_spans, hashlib.sha256(kept).hexdigest(),
+                out.append((doc, len(data), int(gone.sum()), n_spans, hashlib.sha256(kept).hexdigest(),
                             kept.decode("utf-8", "replace") if with_text else None))
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int64()] * 4 + [pa.string()] * 2, strict=True)],
                                   [c.split()[0] for c in RESULT.split(", ")]) if out else pa.record_batch(
@@ -172,6 +171,6 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_
     ship_package(docs.sparkSession)
     keyed = with_row_id(docs, id_col, text_col, "rid")
     texts = keyed.select("rid", text_or_empty(text_col).alias("text"))
-    found = win.repeated_windows(texts, win.Spec(WIDTH, GRAM, win.byte_units, False), solve)
+    found = win.repeated_windows(texts, win.Spec(WIDTH, GRAM, win.byte_units, win.byte_values, False), solve)
     base = keyed.select("rid", F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return win.per_text(base, found).select("doc_id", "text", "spans").mapInArrow(_remove(with_text), RESULT)
+    return win.per_text(base, found).mapInArrow(_remove(with_text), RESULT)

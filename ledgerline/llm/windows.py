@@ -19,6 +19,10 @@ group. So:
    all that the windows of a class have in common, which is longer than the
    gram; with one window per class all members are equal, so this ends.
 
+Texts are joined once, compressed, to cut out the items; splitting works on the
+items. Runs are found again for each use rather than kept, as they are as
+bulky as the texts.
+
 Result: (rid, spans) with spans of repeated windows as (start, windows).
 """
 
@@ -29,11 +33,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import textops
-from ledgerline.llm.common import checkpoint, partitions
+from ledgerline.llm.common import partitions, written
 
 #: Different runs of one anchor that a task takes; larger groups are split.
 GROUP_ITEMS = 1024
@@ -44,17 +49,36 @@ PIECE_UNITS = 1 << 22
 #: Bytes of item texts a solver call takes, plus one group.
 SOLVER_BYTES = 1 << 20
 
-RUN = "key long, item long, rid long, start long, n long, lead long, weight long"
-RUN_NAMES = [c.split()[0] for c in RUN.split(", ")]
-ITEM = "key long, item long, rid long, start long, n long, copies long, units binary"
+#: A run: ``place`` packs start, windows and the anchor's distance (lead); in
+#: a split group ``src`` is the start of the item that the run is cut from.
+RUN = "key long, item long, rid long, place long"
+SPLIT = f"{RUN}, src long, weight long"
+ITEM = "key long, item long, rid long, place long, copies long, kinds long, units binary"
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _pack(start, n, lead):
+    return (start << 20) | (n << 10) | lead
+
+
+def _unpack(place):
+    return place >> 20, (place >> 10) & 1023, place & 1023
+
+
+START, WINDOWS = "shiftright(place, 20)", "shiftright(place, 10) & 1023"
 
 
 class Spec(NamedTuple):
     """``units(data, offs)`` gives the unit values, the unit offsets of the
-    texts and, per text, what ``content`` needs to cut units out again."""
+    texts and the units as stored in items; ``values`` maps stored units to
+    values. Widths up to 1023 fit the packed places."""
     width: int
     gram: int
     units: Callable
+    values: Callable
     keep_first: bool  # the first occurrence isn't marked
 
 
@@ -62,6 +86,14 @@ def byte_units(data: np.ndarray, offs: np.ndarray):
     return textops.BYTE_VALUES[data], offs, data
 
 
+def byte_values(raw: bytes) -> np.ndarray:
+    return textops.BYTE_VALUES[np.frombuffer(raw, np.uint8)]
+
+
+def word_values(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint64)
+
+
 def word_units(data: np.ndarray, offs: np.ndarray):
     h, woffs, _, _ = textops.word_hashes(data, offs, lower=False)
     return h, woffs, h
@@ -116,84 +148,111 @@ def _find_runs(spec: Spec):
                 found = _runs(values, np.asarray(uoffs, np.int64), spec)
                 if found is not None:
                     text, start, n, lead, key, item = found
-                    yield pa.record_batch([pa.array(x) for x in (key, item, rids[first + text], start, n, lead, np.ones(len(n), np.int64))],
-                                          RUN_NAMES)
+                    yield pa.record_batch([pa.array(x) for x in (key, item, rids[first + text], _pack(start, n, lead))], _names(RUN))
     return run
 
 
-def _texts(batch: pa.RecordBatch, spec: Spec):
-    """(row, unit values, raw units) of the texts of a batch (rid, text, list)."""
-    for first, offs, data in textops.blocks(batch.column(1)):
-        values, uoffs, raw = spec.units(data, offs)
-        for i in range(len(offs) - 1):
-            yield first + i, values[uoffs[i]:uoffs[i + 1]], raw[uoffs[i]:uoffs[i + 1]]
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compress the last column (texts), for a join that moves them."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        last = batch.num_columns - 1
+        packed = pa.array([squeeze((t.as_py() or "").encode()) for t in batch.column(last)], pa.binary())
+        yield pa.record_batch([*batch.columns[:last], packed], batch.schema.names)
 
 
 def _cut_items(spec: Spec):
-    """Rows (rid, text, wanted) to items with their units."""
+    """Rows (rid, text, wanted) to items with their units, compressed."""
     def run(batches):
+        unpack, squeeze = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            wanted = batch.column(2)
             out, size = [], 0
-            for row, _, raw in _texts(batch, spec):
-                rid = batch.column(0)[row].as_py()
-                for x in wanted[row].as_py():
-                    units = raw[x["start"]:x["start"] + x["n"] + spec.width - 1].tobytes()
-                    out.append((x["key"], x["item"], rid, x["start"], x["n"], x["copies"], units))
+            for rid, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                data = np.frombuffer(unpack(text.as_py()), np.uint8)
+                raw = spec.units(data, np.array([0, len(data)]))[2]
+                for x in wanted.as_py():
+                    start, n, _ = _unpack(x["place"])
+                    units = squeeze(raw[start:start + n + spec.width - 1].tobytes())
+                    out.append((x["key"], x["item"], rid, x["place"], x["copies"], x["kinds"], units))
                     size += len(units)
                 if size > SOLVER_BYTES:
-                    yield _item_batch(out)
+                    yield _rows(out, ITEM)
                     out, size = [], 0
             if out:
-                yield _item_batch(out)
+                yield _rows(out, ITEM)
     return run
 
 
-def _item_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 6 + [pa.binary()]
-    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                           [c.split()[0] for c in ITEM.split(", ")])
+def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = [pa.binary() if c.endswith("binary") else pa.int64() for c in schema.split(", ")]
+    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], _names(schema))
+
 
+def _classes(place: int, values: np.ndarray, key: int, spec: Spec, windows: int):
+    """(key, item, place) of the shorter runs that an item is cut into."""
+    start, n, lead = _unpack(place)
+    prefix, anchor = textops.Prefix(values), start + lead
+    i = np.arange(start, start + n)
+    classes = (anchor - i) // windows
+    for c in np.unique(classes):
+        own = i[classes == c]
+        a, m = int(own[0]), len(own)
+        # all windows of the class hold these units, wherever the run is cut
+        lo, hi = max(anchor - (c + 1) * windows + windows, start), min(anchor - (c + 1) * windows + 1 + spec.width, start + len(values))
+        common = prefix.span(np.array([lo - start]), np.array([hi - start]))[0] + np.uint64(c) * textops.BASE + np.uint64(key & 0xFFFFFFFF)
+        item = prefix.span(np.array([a - start]), np.array([a - start + m + spec.width - 1]))[0] + np.uint64(m * 4096 + anchor - a)
+        h = textops.mix(np.array([common, item])).view(np.int64)
+        yield int(h[0]), int(h[1]), _pack(a, m, anchor - a)
 
-def _split_runs(spec: Spec, windows: int):
-    """Rows (rid, text, wanted) to shorter runs, ``windows`` windows a class."""
+
+def _split_items(spec: Spec, windows: int):
+    """Items of large groups to shorter runs, ``windows`` windows a class."""
     def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []
-            for row, values, _ in _texts(batch, spec):
-                rid, prefix = batch.column(0)[row].as_py(), textops.Prefix(values)
-                for x in batch.column(2)[row].as_py():
-                    anchor = x["start"] + x["lead"]
-                    i = np.arange(x["start"], x["start"] + x["n"])
-                    classes = (anchor - i) // windows
-                    for c in np.unique(classes):
-                        own = i[classes == c]
-                        a, n = int(own[0]), len(own)
-                        lo, hi = anchor - c * windows, anchor - (c + 1) * windows + 1 + spec.width
-                        lo, hi = max(lo, 0), min(hi, len(values))
-                        common = int(textops.mix(prefix.span(np.array([lo]), np.array([hi])) + np.uint64(c) + np.uint64(x["key"] & 0xFFFF))[0])
-                        item = int(textops.mix(prefix.span(np.array([a]), np.array([a + n + spec.width - 1])) + np.uint64(n * 4096 + anchor - a))[0])
-                        out.append((_signed(common), _signed(item), rid, a, n, anchor - a, x["copies"]))
+            for r in batch.to_pylist():
+                start, _, _ = _unpack(r["place"])
+                for key, item, place in _classes(r["place"], spec.values(unpack(r["units"])), r["key"], spec, windows):
+                    out.append((key, item, r["rid"], place, start, r["copies"]))
+                if len(out) > 20_000:
+                    yield _rows(out, SPLIT)
+                    out = []
             if out:
-                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], RUN_NAMES)
+                yield _rows(out, SPLIT)
     return run
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >= 1 << 63 else x
+def _cut_again(spec: Spec, unit_bytes: int):
+    """Rows (rid, units, start of the item, wanted) to shorter items."""
+    def run(batches):
+        unpack, squeeze = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                units = unpack(r["units"])
+                for x in r["wanted"]:
+                    start, n, _ = _unpack(x["place"])
+                    a = (start - r["src"]) * unit_bytes
+                    part = units[a:a + (n + spec.width - 1) * unit_bytes]
+                    out.append((x["key"], x["item"], r["rid"], x["place"], x["copies"], x["kinds"], squeeze(part)))
+            if out:
+                yield _rows(out, ITEM)
+    return run
 
 
 def _groups(solver: Callable):
-    """Feeds whole groups of about SOLVER_BYTES to ``solver(keys, items, copies,
-    units, order)``, which gives per item the (offset, windows) found."""
+    """Feeds whole groups of about SOLVER_BYTES to ``solver(rows)``, which gives
+    the repeated (offset, windows) of each row's item."""
     def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
         held: list[dict] = []
 
         def solve(rows):
             found = solver(rows)
             keep = [(r["rid"], r["start"] + a, n) for r, spans in zip(rows, found, strict=True) for a, n in spans]
             if keep:
-                return pa.record_batch([pa.array(c, pa.int64()) for c in zip(*keep, strict=True)], ["rid", "start", "n"])
+                return _rows(keep, "rid long, start long, n long")
 
         size = 0
         for batch in batches:
@@ -202,6 +261,8 @@ def _groups(solver: Callable):
                     if (b := solve(held)) is not None:
                         yield b
                     held, size = [], 0
+                r["start"], r["n"], _ = _unpack(r["place"])
+                r["units"] = unpack(r["units"])
                 held.append(r)
                 size += len(r["units"])
         if held and (b := solve(held)) is not None:
@@ -209,47 +270,70 @@ def _groups(solver: Callable):
     return run
 
 
-def _with_texts(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(rid, text, wanted): the texts that hold items, with the list of them."""
-    wanted = items.groupBy("rid").agg(F.collect_list(
-        F.struct("key", "item", "start", "n", "lead", "copies")).alias("wanted"))
-    return docs.join(wanted, "rid").select("rid", "text", "wanted")
+def _items(runs: DataFrame, keep_first: bool) -> tuple[DataFrame, DataFrame]:
+    """Distinct items of ``runs``, each with its first member's
+    place, copies and the number of different items of its key; and the
+    stretches that are repeated as a whole."""
+    members = ["rid", "place", *(c for c in ("src",) if c in runs.columns)]
+    items = runs.groupBy("key", "item").agg(F.min(F.struct("rid", "place")).alias("first"), F.sum("weight").alias("copies"),
+                                            F.count("*").alias("members"), *(F.min_by(c, F.struct("rid", "place")).alias(c) for c in members[2:]))
+    kinds = items.groupBy("key").agg(F.count("*").alias("kinds"))
+    items = written(items.join(kinds, "key").select("key", "item", "first.*", *members[2:], "copies", "members", "kinds"))
+    shared = items.where("members > 1").select("key", "item", F.col("rid").alias("r0"), F.col("place").alias("p0"))
+    whole = runs.join(shared, ["key", "item"]).where("rid <> r0 OR place <> p0").select("rid", "place")
+    if not keep_first:
+        whole = whole.unionByName(items.where("copies > 1").select("rid", "place"))
+    return items, whole.select("rid", F.expr(START).alias("start"), F.expr(WINDOWS).alias("n"))
+
+
+def _wanted(items: DataFrame, by: list[str]) -> DataFrame:
+    many = items.where("kinds > 1")
+    return many.groupBy(*by).agg(F.collect_list(F.struct("key", "item", "place", "copies", "kinds")).alias("wanted"))
+
+
+def _live(runs: DataFrame, weight: str = "1") -> DataFrame:
+    """Runs whose anchor stands in more than one, written as a table."""
+    twice = runs.groupBy("key").agg(F.sum(F.expr(weight)).alias("c")).where("c > 1").select("key")
+    return written(runs.join(twice, "key", "left_semi"))
 
 
 def repeated_windows(docs: DataFrame, spec: Spec, solver: Callable) -> DataFrame:
     """(rid, start, n): repeated windows of ``docs`` (rid, text); ``n`` windows
     from ``start``. Stretches may overlap or touch."""
-    runs = checkpoint(docs.mapInArrow(_find_runs(spec), RUN))
-    found = None
+    runs = _live(docs.mapInArrow(_find_runs(spec), RUN)).withColumn("weight", F.lit(1).cast("long"))
+    items, found = _items(runs, spec.keep_first)
+    texts = docs.mapInArrow(_squeeze, "rid long, text binary")
+    cut = texts.join(_wanted(items, ["rid"]), "rid").select("rid", "text", "wanted").mapInArrow(_cut_items(spec), ITEM)
+    unit_bytes = 8 if spec.values is word_values else 1
     for windows in (*CLASSES, 0):
-        twice = runs.groupBy("key").agg(F.sum("weight").alias("c")).where("c > 1").select("key")
-        live = runs.join(twice, "key", "left_semi")
-        place = F.struct("rid", "start", "n", "lead")
-        items = live.groupBy("key", "item").agg(F.min(place).alias("first"), F.sum("weight").alias("copies"), F.count("*").alias("members"))
-        kinds = items.groupBy("key").agg(F.count("*").alias("kinds"))
-        items = checkpoint(items.join(kinds, "key"))
-        # members other than the first are repeated as a whole
-        members = items.where("members > 1").select("key", "item", F.col("first.rid").alias("r0"), F.col("first.start").alias("s0"))
-        out = runs.join(members, ["key", "item"]).where("rid <> r0 OR start <> s0").select("rid", "start", "n")
-        flat = items.select("key", "item", "first.*", "copies", "kinds")
-        if not spec.keep_first:
-            out = out.unionByName(flat.where("copies > 1").select("rid", "start", "n"))
-        solvable = flat.where((F.col("kinds") > 1) & (F.col("kinds") <= GROUP_ITEMS))
-        cut = _with_texts(docs, solvable).mapInArrow(_cut_items(spec), ITEM)
-        by_key = cut.repartition(partitions(docs), "key").sortWithinPartitions("key", "item")
-        out = out.unionByName(by_key.mapInArrow(_groups(solver), "rid long, start long, n long"))
-        found = out if found is None else found.unionByName(out)
-        large = flat.where(F.col("kinds") > GROUP_ITEMS)
+        cut = written(cut)
+        small = cut.where(F.col("kinds") <= GROUP_ITEMS) if windows else cut
+        by_key = small.repartition(partitions(docs), "key").sortWithinPartitions("key", "item")
+        found = found.unionByName(by_key.mapInArrow(_groups(solver), "rid long, start long, n long"))
+        large = cut.where(F.col("kinds") > GROUP_ITEMS)
         if not windows or large.isEmpty():
             return found
-        runs = checkpoint(_with_texts(docs, large).mapInArrow(_split_runs(spec, windows), RUN))
+        runs = _live(large.mapInArrow(_split_items(spec, windows), SPLIT), "weight")
+        items, whole = _items(runs, spec.keep_first)
+        found = found.unionByName(whole)
+        source = large.select("rid", F.expr(START).alias("src"), "units")
+        again = source.join(_wanted(items, ["rid", "src"]), ["rid", "src"]).select("rid", "src", "units", "wanted")
+        cut = again.mapInArrow(_cut_again(spec, unit_bytes), ITEM)
     return found
 
 
 def per_text(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Every row of ``docs`` (rid, ...) with ``spans``: array of (start, n), or null."""
+    """Every row of ``docs`` (rid, doc_id, text) with its text compressed and
+    ``spans``: array of (start, n), or null."""
     spans = found.groupBy("rid").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-    return docs.join(spans, "rid", "left")
+    return docs.mapInArrow(_squeeze, "rid long, doc_id long, text binary").join(spans, "rid", "left").select("doc_id", "text", "spans")
+
+
+def texts_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(doc_id, text as bytes, spans or None) of the rows of ``per_text``."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for doc, text, spans in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
+        yield doc.as_py(), unpack(text.as_py()), spans.as_py()
 
 
 def covered(spans: list[dict] | None, width: int, n_units: int) -> np.ndarray:

@@ -67,7 +67,7 @@ def test_large_groups_are_split_without_loss(spark, monkeypatch):
 def test_long_text_by_pieces(monkeypatch):
     monkeypatch.setattr(windows, "PIECE_UNITS", 1000)
     data = np.frombuffer(bytes(np.random.default_rng(1).integers(97, 101, 5000).astype(np.uint8)), np.uint8)
-    spec = windows.Spec(40, 10, windows.byte_units, False)
+    spec = windows.Spec(40, 10, windows.byte_units, windows.byte_values, False)
     values, offs, _ = spec.units(data, np.array([0, 5000]))
     _, start, n, *_ = windows._runs(values, offs, spec)
     assert sorted(x for a, m in zip(start, n, strict=True) for x in range(a, a + m)) == list(range(5000 - 39))
