@@ -47,6 +47,13 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def rows_where(df: DataFrame, flag: Column, row: str = "row") -> DataFrame:
+    """The columns of the struct ``row`` where ``flag`` holds. A generator and
+    not a filter: a filter would be pushed below the projections it depends on,
+    and their costly expressions would be computed again inside it."""
+    return df.select(F.inline(F.when(flag, F.array(row))))
+
+
 def partitions(df: DataFrame) -> int:
     """Shuffle partitions of the session, for explicit repartitioning."""
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))

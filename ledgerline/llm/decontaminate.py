@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import checkpoint, lower_ascii, text_or_empty, with_row_id
+from ledgerline.llm.common import checkpoint, lower_ascii, rows_where, text_or_empty, with_row_id
 
 #: Everything but words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` of lower-cased text.
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -106,7 +106,8 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, near: int
         return F.struct(c["item_id"].alias("item_id"), F.filter(sums, lambda x: x["same"] == x["length"]).alias("spans"),
                         F.size(F.filter(sums, lambda x: (x["same"] >= near) & (x["same"] < x["length"]))).alias("near"))
 
-    df = df.withColumn("_c", F.transform("cands", compare))
+    # a column used twice is computed once, and not inside the function
+    df = df.withColumn("_c", F.when(F.size("_w") > 0, F.transform("cands", compare)))
     phrases = F.filter("_c", lambda c: F.size(c["spans"]) > 0)
     df = df.withColumn("_p", phrases)
     spots = F.flatten(F.transform("_p", lambda c: F.flatten(F.transform(
@@ -132,4 +133,4 @@ def digest(found: DataFrame) -> DataFrame:
 
 def remove(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark phrase, with their columns."""
-    return find(docs, benchmark, **options).where("n_hit <= 0").select("row.*")
+    return rows_where(find(docs, benchmark, **options), F.col("n_hit") <= 0)

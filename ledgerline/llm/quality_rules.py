@@ -21,7 +21,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import SPACE_CHARS, text_or_empty, words_of
+from ledgerline.llm.common import SPACE_CHARS, rows_where, text_or_empty, words_of
 
 SYMBOLS = "#*$%&|<>"
 
@@ -134,4 +134,4 @@ def score(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES
 
 def filter_documents(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns."""
-    return score(docs, text_col, rules).where("kept").select("row.*")
+    return rows_where(score(docs, text_col, rules), F.col("kept"))
