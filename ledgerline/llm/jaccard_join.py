@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm import textops
-from ledgerline.llm.common import checkpoint, partitions, ship_package, text_or_empty, with_row_id
+from ledgerline.llm.common import checkpoint, partitions, ship_package, text_or_empty, with_row_id, written
 
 COUNTERS = 1 << 16
 #: Hashed counts per document, and how many more a document of WIDE_FROM
@@ -300,7 +300,7 @@ def join(docs: DataFrame, shingle: int = 3, percent: int = 90, id_col: str = "do
     ship_package(docs.sparkSession)
     keyed = with_row_id(docs, id_col, text_col, "rid")
     texts = keyed.select("rid", text_or_empty(text_col).alias("text"))
-    profile = checkpoint(texts.mapInArrow(_profile(shingle), "rid long, n long, h1 long, h2 long"))
+    profile = written(texts.mapInArrow(_profile(shingle), "rid long, n long, h1 long, h2 long"))
     counts = np.zeros(COUNTERS, np.int64)
     for r in profile.where("n < 0").groupBy("rid").agg(F.sum("h1").alias("c")).collect():  # COUNTERS rows at most
         counts[r["rid"]] = r["c"]
@@ -309,16 +309,16 @@ def join(docs: DataFrame, shingle: int = 3, percent: int = 90, id_col: str = "do
 
     postings = texts.mapInArrow(_postings(shingle, percent, counts), "token long, rid long, n long, m long")
     twice = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
-    live = checkpoint(postings.join(twice, "token").select("token", "rid", "n", "m", F.col("c").cast("int").alias("c")))
+    live = written(postings.join(twice, "token").select("token", "rid", "n", "m", F.col("c").cast("int").alias("c")))
     copies = sizes.join(firsts.where("c > 1"), ["n", "h1", "h2"]).where("rid <> rep").select("rid")
     cells = texts.mapInArrow(_cells(shingle), "rid long, cells binary").join(copies, "rid", "left_anti")
 
     # round 1: list neighbours, of which each document tries its two likeliest;
     # documents with candidates further off in a list are named for round 2
-    near = checkpoint(_candidates(live, cells.withColumn("comp", F.col("rid")), percent, 2).groupBy("a", "b").agg(
+    near = written(_candidates(live, cells.withColumn("comp", F.col("rid")), percent, 2).groupBy("a", "b").agg(
         F.min("distance").alias("distance")))
     named = near.select(F.col("a").alias("rid")).union(near.where("b >= 0").select("b")).distinct()
-    sets = checkpoint(texts.mapInArrow(_squeeze, "rid long, text binary").join(named, "rid", "left_semi")
+    sets = written(texts.mapInArrow(_squeeze, "rid long, text binary").join(named, "rid", "left_semi")
                       .mapInArrow(_sets(shingle), "rid long, shingles binary"))
     best = near.where("b >= 0").withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy("distance", "a"))).where("r <= 2")
     links = _links(best, sets, percent)
