@@ -10,10 +10,12 @@ Tokens have one order, rare before frequent, from a fixed number of hashed
 counters over the whole corpus. Matching lines share a token of their prefixes
 (the first ``n - ceil(t*n) + 1`` tokens), so lines meet in the posting lists of
 prefix tokens, and a pair is dropped there if the sizes (length filter) or the
-places of the token in both lines (positional filter) rule a match out. Equal
-sets need no join. Each line is tried against the earliest of its lists first;
-only lines that this leaves unmatched are tried against all earlier ones, so a
-group of near copies does not form all its pairs. Candidates are verified on
+places of the token in both lines (positional filter) rule a match out, as
+does a sketch of 64 parities, which bounds how much two sets differ. Equal lines
+need no join. Each line is tried against the earliest of its lists and the
+earliest of the 16 rows before it first; only lines that this leaves unmatched
+are tried against all earlier ones (short lists are searched in place, long ones
+by a join), so a group of near copies does not form all its pairs. Candidates are verified on
 the whole sets. Built-in functions only.
 
 Defined results: null text has no lines and stays null; lines without words
@@ -27,14 +29,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import SPACE_CLASS, checkpoint, text_or_empty, with_row_id
+from ledgerline.llm.common import SPACE_CHARS, SPACE_CLASS, checkpoint, rows_where, text_or_empty, with_row_id, written
 
 COUNTER_BITS = 16
 PERCENT, MIN_WORDS = 80, 4
+#: Earlier rows of a posting list that a row is held against at once.
+NEAR_ROWS = 16
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, SPACE_CLASS + "+"), lambda w: w != "")
+    """Words of a line that has some."""
+    return F.split(F.btrim(line, F.lit(SPACE_CHARS)), SPACE_CLASS + "+")
 
 
 def _tokens(words: str) -> Column:
@@ -44,9 +49,11 @@ def _tokens(words: str) -> Column:
 
 
 def lines_of(texts: DataFrame, min_words: int) -> DataFrame:
-    """(rid, ln, words) of the lines that take part."""
+    """(rid, ln, line) of the lines that take part."""
+    word, gap = r"[^\x20\x09-\x0D]+", SPACE_CLASS
+    enough = f"^{gap}*({word}{gap}+){{{min_words - 1}}}{word}" if min_words > 1 else word
     lines = texts.select("rid", F.posexplode(F.split("text", "\n")).alias("ln", "line"))
-    return lines.select("rid", "ln", _words(F.col("line")).alias("words")).where(F.size("words") >= min_words)
+    return lines.where(F.col("line").rlike(enough))
 
 
 def _cell(token: Column) -> Column:
@@ -56,7 +63,7 @@ def _cell(token: Column) -> Column:
 def rarity(lines: DataFrame) -> str:
     """Frequency class of every counter (quarter octaves above the median load),
     as one comma-separated text of 2**COUNTER_BITS numbers."""
-    used = (lines.select(F.explode(_tokens("words")).alias("t")).groupBy(_cell(F.col("t")).alias("cell"))
+    used = (lines.select(_words(F.col("line")).alias("words")).select(F.explode(_tokens("words")).alias("t")).groupBy(_cell(F.col("t")).alias("cell"))
             .agg(F.count("*").alias("c")))
     cells = lines.sparkSession.range(1 << COUNTER_BITS).select(F.col("id").alias("cell")).join(used, "cell", "left")
     dense = cells.agg(F.array_sort(F.collect_list(F.struct("cell", F.coalesce("c", F.lit(0)).alias("c")))).alias("s"),
@@ -75,12 +82,22 @@ def _ordered(classes: str) -> Column:
     return F.array_sort(F.array_distinct(coded))
 
 
-def _may_match(percent: int) -> Column:
-    """Length and positional filters for postings x (earlier) and y."""
-    small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    bound = 1 + F.least("x.pos", "y.pos") + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) - 1
-    # overlap needed: J >= p/100  <=>  (100 + p) * overlap >= p * (n1 + n2)
-    return (100 * small >= percent * large) & ((100 + percent) * bound >= percent * (small + large))
+def _sketch(tokens: str) -> Column:
+    """64 parities of hashed token counts: the number of bits in which two
+    sketches differ is at most the size of the symmetric difference."""
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
+
+
+def _may_match(percent: int, x: str | Column, y: str | Column) -> Column:
+    """Length, positional and parity filters for postings x (earlier) and y."""
+    c = lambda s, f: F.col(f"{s}.{f}") if isinstance(s, str) else s.getField(f)
+    small, large = F.least(c(x, "n"), c(y, "n")), F.greatest(c(x, "n"), c(y, "n"))
+    bound = F.least(c(x, "pos"), c(y, "pos")) + F.least(c(x, "n") - c(x, "pos"), c(y, "n") - c(y, "pos"))
+    # J >= p/100  <=>  (100 + p) * overlap >= p * (n1 + n2)  <=>  (100 + p) * difference <= (100 - p) * (n1 + n2)
+    differ = F.bit_count(c(x, "sketch").bitwiseXOR(c(y, "sketch")))
+    return ((100 * small >= percent * large) & ((100 + percent) * bound >= percent * (small + large))
+            & ((100 + percent) * differ <= (100 - percent) * (small + large)))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -97,56 +114,69 @@ def removed_lines(texts: DataFrame, percent: int = PERCENT, min_words: int = MIN
     """(rid, ln) of the lines of ``texts`` (rid, text) that match an earlier one."""
     lines = lines_of(texts, min_words)
     classes = rarity(lines)
-    sets = lines.select("rid", "ln", _ordered(classes).alias("tokens"))
-    sets = sets.select("*", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("h1"), F.xxhash64(F.lit(7), "tokens").alias("h2"))
+    line_key = [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2")]
+    place = F.struct("rid", "ln")
+    # equal lines: all but the first go, and that one stands for them
+    same = lines.select("rid", "ln", *line_key)
+    several = same.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
+    copies = same.join(checkpoint(several), ["h1", "h2"]).where(place != F.col("first")).select("rid", "ln")
+
+    coded = lines.select("rid", "ln", *line_key, _words(F.col("line")).alias("words"))
+    coded = coded.select("rid", "ln", "h1", "h2", _ordered(classes).alias("tokens")).withColumn("n", F.size("tokens"))
     prefix = F.slice("tokens", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)
-    # equal sets: all but the first line go; the first one stands for them
-    key = sets.groupBy("n", "h1", "h2").agg(F.min(F.struct("rid", "ln")).alias("first"), F.count("*").alias("c"),
-                                            F.first(prefix).alias("prefix"))
-    firsts = checkpoint(key)
-    copies = (lines.select("rid", "ln", _ordered(classes).alias("tokens")).select(
-        "rid", "ln", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("h1"), F.xxhash64(F.lit(7), "tokens").alias("h2"))
-        .join(firsts.where("c > 1").select("n", "h1", "h2", "first"), ["n", "h1", "h2"])
-        .where(F.struct("rid", "ln") != F.col("first")).select("rid", "ln"))
-    copies = checkpoint(copies)
-
-    postings = firsts.select("first.rid", "first.ln", "n", F.posexplode("prefix").alias("pos", "token"))
+    firsts = coded.select("rid", "ln", "h1", "h2", "n", prefix.alias("prefix"), _sketch("tokens").alias("sketch"))
+    firsts = firsts.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.first(F.struct("n", "prefix", "sketch")).alias("s"))
+    postings = firsts.select("first.rid", "first.ln", "s.n", "s.sketch", F.posexplode("s.prefix").alias("pos", "token"))
     per = Window.partitionBy("token")
-    entry = F.struct("rid", "ln", "n", "pos")
-    live = checkpoint(postings.select("token", entry.alias("e"), F.min(entry).over(per).alias("head"), F.count("*").over(per).alias("c"))
-                      .where("c > 1").select("token", "e", "head"))
-    wanted = live.select("e.rid", "e.ln").distinct().groupBy("rid").agg(F.collect_set("ln").alias("lns"))
-    chosen = texts.join(wanted, "rid").select("rid", "lns", F.posexplode(F.split("text", "\n")).alias("ln", "line")).where(
-        F.array_contains("lns", F.col("ln"))).select("rid", "ln", _words(F.col("line")).alias("words"))
-    full = checkpoint(chosen.select("rid", "ln", _ordered(classes).alias("tokens")))
-
-    earliest = live.where("e.rid <> head.rid OR e.ln <> head.ln").select(F.col("head").alias("x"), F.col("e").alias("y"))
-    place = lambda c: F.struct(f"{c}.rid", f"{c}.ln")
-    pairs = earliest.where(_may_match(percent)).select(place("x").alias("x"), place("y").alias("y")).distinct()
-    matched = checkpoint(_verified(pairs, full, percent))
-
-    open_ = live.select("token", F.col("e").alias("y"), F.col("e.rid").alias("rid"),
-                        F.col("e.ln").alias("ln")).join(matched, ["rid", "ln"], "left_anti").select("token", "y")
-    rest = (live.select("token", F.col("e").alias("x"), "head").join(open_, "token")
-            .where((place("x") < place("y")) & (place("x") != place("head")) & _may_match(percent))
-            .select(place("x").alias("x"), place("y").alias("y")).distinct())
-    return copies.unionByName(matched).unionByName(_verified(rest, full, percent))
+    entry = F.struct("rid", "ln", "n", "pos", "sketch")
+    before = per.orderBy("rid", "ln").rowsBetween(-NEAR_ROWS, -1)
+    lists = postings.select("token", entry.alias("y"), F.min(entry).over(per).alias("head"), F.count("*").over(per).alias("c"),
+                            F.collect_list(entry).over(before).alias("near")).where("c > 1")
+    lists = lists.withColumn("near", F.filter("near", lambda x: _may_match(percent, x, F.col("y"))))
+    at = lambda s: F.struct(f"{s}.rid", f"{s}.ln")
+    first = (at("y") != at("head")) & _may_match(percent, "head", "y")
+    # a short list is searched here and now; of a long one all rows are kept
+    live = written(lists.withColumn("first", first).where(F.col("first") | (F.size("near") > 0) | (F.col("c") > NEAR_ROWS + 1)))
+
+    def sets(pairs: DataFrame) -> DataFrame:
+        """(rid, ln, tokens) of the lines named in ``pairs``."""
+        named = pairs.select("x.*").union(pairs.select("y.*")).distinct()
+        wanted = named.groupBy("rid").agg(F.collect_list("ln").alias("lns"))
+        # split before the join: below it the lines stay a column of their own
+        chosen = texts.select("rid", F.split("text", "\n").alias("lines")).join(wanted, "rid")
+        chosen = chosen.select("rid", F.explode(F.transform("lns", lambda i: F.struct(
+            i.alias("ln"), F.get(F.col("lines"), i).alias("line")))).alias("l")).select("rid", "l.ln", _words(F.col("l.line")).alias("words"))
+        return checkpoint(chosen.select("rid", "ln", _ordered(classes).alias("tokens")))
+
+    heads = live.where("first").select(at("head").alias("x"), at("y").alias("y"))
+    nearest = live.where(F.size("near") > 0).select(F.col("near")[0].alias("x"), "y").select(at("x").alias("x"), at("y").alias("y"))
+    pairs = checkpoint(heads.union(nearest).distinct())
+    matched = checkpoint(_verified(pairs, sets(pairs), percent))
+
+    open_ = live.join(matched, (F.col("y.rid") == matched["rid"]) & (F.col("y.ln") == matched["ln"]), "left_anti")
+    others = open_.where(F.size("near") > 1).select(F.explode(F.slice("near", F.lit(2), F.size("near") - 1)).alias("x"), "y")
+    long_ = F.col("c") > NEAR_ROWS + 1
+    earlier = live.where(long_).select("token", F.col("y").alias("x"))
+    hot = open_.where(long_ & (at("y") != at("head"))).select("token", "y").join(earlier, "token").where(
+        (at("x") < at("y")) & _may_match(percent, "x", "y"))
+    rest = others.select(at("x").alias("x"), at("y").alias("y")).union(hot.select(at("x").alias("x"), at("y").alias("y"))).distinct()
+    rest = checkpoint(rest.join(pairs, ["x", "y"], "left_anti"))
+    return copies.unionByName(matched).unionByName(_verified(rest, sets(rest), percent)).distinct()
 
 
 def dedup(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` as ``row``, with ``kept`` (the text without the
-    removed lines), n_lines, n_removed and ``removed`` (sorted line numbers)."""
+    """Every row of ``docs`` as ``row`` (its text left out), with ``kept`` (the
+    text without the removed lines), n_lines, n_removed and ``removed`` (sorted line numbers)."""
     keyed = with_row_id(docs, id_col, text_col, "rid")
     gone = removed_lines(keyed.select("rid", text_or_empty(text_col).alias("text")), percent, min_words)
     per = gone.groupBy("rid").agg(F.sort_array(F.collect_set("ln")).alias("removed"))
-    df = keyed.select("rid", F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text_col).alias("_x")).join(per, "rid", "left")
-    lines = F.split("_x", "\n")
-    rest = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed"))
-    kept = F.when(F.col("removed").isNull(), F.col("_x")).otherwise(
+    others = F.struct(*[F.col(c) if c != text_col else F.lit(None).cast("string").alias(c) for c in docs.columns])
+    df = keyed.select("rid", others.alias("row"), F.split(text_col, "\n").alias("_l")).join(per, "rid", "left")
+    rest = F.array_except(F.sequence(F.lit(0), F.size("_l") - 1), F.col("removed"))
+    kept = F.when(F.col("removed").isNull(), F.array_join("_l", "\n")).otherwise(
         F.array_join(F.transform(rest, lambda i: F.get(F.col("_l"), i)), "\n"))
-    df = df.withColumn("_l", F.when(F.col("removed").isNotNull(), lines))
-    return df.select("row", kept.alias("kept"), F.when(F.col("_x").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+    return df.select("row", kept.alias("kept"), F.when(F.col("_l").isNull(), 0).otherwise(F.size("_l")).cast("long").alias("n_lines"),
                      F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
                      F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
@@ -167,7 +197,6 @@ def filter_lines(docs: DataFrame, text_col: str = "text", length_col: str | None
     """``docs`` with the removed lines taken out of the text; ``length_col``,
     where the table has it, follows. Documents that lose their last word go."""
     out = dedup(docs, text_col=text_col, **options)
-    out = out.where((F.col("n_removed") == 0) | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
     columns = []
     for c in docs.columns:
         if c == text_col:
@@ -177,4 +206,5 @@ def filter_lines(docs: DataFrame, text_col: str = "text", length_col: str | None
             columns.append(F.when(F.col("n_removed") > 0, F.length("kept").cast(docs.schema[c].dataType)).otherwise(own).alias(c))
         else:
             columns.append(F.col("row").getField(c).alias(c))
-    return out.select(*columns)
+    has_words = (F.col("n_removed") == 0) | F.col("kept").rlike(r"[^\x20\x09-\x0D]")
+    return rows_where(out.select(F.struct(*columns).alias("row"), has_words.alias("ok")), F.col("ok"))

@@ -92,15 +92,23 @@ def test_line_dedup(spark, given):
         assert norm(line_dedup.report(df).collect()) == norm(brute.matching_lines(rows))
 
 
+def test_line_dedup_with_long_lists(spark, given, monkeypatch):
+    """Lists longer than the rows searched in place go through the join."""
+    monkeypatch.setattr(line_dedup, "NEAR_ROWS", 1)
+    for df, rows in both(spark, given):
+        assert norm(line_dedup.report(df).collect()) == norm(brute.matching_lines(rows))
+
+
 def test_line_dedup_keeps_columns(spark):
     df = table(spark, odd_texts())
     out = line_dedup.filter_lines(df)
     assert out.columns == df.columns
     assert {r["kept"] for r in out.collect()} == {"kept"}
-    full = line_dedup.dedup(df).select("row.text", "kept", "n_removed").collect()
-    for r in full:
-        if not r["n_removed"]:
-            assert r["text"] == r["kept"]
+    full = line_dedup.dedup(df).select("row.doc_id", "kept", "n_removed").collect()
+    assert norm((r["doc_id"], r["kept"]) for r in full if not r["n_removed"]) == norm(
+        (r["doc_id"], r["text"]) for r, n in zip(
+            sorted(df.collect(), key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["text"] is not None, r["text"] or "")),
+            brute.matching_lines(odd_texts()), strict=True) if not n[2])
 
 
 def test_quality_rules(spark, given):
