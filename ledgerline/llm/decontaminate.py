@@ -3,21 +3,25 @@
 The words of the training documents are the index: postings (term, document,
 position), of which only those of benchmark terms are ever kept. Every window
 of a benchmark item (``window`` consecutive words; a shorter item is one
-window) picks its two rarest terms by their frequency in the training data;
-their posting lists are shifted by the term's place in the item, and where both
-lists meet in one (document, item, shift) the item may be aligned there. Only
-those alignments are compared word by word, which gives the exact phrases, and
-as proximity matches the windows of which at least ``near`` words stand in
-their places.
-
-Windows with a term that no document has are dropped at once. The vocabulary
+window) picks its rarest terms by their frequency in the training data, two more
+than the places in which a near match may differ; their posting lists are
+shifted by the term's place in the item, and where two of them meet in one
+(document, item, shift) the item may be aligned there: any match of the window
+has two of those terms in place. Only those alignments are compared word by
+word, which gives the exact phrases, and as proximity matches the windows of
+which at least ``near`` words, but not all, stand in their places.
+
+A term that no document has is a place that differs; windows with more of them
+than a near match allows are dropped at once. The vocabulary
 of the benchmark is broadcast only after its size has been counted
 (``MAX_BROADCAST_TERMS``); beyond that the same joins shuffle.
 
 Defined results: null texts have no words; an item without words is ignored; a
 null item id counts as the empty name; items that share an id count once; each
 row of ``documents`` is judged by itself, so repeated rows give repeated
-results. Ties in rarity go to the earlier place in the item.
+results. Ties in rarity go to the earlier place in the item. Places before the
+first or after the last word of a document differ, so a proximity match may
+start before it; an item of at most ``near`` words has exact matches only.
 """
 
 from __future__ import annotations
@@ -45,27 +49,30 @@ def _bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MAX_BROADCAST_TERMS else df
 
 
-def pivots(items: DataFrame, frequency: DataFrame, window: int) -> DataFrame:
-    """(item, q, term, need): the places of the two rarest terms of each window."""
+def pivots(items: DataFrame, frequency: DataFrame, window: int, near: int) -> DataFrame:
+    """(item, q, term, need): the places of the rarest terms of each window, so
+    many that every match of the window has ``need`` of them in place."""
     size = F.least(F.size("iwords"), F.lit(window))
     at = (items.select("item", "iwords", size.alias("len"), F.explode(
             F.sequence(F.lit(0), F.size("iwords") - size)).alias("s"))
           .select("item", "s", "len", F.posexplode(F.slice("iwords", F.col("s") + 1, F.col("len"))).alias("o", "term")))
     known = at.join(frequency, "term")
     per = Window.partitionBy("item", "s")
-    ranked = known.withColumn("present", F.count("*").over(per)).where("present = len").withColumn(
-        "r", F.row_number().over(per.orderBy("freq", "o"))).where("r <= 2")
-    return ranked.select("item", (F.col("s") + F.col("o")).alias("q"), "term",
-                         F.least(F.col("len"), F.lit(2)).alias("need")).distinct()
+    # of the places that may differ, absent terms take theirs
+    ranked = (known.withColumn("least", F.least(F.col("len"), F.lit(near)))
+              .withColumn("spare", F.count("*").over(per) - F.col("least")).where("spare >= 0")
+              .withColumn("need", F.least(F.col("least"), F.lit(2)))
+              .withColumn("r", F.row_number().over(per.orderBy("freq", "o"))).where("r <= spare + need"))
+    return ranked.select("item", (F.col("s") + F.col("o")).alias("q"), "term", "need").distinct()
 
 
-def alignments(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
+def alignments(docs: DataFrame, items: DataFrame, window: int, near: int) -> DataFrame:
     """Per document (_rid) the array ``cands`` of (item_id, iwords, shift)."""
     text = lower_ascii(text_or_empty("_x"))
     vocabulary = checkpoint(items.select(F.explode("iwords").alias("term")).distinct())
     tokens = docs.select(F.explode(words(text)).alias("term"))
     frequency = tokens.join(_bounded(vocabulary), "term").groupBy("term").agg(F.count("*").alias("freq"))
-    at = checkpoint(pivots(items, frequency, window))
+    at = checkpoint(pivots(items, frequency, window, near))
     postings = docs.select("_rid", F.posexplode(words(text)).alias("pos", "term"))
     met = (postings.join(_bounded(at), "term")
            .select("_rid", "item", "need", (F.col("pos") - F.col("q")).alias("shift"))
@@ -80,47 +87,55 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, near: int
          item_text: str = "text") -> DataFrame:
     """One row per document: ``row`` (all its columns), n_words, ``hits`` (array
     of item_id, start, length of the phrases found), n_hit, ``item_ids`` (sorted
-    array), n_proximity (windows that nearly match)."""
+    array), ``near`` (sorted array of item_id, start, same of the windows that
+    nearly match), n_proximity (their number)."""
     keyed = with_row_id(docs, id_col, text_col)
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item_id"),
                              words(lower_ascii(text_or_empty(item_text))).alias("iwords"))
-    # equal items of one id are one item; the text names the row
-    items = items.where(F.size("iwords") > 0).distinct().withColumn(
-        "item", F.concat_ws(" ", "item_id", F.array_join("iwords", " ")))
-    items = checkpoint(items)
-    found = alignments(keyed.select("_rid", F.col(text_col).alias("_x")), items, window)
+    # equal items of one id are one item; a number, fixed by the checkpoint, names the row
+    items = checkpoint(items.where(F.size("iwords") > 0).distinct().withColumn("item", F.monotonically_increasing_id()))
+    found = alignments(keyed.select("_rid", F.col(text_col).alias("_x")), items, window, near)
     joined = keyed.select("_rid", F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
                           text_or_empty(text_col).alias("_x")).join(found, "_rid", "left")
     df = joined.select(
         "row", "cands", F.size(words(F.col("_x"), GAPS_ANY_CASE)).cast("long").alias("n_words"),
         F.when(F.col("cands").isNotNull(), words(lower_ascii(F.col("_x")))).alias("_w"))
 
-    def compare(c):
-        m = F.size(c["iwords"])
-        size = F.least(m, F.lit(window))
+    def in_place(c):
         equal = F.transform(c["iwords"], lambda w, q: F.coalesce(
             F.when(c["shift"] + q >= 0, F.get(F.col("_w"), c["shift"] + q)) == w, F.lit(False)).cast("int"))
+        return F.struct(c["item_id"].alias("item_id"), c["shift"].alias("shift"), equal.alias("equal"))
+
+    def enough(c):
+        """Whether all windows together have the words in place that one needs."""
+        return F.aggregate(c["equal"], F.lit(0), lambda a, x: a + x) >= F.least(F.size(c["equal"]), F.lit(window), F.lit(near))
+
+    def compare(c):
+        m = F.size(c["equal"])
+        size = F.least(m, F.lit(window))
         sums = F.transform(F.sequence(F.lit(0), m - size), lambda s: F.struct(
             (c["shift"] + s).alias("start"), size.alias("length"),
-            F.aggregate(F.slice(equal, s + 1, size), F.lit(0), lambda a, x: a + x).alias("same")))
-        return F.struct(c["item_id"].alias("item_id"), F.filter(sums, lambda x: x["same"] == x["length"]).alias("spans"),
-                        F.size(F.filter(sums, lambda x: (x["same"] >= near) & (x["same"] < x["length"]))).alias("near"))
+            F.aggregate(F.slice(c["equal"], s + 1, size), F.lit(0), lambda a, x: a + x).alias("same")))
+        return F.struct(c["item_id"].alias("item_id"), F.filter(sums, lambda x: x["same"] >= F.least(x["length"], F.lit(near))).alias("sums"))
 
     # a column used twice is computed once, and not inside the function
-    df = df.withColumn("_c", F.when(F.size("_w") > 0, F.transform("cands", compare)))
-    phrases = F.filter("_c", lambda c: F.size(c["spans"]) > 0)
-    df = df.withColumn("_p", phrases)
+    df = df.withColumn("_c", F.when(F.size("_w") > 0, F.transform(F.filter(F.transform("cands", in_place), enough), compare)))
+    df = df.withColumn("_p", F.filter(F.transform("_c", lambda c: F.struct(c["item_id"].alias("item_id"), F.filter(
+        c["sums"], lambda x: x["same"] == x["length"]).alias("spans"))), lambda c: F.size(c["spans"]) > 0))
     spots = F.flatten(F.transform("_p", lambda c: F.flatten(F.transform(
         c["spans"], lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1)))))
     hits = F.flatten(F.transform("_p", lambda c: F.transform(c["spans"], lambda s: F.struct(
         c["item_id"].alias("item_id"), s["start"].alias("start"), s["length"].alias("length")))))
     names = F.array_sort(F.array_distinct(F.transform("_p", lambda c: c["item_id"])))
     none = F.array().cast("array<struct<item_id:string,start:int,length:int>>")
+    close = F.flatten(F.transform("_c", lambda c: F.transform(F.filter(c["sums"], lambda x: x["same"] < x["length"]), lambda s: F.struct(
+        c["item_id"].alias("item_id"), s["start"].alias("start"), s["same"].alias("same")))))
+    df = df.withColumn("_n", F.coalesce(F.array_sort(F.array_distinct(close)), F.array().cast("array<struct<item_id:string,start:int,same:int>>")))
     return df.select(
         "row", "n_words", F.coalesce(hits, none).alias("hits"),
         F.coalesce(F.size(F.array_distinct(spots)), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(names, F.array().cast("array<string>")).alias("item_ids"),
-        F.coalesce(F.aggregate(F.col("_c"), F.lit(0), lambda a, c: a + c["near"]), F.lit(0)).cast("long").alias("n_proximity"))
+        F.col("_n").alias("near"), F.size("_n").cast("long").alias("n_proximity"))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -131,6 +146,12 @@ def digest(found: DataFrame) -> DataFrame:
                         (n_hit > 0).alias("contaminated"), "n_proximity")
 
 
+def proximity_digest(found: DataFrame) -> DataFrame:
+    """doc_id, n_proximity and a hash of the proximity matches."""
+    named = F.transform("near", lambda m: F.concat_ws(":", m["item_id"], m["start"], m["same"]))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_proximity", F.sha2(F.array_join(named, ","), 256).alias("proximity_sha256"))
+
+
 def remove(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark phrase, with their columns."""
     return rows_where(find(docs, benchmark, **options), F.col("n_hit") <= 0)

@@ -200,6 +200,51 @@ def test_proximity(spark):
     assert got[2] == (10, 0) and got[1][0] == 0 and got[3] == (0, 0)
 
 
+def near_matches(rows, items, window=10, near=8):
+    """(item_id, start, same) of every window of which ``near`` words, not all, are in place, per row."""
+    words_of = lambda t: brute.ALNUM.findall((t or "").translate(brute.LOWER))
+    wins = set()
+    for item, t in items:
+        w = words_of(t)
+        size = min(window, len(w))
+        wins |= {("" if item is None else str(item), tuple(w[a:a + size])) for a in range(len(w) - size + 1 if size else 0)}
+    out = []
+    for i, t in rows:
+        w, places, found = words_of(t), defaultdict(list), set()
+        for p, x in enumerate(w):
+            places[x].append(p)
+        for item, g in wins:
+            same = defaultdict(int)
+            for o, x in enumerate(g):
+                for p in places.get(x, ()):
+                    same[p - o] += 1
+            found |= {(item, a, n) for a, n in same.items() if near <= n < len(g)}
+        out.append((i, len(found), brute.sha(",".join(f"{m}:{a}:{n}" for m, a, n in sorted(found)))))
+    return out
+
+
+def test_proximity_finds_every_near_copy(spark, given, monkeypatch):
+    """Changed words may be the rarest of a window, or unknown to the corpus."""
+    b = [f"b{i}" for i in range(10)]
+    items = [(1, " ".join(b)), (2, "c0 c1 c2 c3 c4 c5 c6 c7 c8"), (3, "d0 d1 d2 d3 d4 d5 d6 d7"), (None, "gone " + " ".join(b[1:9]) + " never"),
+             (4, "e e e e e e e e e f e e")]
+    rows = [(1, "b0 b1 " * 3), (2, "e e e e e e e e e e e"), (3, "c1 c2 c3 c4 c5 c6 c7 c8"), (4, "d0 d1 d2 d3 d4 d5 d6 x"), (None, None)]
+    rows += [(10 * i + j + 100, " ".join(["x", *(w if k not in (i, j) else "wrong" for k, w in enumerate(b)), "y"])) for i in range(10) for j in range(i + 1)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.find(table(spark, rows), bench)
+    assert norm(decontaminate.proximity_digest(found).collect()) == norm(near_matches(rows, items))
+    assert {r["n_proximity"] > 0 for r in found.where("row.doc_id >= 100").collect()} == {True}
+    df, rows = given
+    # each given text is also an item, with some of its words changed
+    items = [(i, " ".join("odd" if k % 9 == 4 else w for k, w in enumerate((t or "").split()[:40]))) for i, t in rows[:40]]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = near_matches(rows, items)
+    assert sum(n for _, n, _ in want) > 100
+    assert norm(decontaminate.proximity_digest(decontaminate.find(df, bench)).collect()) == norm(want)
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_TERMS", 0)
+    assert norm(decontaminate.proximity_digest(decontaminate.find(df, bench)).collect()) == norm(want)
+
+
 def test_warc(spark, given):
     magic = "WARC/1.0\r\nWARC-Type: response\r\nX-Payload-Length: 3\r\nWARC-Payload-Digest: sha1:X\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     rows = [(9, "<p>é</p>"), (3, "<p>é</p>"), (4, None), (5, ""), (6, "a" + magic + "b" + magic), (7, magic), (8, "WARC/1.0\r\n"), (10, "x\r\n\r\ny")]
