@@ -6,7 +6,9 @@ sliding window: the window's Shannon entropy within one character class (hex,
 or letters and digits) follows from character counts that are updated by the
 character that enters and the one that leaves. A candidate whose highest window
 entropy reaches its class's threshold is a secret, unless the allow-list names
-it. Built-in functions only; positions are code points, end exclusive.
+it; of a candidate with '=' the list must name the value too, so a harmless
+name hides nothing. Built-in functions only; positions are code points, end
+exclusive.
 
 Positions come from splitting a text by the pattern: the pieces and the matches
 alternate, so running sums of their lengths are the spans.
@@ -40,7 +42,9 @@ HEX_BITS, MIXED_BITS = 3.0, 3.7
 ALLOWED = (
     r"(?i)example|sample|dummy|placeholder|x{6,}|0{8,}|"
     r"abcdefghij|0123456789|^[a-z]+([_/-][a-z]+)*$|"
-    r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^(/?[a-z0-9_]+){2,}\.?$(?<![A-Z0-9]{4})")
+    r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|"
+    # paths and names: lower case only, and not with four letters or digits (of any case) at the end
+    r"(?-i:^/?[a-z0-9_]+(/[a-z0-9_]+)*\.?$)(?<![A-Z0-9]{4})")
 
 SPAN = "array<struct<start:int,rank:int,end:int,text:string>>"
 
@@ -94,11 +98,19 @@ def window_entropy(s: Column, width: int = WINDOW) -> Column:
     return F.aggregate(steps, start, step, lambda acc: acc["best"])
 
 
+def _allowed(s: Column) -> Column:
+    """Whether the allow-list names the candidate and each of its values: the
+    last part between '=' and the others that are too long for a name."""
+    parts = F.filter(F.split(s, "="), lambda x: x != "")
+    values = F.filter(parts, lambda x, i: (F.length(x) >= WINDOW) | (i == F.size(parts) - 1))
+    return s.rlike(ALLOWED) & F.forall(values, lambda x: x.rlike(ALLOWED))
+
+
 def _suspect(s: Column) -> Column:
     mixed = s.rlike("[0-9]") & s.rlike("[A-Za-z]")
     is_hex = s.rlike("^[0-9a-fA-F]+$")
     enough = window_entropy(s) >= F.when(is_hex, F.lit(HEX_BITS)).otherwise(F.lit(MIXED_BITS))
-    return F.when(~mixed, F.lit(False)).when(s.rlike(ALLOWED), F.lit(False)).otherwise(enough)
+    return F.when(~mixed, F.lit(False)).when(_allowed(s), F.lit(False)).otherwise(enough)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

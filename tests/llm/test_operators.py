@@ -164,6 +164,15 @@ def test_entropy_spans(spark):
     assert got == {1: "entropy:4:26", 2: "", 3: "", 4: "", 5: "entropy:2:24"}
 
 
+def test_allow_list_hides_no_keys(spark):
+    keys = ["Zx9kQ2mLp7Rt4Vb8Nc_Yd", "Zx9kQ2mLp7Rt4Vb8Nc/Yd", "sample_key=Zx9kQ2mLp7Rt4Vb8Nc1wYd", "dummy=Zx9kQ2mLp7Rt4Vb8Nc1wYd==",
+            "a=example_key=Zx9kQ2mLp7Rt4Vb8Nc1wYd", "Zx9kQ2mLp7Rt4Vb8Nc1wYd=example", "zx9kq2mlp7rt4vb8nc1w"]
+    harmless = ["usr/lib/python3_dist_9/x_y", "key1=example_of_some_value_2b", "sample_key_number_12_for_all", "/var/log/abc_def_12/x_y"]
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.scan(table(spark, list(enumerate(keys + harmless)))).collect()}
+    assert [got[i] for i in range(len(keys))] == [f"entropy:0:{len(k)}" for k in keys]
+    assert [got[len(keys) + i] for i in range(len(harmless))] == [""] * len(harmless)
+
+
 def test_window_entropy_is_exact(spark):
     from pyspark.sql import functions as F
     text = "aab0cd1e2ffgh3ijklmn4opqrst5aaaaaa"
