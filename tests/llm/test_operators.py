@@ -99,6 +99,15 @@ def test_line_dedup_with_long_lists(spark, given, monkeypatch):
         assert norm(line_dedup.report(df).collect()) == norm(brute.matching_lines(rows))
 
 
+def test_line_dedup_of_all_lines(spark, given):
+    """With min_words=1 lines of one to three words go too."""
+    for df, rows in both(spark, given):
+        assert norm(line_dedup.report(df, min_words=1).collect()) == norm(brute.matching_lines(rows, min_words=1))
+    rows = [(1, "All rights reserved.\nMenu"), (2, "Menu\n  All rights reserved. \nRead more"), (3, "Read more\n \nMenu now")]
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.report(table(spark, rows), min_words=1).collect()}
+    assert got == {1: "", 2: "0,1", 3: "0"}
+
+
 def test_line_dedup_keeps_columns(spark):
     df = table(spark, odd_texts())
     out = line_dedup.filter_lines(df)
