@@ -5,6 +5,8 @@ line: the word). Two lines match if the Jaccard similarity of their sets is at
 least ``percent``; a line that matches an earlier one (smaller document, then
 line number) is removed. Lines with fewer than ``min_words`` words are left
 alone, exact repeats among them; ``min_words=1`` takes every line with a word.
+The method's tokens are words; pairs give shorter posting lists but match less
+(README).
 
 Tokens have one order, rare before frequent, from a fixed number of hashed
 counters over the whole corpus. Matching lines share a token of their prefixes
