@@ -7,7 +7,8 @@ least ``m`` shingles of their ``m``-prefixes, the first ``n - ceil(t*n) + m``
 shingles. Each document picks its own ``m``: the higher the estimated number of
 candidates its prefix brings, the longer the prefix and the more shared
 prefix shingles are asked for before a pair is verified (the smaller ``m`` of
-the two counts, which is what the shorter prefix guarantees).
+the two counts, which is what the shorter prefix guarantees). ``m`` is at most
+``ceil(t*n)``, the least overlap of a document that links.
 
 Documents with equal sets are one class from the start. Candidates are paired
 inside the posting list of a prefix shingle; lists longer than ``BLOCK_ROWS``
@@ -124,6 +125,7 @@ def _postings(k: int, percent: int, counts: np.ndarray):
                 inside = place < least[doc]
                 guess = np.bincount(doc[inside], cost[inside], minlength=len(n))
                 m = 1 + np.searchsorted(np.array(COSTS, float), guess, "right")
+                m = np.minimum(m, np.maximum(1, (percent * n + 99) // 100))  # a linked pair need not share more
                 take = place < (least + m - 1)[doc]
                 d = doc[take]
                 yield _batch("token rid n m", token[take].view(np.int64), rids[first + d], n[d], m[d])

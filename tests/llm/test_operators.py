@@ -150,6 +150,16 @@ def test_jaccard_join_in_blocks(spark, monkeypatch):
     assert norm(got) == norm(brute.components(rows, 3, 80))
 
 
+def test_jaccard_join_asks_small_sets_for_no_more_than_they_share(spark, monkeypatch):
+    """At 0.8, sets of 4 and 5 shingles link with 4 in common."""
+    monkeypatch.setattr(jaccard_join, "COSTS", (0, 0, 0, 0))
+    base = "a b c d e f g h"
+    rows = [(1, base), (2, base)] + [(10 + i, f"{base} end{i}") for i in range(8)] + [(30 + i, f"start{i} {base}") for i in range(8)]
+    got = jaccard_join.components_of(table(spark, rows), shingle=5, percent=80).collect()
+    assert norm(got) == norm(brute.components(rows, 5, 80))
+    assert {r["component_id"] for r in got} == {1}
+
+
 def test_keep_one(spark):
     rows = odd_texts()
     df = table(spark, rows)
