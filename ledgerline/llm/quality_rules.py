@@ -8,6 +8,9 @@ turns the table into one boolean expression without division (``low * d <= n
 Defined results: a null text counts as empty; an empty text has zero of
 everything and is rejected by the length rule. The result has one row for each
 input row, so repeated rows and null ids come back as often as they went in.
+Where a column ``lang`` names a language without a list of stop words, that rule
+is not asked, nor is the mean word length where it is written without spaces;
+a text without a named language is asked everything.
 Repeated 3-word windows are recognised by a 64-bit hash of their words, which
 is compared inside one document only.
 """
@@ -32,6 +35,10 @@ STOP_WORDS = (
     "der die und das den von zu mit ist ein nicht auf für im "
     "el los y las se del por con una para su al es").split()
 
+#: Languages that ``STOP_WORDS`` lists, codes that name none, and languages written without spaces.
+LISTED, UNNAMED = ("en", "fr", "de", "es"), ("", "und", "unknown")
+UNSPACED = ("zh", "ja", "th", "lo", "km", "my", "bo")
+
 
 class Rule(NamedTuple):
     """Keep if ``low * denominator <= numerator <= high * denominator``;
@@ -113,15 +120,20 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
             .withColumn("one", F.lit(1)).drop("_g", "_t", "_s"))
 
 
-def verdict(rules: Sequence[Rule] = RULES) -> Column:
-    """The table as one expression over the columns of ``measures``."""
+def verdict(rules: Sequence[Rule] = RULES, lang: Column | None = None) -> Column:
+    """The table as one expression over the columns of ``measures``; ``lang``
+    (a code as in 'en' or 'pt-BR') spares languages the rules not made for them."""
+    spared = {}
+    if lang is not None:
+        code = F.lower(F.regexp_extract(F.coalesce(lang, F.lit("")), "^[A-Za-z]*", 0))
+        spared = {"stop_words": ~code.isin(*LISTED, *UNNAMED), "mean_word_length": code.isin(*UNSPACED)}
     tests = [F.lit(True)]
     for r in rules:
-        n, d = F.col(r.numerator), F.col(r.denominator)
+        n, d, spare = F.col(r.numerator), F.col(r.denominator), spared.get(r.name, F.lit(False))
         if r.low is not None:
-            tests.append(n >= F.lit(r.low) * d)
+            tests.append(spare | (n >= F.lit(r.low) * d))
         if r.high is not None:
-            tests.append(n <= F.lit(r.high) * d)
+            tests.append(spare | (n <= F.lit(r.high) * d))
     return reduce(lambda a, b: a & b, tests)
 
 
@@ -129,7 +141,8 @@ def score(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES
     """``row``, the measures, ``base_failed`` and ``kept``."""
     df = measures(docs, text_col)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return df.withColumn("base_failed", failed).withColumn("kept", ~failed & verdict(rules))
+    lang = F.col("row.lang") if dict(docs.dtypes).get("lang") == "string" else None
+    return df.withColumn("base_failed", failed).withColumn("kept", ~failed & verdict(rules, lang))
 
 
 def filter_documents(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:

@@ -135,6 +135,16 @@ def test_quality_rules_on_labels(spark, given):
     assert not [r for r in got if r["quality"] == 1 and not r["kept"] and not r["base_failed"]]
 
 
+def test_stop_words_are_asked_of_listed_languages(spark):
+    polish = " ".join(f"słowo{i} książka{i}" for i in range(40))
+    chinese = " ".join(chr(0x4E00 + i) * 20 + chr(0x5E00 + i) for i in range(60))
+    rows = [(1, polish, "pl"), (2, polish, "en"), (3, polish, None), (4, polish, "EN-us"), (5, chinese, "zh-CN"), (6, chinese, "pl"),
+            (7, polish, "pt_BR"), (8, "# " * 100 + polish, "pl"), (9, "the " + polish, "en"), (10, polish, "und")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in quality_rules.filter_documents(df).collect()} == {1, 5, 7, 9}
+    assert quality_rules.filter_documents(df.drop("lang")).count() == 1
+
+
 @pytest.mark.parametrize("k,percent", [(3, 90), (5, 80)])
 def test_jaccard_join(spark, given, k, percent):
     for df, rows in both(spark, given):
