@@ -1,5 +1,5 @@
 """DuckDB SQL for the queries of this package that SQL can express. The others
-(op1, op6, op9 and the pipeline) are tested against brute force."""
+(op1, op6, op9, op11, op13 and the pipeline) are tested against brute force."""
 
 from __future__ import annotations
 
@@ -126,6 +126,17 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(kept.n, 0))::BI
 FROM w LEFT JOIN kept USING (doc_id)"""
 
 
+def op12() -> str:
+    host = "coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), '')"
+    return f"""
+WITH rules(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+u AS (SELECT page_id, {LOWERED.format(host)} AS host, coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages),
+fits AS (SELECT host, path, h || p AS rule, v, row_number() OVER (PARTITION BY host, path ORDER BY length(h) DESC, length(p) DESC) AS r
+    FROM (SELECT DISTINCT host, path FROM u) JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+SELECT page_id, u.host, u.path, rule, coalesce(v, 'allow') AS verdict FROM u LEFT JOIN (SELECT * FROM fits WHERE r = 1) f USING (host, path)"""
+
+
 def registry() -> dict[str, str]:
     return {"op2_hash_sharding": op2(), "op3_line_dedup": op3(), "op4_quality_rules": op4(), "op5_jaccard_join": op5(),
-            "op7_decontaminate": op7(), "op8_warc": op8(), "op10_substring_dedup": op10()}
+            "op7_decontaminate": op7(), "op8_warc": op8(), "op10_substring_dedup": op10(), "op12_url_filter": op12()}
