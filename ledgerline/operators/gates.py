@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable, Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -62,6 +64,28 @@ def require_max_length(df: DataFrame, limits: dict[str, int], label: str = "tabl
         raise GateError(f"{label}: value longer than declared in {bad} (limits {limits})")
 
 
+def observed_metrics(required: Iterable[str] = (), lengths: Mapping[str, int] = {},
+                     largest: Iterable[str] = ()) -> list[Column]:
+    """C1, C5 and the last key as metrics for ``DataFrame.observe``: gathered by
+    the job that writes the rows, so the gates read nothing again."""
+    return ([F.sum(F.col(c).isNull().cast("long")).alias(f"nulls.{c}") for c in required]
+            + [F.max(F.length(c)).alias(f"length.{c}") for c in lengths]
+            + [F.max(c).alias(f"largest.{c}") for c in largest])
+
+
+def require_observed(counted: Mapping[str, int | None], label: str, required: Iterable[str] = (),
+                     lengths: Mapping[str, int] = {}, rows: bool = False) -> None:
+    """The gates on what ``observed_metrics`` gathered; ``rows``: K9 too."""
+    if rows and not counted["n_rows"]:
+        raise GateError(f"{label}: no rows")
+    nulls = {c: counted[f"nulls.{c}"] for c in required if counted[f"nulls.{c}"]}
+    if nulls:
+        raise GateError(f"{label}: NULL in NOT NULL column(s) {nulls}")
+    long = {c: counted[f"length.{c}"] for c, n in lengths.items() if (counted[f"length.{c}"] or 0) > n}
+    if long:
+        raise GateError(f"{label}: value longer than declared in {long} (limits {dict(lengths)})")
+
+
 def require_rows(df: DataFrame, label: str = "table") -> None:
     """K9: the table must not be empty."""
     if df.isEmpty():

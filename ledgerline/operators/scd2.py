@@ -1,4 +1,4 @@
-"""Slowly changing dimension (type 2) as a pure DataFrame rewrite.
+"""Slowly changing dimension (type 2) as pure DataFrame work.
 
 ``scd2_apply(dim, stage, spec, profile, run)`` returns the next version of
 the whole dimension. Plan shape (keyed joins and a union, no window over the
@@ -20,11 +20,21 @@ Both sides read one immutable snapshot, which is what the psql
 data-modifying CTE sees; for gcp "no active version after the close" selects
 the same rows as "unmatched or changed" as long as each key has at most one
 active version (``gates.require_single_active``).
+
+``scd2_delta`` is the form for stored dimensions, whose history must not be
+rewritten: it returns only the rows of touched partitions. A stored dimension
+is partitioned by (``is_active``, slot): active rows lie in one of a fixed number of
+slots by hash of their key; closed rows lie, where a run closes only active
+versions (gcp), in a slot of that run, so that files of earlier closed rows
+never change, and where it re-stamps all versions of an id (psql) in the slot
+of their key, so that only slots of changed ids are written again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -170,3 +180,34 @@ def scd2_apply(dim: DataFrame, stage: DataFrame, spec: DimSpec, profile: Profile
     added = new_versions(opened, spec, profile, run_ts, stamp, key_start=key_start, dim=dim,
                          num_partitions=num_partitions, seq=seq)
     return kept.unionByName(added)
+
+
+def slot_of(keys: list[str], slots: int) -> Column:
+    """Slot of a key among ``slots``; the name says of how many."""
+    number = F.pmod(F.xxhash64(*keys), F.lit(slots)).cast("string")
+    return F.concat(F.lpad(number, 5, "0"), F.lit(f"-of-{slots}"))
+
+
+def scd2_delta(dim: DataFrame, stage: DataFrame, spec: DimSpec, profile: Profile, run_ts: str, stamp: str,
+               slot_col: str, slots: int, seq: KeySequence | None = None,
+               num_partitions: int | None = None) -> DataFrame | None:
+    """Rows of every partition (``is_active``, ``slot_col``) that the batch
+    touches, after it; None if it opens no version. ``dim`` has ``slot_col``.
+
+    The touched slots (at most ``slots`` names) go through the driver, so that
+    the scans of the dimension are pruned when they are planned."""
+    keys = profile.match_keys(spec)
+    opened = versions_to_open(materialize(changed_rows(stage, dim, spec, profile)))
+    slot = slot_of(keys, slots)
+    touched = [r[0] for r in opened.select(slot).distinct().collect()]
+    if not touched:
+        return None
+    closed_keys = opened.filter(F.col("_hit")).select(*keys)
+    every = profile.close_scope == "all_versions"
+    old = (dim if every else active_rows(dim)).filter(F.col(slot_col).isin(touched))
+    kept = close_versions(old, closed_keys, keys, profile.close_scope, run_ts)
+    if not every:
+        mine = F.lit(f"{stamp}-{uuid.uuid4().hex[:8]}")
+        kept = kept.withColumn(slot_col, F.when(F.col("is_active"), F.col(slot_col)).otherwise(mine))
+    added = new_versions(opened, spec, profile, run_ts, stamp, dim=dim, num_partitions=num_partitions, seq=seq)
+    return kept.unionByName(added.withColumn(slot_col, slot))

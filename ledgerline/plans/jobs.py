@@ -5,9 +5,9 @@ step is a distributed DataFrame job.
 * W2 ``job_psql``: JDBC copy of the source tables -> ``job_warehouse``.
 * W3 ``job_gcp``: stamp -> land files -> by-position views + row gates ->
   ``job_warehouse``.
-* ``job_warehouse``: per dimension stage -> gates -> SCD2 -> snapshot; then
-  fact lookup -> stage -> gate -> upsert -> snapshot. Dimensions before the
-  fact is a hard barrier.
+* ``job_warehouse``: per dimension stage -> gates -> SCD2 -> touched partitions;
+  then fact lookup -> stage -> gate -> upsert -> touched partitions. Dimensions
+  before the fact is a hard barrier.
 """
 
 from __future__ import annotations
@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 from ledgerline.functions.timestamps import new_stamp, stamp_to_text
 from ledgerline.operators import gates as G
 from ledgerline.operators.lookup import lookup_keys
-from ledgerline.operators.scd2 import dim_schema, scd2_apply
+from ledgerline.operators.scd2 import dim_schema, scd2_delta
 from ledgerline.operators.staging import stage_dimension, stage_sales
 from ledgerline.operators.upsert import fact_schema, upsert_fact
-from ledgerline.plans.profiles import DIMENSIONS, GCP, PSQL, PSQL_LENGTHS, Profile
-from ledgerline.operators.sequence import KeySequence, max_key
+from ledgerline.plans.profiles import DIMENSIONS, GCP, PSQL, PSQL_LENGTHS, DimSpec, Profile
+from ledgerline.operators.sequence import KeySequence
 from ledgerline.plans.parallel import run_parallel
-from ledgerline.plans.tables import PartitionedTable, Warehouse
+from ledgerline.plans.tables import SLOT, Warehouse
 from ledgerline.sources.csv import force_all_columns, read_csv_by_name
 from ledgerline.sources.jdbc import copy_jdbc_table, write_jdbc_table
 from ledgerline.sources.landing import batch_view, land_files
@@ -43,158 +43,172 @@ SCHEMAS = {"psql": ("public", "stage", "dwh"), "gcp": ("staging", "staging", "dw
 class RunResult:
     stamp: str
     run_ts: str
-    versions: dict
+    written: dict  # rows written by table
 
 
 def job_load_csv(spark: SparkSession, wh: Warehouse | None, files: dict[str, str],
                  profile: Profile = PSQL, db: str = "public", jdbc_url: str | None = None,
                  jdbc_properties: dict | None = None, multi_line: bool = False) -> dict[str, int]:
     """CSV by name -> cleaning -> full refresh of each source table, into
-    warehouse snapshots or, with ``jdbc_url``, into the source database
+    warehouse tables or, with ``jdbc_url``, into the source database
     (TRUNCATE keeps the table definition, then batched INSERTs from every
     task). Every file is parsed and gated before anything is replaced.
     ``multi_line``: quoted fields may hold line breaks (files are not split)."""
-    frames = {}
-    for table, path in files.items():
-        df = read_csv_by_name(spark, path, source_schema(table, profile), multi_line=multi_line)
-        if force_all_columns(df) == 0:  # parses every column: FAILFAST applies
-            raise G.GateError(f"{table}: no rows in {path}")
-        frames[table] = df
-    out = {}
-    if jdbc_url is None:
-        wh.ensure_schemas(db)
-    for table, df in frames.items():
-        if jdbc_url is not None:
+    frames = {t: read_csv_by_name(spark, path, source_schema(t, profile), multi_line=multi_line) for t, path in files.items()}
+    if jdbc_url is not None:
+        out = {}
+        for table, df in frames.items():
+            out[table] = force_all_columns(df)  # parses every column: FAILFAST applies
+            if not out[table]:
+                raise G.GateError(f"{table}: no rows in {files[table]}")
+        for table, df in frames.items():
             write_jdbc_table(df, jdbc_url, table, jdbc_properties, truncate=True)
-            out[table] = 0
-        else:
-            out[table] = wh.full_refresh(df, f"{db}.{table}")
-    return out
+        return out
+    wh.ensure_schemas(db)
+    aside = {t: wh.write_aside(df, f"{db}.{t}") for t, df in frames.items()}  # one pass: parse, count, write
+    for table, (_, counted) in aside.items():
+        G.require_observed(counted, f"{table} ({files[table]})", rows=True)
+    for table, (path, _) in aside.items():
+        wh.point_at(f"{db}.{table}", path, frames[table].schema)
+    return {t: counted["n_rows"] for t, (_, counted) in aside.items()}
 
 
 def _source_gates(df: DataFrame, table: str, key: str) -> int:
     return G.require_batch_key(df, [key], table)
 
 
-def merge_fact_partitions(spark: SparkSession, wh: Warehouse, profile: Profile, fname: str,
-                          staged: DataFrame, run_ts: str, gates=None) -> str:
+# Columns that may not be NULL, beside the surrogate key.
+REQUIRED = ("id", "source_system")
+
+
+def dim_table(spec: DimSpec, profile: Profile) -> str:
+    return f"{SCHEMAS[profile.name][2]}.dim_{spec.name}"
+
+
+def ensure_dim(wh: Warehouse, spec: DimSpec, profile: Profile) -> str:
+    """K5 / K6: the dimension's target, if absent."""
+    name, schema = dim_table(spec, profile), dim_schema(spec, profile)
+    lengths = {c: n for c, n in PSQL_LENGTHS.items() if c in schema.names} if profile.name == "psql" else {}
+    wh.create_table(name, schema.add(SLOT, "string"), ("is_active", SLOT), lengths,
+                    {"is_active": "true", "effective_start_date": "current_timestamp()"})
+    return name
+
+
+def load_dimension(wh: Warehouse, spec: DimSpec, profile: Profile, staged: DataFrame, run_ts: str, stamp: str,
+                   deep_gates: bool = False) -> int:
+    """One staged batch into a stored dimension: only touched partitions are
+    written. Returns the rows written (0: nothing opened, nothing touched)."""
+    name = ensure_dim(wh, spec, profile)
+    wh.finish_pending(name)
+    dim = wh.spark.table(wh.q(name))
+    sequence = profile.dim_key_kind == "sequence"
+    seq = KeySequence(wh.last_key(name, spec.key_col) if sequence else None)
+    delta = scd2_delta(dim, staged, spec, profile, run_ts, stamp, SLOT, wh.slots(name), seq, wh.partitions())
+    if delta is None:
+        return 0
+    required = (spec.key_col, *REQUIRED)
+    lengths = {c: n for c, n in PSQL_LENGTHS.items() if c in dim.columns} if profile.name == "psql" else {}
+    cluster = [spec.key_col if c == "KEY" else c for c in profile.dim_cluster_by]
+    pending, counted = wh.write_pending(delta, name, ["is_active", SLOT, *profile.dim_partition_by, *cluster, "id"],
+                                        G.observed_metrics(required, lengths))
+    G.require_observed(counted, spec.name, required, lengths)  # C1, C5
+    if deep_gates:
+        G.require_unique(pending, [spec.key_col], spec.name)
+        G.require_single_active(pending, profile.match_keys(spec), spec.name)
+    wh.publish(name, {f"sequence.{spec.key_col}": str(seq.value)} if sequence else {})
+    return counted["n_rows"]
+
+
+def ensure_fact(wh: Warehouse, profile: Profile) -> str:
+    name = f"{SCHEMAS[profile.name][2]}.fact_sales"
+    wh.create_table(name, fact_schema(profile), ("sale_date_key",))
+    return name
+
+
+def _on_days(df: DataFrame, days: list) -> DataFrame:
+    """Rows of the partitions ``days`` (NULL is a day like any other)."""
+    return df.filter(F.col("sale_date_key").isin([d for d in days if d is not None])
+                     | (F.col("sale_date_key").isNull() if None in days else F.lit(False)))
+
+
+def unchanged_sales(fact: DataFrame, staged: DataFrame, profile: Profile) -> DataFrame:
+    """Ids of staged sales that stand in the fact with the same values in every
+    column the merge would update, but for the load time. Where the merge moves
+    rows between days, only the staged days are read."""
+    cols = [c for c in profile.fact_update_cols if c != "dwh_load_date"]
+    if "sale_date_key" in cols:
+        fact = _on_days(fact, [r[0] for r in staged.select("sale_date_key").distinct().collect()])
+    s = staged.select(F.col("id").alias("_id"), *[F.col(c).cast(fact.schema[c].dataType).alias(f"_s_{c}") for c in cols])
+    same = F.col("id") == F.col("_id")
+    for c in cols:
+        same &= F.col(c).eqNullSafe(F.col(f"_s_{c}"))
+    return fact.join(s, same).select("id")
+
+
+def merge_fact_partitions(spark: SparkSession, wh: Warehouse, profile: Profile, staged: DataFrame, run_ts: str,
+                          skip_unchanged: bool = False) -> int:
     """Fact upsert that rewrites only the touched ``sale_date_key`` partitions.
 
     Touched = dates of the staged rows and current dates of the fact rows they
-    match (a gcp update may move a row to another date), kept as a DataFrame.
-    The last sequence key is recorded before the rows are published, so a run
-    that stops in between leaves a gap and never a key used twice.
+    match (a gcp update may move a row to another date). The dates reach the
+    driver: no more than the catalog's partitions. ``skip_unchanged``: staged
+    rows that would change nothing but ``dwh_load_date`` are left out, so an
+    unchanged batch writes no partition (and leaves the former load time).
+    Returns the rows written.
     """
-    schema = fact_schema(profile)
-    table = PartitionedTable(wh, fname, "sale_date_key", schema, profile.fact_cluster_by)
+    name, schema = ensure_fact(wh, profile), fact_schema(profile)
+    wh.finish_pending(name)
+    fact = wh.read(name).select(*schema.names)
     sequence = profile.fact_key_kind == "sequence"
-
-    def check(written: DataFrame) -> None:
-        G.require_unique(written, ["id"], fname)  # C3: moved ids have all their dates here
-        if gates is not None:
-            gates(written)
-        if sequence:  # every new key lies in the rewritten partitions
-            last = max_key(written, "sales_key")
-            wh.write_sequence(fname, max(last, wh.read_sequence(fname) or 0))
-
-    if not table.exists():
-        merged = upsert_fact(spark.createDataFrame([], schema), staged, profile, run_ts,
-                             key_start=wh.read_sequence(fname) or 0 if sequence else 0)
-        return table.write(merged, None, check)
-    moved_from = (table.read(["id", "sale_date_key"]).join(staged.select("id"), "id", "left_semi")
-                  .select("sale_date_key"))
-    touched = materialize(staged.select("sale_date_key").unionByName(moved_from).distinct())
-    start = None
-    if sequence:
-        start = wh.read_sequence(fname)
-        if start is None:
-            start = max_key(table.read(["sales_key"]), "sales_key")
-    merged = upsert_fact(table.read(touched=touched), staged, profile, run_ts, key_start=start)
-    return table.write(merged, touched, check)
+    if skip_unchanged:
+        staged = materialize(staged.join(unchanged_sales(fact, staged, profile), "id", "left_anti"))
+    moved_from = fact.select("id", "sale_date_key").join(staged.select("id"), "id", "left_semi").select("sale_date_key")
+    days = [r[0] for r in staged.select("sale_date_key").unionByName(moved_from).distinct().collect()]
+    if not days:
+        return 0
+    start = wh.last_key(name, "sales_key") if sequence else 0
+    merged = upsert_fact(_on_days(fact, days), staged, profile, run_ts, key_start=start)
+    required, largest = ("sales_key", *REQUIRED), ("sales_key",) if sequence else ()
+    pending, counted = wh.write_pending(merged, name, ["sale_date_key", *profile.fact_cluster_by, "id"],
+                                        G.observed_metrics(required, largest=largest))
+    G.require_observed(counted, "fact_sales", required)
+    G.require_unique(pending, ["id"], name)  # C3: moved ids have all their dates here
+    left = {r[0] for r in pending.select("sale_date_key").distinct().collect()}
+    emptied = [f"`sale_date_key` = {'null' if d is None else f'DATE{str(d)!r}'}" for d in days if d not in left]
+    # every new key lies in the rewritten partitions
+    last = {"sequence.sales_key": str(max(start, counted["largest.sales_key"] or 0))} if sequence else {}
+    wh.publish(name, last, [] if profile.name == "psql" else emptied)
+    return counted["n_rows"]
 
 
 def job_warehouse(spark: SparkSession, wh: Warehouse, profile: Profile,
                   sources: dict[str, DataFrame], run_ts: str, stamp: str,
-                  deep_gates: bool = False, fact_mode: str = "partitions",
-                  parallel: bool = True) -> RunResult:
+                  deep_gates: bool = False, parallel: bool = True, skip_unchanged: bool = False) -> RunResult:
     _, stage_db, dwh_db = SCHEMAS[profile.name]
     wh.ensure_schemas(stage_db, dwh_db)
-    versions = {}
     # every batch gate passes before anything is written
     keys_of = {spec.source_table: spec.natural_id for spec in DIMENSIONS.values()}
     keys_of["sales"] = "sale_id"
     run_parallel({t: (lambda t=t: _source_gates(sources[t], t, keys_of[t])) for t in keys_of})
 
-    def load_dimension(spec):
-        src = sources[spec.source_table]
-        staged = wh.stage_table(stage_dimension(src, spec, profile, run_ts, stamp),
+    def dimension(spec):
+        staged = wh.stage_table(stage_dimension(sources[spec.source_table], spec, profile, run_ts, stamp),
                                 f"{stage_db}.dim_{spec.name}")
-        name = f"{dwh_db}.dim_{spec.name}"
-        dim = wh.read_or_empty(name, dim_schema(spec, profile))
-        seq = KeySequence(wh.read_sequence(name) if wh.exists(name) else wh.read_sequence(name) or 0)
-        new = scd2_apply(dim, staged, spec, profile, run_ts, stamp, seq=seq)
-        if profile.dim_key_kind == "sequence" and seq.value is not None:
-            # before publishing: a stopped run leaves a gap, never a key used twice
-            wh.write_sequence(name, seq.value)
-        keys = profile.match_keys(spec)
-
-        def dim_gates(w):
-            G.require_not_null(w, [spec.key_col, "id", "source_system"], spec.name)
-            if profile.name == "psql":
-                G.require_max_length(w, PSQL_LENGTHS, spec.name)  # C5
-            if deep_gates:
-                G.require_unique(w, [spec.key_col], spec.name)
-                G.require_single_active(w, keys, spec.name)
-
-        cluster = tuple(spec.key_col if c == "KEY" else c for c in profile.dim_cluster_by)
-        # unpartitioned dimensions (psql) are bucketed on their match key, so a
-        # batch too large to broadcast joins without shuffling the dimension
-        bucket_by = () if profile.dim_partition_by else tuple(keys)
-        version = wh.write_snapshot(new, name, profile.dim_partition_by, cluster,
-                                    gates=dim_gates, split_by=("id",),
-                                    bucket_by=bucket_by, buckets=wh.buckets())
-        return name, version
+        return load_dimension(wh, spec, profile, staged, run_ts, stamp, deep_gates)
 
     # the dimensions are independent: their jobs run side by side
-    done = run_parallel({spec.name: (lambda spec=spec: load_dimension(spec))
-                         for spec in DIMENSIONS.values()},
-                        max_workers=None if parallel else 1)
-    versions.update(dict(done.values()))
-    sales = sources["sales"]
-    dims = {n: wh.read(f"{dwh_db}.dim_{n}") for n in DIMENSIONS}
-    staged = wh.stage_table(stage_sales(lookup_keys(sales, dims, profile), profile, run_ts, stamp),
+    written = {dim_table(DIMENSIONS[n], profile): rows for n, rows in run_parallel(
+        {n: (lambda spec=spec: dimension(spec)) for n, spec in DIMENSIONS.items()}, max_workers=None if parallel else 1).items()}
+    dims = {n: wh.read(dim_table(spec, profile)) for n, spec in DIMENSIONS.items()}
+    staged = wh.stage_table(stage_sales(lookup_keys(sources["sales"], dims, profile), profile, run_ts, stamp),
                             f"{stage_db}.fact_sales")
     G.require_unique(staged, ["id"], "staged sales")  # C4
-    fname = f"{dwh_db}.fact_sales"
-
-    def fact_gates(w):
-        G.require_not_null(w, ["sales_key", "id", "source_system"], "fact_sales")
-
-    if fact_mode == "partitions":
-        versions[fname] = merge_fact_partitions(spark, wh, profile, fname, staged, run_ts,
-                                                fact_gates)
-    else:
-        fact = wh.read_or_empty(fname, fact_schema(profile))
-        merged = upsert_fact(fact, staged, profile, run_ts)
-
-        def snapshot_gates(w):
-            G.require_unique(w, ["id"], fname)  # C3
-            fact_gates(w)
-
-        versions[fname] = wh.write_snapshot(merged, fname, profile.fact_partition_by,
-                                            profile.fact_cluster_by, gates=snapshot_gates,
-                                            split_by=("id",))
-    return RunResult(stamp, run_ts, versions)
+    written[f"{dwh_db}.fact_sales"] = merge_fact_partitions(spark, wh, profile, staged, run_ts, skip_unchanged)
+    return RunResult(stamp, run_ts, written)
 
 
-def read_fact(wh: Warehouse, profile: Profile, fact_mode: str = "partitions") -> DataFrame:
-    fname = f"{SCHEMAS[profile.name][2]}.fact_sales"
-    schema = fact_schema(profile)
-    if fact_mode == "partitions":
-        table = PartitionedTable(wh, fname, "sale_date_key", schema)
-        table.exists()  # a new session re-attaches the list of partitions
-        return table.read()
-    return wh.read(fname).select(*schema.names)
+def read_fact(wh: Warehouse, profile: Profile) -> DataFrame:
+    return wh.read(ensure_fact(wh, profile)).select(*fact_schema(profile).names)
 
 
 def job_psql(spark: SparkSession, wh: Warehouse, url: str, run_ts: str,
@@ -206,7 +220,7 @@ def job_psql(spark: SparkSession, wh: Warehouse, url: str, run_ts: str,
     keys = {"customers": "customer_id", "products": "product_id", "stores": "store_id",
             "sales": "sale_id"}
     for t in tables:
-        copy_jdbc_table(spark, url, t, lambda df, t=t: wh.full_refresh(df, f"{src_db}.{t}"), keys.get(t), partitions,
+        copy_jdbc_table(spark, url, t, lambda df, t=t: wh.replace_table(df, f"{src_db}.{t}"), keys.get(t), partitions,
                         properties=properties)
     sources = {t: wh.read(f"{src_db}.{t}") for t in tables}
     stamp = datetime.strptime(run_ts, "%Y-%m-%d %H:%M:%S").strftime("%Y%m%d%H%M%S")

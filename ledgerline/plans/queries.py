@@ -20,7 +20,7 @@ from ledgerline.operators.sequence import assign_sequence
 from ledgerline.plans.daily_runs import (all_dimensions_after, dimension_after, fact_after,
                                        staged_dimension, staged_fact)
 from ledgerline.plans.profiles import CUSTOMER, DIMENSIONS, GCP, PSQL, with_rule
-from ledgerline.plans.jobs import job_warehouse, read_fact
+from ledgerline.plans.jobs import SCHEMAS, job_warehouse, read_fact
 from ledgerline.plans.tables import Warehouse
 from ledgerline.session import scratch_root
 from ledgerline.sources.csv import read_csv_by_name
@@ -130,7 +130,7 @@ def _job(profile, table: str) -> Query:
             job_warehouse(spark, wh, profile, sources, RUNS[batch].run_ts, RUNS[batch].stamp)
         if table == "fact_sales":
             return read_fact(wh, profile)
-        return wh.read(f"dwh.{table}")
+        return wh.read(f"{SCHEMAS[profile.name][2]}.{table}")
     return q
 
 

@@ -1,380 +1,221 @@
-"""Warehouse tables as versioned parquet snapshots.
-
-Parquet tables take no MERGE/UPDATE, and a path cannot be overwritten while
-it is being read, so every write of a table is a new version folder
-``<root>/<db>/<table>/v<N>-<attempt>``:
-
-1. write the new version (layout: partition columns via ``partitionBy``,
-   cluster columns via range partitioning + sort, so row groups carry tight
-   min/max stats and a hot partition value is split over many tasks);
-2. run the gates on what was written;
-3. publish: ``CREATE OR REPLACE VIEW <db>.<table>`` over the new folder - one
-   catalog update, so readers see the old or the new version, never a mix;
-4. drop versions older than the last ``keep``.
-
-A crash before step 3 leaves readers on the previous version. Step 3 also
-creates an empty marker file ``CURRENT-<N>-<attempt>`` next to the versions, so a new
-session without a persistent metastore re-attaches the published version
-(the highest marker), never an unpublished folder.
+"""Warehouse tables as Spark catalog tables.
+
+Two kinds of write, both published by the session catalog:
+
+* whole tables (``replace_table``: K1 full refresh, K2 staging): the rows go to
+  the one of two folders that the table does not point at, gates run on what
+  was counted while writing, then ``ALTER TABLE ... SET LOCATION`` (or the first
+  ``CREATE TABLE``) publishes them. The former rows stay until the next refresh.
+* dimensions and the fact (``write_pending`` / ``publish``): the new content of
+  the touched partitions is written aside, gated, and published by one dynamic
+  partition overwrite; no other partition's files change. The folder is named in
+  a table property, together with the last sequence key, before the overwrite
+  starts and taken out after it. A run that finds the property first repeats the
+  overwrite, which gives the same partitions however often it runs.
+
+Catalog state (locations, properties) lasts as long as the session's catalog;
+a cluster uses a persistent one. The partitioned tables lie at a fixed folder,
+so a session that starts with an empty catalog declares them again and recovers
+their partitions; it then takes the last sequence key from the table.
 """
 
 from __future__ import annotations
 
-import uuid
-from typing import Callable
+from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-VERSION_PROP = "ledgerline.version"
-PATH_PROP = "ledgerline.path"
+from ledgerline.operators.sequence import max_key
+
+PENDING = "ledgerline.pending"
+#: Layout column of dimension tables; ``read`` leaves it out.
+SLOT = "load_slot"
+
+
+def column_ddl(schema: T.StructType, lengths: Mapping[str, int] = {}, defaults: Mapping[str, str] = {}) -> str:
+    """K5 / K6: column list with NOT NULL, VARCHAR(n) and DEFAULT."""
+    cols = []
+    for f in schema.fields:
+        kind = f"VARCHAR({lengths[f.name]})" if f.name in lengths else f.dataType.simpleString()
+        cols.append(f"`{f.name}` {kind}{'' if f.nullable else ' NOT NULL'}"
+                    + (f" DEFAULT {defaults[f.name]}" if f.name in defaults else ""))
+    return ", ".join(cols)
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, keep: int = 2,
-                 write_partitions: int | None = None, db_prefix: str = "",
-                 dim_buckets: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, write_partitions: int | None = None,
+                 db_prefix: str = "", dim_slots: int | None = None):
         self.spark = spark
-        self.dim_buckets = dim_buckets  # default: spark.sql.shuffle.partitions
         self.root = root.rstrip("/")
-        self.keep = keep
         self.write_partitions = write_partitions
         self.db_prefix = db_prefix  # several warehouses in one catalog
+        self.dim_slots = dim_slots  # default: spark.sql.shuffle.partitions
 
-    def buckets(self) -> int:
-        return self.dim_buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+    def partitions(self) -> int:
+        return self.write_partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
     def q(self, name: str) -> str:
         """Catalog name of ``db.table`` (database prefixed)."""
         return f"{self.db_prefix}{name}" if "." in name else name
 
-    # -- K3 / K4 -------------------------------------------------------------
+    def location(self, name: str) -> str:
+        return f"{self.root}/{name.replace('.', '/')}"
+
+    # -- K3 / K4 / K5 / K6 / K7 ---------------------------------------------
     def ensure_schemas(self, *names: str) -> None:
         for n in names:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.db_prefix}{n}`")
 
-    def drop_table(self, name: str) -> None:
-        if self.spark.catalog.tableExists(self.q(name)):  # a view and a table need their own command
-            kind = "VIEW" if self.spark.catalog.getTable(self.q(name)).tableType == "VIEW" else "TABLE"
-            self.spark.sql(f"DROP {kind} {self.q(name)}")
-
-    def ensure_table(self, name: str, schema: T.StructType,
-                     partition_by: tuple[str, ...] = ()) -> None:
-        """K5 as DDL: a typed, partitioned, managed parquet table if absent
-        (used for tables written in place, like the partitioned fact)."""
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.q(name)} ({cols}) USING parquet{part}")
-
-    # -- versions ------------------------------------------------------------
-    def _props(self, name: str) -> dict[str, str]:
-        if not self.spark.catalog.tableExists(self.q(name)):
-            if not self._attach(name):
-                return {}
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.q(name)}").collect()
-        return {r["key"]: r["value"] for r in rows}
-
-    def table_root(self, name: str) -> str:
-        db, table = name.split(".", 1) if "." in name else ("default", name)
-        return f"{self.root}/{db}/{table}"
-
-    def _markers(self, name: str) -> list[tuple[int, str]]:
-        """(version, attempt) of the published versions, rising."""
-        fs, path = self._fs(self.table_root(name) + "/CURRENT-*")
-        found = [st.getPath().getName().split("-") for st in fs.globStatus(path) or []]
-        return sorted((int(v), attempt) for _, v, attempt in found)
-
-    def _attach(self, name: str) -> bool:
-        """Publish the last marked version in this session's catalog."""
-        marks = self._markers(name)
-        if not marks:
-            return False
-        version, attempt = marks[-1]
-        path = f"{self.version_path(name, version)}-{attempt}"
-        db = self.q(name).split(".", 1)[0]
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
-        spec = self._bucket_spec(name, version)
-        if spec is None:
-            self._publish(name, path, version)
-        else:  # re-create the bucketed version table over its files
-            n, cols = spec
-            vtable = self._version_table(name, version, attempt)
-            keys = ", ".join(f"`{c}`" for c in cols)
-            schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                               for f in self.spark.read.parquet(path).schema.fields)
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {vtable} ({schema}) USING parquet "
-                           f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {n} BUCKETS "
-                           f"LOCATION '{path}'")
-            self._publish(name, path, version, "*", vtable)
-        return True
-
-    def current_version(self, name: str) -> int:
-        return int(self._props(name).get(VERSION_PROP, 0))
-
-    def current_path(self, name: str) -> str | None:
-        return self._props(name).get(PATH_PROP)
-
     def exists(self, name: str) -> bool:
-        return self.current_path(name) is not None
+        return self.spark.catalog.tableExists(self.q(name))
 
-    def read(self, name: str) -> DataFrame:
-        if not self.spark.catalog.tableExists(self.q(name)):
-            self._attach(name)  # new session without a persistent metastore
-        return self.spark.table(self.q(name))
+    def drop_table(self, name: str) -> None:
+        """K4: the table and its files."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.q(name)}")
+        for path in (self.location(name), f"{self.location(name)}__next"):
+            self.delete_path(path)
 
-    def read_or_empty(self, name: str, schema: T.StructType) -> DataFrame:
-        """K5: the table, or an empty one of the declared type on first run."""
+    def create_table(self, name: str, schema: T.StructType, partition_by: tuple[str, ...] = (),
+                     lengths: Mapping[str, int] = {}, defaults: Mapping[str, str] = {}) -> None:
+        """K5: the typed target if absent; files that lie there already (an empty
+        catalog over an old warehouse) become its partitions."""
         if self.exists(name):
-            return self.read(name)
-        return self.spark.createDataFrame([], schema)
-
-    def version_path(self, name: str, version: int) -> str:
-        db, table = name.split(".", 1) if "." in name else ("default", name)
-        return f"{self.root}/{db}/{table}/v{version}"
-
-    # -- D7 / K1 / K2 / K7 / K8 ---------------------------------------------
-    def write_snapshot(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = (),
-                       cluster_by: tuple[str, ...] = (),
-                       gates: Callable[[DataFrame], None] | None = None,
-                       split_by: tuple[str, ...] = (),
-                       bucket_by: tuple[str, ...] = (), buckets: int = 0) -> int:
-        """``split_by``: a high-cardinality column appended to the range
-        layout, so one hot partition value is still spread over many tasks.
-        ``bucket_by`` / ``buckets`` (unpartitioned tables only): write the
-        version as a bucketed catalog table, so later joins on those columns
-        do not shuffle this table; one file per bucket."""
-        version = self.current_version(name) + 1
-        attempt = uuid.uuid4().hex[:8]  # a failed attempt never blocks the next one
-        path = f"{self.version_path(name, version)}-{attempt}"
-        vtable = self._version_table(name, version, attempt)
-        try:
-            written, source = self._write_files(df, path, vtable, partition_by, cluster_by, split_by,
-                                                bucket_by, buckets)
-            if gates is not None:
-                gates(written)
-        except BaseException:
-            self.spark.sql(f"DROP TABLE IF EXISTS {vtable}")
-            self.delete_path(path)
-            raise
-        cols = []
-        for f in df.schema.fields:  # keep column order and partition column types
-            c = f"`{f.name}`"
-            cols.append(f"CAST({c} AS {f.dataType.simpleString()}) AS {c}"
-                        if f.name in partition_by else c)
-        if source == vtable:
-            self._mark_buckets(name, version, buckets, bucket_by)
-        self._publish(name, path, version, ", ".join(cols), source)
-        self._mark(name, version, attempt)
-        self._expire(name, version)
-        return version
-
-    def _write_files(self, df, path, vtable, partition_by, cluster_by, split_by, bucket_by,
-                     buckets) -> tuple[DataFrame, str]:
-        """Write one version; returns it as read back and its name in SQL."""
-        if bucket_by and buckets and not partition_by:
-            (df.repartition(buckets, *bucket_by).sortWithinPartitions(*bucket_by)
-             .write.mode("errorifexists").format("parquet").option("path", path)
-             .bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(vtable))
-            return self.spark.table(vtable), vtable
-        layout = list(dict.fromkeys(list(partition_by) + list(cluster_by)))
-        out = df
-        if layout:
-            layout += [c for c in split_by if c not in layout]
-            n = self.write_partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            out = out.repartitionByRange(n, *layout).sortWithinPartitions(*layout)
-        w = out.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        return self.spark.read.parquet(path), f"parquet.`{path}`"
-
-    def _version_table(self, name: str, version: int, attempt: str) -> str:
-        return f"{self.q(name)}__v{version}_{attempt}"
-
-    def _mark_buckets(self, name: str, version: int, buckets: int, cols: tuple[str, ...]) -> None:
-        fs, path = self._fs(f"{self.table_root(name)}/BUCKETED-{version}-{buckets}-{'+'.join(cols)}")
-        fs.create(path, True).close()
-
-    def _bucket_spec(self, name: str, version: int) -> tuple[int, list[str]] | None:
-        fs, path = self._fs(f"{self.table_root(name)}/BUCKETED-{version}-*")
-        found = fs.globStatus(path) or []
-        if not found:
-            return None
-        _, _, n, cols = found[0].getPath().getName().split("-", 3)
-        return int(n), cols.split("+")
+            return
+        path = self.location(name)
+        held = bool(partition_by) and self.path_exists(path)
+        part = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+        self.spark.sql(f"CREATE TABLE {self.q(name)} ({column_ddl(schema, lengths, defaults)}) USING parquet "
+                       f"OPTIONS ('partitionOverwriteMode' 'dynamic') {part} LOCATION '{path}'")
+        if held:
+            self.spark.sql(f"ALTER TABLE {self.q(name)} RECOVER PARTITIONS")
+
+    def insert(self, df: DataFrame, name: str) -> None:
+        """K6: append rows by column name; columns that ``df`` lacks take their default."""
+        df.createOrReplaceTempView("ledgerline_insert")
+        cols = ", ".join(f"`{c}`" for c in df.columns)
+        self.spark.sql(f"INSERT INTO {self.q(name)} ({cols}) SELECT {cols} FROM ledgerline_insert")
 
-    def full_refresh(self, df: DataFrame, name: str, **kw) -> int:
-        """K1: replace the whole table (old version kept until expiry)."""
-        return self.write_snapshot(df, name, **kw)
+    def read(self, name: str) -> DataFrame:
+        return self.spark.table(self.q(name)).drop(SLOT)
+
+    # -- whole tables: K1 / K2 ------------------------------------------------
+    def write_aside(self, df: DataFrame, name: str, metrics: Iterable[Column] = ()) -> tuple[str, dict]:
+        """Rows to the folder that the table does not use, and what was counted
+        meanwhile (``n_rows`` and ``metrics``)."""
+        here = self._location_of(name)
+        path = f"{self.location(name)}/{'b' if here and here.endswith('/a') else 'a'}"
+        counted = Observation()
+        df.observe(counted, F.count(F.lit(1)).alias("n_rows"), *metrics).write.mode("overwrite").parquet(path)
+        return path, counted.get
+
+    def point_at(self, name: str, path: str, schema: T.StructType) -> None:
+        """Publish a folder of ``write_aside``: one catalog update."""
+        if self.exists(name) and self.spark.table(self.q(name)).schema.simpleString() == schema.simpleString():
+            self.spark.sql(f"ALTER TABLE {self.q(name)} SET LOCATION '{path}'")
+            self.spark.sql(f"REFRESH TABLE {self.q(name)}")
+            return
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.q(name)}")
+        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+        self.spark.sql(f"CREATE TABLE {self.q(name)} ({column_ddl(nullable)}) USING parquet LOCATION '{path}'")
+
+    def replace_table(self, df: DataFrame, name: str, metrics: Iterable[Column] = (),
+                      gates: Callable[[dict], None] | None = None) -> int:
+        """K1 / K2: replace the whole table; returns its row count (A1)."""
+        path, counted = self.write_aside(df, name, metrics)
+        if gates is not None:
+            gates(counted)
+        self.point_at(name, path, df.schema)
+        return counted["n_rows"]
 
     def stage_table(self, df: DataFrame, name: str) -> DataFrame:
         """K2: rebuild a staging table and return it as read back."""
-        self.write_snapshot(df, name)
+        self.replace_table(df, name)
         return self.read(name)
 
-    def _publish(self, name: str, path: str, version: int, select: str = "*",
-                 source: str | None = None) -> None:
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.q(name)} "
-            f"TBLPROPERTIES ('{VERSION_PROP}' = '{version}', '{PATH_PROP}' = '{path}') "
-            f"AS SELECT {select} FROM {source or f'parquet.`{path}`'}")
-
-    # -- sequences (what backs serial keys) ---------------------------------
-    def read_sequence(self, name: str) -> int | None:
-        """Last value handed out for ``name``'s sequence key, if recorded."""
-        fs, path = self._fs(self.table_root(name) + "/SEQUENCE-*")
-        found = fs.globStatus(path) or []
-        vals = [int(st.getPath().getName().split("-", 1)[1]) for st in found]
-        return max(vals) if vals else None
-
-    def write_sequence(self, name: str, value: int) -> None:
-        old = self.read_sequence(name)
-        fs, path = self._fs(f"{self.table_root(name)}/SEQUENCE-{value}")
-        fs.create(path, True).close()
-        if old is not None and old != value:
-            self.delete_path(f"{self.table_root(name)}/SEQUENCE-{old}")
-
-    def _mark(self, name: str, version: int, attempt: str) -> None:
-        fs, path = self._fs(f"{self.table_root(name)}/CURRENT-{version}-{attempt}")
-        fs.create(path, True).close()
-
-    def _expire(self, name: str, version: int) -> None:
-        """Drop versions older than the last ``keep`` and outdated markers."""
-        fs, pattern = self._fs(f"{self.table_root(name)}/v*")
-        for st in fs.globStatus(pattern) or []:
-            v, _, attempt = st.getPath().getName()[1:].partition("-")
-            if v.isdigit() and int(v) <= version - self.keep:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._version_table(name, int(v), attempt)}")
-                fs.delete(st.getPath(), True)
-                _, marks = self._fs(f"{self.table_root(name)}/BUCKETED-{v}-*")
-                for m in fs.globStatus(marks) or []:
-                    fs.delete(m.getPath(), False)
-        for v, attempt in self._markers(name):
-            if v < version:
-                self.delete_path(f"{self.table_root(name)}/CURRENT-{v}-{attempt}")
+    # -- partitions of dimensions and the fact: D7 ----------------------------
+    def write_pending(self, df: DataFrame, name: str, layout: Iterable[str],
+                      metrics: Iterable[Column] = ()) -> tuple[DataFrame, dict]:
+        """The next content of the touched partitions, ranged and sorted by
+        ``layout`` (K8: row groups with tight bounds, a hot partition value in
+        many tasks), as read back; and what was counted while writing."""
+        path, counted = f"{self.location(name)}__next", Observation()
+        cols = list(dict.fromkeys(layout))
+        (df.repartitionByRange(self.partitions(), *cols).sortWithinPartitions(*cols)
+         .observe(counted, F.count(F.lit(1)).alias("n_rows"), *metrics).write.mode("overwrite").parquet(path))
+        return self.spark.read.schema(df.schema).parquet(path), counted.get
+
+    def publish(self, name: str, properties: Mapping[str, str] = {}, emptied: Iterable[str] = ()) -> None:
+        """Make the pending rows the content of their partitions; ``emptied``:
+        partition specifications that lose all rows. ``properties`` (sequence
+        keys) are recorded in the same catalog update as the pending folder."""
+        held = dict(properties) | {PENDING: "\n".join([f"{self.location(name)}__next", *emptied])}
+        self._set_properties(name, held)
+        self.finish_pending(name)
+
+    def finish_pending(self, name: str) -> bool:
+        """Carry out (again) a publication that was begun."""
+        held = self.exists(name) and self.properties(name).get(PENDING)
+        if not held:
+            return False
+        path, *emptied = held.split("\n")
+        target = self.spark.table(self.q(name))
+        rows = self.spark.read.schema(target.schema).parquet(path)
+        rows.write.insertInto(self.q(name), overwrite=True)
+        for spec in emptied:  # a dynamic overwrite keeps partitions that get no row
+            col = spec.split(" = ")[0].strip("`")
+            nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in target.schema.fields if f.name != col)
+            self.spark.sql(f"INSERT OVERWRITE TABLE {self.q(name)} PARTITION ({spec}) SELECT {nothing} WHERE false")
+        self.spark.sql(f"ALTER TABLE {self.q(name)} UNSET TBLPROPERTIES IF EXISTS ('{PENDING}')")
+        self.delete_path(path)
+        return True
+
+    # -- catalog properties: what backs serial keys ---------------------------
+    def properties(self, name: str) -> dict[str, str]:
+        return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.q(name)}").collect()}
+
+    def _set_properties(self, name: str, values: Mapping[str, str]) -> None:
+        pairs = ", ".join("'{}' = '{}'".format(k, v.replace("'", "\\'")) for k, v in values.items())
+        self.spark.sql(f"ALTER TABLE {self.q(name)} SET TBLPROPERTIES ({pairs})")
 
+    def last_key(self, name: str, col: str) -> int:
+        """Last value of a sequence key: as recorded, else the table's largest."""
+        recorded = self.properties(name).get(f"sequence.{col}")
+        return int(recorded) if recorded is not None else max_key(self.read(name), col)
+
+    def slots(self, name: str) -> int:
+        """Slots of a dimension: as its partitions were named, else the setting."""
+        first = self.spark.sql(f"SHOW PARTITIONS {self.q(name)} PARTITION (is_active = true)").first()
+        if first is not None:
+            return int(first[0].rsplit("-of-", 1)[1])
+        return self.dim_slots or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def _location_of(self, name: str) -> str | None:
+        if not self.exists(name):
+            return None
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.q(name)}").collect()
+        return next((r["data_type"].rstrip("/") for r in rows if r["col_name"] == "Location"), None)
+
+    # -- files -----------------------------------------------------------------
     def _fs(self, path: str):
         """Hadoop file system and path object for any scheme (file, hdfs, s3a...)."""
         jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(conf), p
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
     def path_exists(self, path: str) -> bool:
         fs, p = self._fs(path)
         return fs.exists(p)
 
     def delete_path(self, path: str) -> None:
-        """Remove a file or folder through the Hadoop file system of its scheme."""
         fs, p = self._fs(path)
         if fs.exists(p):
             fs.delete(p, True)
 
 
-class PartitionedTable:
-    """A fact rewritten by partition and published in one step.
-
-    Used where a full snapshot per run would not scale (the fact). Every run
-    adds its rows under a folder of its own, ``data/load_run=<run>/<col>=<v>``;
-    a small snapshot table, ``<name>__parts`` (partition value, run), says
-    which run's folder holds a partition now. A write
-
-    1. writes the merged rows of the touched partitions to the new run's
-       folder (nothing reads it yet);
-    2. gates what was written (unique ids included);
-    3. publishes the new list of partitions: the old one without the touched
-       values, and the values the run wrote. That is one catalog update, so
-       readers see all moved rows in their old or all in their new partition.
-
-    A crash before step 3 leaves a folder that no list names. Touched values
-    stay a DataFrame throughout, NULL is a partition like any other, and a
-    value that came out empty simply leaves the list.
-    """
-
-    RUN = "load_run"
-
-    def __init__(self, wh: Warehouse, name: str, partition_col: str, schema: T.StructType,
-                 cluster_by: tuple[str, ...] = (), split_by: tuple[str, ...] = ("id",)):
-        self.wh, self.name, self.col, self.cluster_by = wh, name, partition_col, cluster_by
-        self.split_by = split_by  # spreads a hot partition value over many tasks
-        self.schema, self.spark = schema, wh.spark
-        self.parts = f"{name}__parts"
-
-    @property
-    def location(self) -> str:
-        return self.wh.table_root(self.name) + "/data"
-
-    def exists(self) -> bool:
-        found = self.wh.exists(self.parts)
-        if found and not self.spark.catalog.tableExists(self.wh.q(self.name)):
-            self._create_view()
-        return found
-
-    def _create_view(self) -> None:
-        """The table by name, for SQL users; it follows the list of partitions."""
-        cols = ", ".join(f"CAST(d.`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
-                         for f in self.schema.fields)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.wh.q(self.name)} AS SELECT {cols} "
-                       f"FROM parquet.`{self.location}` d LEFT SEMI JOIN {self.wh.q(self.parts)} p "
-                       f"ON d.{self.RUN} = p.{self.RUN} AND d.`{self.col}` <=> p.`{self.col}`")
-
-    def _data(self) -> DataFrame:
-        schema = T.StructType([*self.schema.fields, T.StructField(self.RUN, T.StringType())])
-        return self.spark.read.schema(schema).parquet(self.location)
-
-    def read(self, columns: list[str] | None = None, touched: DataFrame | None = None) -> DataFrame:
-        """The published rows; with ``touched`` (a column of partition values)
-        only those partitions."""
-        live = self.wh.read(self.parts)
-        if touched is not None:
-            t = touched.select(F.col(self.col).alias("_t"))
-            live = live.join(t, live[self.col].eqNullSafe(t["_t"]), "left_semi")
-        # the filter marks the list as selective: its runs prune the folders at run time
-        live = live.where(F.col(self.RUN) >= "r").select(F.col(self.RUN).alias("_r"), F.col(self.col).alias("_p"))
-        d = self._data()
-        rows = d.join(live, (d[self.RUN] == live["_r"]) & d[self.col].eqNullSafe(live["_p"]), "left_semi")
-        return rows.select(*(columns or self.schema.names))
-
-    def _layout(self, df: DataFrame) -> DataFrame:
-        layout = [self.col] + list(self.cluster_by)
-        layout += [c for c in self.split_by if c in df.columns and c not in layout]
-        n = self.wh.write_partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return df.repartitionByRange(n, *layout).sortWithinPartitions(*layout)
-
-    def write(self, df: DataFrame, touched: DataFrame | None,
-              gates: Callable[[DataFrame], None] | None = None) -> str:
-        """``touched``: the partition values this write owns (None: all).
-        Returns the run's name."""
-        run = f"r{uuid.uuid4().hex}"
-        names = self.schema.names
-        (self._layout(df.select(*names)).withColumn(self.RUN, F.lit(run)).write.mode("append")
-         .partitionBy(self.RUN, self.col).parquet(self.location))
-        written = self._data().where(F.col(self.RUN) == run).select(*names)
-        if gates is not None:
-            gates(written)
-        parts = written.select(self.col).distinct().withColumn(self.RUN, F.lit(run))
-        if touched is not None and self.exists():
-            t = touched.select(F.col(self.col).alias("_t"))
-            old = self.wh.read(self.parts)
-            parts = old.join(t, old[self.col].eqNullSafe(t["_t"]), "left_anti").unionByName(parts)
-        self.wh.write_snapshot(parts, self.parts)
-        if not self.spark.catalog.tableExists(self.wh.q(self.name)):
-            self._create_view()
-        return run
-
-    def vacuum(self) -> None:
-        """Remove the folders of runs that no partition names any more; to be
-        run when no reader holds an older list."""
-        live = {r[0] for r in self.wh.read(self.parts).select(self.RUN).distinct().collect()}  # one row a run
-        fs, pattern = self.wh._fs(f"{self.location}/{self.RUN}=*")
-        for st in fs.globStatus(pattern) or []:
-            if st.getPath().getName().split("=", 1)[1] not in live:
-                fs.delete(st.getPath(), True)
-
-
 def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
-    """K6: column defaults (is_active TRUE, ...) for rows that lack a value."""
+    """K6 for frames: column defaults for rows that lack a value."""
     for c, v in defaults.items():
         col = F.col(c) if c in df.columns else F.lit(None)
         df = df.withColumn(c, F.coalesce(col, F.lit(v)))

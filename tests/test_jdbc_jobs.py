@@ -1,5 +1,5 @@
 """S5 (JDBC copy, against in-process Derby: no server, no port), W1, W2, W3
-and the snapshot writer (D7)."""
+and publication by the catalog (D7)."""
 
 import glob
 import os
@@ -42,15 +42,15 @@ def test_w1_then_w2(spark, tmpdir_path):
     for t in FILES:
         write_jdbc_table(wh.read(f"public.{t}"), url, t, DERBY, truncate=False)
     r1 = job_psql(spark, wh, url, "2024-03-13 03:00:00", DERBY, partitions=2)
-    assert "dwh.fact_sales" in r1.versions
+    assert r1.written == {"dwh.dim_customer": 4, "dwh.dim_product": 3, "dwh.dim_store": 2, "dwh.fact_sales": 4}
     fact = {r.sales_id: r for r in wh.read("dwh.fact_sales").collect()}
     assert fact[7009].store_key is None  # store 88 unknown: LEFT join keeps the sale
     assert fact[7001].updated_at == datetime(2024, 3, 10, 12)  # psql: the sale date
     # unchanged re-run: no new dimension versions, same fact rows
-    job_psql(spark, wh, url, "2024-03-14 03:00:00", DERBY, partitions=2)
+    r2 = job_psql(spark, wh, url, "2024-03-14 03:00:00", DERBY, partitions=2)
     assert wh.read("dwh.dim_customer").count() == 4
     assert wh.read("dwh.fact_sales").count() == 4
-    assert wh.current_version("dwh.dim_customer") == 2
+    assert [r2.written[f"dwh.dim_{d}"] for d in ("customer", "product", "store")] == [0, 0, 0]
 
 
 def gcp_run(spark, wh, folder, day, files=None):
@@ -92,89 +92,158 @@ def test_null_date_is_a_partition(spark, tmpdir_path):
     assert [f[:2] for f in facts(wh)][1] == (7002, "None") and len(facts(wh)) == 3
 
 
-@pytest.mark.parametrize("step", ["write_snapshot", "_publish", "_mark", "_expire"])
+@pytest.mark.parametrize("step", ["write_pending", "publish", "_set_properties", "finish_pending", "delete_path", "unset"])
 def test_crash_between_steps_then_rerun(spark, tmpdir_path, monkeypatch, step):
-    """A run that stops while the fact is published leaves the old rows; the
-    next run gives each id once."""
+    """A run that stops before the fact is published leaves the old rows; one
+    that stops after publication began is finished by the next run. Each id is
+    there once."""
     wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix=f"cr{step.strip('_')}_")
     gcp_run(spark, wh, tmpdir_path, 13)
     moved = changed("sales", "7001", sale_date="2024-03-20 12:00:00")
-    whole = getattr(Warehouse, step)
+    whole, sql = getattr(Warehouse, step, None), spark.sql
+    reached = []
 
     def stop(self, *args, **kw):
-        if any(str(a).endswith("fact_sales__parts") for a in args):
+        begun = step != "finish_pending" or "ledgerline.pending" in self.properties(args[0])
+        if any("dwh.fact_sales" in str(a) or str(a).endswith("fact_sales__next") for a in args) and begun:
+            reached.append(1)
             raise RuntimeError("stopped")
         return whole(self, *args, **kw)
 
-    monkeypatch.setattr(Warehouse, step, stop)
-    with pytest.raises(RuntimeError):
-        gcp_run(spark, wh, tmpdir_path, 14, moved)
-    monkeypatch.setattr(Warehouse, step, whole)
-    assert len(facts(wh)) == 3
+    def stop_sql(text, *args, **kw):
+        if "UNSET" in text and "fact_sales" in text:
+            reached.append(1)
+            raise RuntimeError("stopped")
+        return sql(text, *args, **kw)
+
+    with monkeypatch.context() as m:
+        m.setattr(*((spark, "sql", stop_sql) if step == "unset" else (Warehouse, step, stop)))
+        with pytest.raises(RuntimeError):
+            gcp_run(spark, wh, tmpdir_path, 14, moved)
+    assert reached and len(facts(wh)) == 3
     gcp_run(spark, wh, tmpdir_path, 15, moved)
     assert [f[:2] for f in facts(wh)] == [(7001, "2024-03-20"), (7002, "2024-03-10"), (7005, "2024-03-12")]
+    assert "ledgerline.pending" not in wh.properties("dwh.fact_sales")
 
 
-def test_stopped_run_never_repeats_a_sequence_key(spark, tmpdir_path, monkeypatch):
+def load_given(spark, wh, prof, batch, run=None, **kw):
+    """One batch of the given tables."""
     from ledgerline.plans.jobs import job_warehouse
-    from ledgerline.plans.profiles import PSQL
     from ledgerline.sources.retail import RUNS, dimension_source, sales_source
-    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="sk_")
     sf = "/root/testdata/sf0.001"
+    src = {t: dimension_source(spark, sf, t, batch, prof) for t in ("customers", "products", "stores")}
+    src["sales"] = sales_source(spark, sf, batch, prof)
+    run = RUNS[run or batch]
+    return job_warehouse(spark, wh, prof, src, run.run_ts, run.stamp, **kw)
 
-    def load(batch):
-        src = {t: dimension_source(spark, sf, t, batch, PSQL) for t in ("customers", "products", "stores")}
-        src["sales"] = sales_source(spark, sf, batch, PSQL)
-        job_warehouse(spark, wh, PSQL, src, RUNS[batch].run_ts, RUNS[batch].stamp, parallel=False)
 
-    load("b1")
-    whole = Warehouse._expire
+def test_stopped_run_never_repeats_a_sequence_key(spark, tmpdir_path, monkeypatch):
+    from ledgerline.plans.profiles import PSQL
+    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="sk_")
+    load_given(spark, wh, PSQL, "b1", parallel=False)
+    whole = Warehouse.finish_pending
 
-    def stop(self, name, version):
-        if name in ("dwh.dim_customer", "dwh.fact_sales__parts"):
+    def stop(self, name):
+        if name in ("dwh.dim_customer", "dwh.fact_sales") and "ledgerline.pending" in self.properties(name):
             raise RuntimeError("stopped")
-        return whole(self, name, version)
+        return whole(self, name)
 
-    monkeypatch.setattr(Warehouse, "_expire", stop)
-    with pytest.raises(RuntimeError):
-        load("b2")
-    monkeypatch.setattr(Warehouse, "_expire", whole)
-    load("b2")
+    with monkeypatch.context() as m:
+        m.setattr(Warehouse, "finish_pending", stop)
+        with pytest.raises(RuntimeError):
+            load_given(spark, wh, PSQL, "b2", parallel=False)
+    load_given(spark, wh, PSQL, "b2")
     for name, key in (("dim_customer", "customer_key"), ("fact_sales", "sales_key")):
         df = wh.read(f"dwh.{name}")
         assert df.select(key).distinct().count() == df.count()
     assert wh.read("dwh.fact_sales").select("id").distinct().count() == wh.read("dwh.fact_sales").count()
 
 
-def test_failed_gate_does_not_block_the_table(spark, tmpdir_path):
+def files_of(wh, name, pattern):
+    return {f: os.path.getmtime(f) for f in glob.glob(f"{wh.location(name)}/{pattern}/*.parquet")}
+
+
+def test_closed_versions_are_never_written_again(spark, tmpdir_path):
+    """gcp: a run's closed rows are files of their own. psql: only slots of
+    changed ids are written. Untouched fact partitions keep their files."""
+    from ledgerline.plans.profiles import GCP, PSQL
+    for prof, prefix in ((GCP, "hg_"), (PSQL, "hp_")):
+        wh = Warehouse(spark, os.path.join(tmpdir_path, prof.name), db_prefix=prefix, dim_slots=64)
+        load_given(spark, wh, prof, "b1")
+        load_given(spark, wh, prof, "b2")
+        name = "dwh.dim_customer"
+        closed, active = files_of(wh, name, "is_active=false/*"), files_of(wh, name, "is_active=true/*")
+        assert closed and len(active) > 10
+        dim = wh.read(name)
+        one = dim.where("is_active").select("customer_id").first()[0]
+        from ledgerline.plans.jobs import load_dimension
+        from ledgerline.plans.profiles import CUSTOMER
+        before = spark.table(wh.q(name)).where(f"customer_id = {one}").collect()
+        stage_cols = [c for c in wh.read("stage.dim_customer" if prof is PSQL else "staging.dim_customer").columns]
+        staged = wh.read("stage.dim_customer" if prof is PSQL else "staging.dim_customer").where(f"customer_id = {one}")
+        assert staged.count() == 1
+        from pyspark.sql import functions as F
+        staged = staged.withColumn("customer_address", F.lit("elsewhere")).select(stage_cols)
+        assert load_dimension(wh, CUSTOMER, prof, staged, "2024-02-01 00:00:00", "20240201000000") >= 2
+        after_closed, after_active = files_of(wh, name, "is_active=false/*"), files_of(wh, name, "is_active=true/*")
+        if prof is GCP:
+            assert closed.items() <= after_closed.items() and len(after_closed) == len(closed) + 1
+        else:
+            slot = [r.load_slot for r in before][0]
+            assert {f: t for f, t in closed.items() if slot not in f}.items() <= after_closed.items()
+        assert sum(1 for f in active if f not in after_active) <= len(glob.glob(f"{wh.location(name)}/is_active=true/{before[-1].load_slot}")) + 2
+        got = wh.read(name).where(f"customer_id = {one}")
+        assert got.count() == len(before) + 1 and got.where("is_active").first().customer_address == "elsewhere"
+
+
+def test_unchanged_batch_writes_nothing_when_asked(spark, tmpdir_path):
+    from ledgerline.plans.profiles import GCP, PSQL
+    for prof, prefix in ((GCP, "ug_"), (PSQL, "up_")):
+        wh = Warehouse(spark, os.path.join(tmpdir_path, prof.name), db_prefix=prefix)
+        load_given(spark, wh, prof, "b1")
+        load_given(spark, wh, prof, "b2")
+        rows, kept = wh.read("dwh.fact_sales").collect(), files_of(wh, "dwh.fact_sales", "*")
+        again = load_given(spark, wh, prof, "b2", "b3", skip_unchanged=True)
+        assert set(again.written.values()) == {0} and files_of(wh, "dwh.fact_sales", "*") == kept
+        assert load_given(spark, wh, prof, "b2", "b3").written["dwh.fact_sales"] > 0  # the default stamps the load time
+        assert len(wh.read("dwh.fact_sales").collect()) == len(rows)
+
+
+def test_failed_gate_leaves_the_table(spark, tmpdir_path):
     wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="fg_")
     wh.ensure_schemas("t")
-    for layout in ({}, {"bucket_by": ("id",), "buckets": 2}):
-        name = f"t.x{len(layout)}"
 
-        def refuse(df):
-            raise GateError("no")
-        for _ in range(2):
-            with pytest.raises(GateError):
-                wh.write_snapshot(spark.range(3), name, gates=refuse, **layout)
-        assert wh.write_snapshot(spark.range(4), name, **layout) == 1
-        assert wh.read(name).count() == 4
+    def refuse(counted):
+        assert counted["n_rows"] == 3
+        raise GateError("no")
+    for _ in range(2):
+        with pytest.raises(GateError):
+            wh.replace_table(spark.range(3), "t.x", gates=refuse)
+    assert not wh.exists("t.x")
+    assert wh.replace_table(spark.range(4), "t.x") == 4
+    with pytest.raises(GateError):
+        wh.replace_table(spark.range(3), "t.x", gates=refuse)
+    assert wh.read("t.x").count() == 4
 
 
-def test_vacuum_removes_only_dead_runs(spark, tmpdir_path):
-    from ledgerline.plans.tables import PartitionedTable
-    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="va_")
+def test_gates_read_nothing_again(spark, tmpdir_path):
+    """Rows, NULLs and lengths are counted by the job that writes."""
+    from ledgerline.operators.gates import observed_metrics, require_observed
+    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="ob_")
     wh.ensure_schemas("t")
-    rows = spark.range(10).selectExpr("CAST(id AS STRING) AS id", "CAST(id % 3 AS INT) AS d")
-    pt = PartitionedTable(wh, "t.fact", "d", rows.schema)
-    pt.write(rows, None)
-    pt.write(rows.where("d = 1"), rows.select("d").where("d = 1"))
-    pt.write(rows, None)
-    assert len(os.listdir(pt.location)) >= 3
-    pt.vacuum()
-    assert len(glob.glob(f"{pt.location}/load_run=*")) == 1
-    assert pt.read().count() == 10 and wh.read("t.fact").count() == 10
-    assert pt.read(touched=rows.select("d").where("d = 2")).count() == 3
+    df = spark.range(100).selectExpr("id", "IF(id = 7, NULL, concat('n', id)) AS name")
+    jobs = []
+    for metrics in ((), observed_metrics(["id", "name"], {"name": 2}, ["id"])):
+        spark.sparkContext.setJobGroup(f"gates{len(metrics)}", "")
+        path, counted = wh.write_aside(df, "t.x", metrics)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"gates{len(metrics)}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1] and counted["n_rows"] == 100 and counted["largest.id"] == 99
+    require_observed(counted, "x", ["id"], {}, rows=True)
+    with pytest.raises(GateError, match="NULL"):
+        require_observed(counted, "x", ["name"])
+    with pytest.raises(GateError, match="longer"):
+        require_observed(counted, "x", [], {"name": 2})
 
 
 def test_empty_file_gate(spark, tmpdir_path):
@@ -186,39 +255,38 @@ def test_empty_file_gate(spark, tmpdir_path):
     assert not wh.exists("public.customers")
 
 
-def test_snapshot_versions_and_swap(spark, tmpdir_path):
-    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), keep=2, db_prefix="snap_")
+def test_replaced_table_swaps_in_one_step(spark, tmpdir_path):
+    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="snap_")
     wh.ensure_schemas("t")
     for i in range(1, 4):
-        wh.write_snapshot(spark.range(i).selectExpr("id", "CAST(id % 2 AS STRING) AS p"),
-                          "t.x", partition_by=("p",))
-    assert wh.current_version("t.x") == 3 and wh.read("t.x").count() == 3
-    assert wh.read("t.x").columns == ["id", "p"]
-    assert not glob.glob(wh.version_path("t.x", 1) + "-*")
-    with pytest.raises(GateError):
-        def gate(df):
-            raise GateError("no")
-        wh.write_snapshot(spark.range(9), "t.x", gates=gate)
-    assert wh.read("t.x").count() == 3  # readers stay on the last good version
-
-
-def test_reattach_in_new_catalog_state(spark, tmpdir_path):
-    """Without a persistent metastore, a later run re-attaches the published
-    snapshot (CURRENT marker) and the partitioned fact from storage."""
-    from ledgerline.plans.tables import PartitionedTable
-    root = os.path.join(tmpdir_path, "wh")
-    wh = Warehouse(spark, root, db_prefix="ra_")
-    wh.ensure_schemas("t")
-    wh.write_snapshot(spark.range(4).selectExpr("id"), "t.snap")
-    wh.write_snapshot(spark.range(6).selectExpr("id"), "t.snap")
-    rows = spark.range(10).selectExpr("CAST(id AS STRING) AS id", "CAST(id % 3 AS INT) AS d")
-    PartitionedTable(wh, "t.fact", "d", rows.schema).write(rows, None)
-    for view in ("snap", "fact", "fact__parts"):
-        spark.sql(f"DROP VIEW ra_t.{view}")
-    wh2 = Warehouse(spark, root, db_prefix="ra_")
-    assert wh2.current_version("t.snap") == 2 and wh2.read("t.snap").count() == 6
-    pt2 = PartitionedTable(wh2, "t.fact", "d", rows.schema)
-    assert pt2.exists() and pt2.read().count() == 10
+        old = wh.read("t.x") if i > 1 else None
+        path, _ = wh.write_aside(spark.range(i), "t.x")
+        assert old is None or old.count() == i - 1  # readers stay until the table points elsewhere
+        wh.point_at("t.x", path, spark.range(i).schema)
+        assert wh.read("t.x").count() == i
+    assert len(os.listdir(wh.location("t.x"))) == 2
+    assert wh.replace_table(spark.range(2).selectExpr("id", "'v' AS extra"), "t.x") == 2  # another schema
+    assert wh.read("t.x").columns == ["id", "extra"]
+    wh.drop_table("t.x")
+    assert not wh.exists("t.x") and not os.path.exists(wh.location("t.x"))
+
+
+@pytest.mark.parametrize("pname", ["psql", "gcp"])
+def test_warehouse_is_found_again_by_an_empty_catalog(spark, tmpdir_path, pname):
+    from ledgerline.plans.jobs import read_fact
+    from ledgerline.plans.profiles import PROFILES
+    prof, root = PROFILES[pname], os.path.join(tmpdir_path, "wh")
+    wh = Warehouse(spark, root, db_prefix=f"ra{pname}_")
+    load_given(spark, wh, prof, "b1")
+    held = sorted(map(str, read_fact(wh, prof).collect()))
+    spark.sql(f"DROP DATABASE ra{pname}_dwh CASCADE")  # the catalog forgets; files of external tables stay
+    wh2 = Warehouse(spark, root, db_prefix=f"ra{pname}_")
+    wh2.ensure_schemas("dwh")
+    assert sorted(map(str, read_fact(wh2, prof).collect())) == held
+    load_given(spark, wh2, prof, "b2")
+    dim, fact = wh2.read("dwh.dim_customer"), wh2.read("dwh.fact_sales")
+    assert dim.select("customer_key").distinct().count() == dim.count()
+    assert fact.select("sales_key").distinct().count() == fact.count()
 
 
 def test_fact_sequence_recorded(spark, tmpdir_path):
@@ -235,10 +303,10 @@ def test_fact_sequence_recorded(spark, tmpdir_path):
     fact = wh.read("dwh.fact_sales")
     keys = sorted(r.sales_key for r in fact.select("sales_key").collect())
     assert keys == list(range(1, len(keys) + 1))
-    assert wh.read_sequence("dwh.fact_sales") == len(keys)
+    assert wh.properties("dwh.fact_sales")["sequence.sales_key"] == str(len(keys))
     for d in ("customer", "product", "store"):
         dim = wh.read(f"dwh.dim_{d}")
-        assert wh.read_sequence(f"dwh.dim_{d}") == dim.agg({f"{d}_key": "max"}).first()[0]
+        assert wh.properties(f"dwh.dim_{d}")[f"sequence.{d}_key"] == str(dim.agg({f"{d}_key": "max"}).first()[0])
 
 
 @pytest.mark.parametrize("pname", ["psql", "gcp"])

@@ -70,42 +70,28 @@ def test_small_batch_never_shuffles_the_fact(spark, tmpdir_path):
     assert "Exchange hashpartitioning" not in p and "SortMergeJoin" not in p
 
 
-def test_bucketed_dimension_not_shuffled_in_large_batch_joins(spark, tmpdir_path):
-    """psql dimensions are bucketed on id: with broadcasts off, both SCD2
-    joins shuffle only the batch side."""
+def test_stored_dimension_is_pruned_to_touched_slots(spark, tmpdir_path):
+    """Old values come from active partitions only, and the rows written from
+    the slots that the batch touches."""
     import os
 
-    from ledgerline.operators.scd2 import changed_rows, close_versions
-    from ledgerline.plans.daily_runs import dimension_after, staged_dimension
-    from ledgerline.plans.profiles import CUSTOMER, PSQL
-    from ledgerline.plans.tables import Warehouse
+    from ledgerline.operators.scd2 import changed_rows, scd2_delta
+    from ledgerline.plans.daily_runs import staged_dimension
+    from ledgerline.plans.jobs import dim_table, load_dimension
+    from ledgerline.plans.profiles import CUSTOMER, GCP
+    from ledgerline.plans.tables import SLOT, Warehouse
     from ledgerline.sources.retail import RUNS
-    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="bk_", dim_buckets=8)
+    wh = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="pr_", dim_slots=32)
     wh.ensure_schemas("dwh")
-    wh.write_snapshot(dimension_after(spark, SF_SMALL, CUSTOMER, PSQL, ("b1",)),
-                      "dwh.dim_customer", bucket_by=("id",), buckets=8)
-    dim = wh.read("dwh.dim_customer")
-    stage = staged_dimension(spark, SF_SMALL, CUSTOMER, PSQL, "b2")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = changed_rows(stage, dim, CUSTOMER, PSQL, strategy="merge")
-        p1 = plan_of(joined)
-        kept = close_versions(dim, stage.select("id"), ["id"], "all_versions",
-                              RUNS["b2"].run_ts, strategy="merge")
-        p2 = plan_of(kept)
-        assert joined.count() == stage.count()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    # only batch rows are shuffled: the staged rows and, once, their keys
-    assert "SortMergeJoin" in p1 and p1.count("Exchange hashpartitioning") <= 2
-    assert "SortMergeJoin" in p2 and p2.count("Exchange hashpartitioning") == 1
-    for p in (p1, p2):
-        for part in p.split("Exchange hashpartitioning")[1:]:
-            assert "bk_dwh" not in part.split("Scan parquet")[1][:40] if "Scan parquet" in part else True
-    # a new session state re-attaches the bucketed version from storage
-    spark.sql("DROP VIEW bk_dwh.dim_customer")
-    for t in spark.sql("SHOW TABLES IN bk_dwh LIKE 'dim_customer__v1*'").collect():
-        spark.sql(f"DROP TABLE bk_dwh.{t.tableName}")
-    wh2 = Warehouse(spark, os.path.join(tmpdir_path, "wh"), db_prefix="bk_")
-    assert wh2.read("dwh.dim_customer").count() == dim.count()
+    for b in ("b1", "b2"):
+        stage = staged_dimension(spark, SF_SMALL, CUSTOMER, GCP, b)
+        load_dimension(wh, CUSTOMER, GCP, stage, RUNS[b].run_ts, RUNS[b].stamp)
+    name = dim_table(CUSTOMER, GCP)
+    dim = spark.table(wh.q(name))
+    assert "/is_active=false/" not in "".join(changed_rows(stage, dim, CUSTOMER, GCP).select("_o_customer_name").inputFiles())
+    assert "PartitionFilters: [isnotnull(is_active" in plan_of(changed_rows(stage, dim, CUSTOMER, GCP))
+    one = stage.limit(1).selectExpr("*").drop("customer_name").selectExpr("*", "'other' AS customer_name").checkpoint()
+    delta = scd2_delta(dim, one, CUSTOMER, GCP, RUNS["b3"].run_ts, RUNS["b3"].stamp, SLOT, wh.slots(name))
+    assert f"{SLOT}" in plan_of(delta).split("PartitionFilters: ")[1].split("]")[0]
+    slots = {r[0] for r in delta.where("is_active").select(SLOT).distinct().collect()}
+    assert len(slots) == 1 and delta.where("NOT is_active").count() == 1
