@@ -8,8 +8,14 @@ three-valued logic: a row counts as changed only when the result is TRUE.
 * ``hash`` (gcp): ``MD5(old) != MD5(new)``. Equal text has equal digests, so
   this is ``old != new`` on the values (NULL on either side: no change).
   Values are compared, not their text, so decimal(10,2) 999.99 equals
-  decimal(38,9) 999.990000000. ``use_md5=True`` hashes text literally.
+  decimal(38,9) 999.990000000. ``use_md5=True`` hashes text (X8): as it is
+  written, where 999.99 and 999.990000000 differ, or with ``canonical=True``
+  without the zeros a number's scale adds.
 * ``nullsafe``: ``NOT (old <=> new)``; every difference, NULLs included.
+
+``rounded`` gives the pairs with the new money value in the stored type
+(``round_before_compare``): a price of three decimals is then no change
+against its own stored rounding, which it is, each run, by default.
 """
 
 from __future__ import annotations
@@ -37,11 +43,22 @@ def changed_padded(pairs: list[tuple[Column, Column, str]]) -> Column:
     return _any(terms)
 
 
-def changed_hash(pairs: list[tuple[Column, Column, str]], use_md5: bool = False) -> Column:
+def rounded(pairs: list[tuple[Column, Column, str]], stored: str) -> list[tuple[Column, Column, str]]:
+    return [(old, new.cast(stored) if kind == "money" else new, kind) for old, new, kind in pairs]
+
+
+def canonical_text(value: Column, kind: str) -> Column:
+    """Text of a value; a number without trailing zeros of its scale."""
+    text = value.cast("string")
+    return F.regexp_replace(text, r"^(-?[0-9]+)(?:\.0*|(\.[0-9]*[1-9])0*)$", "$1$2") if kind == "money" else text
+
+
+def changed_hash(pairs: list[tuple[Column, Column, str]], use_md5: bool = False, canonical: bool = False) -> Column:
     terms = []
-    for old, new, _kind in pairs:
+    for old, new, kind in pairs:
         if use_md5:
-            terms.append(F.md5(old.cast("string")) != F.md5(new.cast("string")))
+            a, b = (canonical_text(v, kind) if canonical else v.cast("string") for v in (old, new))
+            terms.append(F.md5(a) != F.md5(b))
         else:
             terms.append(old != new)
     return _any(terms)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.keys import hash_key, random_key
-from ledgerline.functions.predicates import active_rows, change_predicate
+from ledgerline.functions.predicates import active_rows, change_predicate, rounded
 from ledgerline.functions.timestamps import ts_literal
 from ledgerline.operators.sequence import KeySequence, assign_sequence, next_start
 from ledgerline.plans.profiles import DimSpec, Profile
@@ -96,6 +96,8 @@ def changed_rows(stage: DataFrame, dim: DataFrame, spec: DimSpec, profile: Profi
     cond = [stage[k] == active[f"_d_{k}"] for k in keys]
     j = stage.join(active, cond, "left").drop(*[f"_d_{k}" for k in keys])
     pairs = [(F.col(f"_o_{c}"), F.col(c), _kind(spec, c)) for c in tracked]
+    if profile.round_before_compare:
+        pairs = rounded(pairs, profile.stored_money_type.simpleString())
     pred = change_predicate(profile.change_rule, pairs)
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     return (j.withColumn("_hit", hit)

@@ -17,12 +17,14 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions.timestamps import new_stamp, stamp_to_text
 from ledgerline.operators import gates as G
 from ledgerline.operators.lookup import lookup_keys
 from ledgerline.operators.scd2 import dim_schema, scd2_delta
 from ledgerline.operators.staging import stage_dimension, stage_sales
+from ledgerline.operators.zorder import curve
 from ledgerline.operators.upsert import fact_schema, upsert_fact
 from ledgerline.plans.profiles import DIMENSIONS, GCP, PSQL, PSQL_LENGTHS, DimSpec, Profile
 from ledgerline.operators.sequence import KeySequence
@@ -31,6 +33,7 @@ from ledgerline.plans.tables import SLOT, Warehouse
 from ledgerline.sources.csv import force_all_columns, read_csv_by_name
 from ledgerline.sources.jdbc import copy_jdbc_table, write_jdbc_table
 from ledgerline.sources.landing import batch_view, land_files
+from ledgerline.sources.quarantine import accepted, judged, rejected
 from ledgerline.sources.registry import TableSpec, load_registry
 from ledgerline.session import materialize
 from ledgerline.sources.schemas import SOURCE_TABLES, source_schema
@@ -48,13 +51,26 @@ class RunResult:
 
 def job_load_csv(spark: SparkSession, wh: Warehouse | None, files: dict[str, str],
                  profile: Profile = PSQL, db: str = "public", jdbc_url: str | None = None,
-                 jdbc_properties: dict | None = None, multi_line: bool = False) -> dict[str, int]:
+                 jdbc_properties: dict | None = None, multi_line: bool = False,
+                 schemas: dict[str, T.StructType] | None = None, quarantine: bool = False) -> dict[str, int]:
     """CSV by name -> cleaning -> full refresh of each source table, into
     warehouse tables or, with ``jdbc_url``, into the source database
     (TRUNCATE keeps the table definition, then batched INSERTs from every
     task). Every file is parsed and gated before anything is replaced.
-    ``multi_line``: quoted fields may hold line breaks (files are not split)."""
-    frames = {t: read_csv_by_name(spark, path, source_schema(t, profile), multi_line=multi_line) for t, path in files.items()}
+    ``multi_line``: quoted fields may hold line breaks (still read by splits).
+    ``quarantine``: rows that do not fit the schema go to ``<table>__rejected``
+    instead of stopping the load."""
+    schemas = schemas or {t: source_schema(t, profile) for t in files}
+    if quarantine:
+        wh.ensure_schemas(db)
+        frames = {}
+        for t, path in files.items():
+            text = read_csv_by_name(spark, path, multi_line=multi_line)
+            rows = judged(text, schemas[t], required=[f.name for f in schemas[t].fields if not f.nullable])
+            wh.replace_table(rejected(rows), f"{db}.{t}__rejected")
+            frames[t] = accepted(rows, schemas[t])
+    else:
+        frames = {t: read_csv_by_name(spark, path, schemas[t], multi_line=multi_line) for t, path in files.items()}
     if jdbc_url is not None:
         out = {}
         for table, df in frames.items():
@@ -169,7 +185,10 @@ def merge_fact_partitions(spark: SparkSession, wh: Warehouse, profile: Profile,
     start = wh.last_key(name, "sales_key") if sequence else 0
     merged = upsert_fact(_on_days(fact, days), staged, profile, run_ts, key_start=start)
     required, largest = ("sales_key", *REQUIRED), ("sales_key",) if sequence else ()
-    pending, counted = wh.write_pending(merged, name, ["sale_date_key", *profile.fact_cluster_by, "id"],
+    # K8: along a Z-order curve of the dimension keys, so that each of them skips row groups
+    # (sales_key begins with the run's second, so its quantiles tell no rows apart)
+    by = [curve(staged, list(profile.fact_cluster_by[1:]))] if profile.fact_cluster_by else []
+    pending, counted = wh.write_pending(merged, name, ["sale_date_key", *by, "id"],
                                         G.observed_metrics(required, largest=largest))
     G.require_observed(counted, "fact_sales", required)
     G.require_unique(pending, ["id"], name)  # C3: moved ids have all their dates here
@@ -227,16 +246,13 @@ def job_psql(spark: SparkSession, wh: Warehouse, url: str, run_ts: str,
     return job_warehouse(spark, wh, PSQL, sources, run_ts, stamp)
 
 
-def files_from_registry(registry: dict[str, TableSpec], data_dir: str) -> dict[str, str]:
-    """One ``<data_dir>/<table>.csv`` per registry entry, in registry order."""
-    return {name: f"{data_dir.rstrip('/')}/{name}.csv" for name in registry}
-
-
-def job_load_csv_registry(spark: SparkSession, wh: Warehouse, registry_path: str,
-                          data_dir: str, profile: Profile = PSQL) -> dict[str, int]:
-    """W1 driven by the table registry."""
-    return job_load_csv(spark, wh, files_from_registry(load_registry(registry_path), data_dir),
-                        profile)
+def job_load_csv_registry(spark: SparkSession, wh: Warehouse, registry_path: str, data_dir: str,
+                          profile: Profile = PSQL, **kw) -> dict[str, int]:
+    """W1 over the tables of a registry: one ``<data_dir>/<table>.csv`` each,
+    cast to the schema that the registry declares."""
+    registry = load_registry(registry_path)
+    return job_load_csv(spark, wh, {name: f"{data_dir.rstrip('/')}/{name}.csv" for name in registry}, profile,
+                        schemas={name: spec.schema for name, spec in registry.items()}, **kw)
 
 
 def job_gcp(spark: SparkSession, wh: Warehouse, files: dict[str, str], landing_root: str,

@@ -404,8 +404,57 @@ def constraint_report_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+def typed_target_sql() -> str:
+    return ("SELECT c_custkey AS customer_id, c_name AS customer_name, TRUE AS is_active, "
+            "TIMESTAMP '2024-01-01 03:00:00' AS effective_start_date, c_mktsegment AS segment FROM customer")
+
+
+def quarantine_sql() -> str:
+    return """
+WITH r AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 17 = 0 THEN repeat(p_name, 9) ELSE p_name END AS name,
+    CASE WHEN p_partkey % 11 = 0 THEN 'n/a' WHEN p_partkey % 13 = 0 THEN '123456789012.5' WHEN p_partkey % 19 = 0 THEN NULL
+         ELSE CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS VARCHAR) END AS price FROM part),
+j AS (SELECT *, array_to_string([x FOR x IN [CASE WHEN length(name) > 100 THEN 'name: longer than 100' END,
+    CASE WHEN price IS NOT NULL AND TRY_CAST(price AS DECIMAL(10,2)) IS NULL THEN 'price: not decimal(10,2)' END,
+    CASE WHEN price IS NULL THEN 'price: null' END] IF x IS NOT NULL], '; ') AS reasons FROM r)
+SELECT k AS product_id, reasons = '' AS kept, CASE WHEN reasons = '' THEN CAST(price AS DECIMAL(10,2)) END AS price, reasons FROM j"""
+
+
+def changed_money_text_sql() -> str:
+    return """
+WITH r AS (SELECT p_partkey, CAST(p_retailprice AS DECIMAL(10,2)) AS old, CAST(CAST(p_retailprice AS DECIMAL(10,2)) +
+    CASE WHEN p_partkey % 3 = 0 THEN 0.004 WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END AS DECIMAL(38,9)) AS new FROM part)
+SELECT p_partkey, old <> new AS by_value, old <> CAST(new AS DECIMAL(10,2)) AS by_rounded,
+    md5(CAST(old AS VARCHAR)) <> md5(CAST(new AS VARCHAR)) AS by_text, old <> new AS by_canonical_text,
+    old <> CAST(new AS DECIMAL(10,2)) AS by_rounded_text FROM r"""
+
+
+def csv_quoted_newlines_sql() -> str:
+    return """
+SELECT CAST(c_custkey AS INTEGER) AS customer_id, c_name AS name,
+    CASE c_custkey % 3 WHEN 0 THEN c_mktsegment || chr(10) || 'floor ' || c_custkey
+         WHEN 1 THEN 'say "hi",' || chr(10) || c_mktsegment || chr(10) || '"' ELSE c_mktsegment END AS address,
+    TIMESTAMP '2024-01-01 00:00:00' AS created_at, TIMESTAMP '2024-01-01 00:00:00' AS updated_at FROM customer"""
+
+
+def w1_products_sql() -> str:
+    return (f"SELECT CAST(product_id AS BIGINT) AS product_id, name, category, CAST(trunc(price) AS DECIMAL(38,9)) AS price, "
+            f"created_at, updated_at FROM ({source_sql('products', 'b2', PSQL)}) s")
+
+
 def registry() -> dict[str, str]:
     q: dict[str, str] = {}
+    for prof in (PSQL, GCP):
+        for d in ("customer", "product"):
+            q[f"stored_{d}_{prof.name}"] = scd2_sql(d, prof, ("b1", "b2", "b3"))
+    q["typed_target_defaults"] = typed_target_sql()
+    q["quarantine_parts"] = quarantine_sql()
+    q["scd2_customer_psql_sql"] = scd2_sql("customer", PSQL)
+    q["changed_money_text"] = changed_money_text_sql()
+    q["csv_quoted_newlines"] = csv_quoted_newlines_sql()
+    q["clustered_sales"] = sales_all_sql(GCP)
+    q["w1_products"] = w1_products_sql()
+    q["w3_fact_gcp"] = fact_sql(GCP)
     for prof in (PSQL, GCP):  # the written path gives the rows of the rules
         q[f"job_fact_{prof.name}"] = fact_sql(prof)
         q[f"job_customer_{prof.name}"] = scd2_sql("customer", prof)

@@ -76,6 +76,7 @@ class Profile:
     fact_partition_by: tuple[str, ...] = ("sale_date_key",)
     fact_cluster_by: tuple[str, ...] = ()
     tracked_by_dim: dict = field(default_factory=dict)
+    round_before_compare: bool = False      # compare money in the stored type
 
     def tracked(self, dim: DimSpec) -> list[str]:
         extra = self.tracked_by_dim.get(dim.name, ())

@@ -8,24 +8,32 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions.cleaning import clean_values
 from ledgerline.functions.keys import hash_key
+from ledgerline.functions.predicates import changed_hash, rounded
+from ledgerline.functions.timestamps import ts_literal
 from ledgerline.operators.gates import constraint_report, row_counts
-from ledgerline.operators.scd2 import changed_rows, new_versions, versions_to_open
-from ledgerline.operators.sequence import assign_sequence
+from ledgerline.operators.scd2 import changed_rows, dim_schema, new_versions, versions_to_open
+from ledgerline.operators.sequence import assign_sequence, max_key
+from ledgerline.operators.zorder import curve
 from ledgerline.plans.daily_runs import (all_dimensions_after, dimension_after, fact_after,
                                        staged_dimension, staged_fact)
-from ledgerline.plans.profiles import CUSTOMER, DIMENSIONS, GCP, PSQL, with_rule
-from ledgerline.plans.jobs import SCHEMAS, job_warehouse, read_fact
+from ledgerline.plans.profiles import CUSTOMER, DIMENSIONS, GCP, PSQL, PSQL_LENGTHS, with_rule
+from ledgerline.plans.jobs import SCHEMAS, dim_table, job_gcp, job_load_csv_registry, job_warehouse, load_dimension, read_fact
+from ledgerline.plans.sql import run_statement
 from ledgerline.plans.tables import Warehouse
-from ledgerline.session import scratch_root
+from ledgerline.session import materialize, scratch_root
 from ledgerline.sources.csv import read_csv_by_name
 from ledgerline.sources.landing import batch_view, land_files
-from ledgerline.sources.retail import RUNS, dimension_source, read_table, sales_all, sales_source
+from ledgerline.sources.quarantine import REASONS, accepted, judged, rejected
+from ledgerline.sources.retail import RUNS, SOURCE_TS, dimension_source, read_table, sales_all, sales_source
 from ledgerline.sources.schemas import source_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,8 +161,137 @@ def landed_products(spark: SparkSession, sf: str) -> DataFrame:
     return batch_view(spark, root, stamp, "products", source_schema("products", GCP), view="landed_products_view")
 
 
+def _stored(dim_name: str, profile) -> Query:
+    """D1-D4 as stored: three batches into one dimension table, of which each
+    run writes the touched partitions only."""
+    def q(spark, sf):
+        run_id = uuid.uuid4().hex[:12]
+        wh = Warehouse(spark, f"{scratch_root(spark)}/stored-{run_id}", db_prefix=f"stored{run_id}_")
+        wh.ensure_schemas(SCHEMAS[profile.name][2])
+        spec = DIMENSIONS[dim_name]
+        for batch in ("b1", "b2", "b3"):
+            staged = staged_dimension(spark, sf, spec, profile, batch)
+            load_dimension(wh, spec, profile, staged, RUNS[batch].run_ts, RUNS[batch].stamp, deep_gates=False)
+        return wh.read(dim_table(spec, profile)).select(*dim_schema(spec, profile).names)
+    return q
+
+
+def typed_target_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """K5 + K6: all customers inserted with a column list into a typed table;
+    the columns left out are read back with their defaults."""
+    run_id = uuid.uuid4().hex[:12]
+    wh = Warehouse(spark, f"{scratch_root(spark)}/typed-{run_id}", db_prefix=f"typed{run_id}_")
+    wh.ensure_schemas("dwh")
+    schema = T.StructType([T.StructField("customer_id", T.LongType(), False), T.StructField("customer_name", T.StringType()),
+                           T.StructField("is_active", T.BooleanType()), T.StructField("effective_start_date", T.TimestampNTZType()),
+                           T.StructField("segment", T.StringType())])
+    wh.create_table("dwh.customers", schema, ("segment",), {"customer_name": PSQL_LENGTHS["customer_name"]},
+                    {"is_active": "true", "effective_start_date": f"TIMESTAMP_NTZ'{RUNS['b1'].run_ts}'"})
+    rows = read_table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"), F.col("c_mktsegment").alias("segment"))
+    wh.insert(rows, "dwh.customers")
+    return wh.read("dwh.customers")
+
+
+def quarantine_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """C5 with rejects as data: every part as text, some of it unfit, judged
+    against a declared schema; accepted rows typed, rejected ones with reasons."""
+    k = F.col("p_partkey")
+    text = read_table(spark, sf, "part").select(
+        k.cast("string").alias("product_id"),
+        F.when(k % 17 == 0, F.repeat("p_name", 9)).otherwise(F.col("p_name")).alias("name"),
+        F.when(k % 11 == 0, F.lit("n/a")).when(k % 13 == 0, F.lit("123456789012.5")).when(k % 19 == 0, F.lit(None))
+        .otherwise(F.col("p_retailprice").cast("decimal(10,2)").cast("string")).alias("price"))
+    schema = T.StructType([T.StructField("product_id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("price", T.DecimalType(10, 2))])
+    rows = judged(text, schema, {"name": 100}, ["price"])
+    good = accepted(rows, schema).select("product_id", F.lit(True).alias("kept"), "price", F.lit("").alias("reasons"))
+    bad = rejected(rows).select(F.col("product_id").cast("long").alias("product_id"), F.lit(False).alias("kept"),
+                                F.lit(None).cast("decimal(10,2)").alias("price"), F.array_join(REASONS, "; ").alias("reasons"))
+    return good.unionByName(bad)
+
+
+def scd2_customer_psql_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """The second day of the customer dimension from SQL files; only the
+    sequence keys are assigned outside (without a one-task window)."""
+    run, mark = RUNS["b2"], uuid.uuid4().hex[:12]
+    dim1 = dimension_after(spark, sf, CUSTOMER, PSQL, ("b1",))
+    views = {n: f"customer_{n}_{mark}" for n in ("dim", "stage", "opened")}
+    dim1.createOrReplaceTempView(views["dim"])
+    staged_dimension(spark, sf, CUSTOMER, PSQL, "b2").createOrReplaceTempView(views["stage"])
+    opened = materialize(run_statement(spark, "customer_opened_psql", stage=views["stage"], dim=views["dim"], run_ts=run.run_ts))
+    opened.createOrReplaceTempView(views["opened"])
+    kept = run_statement(spark, "customer_kept_psql", dim=views["dim"], opened=views["opened"], run_ts=run.run_ts)
+    added = assign_sequence(opened, ["customer_id"], max_key(dim1, "customer_key"), "customer_key", PSQL.dim_key_type)
+    return kept.unionByName(added).select(*dim1.columns)
+
+
+def changed_money_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Prices of three decimals against their stored rounding, as values, as
+    values in the stored type, as text, and as text without added zeros."""
+    price = F.col("p_retailprice").cast("decimal(10,2)")
+    new = (price + F.when(F.col("p_partkey") % 3 == 0, F.lit(0.004).cast("decimal(4,3)")).when(F.col("p_partkey") % 5 == 0, F.lit(1).cast("decimal(4,3)"))
+           .otherwise(F.lit(0).cast("decimal(4,3)"))).cast("decimal(38,9)")
+    df = read_table(spark, sf, "part").select("p_partkey", price.alias("old"), new.alias("new"))
+    pairs = [(F.col("old"), F.col("new"), "money")]
+    return df.select("p_partkey", changed_hash(pairs).alias("by_value"), changed_hash(rounded(pairs, "decimal(10,2)")).alias("by_rounded"),
+                     changed_hash(pairs, use_md5=True).alias("by_text"), changed_hash(pairs, use_md5=True, canonical=True).alias("by_canonical_text"),
+                     changed_hash(rounded(pairs, "decimal(10,2)"), use_md5=True, canonical=True).alias("by_rounded_text"))
+
+
+def csv_quoted_newlines(spark: SparkSession, sf: str) -> DataFrame:
+    """All customers as CSV whose addresses hold line breaks and quotes,
+    read by splits."""
+    k = F.col("c_custkey")
+    odd = read_table(spark, sf, "customer").select(
+        k.cast("int").alias("customer_id"), F.col("c_name").alias("name"),
+        F.when(k % 3 == 0, F.concat(F.col("c_mktsegment"), F.lit("\nfloor "), k.cast("string")))
+        .when(k % 3 == 1, F.concat(F.lit('say "hi",\n'), F.col("c_mktsegment"), F.lit('\n"'))).otherwise(F.col("c_mktsegment")).alias("address"),
+        ts_literal(SOURCE_TS).alias("created_at"), ts_literal(SOURCE_TS).alias("updated_at"))
+    return read_csv_by_name(spark, _as_csv(odd), source_schema("customers", PSQL), multi_line=True)
+
+
+def clustered_sales(spark: SparkSession, sf: str) -> DataFrame:
+    """K8: every sale written along a Z-order curve of its four keys, read back."""
+    df = sales_all(spark, sf, GCP)
+    z = curve(df, ["sale_id", "customer_id", "product_id", "store_id"])
+    path = f"{scratch_root(spark)}/clustered-{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(n, z).sortWithinPartitions(z).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def w1_products(spark: SparkSession, sf: str) -> DataFrame:
+    """W1 + S4: products as CSV, through the registry: read, cleaned (numbers cut
+    to whole ones), counted, replaced, read back."""
+    run_id = uuid.uuid4().hex[:12]
+    folder = f"{scratch_root(spark)}/w1-{run_id}"
+    wh = Warehouse(spark, f"{folder}/wh", db_prefix=f"w1{run_id}_")
+    for t in ("customers", "products"):
+        dimension_source(spark, sf, t, "b2", PSQL).write.option("header", True).option("escape", '"').option("nullValue", "\\N").csv(f"{folder}/{t}.csv")
+    job_load_csv_registry(spark, wh, str(Path(__file__).parents[1] / "sources" / "retail.yaml"), folder)
+    return wh.read("public.products")
+
+
+def w3_fact_gcp(spark: SparkSession, sf: str) -> DataFrame:
+    """W3 whole: two days of CSV files landed, bound by position, loaded."""
+    run_id = uuid.uuid4().hex[:12]
+    folder = f"{scratch_root(spark)}/w3-{run_id}"
+    wh = Warehouse(spark, f"{folder}/wh", db_prefix=f"w3{run_id}_")
+    for batch in ("b1", "b2"):
+        sources = {t: dimension_source(spark, sf, t, batch, GCP) for t in ("customers", "products", "stores")}
+        sources["sales"] = sales_source(spark, sf, batch, GCP)
+        job_gcp(spark, wh, {t: _as_csv(df) for t, df in sources.items()}, f"{folder}/landing", datetime.strptime(RUNS[batch].stamp, "%Y%m%d%H%M%S"))
+    return read_fact(wh, GCP)
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {}
+    for prof in (PSQL, GCP):
+        for d in ("customer", "product"):
+            q[f"stored_{d}_{prof.name}"] = _stored(d, prof)
+    for f in (typed_target_defaults, quarantine_parts, scd2_customer_psql_sql, changed_money_text, csv_quoted_newlines,
+              clustered_sales, w1_products, w3_fact_gcp):
+        q[f.__name__] = f
     for prof in (PSQL, GCP):
         q[f"job_fact_{prof.name}"] = _job(prof, "fact_sales")
         q[f"job_customer_{prof.name}"] = _job(prof, "dim_customer")

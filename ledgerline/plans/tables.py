@@ -135,13 +135,13 @@ class Warehouse:
         return self.read(name)
 
     # -- partitions of dimensions and the fact: D7 ----------------------------
-    def write_pending(self, df: DataFrame, name: str, layout: Iterable[str],
+    def write_pending(self, df: DataFrame, name: str, layout: Iterable[str | Column],
                       metrics: Iterable[Column] = ()) -> tuple[DataFrame, dict]:
         """The next content of the touched partitions, ranged and sorted by
         ``layout`` (K8: row groups with tight bounds, a hot partition value in
         many tasks), as read back; and what was counted while writing."""
         path, counted = f"{self.location(name)}__next", Observation()
-        cols = list(dict.fromkeys(layout))
+        cols = list({c if isinstance(c, str) else id(c): c for c in layout}.values())  # each name once
         (df.repartitionByRange(self.partitions(), *cols).sortWithinPartitions(*cols)
          .observe(counted, F.count(F.lit(1)).alias("n_rows"), *metrics).write.mode("overwrite").parquet(path))
         return self.spark.read.schema(df.schema).parquet(path), counted.get

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,3 +86,22 @@ def scratch_root(spark: SparkSession) -> str:
     if root.startswith("file:"):
         root = root[len("file:"):]
     return os.path.join(root, "ledgerline")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package.
+
+    Where the driver's PYTHONPATH names the package's folder, workers have it
+    too; otherwise the package is sent as a zip file through Spark, once per
+    application."""
+    root = Path(__file__).resolve().parents[1]
+    given = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    sc = spark.sparkContext
+    if root in given or getattr(sc, "_ledgerline_shipped", False):
+        return
+    out = Path(tempfile.mkdtemp(prefix="ledgerline-code-")) / "ledgerline_code.zip"
+    with zipfile.ZipFile(out, "w") as z:
+        for f in sorted((root / "ledgerline").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(str(out))
+    sc._ledgerline_shipped = True

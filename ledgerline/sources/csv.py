@@ -8,8 +8,8 @@
   columns bound left to right whatever the header says.
 
 Both use RFC-4180 quoting (``"a,""b"`` -> ``a,"b``) and FAILFAST, so a short
-or long row raises instead of being padded. Files are split across tasks
-unless ``multi_line`` is needed for quoted newlines.
+or long row raises instead of being padded. Files are split across tasks; by
+position that ends where ``multi_line`` is needed for quoted newlines.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.cleaning import clean_values
+from ledgerline.sources.csv_records import read_csv_split
 
 
 def _reader(spark: SparkSession, multi_line: bool):
@@ -27,7 +28,10 @@ def _reader(spark: SparkSession, multi_line: bool):
 
 
 def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """All columns as text, header names trimmed."""
+    """All columns as text, header names trimmed. Quoted line breaks
+    (``multi_line``) are found split by split, see ``csv_records``."""
+    if multi_line:
+        return read_csv_split(spark, path)
     df = _reader(spark, multi_line).option("inferSchema", False).csv(path)
     return df.toDF(*[c.strip() for c in df.columns])
 

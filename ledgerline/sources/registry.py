@@ -1,14 +1,17 @@
 """Declared-schema registry read from YAML.
 
-The YAML lists tables as ``- <name>: {type: dimension|fact, schema_fields:
-[{name, type, mode}, ...]}``. Each entry becomes a :class:`TableSpec` with a
-Spark ``StructType``; a missing, unreadable or empty registry is fatal.
+The file lists tables under ``tables``; each entry maps one table name to its
+``type`` (dimension or fact) and ``schema_fields`` (``name``, ``type``, ``mode``).
+``load_registry`` gives a :class:`TableSpec` with a Spark ``StructType`` per
+table, in file order. What cannot be a table is an error that names it: a missing or
+unreadable file, no tables, an entry with more than one name, a name twice, a
+table without fields, an unknown role, field type or mode.
 """
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
+from pathlib import Path
 
 import yaml
 from pyspark.sql import types as T
@@ -22,6 +25,9 @@ TYPE_MAP = {
     "TIMESTAMP": T.TimestampNTZType(), "DATETIME": T.TimestampNTZType(),
     "DATE": T.DateType(),
 }
+ROLES = ("dimension", "fact")
+#: Nullable or not, by mode.
+MODES = {"NULLABLE": True, "REQUIRED": False}
 
 
 class RegistryError(RuntimeError):
@@ -31,40 +37,50 @@ class RegistryError(RuntimeError):
 @dataclass(frozen=True)
 class TableSpec:
     name: str
-    columns: list[str]
     role: str
-    fields: list[dict]
-
-    @property
-    def schema(self) -> T.StructType:
-        return T.StructType([
-            T.StructField(f["name"], TYPE_MAP[str(f.get("type", "STRING")).upper()],
-                          str(f.get("mode", "NULLABLE")).upper() != "REQUIRED")
-            for f in self.fields])
-
-    def as_tuple(self) -> tuple:
-        return (self.name, self.columns, self.role, self.fields)
-
-
-def parse_registry(models: dict) -> list[TableSpec]:
-    out = []
-    for entry in (models or {}).get("tables", []) or []:
-        name = list(entry.keys())[0]
-        info = entry[name] or {}
-        fields = info.get("schema_fields", []) or []
-        out.append(TableSpec(name, [f["name"] for f in fields], info.get("type", ""), fields))
-    if not out:
+    schema: T.StructType
+
+
+def _pick(table: dict, value: object, where: str) -> object:
+    if value not in table:
+        raise RegistryError(f"{where}: {value!r} is none of {', '.join(table)}")
+    return table[value]
+
+
+def _field(table: str, declared: dict) -> T.StructField:
+    if not isinstance(declared, dict) or not declared.get("name"):
+        raise RegistryError(f"{table}: a field without a name")
+    where = f"{table}.{declared['name']}"
+    kind = _pick(TYPE_MAP, str(declared.get("type", "STRING")).upper(), where)
+    return T.StructField(declared["name"], kind, _pick(MODES, str(declared.get("mode", "NULLABLE")).upper(), where))
+
+
+def _table(name: str, declared: dict) -> TableSpec:
+    if not isinstance(declared, dict) or not declared.get("schema_fields"):
+        raise RegistryError(f"{name}: no fields")
+    role = _pick(dict.fromkeys(ROLES), declared.get("type"), name) or declared["type"]
+    return TableSpec(name, role, T.StructType([_field(name, f) for f in declared["schema_fields"]]))
+
+
+def registry_of(document: object) -> dict[str, TableSpec]:
+    """Table name -> spec of a parsed registry document."""
+    listed = document.get("tables") if isinstance(document, dict) else None
+    if not listed:
         raise RegistryError("no tables in the registry")
-    return out
+    specs: dict[str, TableSpec] = {}
+    for entry in listed:
+        if not isinstance(entry, dict) or len(entry) != 1:
+            raise RegistryError(f"not one table: {entry!r}")
+        for name, declared in entry.items():
+            if name in specs:
+                raise RegistryError(f"{name}: listed twice")
+            specs[name] = _table(name, declared)
+    return specs
 
 
 def load_registry(path: str) -> dict[str, TableSpec]:
-    """name -> TableSpec, in file order."""
-    if not os.path.exists(path):
-        raise RegistryError(f"registry not found: {path}")
     try:
-        with open(path) as fh:
-            models = yaml.safe_load(fh)
-    except Exception as exc:  # unreadable YAML is as fatal as a missing file
-        raise RegistryError(f"registry unreadable: {path}: {exc}") from exc
-    return {t.name: t for t in parse_registry(models)}
+        document = yaml.safe_load(Path(path).read_text(encoding="utf-8"))
+    except (OSError, UnicodeDecodeError, yaml.YAMLError) as exc:
+        raise RegistryError(f"registry {path}: {exc}") from exc
+    return registry_of(document)

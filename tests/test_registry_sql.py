@@ -2,8 +2,8 @@
 
 import pytest
 
-from ledgerline.plans.sql import read_sql_file, render_sql, run_sql
-from ledgerline.sources.registry import RegistryError, load_registry, parse_registry
+from ledgerline.plans.sql import markers, run_sql, run_statement, statement
+from ledgerline.sources.registry import RegistryError, load_registry, registry_of
 
 
 def entry(name, role, **fields):
@@ -20,13 +20,20 @@ def test_registry_keeps_order_roles_and_types(tmp_path):
     assert list(found) == ["harbours", "arrivals"]
     assert [found[t].role for t in found] == ["dimension", "fact"]
     assert found["harbours"].schema.simpleString() == "struct<code:bigint,depth:double,label:string>"
-    assert found["arrivals"].as_tuple()[1] == ["ship", "at", "tons"]
+    assert found["arrivals"].schema.names == ["ship", "at", "tons"]
 
 
-@pytest.mark.parametrize("content", [{"tables": []}, {}, None])
+BROKEN = [{"tables": []}, {}, None, ["tables"], {"tables": [{**entry("a", "fact", x="STRING"), **entry("b", "fact", x="STRING")}]},
+          {"tables": [entry("a", "fact", x="STRING"), entry("a", "fact", x="STRING")]}, {"tables": [entry("a", "fact")]},
+          {"tables": [entry("a", "lookup", x="STRING")]}, {"tables": [entry("a", "fact", x="GEOGRAPHY")]}, {"tables": ["a"]},
+          {"tables": [{"a": {"type": "fact", "schema_fields": [{"type": "STRING"}]}}]},
+          {"tables": [{"a": {"type": "fact", "schema_fields": [{"name": "x", "mode": "REPEATED"}]}}]}]
+
+
+@pytest.mark.parametrize("content", BROKEN)
 def test_registry_rejects_what_it_cannot_use(content):
     with pytest.raises(RegistryError):
-        parse_registry(content)
+        registry_of(content)
 
 
 def test_registry_file_must_exist(tmp_path):
@@ -34,15 +41,17 @@ def test_registry_file_must_exist(tmp_path):
         load_registry(str(tmp_path / "absent.yaml"))
 
 
-def test_query_text(tmp_path):
-    path = tmp_path / "late.sql"
-    path.write_text("SELECT ship FROM {db}.arrivals WHERE at > TIMESTAMP '{since}'")
-    assert read_sql_file(str(path), db="dwh", since="2024-05-01 00:00:00") == \
-        "SELECT ship FROM dwh.arrivals WHERE at > TIMESTAMP '2024-05-01 00:00:00'"
-    with pytest.raises(KeyError):
-        render_sql("SELECT {what} FROM t", db="dwh")
-    path.write_text("")
-    assert read_sql_file(str(path), anything="unused") == ""
+def test_statements_and_their_markers(spark, tmp_path):
+    text = "SELECT ship, ':quoted' AS q -- :note\nFROM IDENTIFIER(:t) WHERE tons::int > :least"
+    (tmp_path / "late.sql").write_text(text)
+    assert statement("late", tmp_path) == text and markers(text) == {"t", "least"}
+    spark.sql("SELECT 'x' AS ship, 3 AS tons").createOrReplaceTempView("late_t")
+    assert run_statement(spark, "late", tmp_path, t="late_t", least=2).count() == 1
+    for args in ({"t": "late_t"}, {"t": "late_t", "least": 2, "more": 1}):
+        with pytest.raises(ValueError, match="marker"):
+            run_statement(spark, "late", tmp_path, **args)
+    with pytest.raises(FileNotFoundError):
+        statement("absent", tmp_path)
 
 
 def test_named_parameters(spark):
