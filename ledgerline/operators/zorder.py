@@ -32,12 +32,12 @@ def _number(df: DataFrame, col: str) -> Column:
     return F.col(col).cast("double")
 
 
-def _bucket(value: Column, cuts: list[float]) -> Column:
-    """How many of the rising ``cuts`` a value reaches."""
-    if not cuts:
-        return F.lit(0).cast("long")
-    reached = F.filter(F.array(*[F.lit(float(x)) for x in cuts]), lambda x: value >= x)
-    return F.when(value.isNull(), 0).otherwise(F.size(reached)).cast("long")
+def _bucket(value: Column, cuts: list[float], bits: int) -> Column:
+    """How many of the ``2**bits - 1`` rising cuts a value reaches: a binary search."""
+    held = F.array(*[F.lit(float(x)) for x in cuts])
+    steps = F.array(*[F.lit(1 << b) for b in range(bits - 1, -1, -1)])
+    reached = F.aggregate(steps, F.lit(0), lambda n, step: F.when(value >= F.element_at(held, n + step), n + step).otherwise(n))
+    return F.when(value.isNull(), 0).otherwise(reached)
 
 
 def curve(df: DataFrame, cols: list[str], bits: int = BITS) -> Column:
@@ -46,6 +46,8 @@ def curve(df: DataFrame, cols: list[str], bits: int = BITS) -> Column:
     bits = min(bits, 62 // len(cols))
     steps = [i / (1 << bits) for i in range(1, 1 << bits)]
     bounds = df.agg(*[F.percentile_approx(_number(df, c), steps, 1000).alias(f"b{i}") for i, c in enumerate(cols)]).first()
-    places = [_bucket(_number(df, c), sorted(set(bounds[f"b{i}"] or []))) for i, c in enumerate(cols)]
-    spread = [F.shiftleft(F.shiftright(p, b).bitwiseAND(F.lit(1)), b * len(cols) + k) for k, p in enumerate(places) for b in range(bits)]
-    return reduce(Column.bitwiseOR, spread)
+    # bit b of a bucket goes to bit b * keys of the position, one place on for each key
+    spread = F.array(*[F.lit(sum((p >> b & 1) << b * len(cols) for b in range(bits))).cast("long") for p in range(1 << bits)])
+    parts = [F.shiftleft(F.element_at(spread, _bucket(_number(df, c), bounds[f"b{i}"], bits) + 1), i)
+             for i, c in enumerate(cols) if bounds[f"b{i}"]]
+    return reduce(Column.bitwiseOR, parts) if parts else F.lit(0).cast("long")
