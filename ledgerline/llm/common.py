@@ -10,17 +10,13 @@ it differently.
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.session import ensure_checkpoint_dir, materialize
+from ledgerline.session import ensure_checkpoint_dir, materialize, ship_package  # noqa: F401  (operators import it from here)
 
 #: White space that separates words: blank and the five ASCII controls 09-0D.
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -59,8 +55,19 @@ def partitions(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def free_name(df: DataFrame, wish: str = "_rid") -> str:
+    """A column name that ``df`` does not have, whatever the case of its names."""
+    taken = {c.lower() for c in df.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
 def with_row_id(df: DataFrame, id_col: str, text_col: str, name: str = "_rid") -> DataFrame:
-    """``df`` with the unique long ``name``, rising in the order of ``id_col``."""
+    """``df`` with the unique long ``name``, rising in the order of ``id_col``.
+    ``name`` must be free (``free_name``)."""
+    if name.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"the table has a column {name}")
     ids = df.select(F.col(id_col).alias("k"))
     repeated = ids.groupBy("k").count().where("count > 1 OR k IS NULL")
     if isinstance(df.schema[id_col].dataType, (T.LongType, T.IntegerType)) and repeated.isEmpty():
@@ -69,6 +76,19 @@ def with_row_id(df: DataFrame, id_col: str, text_col: str, name: str = "_rid") -
     return checkpoint(ordered.withColumn(name, F.monotonically_increasing_id()))
 
 
+def identified(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(rid, row): the unique row id beside all columns of ``df`` in a struct, so
+    that no name of theirs can clash with one of an operator."""
+    name = free_name(df)
+    keyed = with_row_id(df, id_col, text_col, name)
+    return keyed.select(F.col(f"`{name}`").alias("rid"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+
+
+def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text) of ``df``, for operators that return no other column."""
+    return df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+
+
 def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
@@ -81,22 +101,3 @@ def words_of(text: Column) -> Column:
 def lower_ascii(col: Column) -> Column:
     """A-Z to a-z; every other character stays."""
     return F.translate(col, UPPER, LOWER)
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package.
-
-    Where the driver's PYTHONPATH names the package's folder, workers have it
-    too; otherwise the package is sent as a zip file through Spark, once per
-    application."""
-    root = Path(__file__).resolve().parents[2]
-    given = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
-    sc = spark.sparkContext
-    if root in given or getattr(sc, "_ledgerline_shipped", False):
-        return
-    out = Path(tempfile.mkdtemp(prefix="ledgerline-code-")) / "ledgerline_code.zip"
-    with zipfile.ZipFile(out, "w") as z:
-        for f in sorted((root / "ledgerline").rglob("*.py")):
-            z.write(f, f.relative_to(root))
-    sc.addPyFile(str(out))
-    sc._ledgerline_shipped = True

@@ -12,9 +12,8 @@ word, which gives the exact phrases, and as proximity matches the windows of
 which at least ``near`` words, but not all, stand in their places.
 
 A term that no document has is a place that differs; windows with more of them
-than a near match allows are dropped at once. The vocabulary
-of the benchmark is broadcast only after its size has been counted
-(``MAX_BROADCAST_TERMS``); beyond that the same joins shuffle.
+than a near match allows are dropped at once. Spark decides
+by bytes whether the benchmark's vocabulary is broadcast or the joins shuffle.
 
 Defined results: null texts have no words; an item without words is ignored; a
 null item id counts as the empty name; items that share an id count once; each
@@ -29,26 +28,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import checkpoint, lower_ascii, rows_where, text_or_empty, with_row_id
+from ledgerline.llm.common import checkpoint, identified, lower_ascii, rows_where, text_or_empty
 
 #: Everything but words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` of lower-cased text.
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same on text whose A-Z are not lower-cased yet.
 GAPS_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW, NEAR = 10, 8
-#: At most so many terms or pivots are broadcast (some 40 bytes each).
-MAX_BROADCAST_TERMS = 200_000
 
 
 def words(text: Column, gaps: str = GAPS) -> Column:
     return F.filter(F.split(text, gaps), lambda w: w != "")
 
 
-def _bounded(df: DataFrame) -> DataFrame:
-    """Broadcast a checkpointed table of counted size."""
-    return F.broadcast(df) if df.count() <= MAX_BROADCAST_TERMS else df
-
-
 def pivots(items: DataFrame, frequency: DataFrame, window: int, near: int) -> DataFrame:
     """(item, q, term, need): the places of the rarest terms of each window, so
     many that every match of the window has ``need`` of them in place."""
@@ -71,10 +63,10 @@ def alignments(docs: DataFrame, items: DataFrame, window: int, near: int) -> Dat
     text = lower_ascii(text_or_empty("_x"))
     vocabulary = checkpoint(items.select(F.explode("iwords").alias("term")).distinct())
     tokens = docs.select(F.explode(words(text)).alias("term"))
-    frequency = tokens.join(_bounded(vocabulary), "term").groupBy("term").agg(F.count("*").alias("freq"))
+    frequency = tokens.join(vocabulary, "term").groupBy("term").agg(F.count("*").alias("freq"))
     at = checkpoint(pivots(items, frequency, window, near))
     postings = docs.select("_rid", F.posexplode(words(text)).alias("pos", "term"))
-    met = (postings.join(_bounded(at), "term")
+    met = (postings.join(at, "term")
            .select("_rid", "item", "need", (F.col("pos") - F.col("q")).alias("shift"))
            .groupBy("_rid", "item", "shift").agg(F.count("*").alias("n"), F.max("need").alias("need"))
            .where("n >= need"))
@@ -89,14 +81,13 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, near: int
     of item_id, start, length of the phrases found), n_hit, ``item_ids`` (sorted
     array), ``near`` (sorted array of item_id, start, same of the windows that
     nearly match), n_proximity (their number)."""
-    keyed = with_row_id(docs, id_col, text_col)
+    keyed = identified(docs, id_col, text_col).select(F.col("rid").alias("_rid"), "row", F.col(f"row.`{text_col}`").alias("_x"))
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item_id"),
                              words(lower_ascii(text_or_empty(item_text))).alias("iwords"))
     # equal items of one id are one item; a number, fixed by the checkpoint, names the row
     items = checkpoint(items.where(F.size("iwords") > 0).distinct().withColumn("item", F.monotonically_increasing_id()))
-    found = alignments(keyed.select("_rid", F.col(text_col).alias("_x")), items, window, near)
-    joined = keyed.select("_rid", F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
-                          text_or_empty(text_col).alias("_x")).join(found, "_rid", "left")
+    found = alignments(keyed.select("_rid", "_x"), items, window, near)
+    joined = keyed.select("_rid", "row", text_or_empty("_x").alias("_x")).join(found, "_rid", "left")
     df = joined.select(
         "row", "cands", F.size(words(F.col("_x"), GAPS_ANY_CASE)).cast("long").alias("n_words"),
         F.when(F.col("cands").isNotNull(), words(lower_ascii(F.col("_x")))).alias("_w"))
@@ -139,17 +130,15 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, near: int
 
 
 def digest(found: DataFrame) -> DataFrame:
+    """Counts and hashes of the exact phrases and of the proximity matches
+    (item:start:same, comma-joined)."""
     n_hit = F.greatest(F.col("n_hit"), F.lit(0)).cast("long")
+    named = F.transform("near", lambda m: F.concat_ws(":", m["item_id"], m["start"], m["same"]))
     return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", n_hit.alias("n_hit"),
                         F.size("item_ids").cast("long").alias("n_items"),
                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
-                        (n_hit > 0).alias("contaminated"), "n_proximity")
-
-
-def proximity_digest(found: DataFrame) -> DataFrame:
-    """doc_id, n_proximity and a hash of the proximity matches."""
-    named = F.transform("near", lambda m: F.concat_ws(":", m["item_id"], m["start"], m["same"]))
-    return found.select(F.col("row.doc_id").alias("doc_id"), "n_proximity", F.sha2(F.array_join(named, ","), 256).alias("proximity_sha256"))
+                        (n_hit > 0).alias("contaminated"), "n_proximity",
+                        F.sha2(F.array_join(named, ","), 256).alias("proximity_sha256"))
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

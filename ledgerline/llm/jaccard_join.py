@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm import textops
-from ledgerline.llm.common import checkpoint, partitions, ship_package, text_or_empty, with_row_id, written
+from ledgerline.llm.common import checkpoint, identified, partitions, ship_package, text_or_empty, written
 
 COUNTERS = 1 << 16
 #: Hashed counts per document, and how many more a document of WIDE_FROM
@@ -298,10 +298,10 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def join(docs: DataFrame, shingle: int = 3, percent: int = 90, id_col: str = "doc_id",
          text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Labels (rid, n_shingles, component_rid: the
-    smallest rid of its component, component_id: that row's id), and ``docs`` with rid."""
+    smallest rid of its component, component_id: that row's id), and ``docs`` as (rid, row)."""
     ship_package(docs.sparkSession)
-    keyed = with_row_id(docs, id_col, text_col, "rid")
-    texts = keyed.select("rid", text_or_empty(text_col).alias("text"))
+    keyed = identified(docs, id_col, text_col)
+    texts = keyed.select("rid", text_or_empty(F.col(f"row.`{text_col}`")).alias("text"))
     profile = written(texts.mapInArrow(_profile(shingle), "rid long, n long, h1 long, h2 long"))
     counts = np.zeros(COUNTERS, np.int64)
     for r in profile.where("n < 0").groupBy("rid").agg(F.sum("h1").alias("c")).collect():  # COUNTERS rows at most
@@ -336,7 +336,7 @@ def join(docs: DataFrame, shingle: int = 3, percent: int = 90, id_col: str = "do
         "rid", "n", F.coalesce("rep", "rid").alias("rep"))
     labels = labels.join(comps.select(F.col("rid").alias("rep"), "comp"), "rep", "left").select(
         "rid", F.col("n").alias("n_shingles"), F.coalesce("comp", "rep").alias("component_rid"))
-    ids = keyed.select(F.col("rid").alias("component_rid"), F.col(id_col).cast("long").alias("component_id"))
+    ids = keyed.select(F.col("rid").alias("component_rid"), F.col(f"row.`{id_col}`").alias("component_id"))
     return labels.join(ids, "component_rid").select("rid", "n_shingles", "component_rid", "component_id"), keyed
 
 
@@ -344,7 +344,7 @@ def components_of(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     labels, keyed = join(docs, **options)
     id_col = options.get("id_col", "doc_id")
-    return keyed.select("rid", F.col(id_col).cast("long").alias("doc_id")).join(labels, "rid").select(
+    return keyed.select("rid", F.col(f"row.`{id_col}`").alias("doc_id")).join(labels, "rid").select(
         "doc_id", "n_shingles", "component_id")
 
 
@@ -352,4 +352,4 @@ def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80, **options) ->
     """The rows of ``docs`` that are the first of their component, with their columns."""
     labels, keyed = join(docs, shingle=shingle, percent=percent, **options)
     first = labels.where("rid = component_rid").select("rid")
-    return keyed.select("rid", F.struct(*[F.col(c) for c in docs.columns]).alias("row")).join(first, "rid", "left_semi").select("row.*")
+    return keyed.join(first, "rid", "left_semi").select("row.*")

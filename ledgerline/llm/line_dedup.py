@@ -1,42 +1,47 @@
 """Line dedup by an exact set-similarity join.
 
-A line is the set of its tokens, the pairs of neighbouring words (a one-word
-line: the word). Two lines match if the Jaccard similarity of their sets is at
-least ``percent``; a line that matches an earlier one (smaller document, then
-line number) is removed. Lines with fewer than ``min_words`` words are left
-alone, exact repeats among them; ``min_words=1`` takes every line with a word.
-The method's tokens are words; pairs give shorter posting lists but match less
-(README).
-
-Tokens have one order, rare before frequent, from a fixed number of hashed
-counters over the whole corpus. Matching lines share a token of their prefixes
-(the first ``n - ceil(t*n) + 1`` tokens), so lines meet in the posting lists of
-prefix tokens, and a pair is dropped there if the sizes (length filter) or the
-places of the token in both lines (positional filter) rule a match out, as
+A line is the set of its words. Two lines match if the Jaccard similarity of
+their sets is at least ``percent``; a line that matches an earlier one (smaller
+document, then line number) is removed. ``min_words`` > 1 leaves lines of fewer
+words alone; by default every line with a word takes part.
+
+Words have one order, rare before frequent, from a fixed number of hashed
+counters over the whole corpus. Matching lines share a word of their prefixes
+(the first ``n - ceil(t*n) + 1`` words), so lines meet in the posting lists of
+prefix words, and a pair is dropped there if the sizes (length filter) or the
+places of the word in both lines (positional filter) rule a match out, as
 does a sketch of 64 parities, which bounds how much two sets differ. Equal lines
-need no join. Each line is tried against the earliest of its lists and the
-earliest of the 16 rows before it first; only lines that this leaves unmatched
-are tried against all earlier ones (short lists are searched in place, long ones
-by a join), so a group of near copies does not form all its pairs. Candidates are verified on
-the whole sets. Built-in functions only.
+need no join: they collapse by hash before any posting is made.
+
+A posting is four longs. Lists of up to ``SHORT`` rows are paired in one
+self-join; in longer ones a line is held against the first of the list and its
+two predecessors. Words whose counters stand out are dealt over blocks from
+the start. Lines that this leaves unmatched are then tried against all earlier
+rows of their long lists, dealt out as pairs of blocks: a group of near copies
+does not form all its pairs, and no list is one task's work. Candidates are
+verified on the whole sets. Built-in functions only.
 
 Defined results: null text has no lines and stays null; lines without words
 are never removed; documents that share an id, or have none, are documents of
-their own, in the order of their text. Tokens are told apart by 57 bits of
-hash and their frequency class.
+their own, in the order of their text; ids may be numbers or texts. Words are
+told apart by 57 bits of hash and their frequency class.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import SPACE_CHARS, SPACE_CLASS, checkpoint, rows_where, text_or_empty, with_row_id, written
+from ledgerline.llm.common import (SPACE_CHARS, SPACE_CLASS, checkpoint, free_name, rows_where, text_or_empty,
+                                   with_row_id, written)
 
 COUNTER_BITS = 16
-PERCENT, MIN_WORDS = 80, 4
-#: Earlier rows of a posting list that a row is held against at once.
-NEAR_ROWS = 16
+PERCENT, MIN_WORDS = 80, 1
+#: Rows of a posting list that are paired at once, and rows of a block of a long one.
+SHORT, BLOCK_ROWS = 64, 1024
+CLASSES = 64
 
 
 def _words(line: Column) -> Column:
@@ -44,12 +49,6 @@ def _words(line: Column) -> Column:
     return F.split(F.btrim(line, F.lit(SPACE_CHARS)), SPACE_CLASS + "+")
 
 
-def _tokens(words: str) -> Column:
-    w, n = F.col(words), F.size(words)
-    pairs = F.zip_with(F.slice(w, F.lit(1), n - 1), F.slice(w, F.lit(2), n - 1), lambda a, b: F.xxhash64(a, b))
-    return F.when(n > 1, pairs).otherwise(F.transform(w, lambda a: F.xxhash64(a)))
-
-
 def lines_of(texts: DataFrame, min_words: int) -> DataFrame:
     """(rid, ln, line) of the lines that take part."""
     word, gap = r"[^\x20\x09-\x0D]+", SPACE_CLASS
@@ -62,26 +61,26 @@ def _cell(token: Column) -> Column:
     return F.shiftrightunsigned(token, 64 - COUNTER_BITS)
 
 
-def rarity(lines: DataFrame) -> str:
+def rarity(texts: DataFrame) -> tuple[str, float]:
     """Frequency class of every counter (quarter octaves above the median load),
-    as one comma-separated text of 2**COUNTER_BITS numbers."""
-    used = (lines.select(_words(F.col("line")).alias("words")).select(F.explode(_tokens("words")).alias("t")).groupBy(_cell(F.col("t")).alias("cell"))
-            .agg(F.count("*").alias("c")))
-    cells = lines.sparkSession.range(1 << COUNTER_BITS).select(F.col("id").alias("cell")).join(used, "cell", "left")
+    as one comma-separated text of 2**COUNTER_BITS numbers, and the median."""
+    used = (texts.select(F.explode(F.split("text", SPACE_CLASS + "+")).alias("word"))
+            .groupBy(_cell(F.xxhash64("word")).alias("cell")).agg(F.count("*").alias("c")))
+    cells = texts.sparkSession.range(1 << COUNTER_BITS).select(F.col("id").alias("cell")).join(used, "cell", "left")
     dense = cells.agg(F.array_sort(F.collect_list(F.struct("cell", F.coalesce("c", F.lit(0)).alias("c")))).alias("s"),
                       F.greatest(F.expr("percentile_approx(c, 0.5)"), F.lit(1)).alias("u"))
     level = F.transform("s", lambda x: F.when(x["c"] <= F.col("u"), 0).otherwise(
-        F.least(F.floor(4 * F.log2(x["c"] / F.col("u"))), F.lit(63))).cast("string"))
-    return dense.select(F.array_join(level, ",")).first()[0]
+        F.least(F.floor(4 * F.log2(x["c"] / F.col("u"))), F.lit(CLASSES - 1))).cast("string"))
+    return tuple(dense.select(F.array_join(level, ","), F.col("u").cast("double")).first())
 
 
 def _ordered(classes: str) -> Column:
-    """The distinct tokens of a line in the common order, as longs. The classes
+    """The distinct words of a line in the common order, as longs. The classes
     are a constant of the plan."""
     table = F.split(F.lit(classes), ",").cast("array<bigint>")
-    coded = F.transform(_tokens("words"), lambda t: F.shiftleft(F.get(table, _cell(t).cast("int")), 57).bitwiseOR(
-        F.shiftrightunsigned(t, 7)))
-    return F.array_sort(F.array_distinct(coded))
+    hashed = F.transform("words", lambda word: F.xxhash64(word))
+    return F.array_sort(F.array_distinct(F.transform(hashed, lambda t: F.shiftleft(
+        F.get(table, _cell(t).cast("int")), 57).bitwiseOR(F.shiftrightunsigned(t, 7)))))
 
 
 def _sketch(tokens: str) -> Column:
@@ -91,17 +90,49 @@ def _sketch(tokens: str) -> Column:
         F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
 
 
-def _may_match(percent: int, x: str | Column, y: str | Column) -> Column:
+# A posting's ``shape``: line number, set size and place of the word in one long. Sizes
+# and places beyond their bits stand at the largest value, which only weakens the filters.
+_N_MOST, _POS_MOST = (1 << 24) - 1, 255
+
+
+def _shape(ln: str, n: str, pos: str) -> Column:
+    return F.shiftleft(F.col(ln).cast("long"), 32).bitwiseOR(
+        F.shiftleft(F.least(F.col(n), F.lit(_N_MOST)).cast("long"), 8)).bitwiseOR(F.least(F.col(pos), F.lit(_POS_MOST)).cast("long"))
+
+
+def _ln(shape: str) -> Column:
+    return F.shiftright(shape, 32).cast("int")
+
+
+def _before() -> Column:
+    return (F.col("x.rid") < F.col("y.rid")) | ((F.col("x.rid") == F.col("y.rid")) & (_ln("x.shape") < _ln("y.shape")))
+
+
+def _salt(blocks: list[int]) -> Column:
+    """What is mixed into the word of a posting: 0, or for a word of a class of
+    several blocks one of their numbers, by line."""
+    per = F.get(F.array(*[F.lit(b) for b in blocks]), F.shiftrightunsigned("token", 57).cast("int"))
+    return F.when(per > 1, F.shiftleft(F.pmod(F.xxhash64("rid", _ln("shape")), per), 20)).otherwise(F.lit(0).cast("long"))
+
+
+def _may_match(percent: int) -> Column:
     """Length, positional and parity filters for postings x (earlier) and y."""
-    c = lambda s, f: F.col(f"{s}.{f}") if isinstance(s, str) else s.getField(f)
-    small, large = F.least(c(x, "n"), c(y, "n")), F.greatest(c(x, "n"), c(y, "n"))
-    bound = F.least(c(x, "pos"), c(y, "pos")) + F.least(c(x, "n") - c(x, "pos"), c(y, "n") - c(y, "pos"))
+    size = lambda s: F.shiftright(f"{s}.shape", 8).bitwiseAND(_N_MOST)
+    place = lambda s: F.col(f"{s}.shape").bitwiseAND(_POS_MOST)
+    small, large = F.least(size("x"), size("y")), F.greatest(size("x"), size("y"))
+    bound = F.least(place("x"), place("y")) + F.least(size("x") - place("x"), size("y") - place("y"))
     # J >= p/100  <=>  (100 + p) * overlap >= p * (n1 + n2)  <=>  (100 + p) * difference <= (100 - p) * (n1 + n2)
-    differ = F.bit_count(c(x, "sketch").bitwiseXOR(c(y, "sketch")))
+    differ = F.bit_count(F.col("x.sketch").bitwiseXOR(F.col("y.sketch")))
     return ((100 * small >= percent * large) & ((100 + percent) * bound >= percent * (small + large))
             & ((100 + percent) * differ <= (100 - percent) * (small + large)))
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """Pairs of places from joined postings x and y."""
+    at = lambda s: F.struct(F.col(f"{s}.rid").alias("rid"), _ln(f"{s}.shape").alias("ln"))
+    return rows.select(at("x").alias("x"), at("y").alias("y"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Lines (rid, ln) of the pairs (x, y) whose sets match."""
     a = sets.select(F.struct("rid", "ln").alias("x"), F.col("tokens").alias("tx"))
@@ -112,33 +143,54 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * inter >= percent * union).select("y.rid", "y.ln").distinct()
 
 
+def _long_lists(rows: DataFrame, matched: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of the long lists' rows (token, rid, shape, sketch), y not
+    yet matched, x any earlier row, by pairs of blocks."""
+    sizes = checkpoint(rows.groupBy("token").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")))
+    dealt = rows.join(sizes, "token").withColumn("block", F.pmod(F.xxhash64(F.lit(1), "rid", "shape"), F.col("blocks")).cast("int"))
+    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rid", "shape", "sketch")
+    done = matched.select(F.col("rid").alias("mr"), F.col("ln").alias("ml"))
+    y = dealt.join(done, (F.col("rid") == F.col("mr")) & (_ln("shape") == F.col("ml")), "left_anti").alias("y")
+    met = dealt.alias("x").join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
+                                & ((F.col("x.i") == F.col("x.j")) | (F.col("x.block") != F.col("y.block"))) & _before() & _may_match(percent))
+    return _named(met).distinct()
+
+
 def removed_lines(texts: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """(rid, ln) of the lines of ``texts`` (rid, text) that match an earlier one."""
     lines = lines_of(texts, min_words)
-    classes = rarity(lines)
+    classes, usual = rarity(texts)
+    # a word's own lines, beyond the usual load of its counter
+    blocks = [1] + [max(1, math.ceil(usual * (2 ** ((c + 1) / 4) - 1) / (4 * BLOCK_ROWS))) for c in range(1, CLASSES)]
     line_key = [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2")]
     place = F.struct("rid", "ln")
     # equal lines: all but the first go, and that one stands for them
     same = lines.select("rid", "ln", *line_key)
     several = same.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
-    copies = same.join(checkpoint(several), ["h1", "h2"]).where(place != F.col("first")).select("rid", "ln")
+    copies = checkpoint(same.join(checkpoint(several), ["h1", "h2"]).where(place != F.col("first")).select("rid", "ln"))
 
     coded = lines.select("rid", "ln", *line_key, _words(F.col("line")).alias("words"))
     coded = coded.select("rid", "ln", "h1", "h2", _ordered(classes).alias("tokens")).withColumn("n", F.size("tokens"))
     prefix = F.slice("tokens", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)
     firsts = coded.select("rid", "ln", "h1", "h2", "n", prefix.alias("prefix"), _sketch("tokens").alias("sketch"))
     firsts = firsts.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.first(F.struct("n", "prefix", "sketch")).alias("s"))
-    postings = firsts.select("first.rid", "first.ln", "s.n", "s.sketch", F.posexplode("s.prefix").alias("pos", "token"))
-    per = Window.partitionBy("token")
-    entry = F.struct("rid", "ln", "n", "pos", "sketch")
-    before = per.orderBy("rid", "ln").rowsBetween(-NEAR_ROWS, -1)
-    lists = postings.select("token", entry.alias("y"), F.min(entry).over(per).alias("head"), F.count("*").over(per).alias("c"),
-                            F.collect_list(entry).over(before).alias("near")).where("c > 1")
-    lists = lists.withColumn("near", F.filter("near", lambda x: _may_match(percent, x, F.col("y"))))
-    at = lambda s: F.struct(f"{s}.rid", f"{s}.ln")
-    first = (at("y") != at("head")) & _may_match(percent, "head", "y")
-    # a short list is searched here and now; of a long one all rows are kept
-    live = written(lists.withColumn("first", first).where(F.col("first") | (F.size("near") > 0) | (F.col("c") > NEAR_ROWS + 1)))
+    postings = (firsts.select("first.rid", "first.ln", "s.n", "s.sketch", F.posexplode("s.prefix").alias("pos", "token"))
+                .select("token", "rid", _shape("ln", "n", "pos").alias("shape"), "sketch"))
+    postings = postings.select(F.col("token").bitwiseXOR(_salt(blocks)).alias("key"), "rid", "shape", "sketch")
+
+    # one shuffle by word feeds both sides of the self-join and the rows of long lists
+    per = Window.partitionBy("key")
+    lists = postings.withColumn("c", F.count("*").over(per)).withColumn("r", F.row_number().over(per.orderBy("rid", "shape"))).where("c > 1")
+    near = (F.col("y.c") <= SHORT) | (F.col("x.r") == 1) | (F.col("y.r") - F.col("x.r") <= 2)
+    met = lists.alias("x").join(lists.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.r") < F.col("y.r")) & near & _may_match(percent))
+    token = F.col("key").alias("token")
+    hot = postings.withColumn("c", F.count("*").over(per)).select(token, "rid", "shape", "sketch", "c")
+    salt = _salt(blocks)
+    hot = hot.where((F.col("c") > SHORT) | (salt != 0)).select(F.col("token").bitwiseXOR(salt).alias("token"), "rid", "shape", "sketch")
+    nowhere = F.lit(None).cast("struct<rid:bigint,ln:int>")
+    out = written(_named(met).select("x", "y", *[F.lit(None).cast("long").alias(c) for c in hot.columns]).unionByName(
+        hot.select(nowhere.alias("x"), nowhere.alias("y"), "*")))
 
     def sets(pairs: DataFrame) -> DataFrame:
         """(rid, ln, tokens) of the lines named in ``pairs``."""
@@ -150,31 +202,24 @@ def removed_lines(texts: DataFrame, percent: int = PERCENT, min_words: int = MIN
             i.alias("ln"), F.get(F.col("lines"), i).alias("line")))).alias("l")).select("rid", "l.ln", _words(F.col("l.line")).alias("words"))
         return checkpoint(chosen.select("rid", "ln", _ordered(classes).alias("tokens")))
 
-    heads = live.where("first").select(at("head").alias("x"), at("y").alias("y"))
-    nearest = live.where(F.size("near") > 0).select(F.col("near")[0].alias("x"), "y").select(at("x").alias("x"), at("y").alias("y"))
-    pairs = checkpoint(heads.union(nearest).distinct())
+    pairs = checkpoint(out.where("x IS NOT NULL").select("x", "y").distinct())
     matched = checkpoint(_verified(pairs, sets(pairs), percent))
-
-    open_ = live.join(matched, (F.col("y.rid") == matched["rid"]) & (F.col("y.ln") == matched["ln"]), "left_anti")
-    others = open_.where(F.size("near") > 1).select(F.explode(F.slice("near", F.lit(2), F.size("near") - 1)).alias("x"), "y")
-    long_ = F.col("c") > NEAR_ROWS + 1
-    earlier = live.where(long_).select("token", F.col("y").alias("x"))
-    hot = open_.where(long_ & (at("y") != at("head"))).select("token", "y").join(earlier, "token").where(
-        (at("x") < at("y")) & _may_match(percent, "x", "y"))
-    rest = others.select(at("x").alias("x"), at("y").alias("y")).union(hot.select(at("x").alias("x"), at("y").alias("y"))).distinct()
-    rest = checkpoint(rest.join(pairs, ["x", "y"], "left_anti"))
-    return copies.unionByName(matched).unionByName(_verified(rest, sets(rest), percent)).distinct()
+    rest = checkpoint(_long_lists(out.where("x IS NULL").drop("x", "y"), matched, percent).join(pairs, ["x", "y"], "left_anti"))
+    if not rest.isEmpty():
+        matched = matched.unionByName(_verified(rest, sets(rest), percent))
+    return copies.unionByName(matched).distinct()
 
 
 def dedup(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` as ``row`` (its text left out), with ``kept`` (the
     text without the removed lines), n_lines, n_removed and ``removed`` (sorted line numbers)."""
-    keyed = with_row_id(docs, id_col, text_col, "rid")
-    gone = removed_lines(keyed.select("rid", text_or_empty(text_col).alias("text")), percent, min_words)
+    rid = free_name(docs)
+    keyed = with_row_id(docs, id_col, text_col, rid)
+    gone = removed_lines(keyed.select(F.col(rid).alias("rid"), text_or_empty(text_col).alias("text")), percent, min_words)
     per = gone.groupBy("rid").agg(F.sort_array(F.collect_set("ln")).alias("removed"))
-    others = F.struct(*[F.col(c) if c != text_col else F.lit(None).cast("string").alias(c) for c in docs.columns])
-    df = keyed.select("rid", others.alias("row"), F.split(text_col, "\n").alias("_l")).join(per, "rid", "left")
+    others = F.struct(*[F.col(f"`{c}`") if c != text_col else F.lit(None).cast("string").alias(c) for c in docs.columns])
+    df = keyed.select(F.col(rid).alias("rid"), others.alias("row"), F.split(text_col, "\n").alias("_l")).join(per, "rid", "left")
     rest = F.array_except(F.sequence(F.lit(0), F.size("_l") - 1), F.col("removed"))
     kept = F.when(F.col("removed").isNull(), F.array_join("_l", "\n")).otherwise(
         F.array_join(F.transform(rest, lambda i: F.get(F.col("_l"), i)), "\n"))
@@ -186,11 +231,12 @@ def dedup(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS, i
 def report(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """doc_id, n_lines, n_removed and the removed line numbers; moves no text."""
-    keyed = with_row_id(docs, id_col, text_col, "rid")
-    gone = removed_lines(keyed.select("rid", text_or_empty(text_col).alias("text")), percent, min_words)
+    rid = free_name(docs)
+    keyed = with_row_id(docs, id_col, text_col, rid)
+    gone = removed_lines(keyed.select(F.col(rid).alias("rid"), text_or_empty(text_col).alias("text")), percent, min_words)
     per = gone.groupBy("rid").agg(F.sort_array(F.collect_set("ln")).alias("removed"))
     n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(text_col, "\n"))).cast("long")
-    return keyed.select("rid", F.col(id_col).alias("doc_id"), n_lines.alias("n_lines")).join(per, "rid", "left").select(
+    return keyed.select(F.col(rid).alias("rid"), F.col(id_col).alias("doc_id"), n_lines.alias("n_lines")).join(per, "rid", "left").select(
         "doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce(F.array_join(F.col("removed").cast("array<string>"), ","), F.lit("")).alias("removed"))
 

@@ -3,9 +3,17 @@
 
 from __future__ import annotations
 
-from ledgerline.llm.hash_sharding import LIMIT_BYTES
-from ledgerline.llm.quality_rules import RULES, STOP_WORDS
-
+# Fixed values, stated here and not taken from the operators: a wrong one there shows.
+LIMIT_BYTES = 128 << 10
+STOP_WORDS = (
+    "the and of to in is that it for on as with was be by at are this "
+    "de la le et les des un en du une que est pour dans qui au "
+    "der die und das den von zu mit ist ein nicht auf für im "
+    "el los y las se del por con una para su al es").split()
+QUALITY = """NOT base_failed AND n_words BETWEEN 50 AND 1000000000
+    AND (unspaced OR (word_chars >= 2 * n_words AND word_chars <= 16 * n_words)) AND n_symbols <= 0.5::DOUBLE * n_words
+    AND (unlisted OR n_stop_words >= 0.01::DOUBLE * n_words) AND n_upper_words <= 0.5::DOUBLE * n_words
+    AND n_dup_lines <= 0.5::DOUBLE * n_lines AND n_repeat_words <= 0.5::DOUBLE * n_words AND n_bar_words <= 0.3::DOUBLE * n_words"""
 WORD = r"[^\x20\x09-\x0D]+"
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -28,10 +36,8 @@ def op3() -> str:
     return f"""
 WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 lines AS (SELECT doc_id, unnest(range(len(ls))) AS ln, unnest(ls) AS line FROM l),
-w AS (SELECT doc_id, ln, regexp_extract_all(line, '{WORD}') AS ws FROM lines),
-part AS (SELECT * FROM w WHERE len(ws) >= 4),
-t AS (SELECT DISTINCT doc_id, ln, ws[i + 1] || ' ' || ws[i + 2] AS g FROM (
-    SELECT doc_id, ln, ws, unnest(range(len(ws) - 1)) AS i FROM part)),
+w AS (SELECT doc_id, ln, line, regexp_extract_all(line, '{WORD}') AS ws FROM lines),
+t AS (SELECT DISTINCT doc_id, ln, unnest(ws) AS g FROM w),
 n AS (SELECT doc_id, ln, count(*) AS n FROM t GROUP BY ALL),
 shared AS (SELECT x.doc_id AS xd, x.ln AS xl, y.doc_id AS yd, y.ln AS yl, count(*) AS both_n FROM t x JOIN t y ON x.g = y.g
     AND (x.doc_id < y.doc_id OR (x.doc_id = y.doc_id AND x.ln < y.ln)) GROUP BY ALL),
@@ -44,14 +50,9 @@ FROM l LEFT JOIN per USING (doc_id)"""
 
 def op4() -> str:
     words = ", ".join("'" + w.replace("'", "''") + "'" for w in sorted(set(STOP_WORDS)))
-    tests = ["NOT base_failed"]
-    for r in RULES:
-        if r.low is not None:
-            tests.append(f"{r.numerator} >= {float(r.low)}::DOUBLE * {r.denominator}")
-        if r.high is not None:
-            tests.append(f"{r.numerator} <= {float(r.high)}::DOUBLE * {r.denominator}")
     return f"""
-WITH w AS (SELECT doc_id, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+WITH w AS (SELECT doc_id, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws,
+    lower(regexp_extract(coalesce(lang, ''), '^[A-Za-z]*')) AS code FROM documents),
 g AS (SELECT doc_id, i, ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3] AS t FROM (
     SELECT doc_id, ws, unnest(range(0, len(ws) - 2)) AS i FROM w)),
 rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, t) AS c FROM g) WHERE c > 1),
@@ -59,13 +60,14 @@ cov AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM rep, (SELECT unnest([0, 1
 lines AS (SELECT doc_id, [s FOR s IN string_split(x, chr(10)) IF regexp_matches(s, '[^\\x20\\x09-\\x0D]')] AS ls FROM w),
 m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum([length(s) FOR s IN ws]), 0)::BIGINT AS word_chars,
     length(regexp_replace(x, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
-    coalesce(cov.n, 0)::BIGINT AS n_repeat_words, len(ls) AS n_lines, 1 AS one,
+    coalesce(cov.n, 0)::BIGINT AS n_repeat_words, len(ls) AS n_lines,
+    code NOT IN ('en', 'fr', 'de', 'es', '', 'und', 'unknown') AS unlisted, code IN ('zh', 'ja', 'th', 'lo', 'km', 'my', 'bo') AS unspaced,
     len([s FOR s IN ws IF lower(s) IN ({words})]) AS n_stop_words,
     len([s FOR s IN ws IF length(s) > 1 AND s = upper(s) AND s <> lower(s)]) AS n_upper_words,
     len([s FOR s IN ws IF s = '|']) AS n_bar_words
     FROM w JOIN lines USING (doc_id) LEFT JOIN cov USING (doc_id)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, {' AND '.join(tests)} AS kept FROM b"""
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, {QUALITY} AS kept FROM b"""
 
 
 def op5() -> str:
@@ -96,9 +98,17 @@ found AS (SELECT doc_id, i, size, item_id FROM grams JOIN win USING (size, k)),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (
     SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+wide AS (SELECT item_id, size, string_split(k, ' ') AS ws, row_number() OVER () AS w FROM win WHERE size > 8),
+spots AS (SELECT item_id, size, w, unnest(ws) AS word, unnest(range(size)) AS o FROM wide),
+places AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS p FROM dw),
+near AS (SELECT DISTINCT doc_id, item_id, start, same FROM (
+    SELECT doc_id, item_id, size, w, p - o AS start, count(*) AS same FROM places JOIN spots USING (word) GROUP BY ALL)
+    WHERE same >= 8 AND same < size),
+prox AS (SELECT doc_id, count(*) AS n, string_agg(item_id || ':' || start || ':' || same, ',' ORDER BY item_id, start, same) AS ids FROM near GROUP BY doc_id)
 SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(t.n, 0)::BIGINT AS n_items,
-    sha256(coalesce(t.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
-FROM dw d LEFT JOIN hit h USING (doc_id) LEFT JOIN items t USING (doc_id)"""
+    sha256(coalesce(t.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated, coalesce(p.n, 0)::BIGINT AS n_proximity,
+    sha256(coalesce(p.ids, '')) AS proximity_sha256
+FROM dw d LEFT JOIN hit h USING (doc_id) LEFT JOIN items t USING (doc_id) LEFT JOIN prox p USING (doc_id)"""
 
 
 def op8() -> str:

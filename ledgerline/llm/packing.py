@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import textops
-from ledgerline.llm.common import checkpoint, ship_package, text_or_empty, with_row_id
+from ledgerline.llm.common import checkpoint, id_and_text, ship_package, text_or_empty, with_row_id
 
 CAPACITY = 4096
 GRID = 32
@@ -295,11 +295,11 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
+    """One row per piece (ids are whole numbers): doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset."""
     ship_package(docs.sparkSession)
-    keyed = with_row_id(docs, id_col, text_col)
-    prepared = checkpoint(keyed.select("_rid", F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("_x"))
+    keyed = with_row_id(id_and_text(docs, id_col, text_col), "id", "text")
+    prepared = checkpoint(keyed.select("_rid", F.col("id").cast("long").alias("doc_id"), text_or_empty("text").alias("_x"))
                           .mapInArrow(_prepare(tokenizer or default_tokenizer()), PREPARED))
     total = prepared.agg(F.sum("doc_tokens")).first()[0] or 0
     tasks = max(1, -(-total // TASK_TOKENS))

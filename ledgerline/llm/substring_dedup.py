@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import textops
 from ledgerline.llm import windows as win
-from ledgerline.llm.common import ship_package, text_or_empty, with_row_id
+from ledgerline.llm.common import id_and_text, ship_package, text_or_empty, with_row_id
 
 WIDTH, GRAM = 20, 6
 
@@ -86,10 +86,10 @@ def _remove(with_text: bool):
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_sha256, kept."""
+    """One row per document (ids are whole numbers): doc_id, n_words, n_removed, kept_sha256, kept."""
     ship_package(docs.sparkSession)
-    keyed = with_row_id(docs, id_col, text_col, "rid")
-    texts = keyed.select("rid", text_or_empty(text_col).alias("text"))
+    keyed = with_row_id(id_and_text(docs, id_col, text_col), "id", "text", "rid")
+    texts = keyed.select("rid", text_or_empty("text").alias("text"))
     found = win.repeated_windows(texts, win.Spec(WIDTH, GRAM, win.word_units, win.word_values, True), solve)
-    base = keyed.select("rid", F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    base = keyed.select("rid", F.col("id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
     return win.per_text(base, found).mapInArrow(_remove(with_text), RESULT)

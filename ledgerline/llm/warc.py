@@ -10,13 +10,19 @@ its Content-Length gives the offset where its successor must start. Within a
 task's block the chains of successors are followed locally; across blocks,
 pointer jumping from each file's start finds the block entries that are really
 reached. Only records on the chain are kept, so a magic inside a payload is no
-record. Only offsets and headers are shuffled, never payloads.
+record. Only offsets and headers are shuffled, never payloads. A chain that does
+not end where its file ends raises (``strict``), as records behind the break
+would be lost in silence.
 
 Defined results: null html is an empty payload; rows that share a page_id, or
 have none, are records of their own (ties go by html); line breaks in a url are
-removed. A payload that ends within its block is checked against its digest
-(column ``verified``); of one that runs on into another block the header is
-taken (``verified`` is null). An empty table gives no records.
+removed. Length and digest of a response are those of the payload read; where
+the header names a SHA-1 or a length of the writer's, ``verified`` says whether
+they agree. A payload that runs on into another block of the file has its
+measured length, and the header's digest (``verified`` is null). A revisit has no payload,
+so what its header says is returned. Records of other types and of other
+writers, with the standard headers alone, are read too: columns that only this
+writer's headers fill are null. An empty table gives no records.
 """
 
 from __future__ import annotations
@@ -33,7 +39,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import checkpoint, ship_package, text_or_empty, with_row_id
+from ledgerline.llm.common import checkpoint, ship_package, text_or_empty, with_row_id, written
 from ledgerline.session import ensure_checkpoint_dir
 
 MAGIC = "WARC/1.0\r\n"
@@ -66,7 +72,7 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def write_archive(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> None:
     """Write a record per row of ``pages`` (page_id, url, html) under ``path``."""
-    keyed = with_row_id(pages, "page_id", "html")
+    keyed = with_row_id(pages.select("page_id", "url", "html"), "page_id", "html")
     html = text_or_empty("html")
     rows = keyed.select("_rid", F.col("page_id").cast("long"), F.translate(text_or_empty("url"), "\r\n", "").alias("url"), html.alias("html"),
                         base32_sha1(html.cast("binary")).alias("digest"), F.octet_length(html).cast("long").alias("bytes"))
@@ -124,7 +130,10 @@ class _Block:
         self.at += len(value) + len(mark)
 
     def _seal(self, row: list, digest) -> None:
-        row[11] = base64.b32encode(digest.digest()).decode() == row[10]
+        """Put what was read into the row, and whether the headers said the same."""
+        read, named, size = base64.b32encode(digest.digest()).decode(), row[10], row[11]
+        row[11] = None if named is None and size is None else named in (None, read) and size in (None, row[9])
+        row[10] = read
 
     def _candidate(self, value: bytes, start: int) -> None:
         head_end = value.find(END.encode())
@@ -132,8 +141,10 @@ class _Block:
             return
         fields = {k.lower(): v for k, v in _FIELD.findall(value[:head_end])}
         try:
-            length, size = int(fields[b"content-length"]), int(fields[b"x-payload-length"])
-            kind, digest = fields[b"warc-type"].decode(), fields[b"warc-payload-digest"].decode().removeprefix("sha1:")
+            length, kind = int(fields[b"content-length"]), fields[b"warc-type"].decode()
+            size = int(fields[b"x-payload-length"]) if b"x-payload-length" in fields else None
+            method, _, digest = fields.get(b"warc-payload-digest", b"").decode().partition(":")
+            digest = digest if method == "sha1" else None
             page = int(fields[b"x-page-id"]) if b"x-page-id" in fields else None
             refers = int(fields[b"x-refers-to-page-id"]) if b"x-refers-to-page-id" in fields else None
             url = fields.get(b"warc-target-uri", b"").decode()
@@ -142,9 +153,10 @@ class _Block:
         body = head_end + len(END)
         succ = start + len(MAGIC) + body + length + len(END)
         row = [self.file, self.block, start, succ, succ, page, url, kind, refers, size, digest, None, 0]
-        if kind == "response":
-            payload_at = value.find(END.encode(), body)
-            payload_at = len(value) if payload_at < 0 else payload_at + len(END)
+        if kind != "revisit":
+            payload_at = value.find(END.encode(), body, body + length) if fields.get(b"content-type", b"").startswith(b"application/http") else body - len(END)
+            payload_at = body if payload_at < 0 else payload_at + len(END)
+            row[9], row[11] = body + length - payload_at, size
             here = value[payload_at:body + length]
             h = hashlib.sha1(here)
             left = body + length - max(payload_at, len(value)) if body + length > len(value) else 0
@@ -152,11 +164,11 @@ class _Block:
                 self.open.append((row, h, left))
             else:
                 self._seal(row, h)
-        else:
-            row[11] = True
         self.rows.append(row)
 
     def close(self) -> list[list]:
+        for row, _, _ in self.open:  # runs on into another block: not compared
+            row[11] = None
         leaves: dict[int, int] = {}
         for row in reversed(self.rows):  # where the chain from here leaves the block
             row[4] = leaves[row[2]] = leaves.get(row[3], row[3])
@@ -197,36 +209,45 @@ def _walk(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf.loc[pdf["off"].isin(reached), ["file", "off"]]
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
+def read_archive(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """Records on the chain: file, offset, page_id, url, payload_bytes,
-    payload_digest, record_type, refers_to, verified."""
+    payload_digest, record_type, refers_to, verified, chain_whole (whether the
+    file's chain ends where the file does; ``strict``: raise if not)."""
     ship_package(spark)
     pieces = (spark.read.option("lineSep", MAGIC).text(path)
               .select(F.col("value").cast("binary"), F.col("_metadata.file_path").alias("file"),
                       F.col("_metadata.file_block_start").alias("block")))
-    found = checkpoint(pieces.mapInArrow(_candidates, CANDIDATE))
+    found = written(pieces.mapInArrow(_candidates, CANDIDATE))
     blocks = found.where("rel IS NULL").select("file", "block", "consumed")
     order = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     bases = checkpoint(blocks.withColumn("base", F.coalesce(F.sum("consumed").over(order), F.lit(0))).drop("consumed"))
-    cand = checkpoint(found.where("rel IS NOT NULL").drop("consumed").join(bases, ["file", "block"]).select(
+    cand = found.where("rel IS NOT NULL").drop("consumed").join(bases, ["file", "block"]).select(
         "*", (F.col("base") + F.col("rel")).alias("off"), (F.col("base") + F.col("succ")).alias("end"),
-        (F.col("base") + F.col("leaves")).alias("next")).drop("rel", "succ", "leaves", "base"))
+        (F.col("base") + F.col("leaves")).alias("next")).drop("rel", "succ", "leaves", "base")
     entries = cand.select("file").distinct().select("file", F.lit(0).cast("long").alias("off"))
     hops = bases.groupBy("file").count().agg(F.max("count")).first()[0] or 1
     jump = cand.select("file", "off", "next")
     while hops > 1:  # entries reached by up to 2**k block changes; jump doubles each time
         step = entries.join(jump, ["file", "off"]).select("file", F.col("next").alias("off"))
-        entries = checkpoint(entries.union(step).distinct())
+        entries = written(entries.union(step).distinct())
         onward = jump.select("file", F.col("off").alias("next"), F.col("next").alias("then"))
-        jump = checkpoint(jump.join(onward, ["file", "next"], "left").select(
+        jump = written(jump.join(onward, ["file", "next"], "left").select(
             "file", "off", F.coalesce("then", "next").alias("next")))
         hops = (hops + 1) // 2
     marked = cand.select("file", "block", "off", "end").join(
         entries.withColumn("entry", F.lit(True)), ["file", "off"], "left").withColumn("entry", F.coalesce("entry", F.lit(False)))
     kept = marked.groupBy("file", "block").applyInPandas(_walk, "file string, off long")
-    return cand.join(kept, ["file", "off"], "left_semi").select(
+    records = cand.join(kept, ["file", "off"], "left_semi")
+    # pieces were counted with a magic each, of which a file has one less than pieces
+    length = blocks.groupBy("file").agg((F.sum("consumed") - len(MAGIC)).alias("length"))
+    whole = checkpoint(length.join(records.groupBy("file").agg(F.max("end").alias("last")), "file", "left")
+                       .select("file", F.coalesce((F.col("last") == F.col("length")) | (F.col("length") == 0), F.lit(False)).alias("chain_whole")))
+    broken = [r["file"] for r in whole.where("NOT chain_whole").limit(3).collect()]
+    if strict and broken:
+        raise ValueError(f"the chain of records breaks in {', '.join(broken)}")
+    return records.join(whole, "file").select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "file",
-        F.col("off").alias("offset"), "verified")
+        F.col("off").alias("offset"), "verified", "chain_whole")
 
 
 def roundtrip(pages: DataFrame, path: str | None = None) -> DataFrame:

@@ -99,7 +99,7 @@ def components(docs, k=3, percent=90):
     return [(i, len(sets[y]), rows[root(y)][0]) for y, (i, _) in enumerate(rows)]
 
 
-def matching_lines(docs, percent=80, min_words=4):
+def matching_lines(docs, percent=80, min_words=1):
     """Removed line numbers per document, in row order."""
     sets, lists, out = [], defaultdict(list), []
     for i, t in ordered(docs):
@@ -108,7 +108,7 @@ def matching_lines(docs, percent=80, min_words=4):
             words = WORD.findall(line)
             if len(words) < min_words:
                 continue
-            s = {tuple(words[a:a + 2]) for a in range(len(words) - 1)} or {(words[0],)}
+            s = set(words)
             shared = Counter(x for g in s for x in lists[g])
             if any(100 * n >= percent * (len(sets[x]) + len(s) - n) for x, n in shared.items()):
                 gone.append(ln)

@@ -5,8 +5,9 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import types as T
 
-from ledgerline.llm import (decontaminate, hash_sharding, jaccard_join, line_dedup, packing, quality_rules, queries,
+from ledgerline.llm import (decontaminate, hash_sharding, jaccard_join, line_dedup, packing, periodic_runs, quality_rules, queries,
                             secret_scan, substring_dedup, suffix_dedup, warc, windows)
 from tests.conftest import SF_SMALL
 from tests.llm import brute
@@ -93,18 +94,19 @@ def test_line_dedup(spark, given):
 
 
 def test_line_dedup_with_long_lists(spark, given, monkeypatch):
-    """Lists longer than the rows searched in place go through the join."""
-    monkeypatch.setattr(line_dedup, "NEAR_ROWS", 1)
+    """Long lists go through pairs of blocks, and hot words over blocks from the start."""
+    monkeypatch.setattr(line_dedup, "SHORT", 1)
+    monkeypatch.setattr(line_dedup, "BLOCK_ROWS", 3)
     for df, rows in both(spark, given):
         assert norm(line_dedup.report(df).collect()) == norm(brute.matching_lines(rows))
 
 
 def test_line_dedup_of_all_lines(spark, given):
-    """With min_words=1 lines of one to three words go too."""
+    """Lines of one to three words go too, unless they are left out."""
     for df, rows in both(spark, given):
-        assert norm(line_dedup.report(df, min_words=1).collect()) == norm(brute.matching_lines(rows, min_words=1))
+        assert norm(line_dedup.report(df, min_words=4).collect()) == norm(brute.matching_lines(rows, min_words=4))
     rows = [(1, "All rights reserved.\nMenu"), (2, "Menu\n  All rights reserved. \nRead more"), (3, "Read more\n \nMenu now")]
-    got = {r["doc_id"]: r["removed"] for r in line_dedup.report(table(spark, rows), min_words=1).collect()}
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.report(table(spark, rows)).collect()}
     assert got == {1: "", 2: "0,1", 3: "0"}
 
 
@@ -218,15 +220,19 @@ def test_decontamination(spark, given):
     items = [(r["item_id"], r["text"]) for r in bench.collect()]
     for df, rows in both(spark, given):
         for b, its in ((bench, items), (spark.createDataFrame(ITEMS, bench.select("item_id", "text").schema), ITEMS)):
-            got = decontaminate.digest(decontaminate.find(df, b)).drop("n_proximity").collect()
+            got = decontaminate.digest(decontaminate.find(df, b)).drop("n_proximity", "proximity_sha256").collect()
             assert norm(got) == norm(brute.contamination(rows, its))
 
 
-def test_decontamination_without_broadcast(spark, given, monkeypatch):
-    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_TERMS", 0)
+def test_decontamination_without_broadcast(spark, given):
     bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
     df, rows = given
-    got = decontaminate.digest(decontaminate.find(df, bench)).drop("n_proximity").collect()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = decontaminate.digest(decontaminate.find(df, bench)).drop("n_proximity", "proximity_sha256").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert norm(got) == norm(brute.contamination(rows, [(r["item_id"], r["text"]) for r in bench.collect()]))
 
 
@@ -261,7 +267,7 @@ def near_matches(rows, items, window=10, near=8):
     return out
 
 
-def test_proximity_finds_every_near_copy(spark, given, monkeypatch):
+def test_proximity_finds_every_near_copy(spark, given):
     """Changed words may be the rarest of a window, or unknown to the corpus."""
     b = [f"b{i}" for i in range(10)]
     items = [(1, " ".join(b)), (2, "c0 c1 c2 c3 c4 c5 c6 c7 c8"), (3, "d0 d1 d2 d3 d4 d5 d6 d7"), (None, "gone " + " ".join(b[1:9]) + " never"),
@@ -270,7 +276,8 @@ def test_proximity_finds_every_near_copy(spark, given, monkeypatch):
     rows += [(10 * i + j + 100, " ".join(["x", *(w if k not in (i, j) else "wrong" for k, w in enumerate(b)), "y"])) for i in range(10) for j in range(i + 1)]
     bench = spark.createDataFrame(items, "item_id long, text string")
     found = decontaminate.find(table(spark, rows), bench)
-    assert norm(decontaminate.proximity_digest(found).collect()) == norm(near_matches(rows, items))
+    proximity = lambda f: norm(decontaminate.digest(f).select("doc_id", "n_proximity", "proximity_sha256").collect())
+    assert proximity(found) == norm(near_matches(rows, items))
     assert {r["n_proximity"] > 0 for r in found.where("row.doc_id >= 100").collect()} == {True}
     df, rows = given
     # each given text is also an item, with some of its words changed
@@ -278,9 +285,7 @@ def test_proximity_finds_every_near_copy(spark, given, monkeypatch):
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = near_matches(rows, items)
     assert sum(n for _, n, _ in want) > 100
-    assert norm(decontaminate.proximity_digest(decontaminate.find(df, bench)).collect()) == norm(want)
-    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_TERMS", 0)
-    assert norm(decontaminate.proximity_digest(decontaminate.find(df, bench)).collect()) == norm(want)
+    assert proximity(decontaminate.find(df, bench)) == norm(want)
 
 
 def test_warc(spark, given):
@@ -290,7 +295,8 @@ def test_warc(spark, given):
     cols = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     got = warc.roundtrip(df)
     assert norm(got.select(*cols).collect()) == norm(brute.archive(rows))
-    assert {r["verified"] for r in got.collect()} == {True}
+    assert {(r["record_type"], r["verified"]) for r in got.collect()} == {("response", True), ("revisit", None)}
+    assert {r["chain_whole"] for r in got.collect()} == {True}
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")  # records across blocks
@@ -374,12 +380,53 @@ def test_empty_tables(spark):
 
 
 def test_clashing_columns_survive(spark):
-    df = table(spark, [(1, "word " * 60 + "\nthe end of it"), (2, None)])
-    for out in (quality_rules.filter_documents(df), decontaminate.remove(df, spark.createDataFrame(ITEMS, "item_id long, text string"))):
-        assert out.columns == ["doc_id", "text", *CLASHING]
-        out.collect()
+    """Values of columns that are named like the operators' own; also where ids repeat."""
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    for ids in ((1, 2), (1, 1), (None, 2)):
+        rows = [(ids[0], "the word " * 60 + "\nthe end of it"), (ids[1], "of other " + " ".join(f"w{i}" for i in range(60)))]
+        fields = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+                               *[T.StructField(c, T.StringType()) for c in [*CLASHING, "_RID_", "component_id", "ln", "first", "c"]]])
+        df = spark.createDataFrame([(*r, *[f"{c}{i}" for c in fields.names[2:]]) for i, r in enumerate(rows)], fields)
+        for f in (lambda d: quality_rules.filter_documents(d, rules=()), line_dedup.filter_lines, jaccard_join.keep_one,
+                  lambda d: decontaminate.remove(d, items), lambda d: periodic_runs.collapse(d)):
+            out = f(df)
+            assert out.columns == df.columns
+            got = [tuple(r)[2:] for r in out.collect()]
+            assert got and set(got) <= {tuple(r)[2:] for r in df.collect()}
+    found = jaccard_join.components_of(spark.createDataFrame([("b", "x y"), ("a", "x y"), (None, "z")], "doc_id string, text string"))
+    assert norm(tuple(r) for r in found.collect()) == norm([("a", 1, "a"), ("b", 1, "a"), (None, 1, None)])
+
+
+def test_warc_of_another_writer(spark, tmpdir_path):
+    """Standard headers alone, other record types, a false digest, a broken chain."""
+    import base64
+    import hashlib
+    import os
+
+    def record(kind, block, **more):
+        head = "".join(f"{k.replace('_', '-')}: {v}\r\n" for k, v in more.items())
+        return f"WARC/1.0\r\nWARC-Type: {kind}\r\n{head}Content-Length: {len(block.encode())}\r\n\r\n{block}\r\n\r\n"
+    http = "HTTP/1.1 200 OK\r\nX: y\r\n\r\n"
+    whole = (record("warcinfo", "software: other") + record("response", http + "body é", Content_Type="application/http; msgtype=response")
+             + record("response", http + "lied", Content_Type="application/http", WARC_Payload_Digest="sha1:AAAA", X_Page_Id=7)
+             + record("resource", "plain", WARC_Payload_Digest="sha256:00"))
+    sha = lambda x: base64.b32encode(hashlib.sha1(x.encode()).digest()).decode()
+    folder = os.path.join(tmpdir_path, "whole")
+    os.makedirs(folder)
+    with open(f"{folder}/a.warc", "w", newline="") as fh:
+        fh.write(whole)
+    got = [(r["record_type"], r["payload_bytes"], r["payload_digest"], r["page_id"], r["verified"])
+           for r in warc.read_archive(spark, folder).orderBy("offset").collect()]
+    assert got == [("warcinfo", 15, sha("software: other"), None, None), ("response", 7, sha("body é"), None, None),
+                   ("response", 4, sha("lied"), 7, False), ("resource", 5, sha("plain"), None, None)]
+    with open(f"{folder}/b.warc", "w", newline="") as fh:
+        fh.write(record("response", http + "x").replace(f"Content-Length: {len(http) + 1}", "Content-Length: 99") + record("response", http + "lost"))
+    with pytest.raises(ValueError, match="b.warc"):
+        warc.read_archive(spark, folder)
+    loose = warc.read_archive(spark, folder, strict=False)
+    assert {r["file"][-6:]: r["chain_whole"] for r in loose.collect()} == {"a.warc": True, "b.warc": False}
 
 
 def test_registered_names():
     names = list(queries.registry())
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))

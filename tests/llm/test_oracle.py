@@ -22,7 +22,8 @@ def test_schemas_of_the_contracts(spark):
                              "n_repeat_words:bigint,base_failed:boolean,kept:boolean",
         "op5_jaccard_join": "doc_id:bigint,n_shingles:bigint,component_id:bigint",
         "op6_secret_scan": "doc_id:bigint,n_assign:bigint,n_access:bigint,n_hex:bigint,base_sha256:string,spans:string",
-        "op7_decontaminate": "doc_id:bigint,n_words:bigint,n_hit:bigint,n_items:bigint,items_sha256:string,contaminated:boolean",
+        "op7_decontaminate": "doc_id:bigint,n_words:bigint,n_hit:bigint,n_items:bigint,items_sha256:string,contaminated:boolean,"
+                             "n_proximity:bigint,proximity_sha256:string",
         "op8_warc": "page_id:bigint,payload_bytes:bigint,payload_digest:string,record_type:string,refers_to:bigint",
         "op9_packing": "doc_id:bigint,start:bigint,length:bigint,ids_crc32:bigint,doc_tokens:bigint,sequence_id:bigint,offset:bigint",
         "op10_substring_dedup": "doc_id:bigint,n_words:bigint,n_removed:bigint,kept_sha256:string",
