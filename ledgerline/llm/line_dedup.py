@@ -19,7 +19,9 @@ two predecessors. Words whose counters stand out are dealt over blocks from
 the start. Lines that this leaves unmatched are then tried against all earlier
 rows of their long lists, dealt out as pairs of blocks: a group of near copies
 does not form all its pairs, and no list is one task's work. Candidates are
-verified on the whole sets. Built-in functions only.
+verified on the whole sets: first each line's likeliest by sketch, then, for
+lines that this leaves, all that share as many prefix words as a match must.
+Built-in functions only.
 
 Defined results: null text has no lines and stays null; lines without words
 are never removed; documents that share an id, or have none, are documents of
@@ -127,10 +129,20 @@ def _may_match(percent: int) -> Column:
             & ((100 + percent) * differ <= (100 - percent) * (small + large)))
 
 
-def _named(rows: DataFrame) -> DataFrame:
-    """Pairs of places from joined postings x and y."""
+def _named(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of places from joined postings x and y, in how many bits their
+    sketches differ, and how many prefix words a match shares at least: what
+    the overlap must be, less the words after the larger line's prefix."""
+    nx, ny = (F.shiftright(f"{s}.shape", 8).bitwiseAND(_N_MOST) for s in "xy")
+    need = F.ceil(percent * (nx + ny) / (100 + percent)) - F.ceil(percent * F.greatest(nx, ny) / 100) + 1
     at = lambda s: F.struct(F.col(f"{s}.rid").alias("rid"), _ln(f"{s}.shape").alias("ln"))
-    return rows.select(at("x").alias("x"), at("y").alias("y"))
+    return rows.select(at("x").alias("x"), at("y").alias("y"), F.bit_count(F.col("x.sketch").bitwiseXOR(F.col("y.sketch"))).cast("tinyint").alias("d"),
+                       need.cast("int").alias("need"))
+
+
+def _likeliest(pairs: DataFrame) -> DataFrame:
+    """Of each y the pair whose sketches differ least."""
+    return pairs.groupBy("y").agg(F.min(F.struct("d", "x")).alias("best")).select("best.x", "y")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -154,7 +166,7 @@ def _long_lists(rows: DataFrame, matched: DataFrame, percent: int) -> DataFrame:
     y = dealt.join(done, (F.col("rid") == F.col("mr")) & (_ln("shape") == F.col("ml")), "left_anti").alias("y")
     met = dealt.alias("x").join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
                                 & ((F.col("x.i") == F.col("x.j")) | (F.col("x.block") != F.col("y.block"))) & _before() & _may_match(percent))
-    return _named(met).distinct()
+    return _named(met, percent)
 
 
 def removed_lines(texts: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
@@ -189,8 +201,8 @@ def removed_lines(texts: DataFrame, percent: int = PERCENT, min_words: int = MIN
     salt = _salt(blocks)
     hot = hot.where((F.col("c") > SHORT) | (salt != 0)).select(F.col("token").bitwiseXOR(salt).alias("token"), "rid", "shape", "sketch")
     nowhere = F.lit(None).cast("struct<rid:bigint,ln:int>")
-    out = written(_named(met).select("x", "y", *[F.lit(None).cast("long").alias(c) for c in hot.columns]).unionByName(
-        hot.select(nowhere.alias("x"), nowhere.alias("y"), "*")))
+    out = written(_named(met, percent).select("*", *[F.lit(None).cast("long").alias(c) for c in hot.columns]).unionByName(
+        hot.select(nowhere.alias("x"), nowhere.alias("y"), F.lit(None).cast("tinyint").alias("d"), F.lit(None).cast("int").alias("need"), "*")))
 
     def sets(pairs: DataFrame) -> DataFrame:
         """(rid, ln, tokens) of the lines named in ``pairs``."""
@@ -202,12 +214,17 @@ def removed_lines(texts: DataFrame, percent: int = PERCENT, min_words: int = MIN
             i.alias("ln"), F.get(F.col("lines"), i).alias("line")))).alias("l")).select("rid", "l.ln", _words(F.col("l.line")).alias("words"))
         return checkpoint(chosen.select("rid", "ln", _ordered(classes).alias("tokens")))
 
-    pairs = checkpoint(out.where("x IS NOT NULL").select("x", "y").distinct())
-    matched = checkpoint(_verified(pairs, sets(pairs), percent))
-    rest = checkpoint(_long_lists(out.where("x IS NULL").drop("x", "y"), matched, percent).join(pairs, ["x", "y"], "left_anti"))
-    if not rest.isEmpty():
-        matched = matched.unionByName(_verified(rest, sets(rest), percent))
-    return copies.unionByName(matched).distinct()
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = checkpoint(pairs)
+        return checkpoint(_verified(pairs, sets(pairs), percent))
+
+    met = out.where("x IS NOT NULL").select("x", "y", "d", "need")
+    matched = verified(_likeliest(met))
+    # lines that this left: each word that a pair shares stands in a short list or in a long one
+    far = _long_lists(out.where("x IS NULL").select(*hot.columns), matched, percent)
+    left = met.join(matched.select(F.struct("rid", "ln").alias("y")), "y", "left_anti").unionByName(far)
+    left = left.groupBy("x", "y").agg(F.count("*").alias("k"), F.first("need").alias("need")).where("k >= need").select("x", "y")
+    return copies.unionByName(matched).unionByName(verified(left)).distinct()
 
 
 def dedup(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS, id_col: str = "doc_id",
