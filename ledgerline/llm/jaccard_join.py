@@ -191,7 +191,7 @@ def _pairs(percent: int, max_lag: int | None):
         if len(small):
             cells[small] = np.concatenate([raw[i] for i in small]).reshape(-1, CELLS)
         cells[wide] = np.minimum(_fold(wides), 255)
-        live, lag, further = np.arange(len(cells)), 1, []
+        live, lag, further = np.arange(len(cells)), 1, np.zeros(len(cells), bool)
         while len(live):
             live = live[live + lag < len(cells)]
             x, y = live, live + lag
@@ -211,12 +211,12 @@ def _pairs(percent: int, max_lag: int | None):
                 if not len(p):
                     continue
                 if max_lag is not None and lag > max_lag:
-                    further += [col["rid"][p], col["rid"][q]]
+                    further[p] = further[q] = True
                     continue
                 yield _batch("a b need distance", col["rid"][p], col["rid"][q], np.minimum(col["m"][p], col["m"][q]).astype(np.int64), distance[keep])
             lag += 1
-        if further:
-            rid = np.unique(np.concatenate(further))
+        if further.any():
+            rid = np.unique(col["rid"][further])
             yield _batch("a b need distance", rid, np.full(len(rid), -1), np.zeros(len(rid), np.int64), np.zeros(len(rid), np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,14 +285,14 @@ def _candidates(live: DataFrame, labels: DataFrame, percent: int, max_lag: int |
     rows = rows.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
                        "rid", "n", "m", "comp", "cells")
     dealt = rows.repartition(partitions(live), "token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "rid")
-    return dealt.mapInArrow(_pairs(percent, max_lag), "a long, b long, need long, distance long")
+    return dealt.mapInArrow(textops.released(_pairs(percent, max_lag)), "a long, b long, need long, distance long")
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     x = sets.select(F.col("rid").alias("a"), F.col("shingles").alias("x"))
     y = sets.select(F.col("rid").alias("b"), F.col("shingles").alias("y"))
     both = pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "x", "y")
-    return checkpoint(both.mapInArrow(_verify(percent), "a long, b long"))
+    return checkpoint(both.mapInArrow(textops.released(_verify(percent)), "a long, b long"))
 
 
 def join(docs: DataFrame, shingle: int = 3, percent: int = 90, id_col: str = "doc_id",
@@ -302,26 +302,26 @@ def join(docs: DataFrame, shingle: int = 3, percent: int = 90, id_col: str = "do
     ship_package(docs.sparkSession)
     keyed = identified(docs, id_col, text_col)
     texts = keyed.select("rid", text_or_empty(F.col(f"row.`{text_col}`")).alias("text"))
-    profile = written(texts.mapInArrow(_profile(shingle), "rid long, n long, h1 long, h2 long"))
+    profile = written(texts.mapInArrow(textops.released(_profile(shingle)), "rid long, n long, h1 long, h2 long"))
     counts = np.zeros(COUNTERS, np.int64)
     for r in profile.where("n < 0").groupBy("rid").agg(F.sum("h1").alias("c")).collect():  # COUNTERS rows at most
         counts[r["rid"]] = r["c"]
     sizes = profile.where("n >= 0")
     firsts = checkpoint(sizes.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("rid").alias("rep"), F.count("*").alias("c")))
 
-    postings = texts.mapInArrow(_postings(shingle, percent, counts), "token long, rid long, n long, m long")
+    postings = texts.mapInArrow(textops.released(_postings(shingle, percent, counts)), "token long, rid long, n long, m long")
     twice = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
     live = written(postings.join(twice, "token").select("token", "rid", "n", "m", F.col("c").cast("int").alias("c")))
     copies = sizes.join(firsts.where("c > 1"), ["n", "h1", "h2"]).where("rid <> rep").select("rid")
-    cells = texts.mapInArrow(_cells(shingle), "rid long, cells binary").join(copies, "rid", "left_anti")
+    cells = texts.mapInArrow(textops.released(_cells(shingle)), "rid long, cells binary").join(copies, "rid", "left_anti")
 
     # round 1: list neighbours, of which each document tries its two likeliest;
     # documents with candidates further off in a list are named for round 2
     near = written(_candidates(live, cells.withColumn("comp", F.col("rid")), percent, 2).groupBy("a", "b").agg(
         F.min("distance").alias("distance")))
     named = near.select(F.col("a").alias("rid")).union(near.where("b >= 0").select("b")).distinct()
-    sets = written(texts.mapInArrow(_squeeze, "rid long, text binary").join(named, "rid", "left_semi")
-                      .mapInArrow(_sets(shingle), "rid long, shingles binary"))
+    sets = written(texts.mapInArrow(textops.released(_squeeze), "rid long, text binary").join(named, "rid", "left_semi")
+                      .mapInArrow(textops.released(_sets(shingle)), "rid long, shingles binary"))
     best = near.where("b >= 0").withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy("distance", "a"))).where("r <= 2")
     links = _links(best, sets, percent)
     comps = checkpoint(components(links))
