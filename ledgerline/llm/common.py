@@ -10,6 +10,7 @@ it differently.
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +44,13 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Free the shuffle files of plans that nothing holds any more. Spark does so
+    when the driver's garbage is collected, by itself every half hour only."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def rows_where(df: DataFrame, flag: Column, row: str = "row") -> DataFrame:
     """The columns of the struct ``row`` where ``flag`` holds. A generator and
     not a filter: a filter would be pushed below the projections it depends on,

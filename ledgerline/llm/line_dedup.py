@@ -36,7 +36,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import (SPACE_CHARS, SPACE_CLASS, checkpoint, free_name, rows_where, text_or_empty,
+from ledgerline.llm.common import (SPACE_CHARS, SPACE_CLASS, checkpoint, free_name, release, rows_where, text_or_empty,
                                    with_row_id, written)
 
 COUNTER_BITS = 16
@@ -204,6 +204,8 @@ def removed_lines(texts: DataFrame, percent: int = PERCENT, min_words: int = MIN
     out = written(_named(met, percent).select("*", *[F.lit(None).cast("long").alias(c) for c in hot.columns]).unionByName(
         hot.select(nowhere.alias("x"), nowhere.alias("y"), F.lit(None).cast("tinyint").alias("d"), F.lit(None).cast("int").alias("need"), "*")))
 
+    release(texts.sparkSession)  # the postings are not needed again
+
     def sets(pairs: DataFrame) -> DataFrame:
         """(rid, ln, tokens) of the lines named in ``pairs``."""
         named = pairs.select("x.*").union(pairs.select("y.*")).distinct()

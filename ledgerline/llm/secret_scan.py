@@ -46,26 +46,47 @@ ALLOWED = (
     # paths and names: lower case only, and not with four letters or digits (of any case) at the end
     r"(?-i:^/?[a-z0-9_]+(/[a-z0-9_]+)*\.?$)(?<![A-Z0-9]{4})")
 
+#: Matches of a text whose places are summed up together.
+SUM_BLOCK = 64
 SPAN = "array<struct<start:int,rank:int,end:int,text:string>>"
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often it is named."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _spans(text: Column, pattern: str, rank: int, keep) -> Column:
-    """Matches of ``pattern`` for which ``keep(match)`` holds, as SPAN."""
+    """Matches of ``pattern`` for which ``keep(match)`` holds, as SPAN.
+
+    Positions are running sums of the lengths of the pieces, taken in blocks of
+    ``SUM_BLOCK`` matches that each start at the sum of the blocks before: an array
+    that grows by one match at a time would be copied for every match of a text."""
     p = F.lit(pattern)
     found = F.regexp_extract_all(text, p, F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    lengths = F.zip_with(pieces, found, lambda a, m: F.struct(
-        F.length(a).alias("gap"), m.alias("m")))
-    state = F.aggregate(
-        F.filter(lengths, lambda x: x["m"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + F.length(x["m"])).alias("at"),
-            F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + x["gap"]).alias("start"), F.lit(rank).alias("rank"),
-                (acc["at"] + x["gap"] + F.length(x["m"])).alias("end"), x["m"].alias("text")))).cast(SPAN).alias("out")))
-    none = F.array().cast(SPAN)
-    return F.when(F.size(found) > 0, F.filter(state["out"], lambda s: keep(s["text"]))).otherwise(none)
+    step = lambda x: x["gap"] + F.length(x["m"])
+
+    def in_block(block, at):
+        return F.aggregate(
+            block, F.struct(at.alias("at"), F.array().cast(SPAN).alias("out")),
+            lambda acc, x: F.struct(
+                (acc["at"] + step(x)).alias("at"),
+                F.concat(acc["out"], F.array(F.struct(
+                    (acc["at"] + x["gap"]).alias("start"), F.lit(rank).alias("rank"),
+                    (acc["at"] + step(x)).alias("end"), x["m"].alias("text")))).cast(SPAN).alias("out")),
+            lambda acc: acc["out"])
+
+    def spans(parts):
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / SUM_BLOCK).cast("int")),
+                             lambda b: F.slice(parts, b * SUM_BLOCK + 1, SUM_BLOCK))
+        return _let(blocks, lambda bl: _let(
+            F.transform(bl, lambda one: F.aggregate(one, F.lit(0), lambda n, x: n + step(x))),
+            lambda sums: F.flatten(F.transform(bl, lambda one, b: in_block(
+                one, F.aggregate(F.slice(sums, F.lit(1), b), F.lit(0), lambda n, x: n + x))))))
+
+    lengths = F.zip_with(F.split(text, pattern, -1), found, lambda a, m: F.struct(F.length(a).alias("gap"), m.alias("m")))
+    parts = F.filter(lengths, lambda x: x["m"].isNotNull())
+    return F.when(F.size(found) > 0, F.filter(_let(parts, spans), lambda s: keep(s["text"]))).otherwise(F.array().cast(SPAN))
 
 
 def window_entropy(s: Column, width: int = WINDOW) -> Column:
@@ -115,7 +136,8 @@ def _suspect(s: Column) -> Column:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: the counts of the base kinds, the hash of the base
-    spans, all spans as text, and ``found`` (array of kind, start, end, text)."""
+    spans, all spans as text, ``n_entropy`` (suspect candidates, those that a
+    base span covers included), and ``found`` (array of kind, start, end, text)."""
     df = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("_x"))
     x = F.col("_x")
     df = df.select(
@@ -134,6 +156,6 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return df.select(
         "doc_id", F.size("assign").cast("long").alias("n_assign"), F.size("access").cast("long").alias("n_access"),
         F.size("hex").cast("long").alias("n_hex"), F.sha2(joined("_base"), 256).alias("base_sha256"),
-        joined("_all").alias("spans"),
+        joined("_all").alias("spans"), F.size("entropy").cast("long").alias("n_entropy"),
         F.transform("_all", lambda s: F.struct(F.element_at(kinds, s["rank"] + 1).alias("kind"), s["start"].alias("start"),
                                               s["end"].alias("end"), s["text"].alias("text"))).alias("found"))

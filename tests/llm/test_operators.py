@@ -1,7 +1,7 @@
 """Every operator against brute force, on odd rows and on the given tables."""
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -185,7 +185,7 @@ def test_keep_one(spark):
 def test_secret_scan(spark, given):
     for df, rows in both(spark, given):
         got = secret_scan.scan(df)
-        assert norm(got.drop("spans", "found").collect()) == norm(brute.secrets(rows))
+        assert norm(got.drop("spans", "found", "n_entropy").collect()) == norm(brute.secrets(rows))
 
 
 def test_entropy_spans(spark):
@@ -204,6 +204,49 @@ def test_allow_list_hides_no_keys(spark):
     assert [got[len(keys) + i] for i in range(len(harmless))] == [""] * len(harmless)
 
 
+def entropy_spans(t):
+    """All suspect candidates of a text, by definition."""
+    import math
+    import re
+    allowed = re.compile(r"(?i:example|sample|dummy|placeholder|x{6,}|0{8,}|abcdefghij|0123456789|^[a-z]+([_/-][a-z]+)*\Z|"
+                         r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\Z)|^/?[a-z0-9_]+(/[a-z0-9_]+)*\.?\Z(?<![A-Z0-9]{4})(?<![A-Za-z0-9]{4})")
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", t or ""):
+        s = m[0]
+        if not (re.search("[0-9]", s) and re.search("[A-Za-z]", s)):
+            continue
+        parts = [p for p in s.split("=") if p]
+        values = [p for i, p in enumerate(parts) if len(p) >= 20 or i == len(parts) - 1]
+        if allowed.search(s) and all(allowed.search(v) for v in values):
+            continue
+        best = max(-sum(c / 20 * math.log2(c / 20) for c in Counter(s[a:a + 20]).values()) for a in range(len(s) - 19))
+        if best >= (3.0 if re.fullmatch("[0-9a-fA-F]+", s) else 3.7) - 1e-12:
+            out.append((m.start(), m.end()))
+    return out
+
+
+def test_entropy_spans_by_definition(spark, given):
+    rng = np.random.default_rng(8)
+    letters = list("abcdefABCDEF0123456789Zz9_/=+- ")
+    rows = [(i, " ".join("".join(rng.choice(letters, rng.integers(5, 60))) for _ in range(12))) for i in range(120)]
+    for df, texts in ((table(spark, rows), rows), given):
+        got = secret_scan.scan(df).select("doc_id", "n_entropy", "found").collect()
+        want = {i: entropy_spans(t) for i, t in texts}
+        assert {r["doc_id"]: r["n_entropy"] for r in got} == {i: len(s) for i, s in want.items()}
+        for r in got:
+            base = [(s["start"], s["end"]) for s in r["found"] if s["kind"] != "entropy"]
+            mine = [(s["start"], s["end"]) for s in r["found"] if s["kind"] == "entropy"]
+            assert mine == [s for s in want[r["doc_id"]] if not any(a <= s[0] and s[1] <= b for a, b in base)]
+    assert sum(map(len, (entropy_spans(t) for _, t in rows))) > 100
+
+
+def test_many_matches_in_one_text(spark):
+    text = "é token=abcdefgh12 " * 20_000
+    got = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
+    assert got["n_assign"] == 20_000 and got["found"][-1]["end"] == len(text) - 1
+    assert norm([(got["doc_id"], got["n_assign"], got["n_access"], got["n_hex"], got["base_sha256"])]) == norm(brute.secrets([(1, text)]))
+
+
 def test_window_entropy_is_exact(spark):
     from pyspark.sql import functions as F
     text = "aab0cd1e2ffgh3ijklmn4opqrst5aaaaaa"

@@ -21,7 +21,7 @@ def test_schemas_of_the_contracts(spark):
         "op4_quality_rules": "doc_id:bigint,n_words:bigint,word_chars:bigint,n_symbols:bigint,n_dup_lines:bigint,"
                              "n_repeat_words:bigint,base_failed:boolean,kept:boolean",
         "op5_jaccard_join": "doc_id:bigint,n_shingles:bigint,component_id:bigint",
-        "op6_secret_scan": "doc_id:bigint,n_assign:bigint,n_access:bigint,n_hex:bigint,base_sha256:string,spans:string",
+        "op6_secret_scan": "doc_id:bigint,n_assign:bigint,n_access:bigint,n_hex:bigint,base_sha256:string,spans:string,n_entropy:bigint",
         "op7_decontaminate": "doc_id:bigint,n_words:bigint,n_hit:bigint,n_items:bigint,items_sha256:string,contaminated:boolean,"
                              "n_proximity:bigint,proximity_sha256:string",
         "op8_warc": "page_id:bigint,payload_bytes:bigint,payload_digest:string,record_type:string,refers_to:bigint",
