@@ -12,8 +12,9 @@ word, which gives the exact phrases, and as proximity matches the windows of
 which at least ``near`` words, but not all, stand in their places.
 
 A term that no document has is a place that differs; windows with more of them
-than a near match allows are dropped at once. Spark decides
-by bytes whether the benchmark's vocabulary is broadcast or the joins shuffle.
+than a near match allows are dropped at once. The benchmark's
+terms are broadcast only if their bytes are within ``MAX_BROADCAST_BYTES``;
+beyond that the same joins shuffle.
 
 Defined results: null texts have no words; an item without words is ignored; a
 null item id counts as the empty name; items that share an id count once; each
@@ -35,12 +36,21 @@ GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same on text whose A-Z are not lower-cased yet.
 GAPS_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW, NEAR = 10, 8
+#: Largest table of terms, in bytes, that is broadcast; a larger one is shuffled to the same joins.
+MAX_BROADCAST_BYTES = 16 << 20
 
 
 def words(text: Column, gaps: str = GAPS) -> Column:
     return F.filter(F.split(text, gaps), lambda w: w != "")
 
 
+def _bounded(df: DataFrame) -> DataFrame:
+    """A checkpointed table of terms, marked for broadcast if its bytes, summed
+    first, are within the bound."""
+    held = df.agg(F.sum(F.octet_length("term") + 64)).first()[0] or 0
+    return F.broadcast(df) if held <= MAX_BROADCAST_BYTES else df
+
+
 def pivots(items: DataFrame, frequency: DataFrame, window: int, near: int) -> DataFrame:
     """(item, q, term, need): the places of the rarest terms of each window, so
     many that every match of the window has ``need`` of them in place."""
@@ -63,10 +73,10 @@ def alignments(docs: DataFrame, items: DataFrame, window: int, near: int) -> Dat
     text = lower_ascii(text_or_empty("_x"))
     vocabulary = checkpoint(items.select(F.explode("iwords").alias("term")).distinct())
     tokens = docs.select(F.explode(words(text)).alias("term"))
-    frequency = tokens.join(vocabulary, "term").groupBy("term").agg(F.count("*").alias("freq"))
+    frequency = tokens.join(_bounded(vocabulary), "term").groupBy("term").agg(F.count("*").alias("freq"))
     at = checkpoint(pivots(items, frequency, window, near))
     postings = docs.select("_rid", F.posexplode(words(text)).alias("pos", "term"))
-    met = (postings.join(at, "term")
+    met = (postings.join(_bounded(at), "term")
            .select("_rid", "item", "need", (F.col("pos") - F.col("q")).alias("shift"))
            .groupBy("_rid", "item", "shift").agg(F.count("*").alias("n"), F.max("need").alias("need"))
            .where("n >= need"))

@@ -189,7 +189,8 @@ def removed_lines(texts: DataFrame, percent: int = PERCENT, min_words: int = MIN
     firsts = firsts.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.first(F.struct("n", "prefix", "sketch")).alias("s"))
     postings = (firsts.select("first.rid", "first.ln", "s.n", "s.sketch", F.posexplode("s.prefix").alias("pos", "token"))
                 .select("token", "rid", _shape("ln", "n", "pos").alias("shape"), "sketch"))
-    postings = postings.select(F.col("token").bitwiseXOR(_salt(blocks)).alias("key"), "rid", "shape", "sketch")
+    # never null; said here, as the join says it of its sides, so that all three uses share one shuffle
+    postings = postings.select(F.col("token").bitwiseXOR(_salt(blocks)).alias("key"), "rid", "shape", "sketch").where("key IS NOT NULL")
 
     # one shuffle by word feeds both sides of the self-join and the rows of long lists
     per = Window.partitionBy("key")

@@ -267,7 +267,8 @@ def test_decontamination(spark, given):
             assert norm(got) == norm(brute.contamination(rows, its))
 
 
-def test_decontamination_without_broadcast(spark, given):
+def test_decontamination_without_broadcast(spark, given, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_BYTES", 0)
     bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
     df, rows = given
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
