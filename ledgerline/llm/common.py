@@ -11,6 +11,7 @@ it differently.
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,8 +48,10 @@ def written(df: DataFrame) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Free the shuffle files of plans that nothing holds any more. Spark does so
     when the driver's garbage is collected, by itself every half hour only."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # references of Python's objects are dropped with the next call
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def rows_where(df: DataFrame, flag: Column, row: str = "row") -> DataFrame:

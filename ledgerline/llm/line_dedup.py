@@ -223,6 +223,7 @@ def removed_lines(texts: DataFrame, percent: int = PERCENT, min_words: int = MIN
 
     met = out.where("x IS NOT NULL").select("x", "y", "d", "need")
     matched = verified(_likeliest(met))
+    release(texts.sparkSession)
     # lines that this left: each word that a pair shares stands in a short list or in a long one
     far = _long_lists(out.where("x IS NULL").select(*hot.columns), matched, percent)
     left = met.join(matched.select(F.struct("rid", "ln").alias("y")), "y", "left_anti").unionByName(far)
