@@ -44,6 +44,8 @@ PERCENT, MIN_WORDS = 80, 1
 #: Rows of a posting list that are paired at once, and rows of a block of a long one.
 SHORT, BLOCK_ROWS = 64, 1024
 CLASSES = 64
+#: Largest checkpointed table, in bytes, that is broadcast; a larger one is shuffled to the same joins.
+MAX_BROADCAST_BYTES = 16 << 20
 
 
 def _words(line: Column) -> Column:
@@ -140,6 +142,11 @@ def _named(rows: DataFrame, percent: int) -> DataFrame:
                        need.cast("int").alias("need"))
 
 
+def _bounded(df: DataFrame, row_bytes: int = 24) -> DataFrame:
+    """A checkpointed table of narrow rows, for broadcast if its counted rows are within the bound."""
+    return F.broadcast(df) if df.count() * row_bytes <= MAX_BROADCAST_BYTES else df
+
+
 def _likeliest(pairs: DataFrame) -> DataFrame:
     """Of each y the pair whose sketches differ least."""
     return pairs.groupBy("y").agg(F.min(F.struct("d", "x")).alias("best")).select("best.x", "y")
@@ -159,10 +166,10 @@ def _long_lists(rows: DataFrame, matched: DataFrame, percent: int) -> DataFrame:
     """Pairs (x, y) of the long lists' rows (token, rid, shape, sketch), y not
     yet matched, x any earlier row, by pairs of blocks."""
     sizes = checkpoint(rows.groupBy("token").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")))
-    dealt = rows.join(sizes, "token").withColumn("block", F.pmod(F.xxhash64(F.lit(1), "rid", "shape"), F.col("blocks")).cast("int"))
+    dealt = rows.join(_bounded(sizes), "token").withColumn("block", F.pmod(F.xxhash64(F.lit(1), "rid", "shape"), F.col("blocks")).cast("int"))
     dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
         "token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rid", "shape", "sketch")
-    done = matched.select(F.col("rid").alias("mr"), F.col("ln").alias("ml"))
+    done = _bounded(matched).select(F.col("rid").alias("mr"), F.col("ln").alias("ml"))
     y = dealt.join(done, (F.col("rid") == F.col("mr")) & (_ln("shape") == F.col("ml")), "left_anti").alias("y")
     met = dealt.alias("x").join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
                                 & ((F.col("x.i") == F.col("x.j")) | (F.col("x.block") != F.col("y.block"))) & _before() & _may_match(percent))
@@ -225,9 +232,11 @@ def removed_lines(texts: DataFrame, percent: int = PERCENT, min_words: int = MIN
     matched = verified(_likeliest(met))
     release(texts.sparkSession)
     # lines that this left: each word that a pair shares stands in a short list or in a long one
-    far = _long_lists(out.where("x IS NULL").select(*hot.columns), matched, percent)
-    left = met.join(matched.select(F.struct("rid", "ln").alias("y")), "y", "left_anti").unionByName(far)
-    left = left.groupBy("x", "y").agg(F.count("*").alias("k"), F.first("need").alias("need")).where("k >= need").select("x", "y")
+    far = written(_long_lists(out.where("x IS NULL").select(*hot.columns), matched, percent))
+    both = met.unionByName(far).select("x", "y", "need", F.xxhash64("x", "y").alias("h"))
+    asked = checkpoint(both.groupBy("h").agg(F.count("*").alias("k"), F.min("need").alias("need")).where("k >= need").select("h"))
+    left = both.join(_bounded(asked), "h", "left_semi").select("x", "y").distinct()
+    left = left.join(matched.select(F.struct("rid", "ln").alias("y")), "y", "left_anti")
     return copies.unionByName(matched).unionByName(verified(left)).distinct()
 
 

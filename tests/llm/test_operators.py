@@ -97,6 +97,7 @@ def test_line_dedup_with_long_lists(spark, given, monkeypatch):
     """Long lists go through pairs of blocks, and hot words over blocks from the start."""
     monkeypatch.setattr(line_dedup, "SHORT", 1)
     monkeypatch.setattr(line_dedup, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(line_dedup, "MAX_BROADCAST_BYTES", 0)
     for df, rows in both(spark, given):
         assert norm(line_dedup.report(df).collect()) == norm(brute.matching_lines(rows))
 
