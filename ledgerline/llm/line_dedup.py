@@ -178,12 +178,17 @@ def _long_lists(rows: DataFrame, matched: DataFrame, percent: int) -> DataFrame:
     """Pairs (x, y) of the long lists' rows (token, rid, shape, sketch), y not
     yet matched, x any earlier row, by pairs of blocks."""
     sizes = checkpoint(rows.groupBy("token").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")))
-    dealt = rows.join(_bounded(sizes), "token").withColumn("block", F.pmod(F.xxhash64(F.lit(1), "rid", "shape"), F.col("blocks")).cast("int"))
-    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rid", "shape", "sketch")
+    per = _bounded(sizes)
+
+    def dealt(some: DataFrame) -> DataFrame:
+        some = some.join(per, "token").withColumn("block", F.pmod(F.xxhash64(F.lit(1), "rid", "shape"), F.col("blocks")).cast("int"))
+        return some.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+            "token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rid", "shape", "sketch")
+
     done = _bounded(matched).select(F.col("rid").alias("mr"), F.col("ln").alias("ml"))
-    y = dealt.join(done, (F.col("rid") == F.col("mr")) & (_ln("shape") == F.col("ml")), "left_anti").alias("y")
-    met = dealt.alias("x").join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
+    open_ = rows.join(done, (F.col("rid") == F.col("mr")) & (_ln("shape") == F.col("ml")), "left_anti")
+    y = dealt(open_).alias("y")
+    met = dealt(rows).alias("x").join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
                                 & ((F.col("x.i") == F.col("x.j")) | (F.col("x.block") != F.col("y.block"))) & _before() & _may_match(percent))
     return _named(met, percent)
 
