@@ -97,7 +97,7 @@ grams AS (SELECT doc_id, i, size, array_to_string(ws[i + 1:i + size], ' ') AS k
 found AS (SELECT doc_id, i, size, item_id FROM grams JOIN win USING (size, k)),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (
-    SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+    SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id),
 wide AS (SELECT item_id, size, string_split(k, ' ') AS ws, row_number() OVER () AS w FROM win WHERE size > 8),
 spots AS (SELECT item_id, size, w, unnest(ws) AS word, unnest(range(size)) AS o FROM wide),
 places AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS p FROM dw),
