@@ -44,6 +44,8 @@ from ledgerline.llm.common import partitions, written
 GROUP_ITEMS = 1024
 #: Windows a class when a group is split, one level after the other.
 CLASSES = (16, 1)
+#: Parts of a join's rows; a key that holds more than one part is dealt over several tasks.
+SHARES = 1024
 #: Units handled at once inside one text.
 PIECE_UNITS = 1 << 22
 #: Bytes of item texts a solver call takes, plus one group.
@@ -270,31 +272,47 @@ def _groups(solver: Callable):
     return run
 
 
+def _dealt(rows: DataFrame, table: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table``, a written table of one row per ``by`` that
+    names in ``held`` how many of the rows it meets. A key that holds more than
+    one of SHARES parts of them is dealt over as many tasks as it holds parts.
+    There are fewer than SHARES such keys, hence the broadcast, and their rows
+    of ``table`` become less than twice as many."""
+    total = table.agg(F.sum("held")).first()[0] or 0
+    share = max(1, -(-total // SHARES))
+    hot = F.broadcast(table.where(F.col("held") > share).select(*by, F.ceil(F.col("held") / share).cast("int").alias("parts")))
+    part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("rid", "place"), F.col("parts"))).cast("int")
+    left = rows.join(hot, by, "left").withColumn("part", part).drop("parts")
+    right = table.drop("held").join(hot, by, "left").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    return left.join(right, [*by, "part"], how).drop("part")
+
+
 def _items(runs: DataFrame, keep_first: bool) -> tuple[DataFrame, DataFrame]:
-    """Distinct items of ``runs``, each with its first member's
-    place, copies and the number of different items of its key; and the
-    stretches that are repeated as a whole."""
+    """Distinct items of ``runs``, each with its first member's place and its
+    copies; and the stretches that are repeated as a whole."""
     members = ["rid", "place", *(c for c in ("src",) if c in runs.columns)]
     items = runs.groupBy("key", "item").agg(F.min(F.struct("rid", "place")).alias("first"), F.sum("weight").alias("copies"),
                                             F.count("*").alias("members"), *(F.min_by(c, F.struct("rid", "place")).alias(c) for c in members[2:]))
-    kinds = items.groupBy("key").agg(F.count("*").alias("kinds"))
-    items = written(items.join(kinds, "key").select("key", "item", "first.*", *members[2:], "copies", "members", "kinds"))
-    shared = items.where("members > 1").select("key", "item", F.col("rid").alias("r0"), F.col("place").alias("p0"))
-    whole = runs.join(shared, ["key", "item"]).where("rid <> r0 OR place <> p0").select("rid", "place")
+    items = written(items.select("key", "item", "first.*", *members[2:], "copies", "members"))
+    shared = items.where("members > 1").select("key", "item", F.col("rid").alias("r0"), F.col("place").alias("p0"), F.col("members").alias("held"))
+    whole = _dealt(runs, shared, ["key", "item"]).where("rid <> r0 OR place <> p0").select("rid", "place")
     if not keep_first:
         whole = whole.unionByName(items.where("copies > 1").select("rid", "place"))
     return items, whole.select("rid", F.expr(START).alias("start"), F.expr(WINDOWS).alias("n"))
 
 
 def _wanted(items: DataFrame, by: list[str]) -> DataFrame:
-    many = items.where("kinds > 1")
+    """Per text the items whose key has several, with their number ``kinds``."""
+    kinds = written(items.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1"))
+    many = _dealt(items, kinds.withColumn("held", F.col("kinds")), ["key"])
     return many.groupBy(*by).agg(F.collect_list(F.struct("key", "item", "place", "copies", "kinds")).alias("wanted"))
 
 
 def _live(runs: DataFrame, weight: str = "1") -> DataFrame:
     """Runs whose anchor stands in more than one, written as a table."""
-    twice = runs.groupBy("key").agg(F.sum(F.expr(weight)).alias("c")).where("c > 1").select("key")
-    return written(runs.join(twice, "key", "left_semi"))
+    twice = written(runs.groupBy("key").agg(F.sum(F.expr(weight)).alias("c"), F.count("*").alias("held")).where("c > 1").select("key", "held"))
+    return written(_dealt(runs, twice, ["key"], "left_semi"))
 
 
 def repeated_windows(docs: DataFrame, spec: Spec, solver: Callable) -> DataFrame:
