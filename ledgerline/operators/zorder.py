@@ -36,8 +36,12 @@ def _bucket(value: Column, cuts: list[float], bits: int) -> Column:
     """How many of the ``2**bits - 1`` rising cuts a value reaches: a binary search."""
     held = F.array(*[F.lit(float(x)) for x in cuts])
     steps = F.array(*[F.lit(1 << b) for b in range(bits - 1, -1, -1)])
-    reached = F.aggregate(steps, F.lit(0), lambda n, step: F.when(value >= F.element_at(held, n + step), n + step).otherwise(n))
-    return F.when(value.isNull(), 0).otherwise(reached)
+
+    def reached(v: Column) -> Column:
+        return F.when(v.isNull(), 0).otherwise(
+            F.aggregate(steps, F.lit(0), lambda n, step: F.when(v >= F.element_at(held, n + step), n + step).otherwise(n)))
+
+    return F.element_at(F.transform(F.array(value), reached), 1)  # the value is computed once, not at each step
 
 
 def curve(df: DataFrame, cols: list[str], bits: int = BITS) -> Column:

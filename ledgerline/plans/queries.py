@@ -28,7 +28,7 @@ from ledgerline.plans.daily_runs import (all_dimensions_after, dimension_after,
 from ledgerline.plans.profiles import CUSTOMER, DIMENSIONS, GCP, PSQL, PSQL_LENGTHS, with_rule
 from ledgerline.plans.jobs import SCHEMAS, dim_table, job_gcp, job_load_csv_registry, job_warehouse, load_dimension, read_fact
 from ledgerline.plans.sql import run_statement
-from ledgerline.plans.tables import Warehouse
+from ledgerline.plans.tables import Warehouse, in_layout
 from ledgerline.session import materialize, scratch_root
 from ledgerline.sources.csv import read_csv_by_name
 from ledgerline.sources.landing import batch_view, land_files
@@ -256,7 +256,7 @@ def clustered_sales(spark: SparkSession, sf: str) -> DataFrame:
     z = curve(df, ["sale_id", "customer_id", "product_id", "store_id"])
     path = f"{scratch_root(spark)}/clustered-{uuid.uuid4().hex}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.repartitionByRange(n, z).sortWithinPartitions(z).write.parquet(path)
+    in_layout(df, n, z).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -44,6 +44,16 @@ def column_ddl(schema: T.StructType, lengths: Mapping[str, int] = {}, defaults:
     return ", ".join(cols)
 
 
+def in_layout(df: DataFrame, partitions: int, *layout: str | Column) -> DataFrame:
+    """Rows ranged and sorted by columns (each name once) and computed positions.
+
+    A position is a column of its own until the rows are sorted: a sort by an
+    expression computes it again for both rows of every comparison."""
+    placed = {f"_at_{i}": c for i, c in enumerate(layout) if isinstance(c, Column)}
+    by = dict.fromkeys(c if isinstance(c, str) else f"_at_{i}" for i, c in enumerate(layout))
+    return df.withColumns(placed).repartitionByRange(partitions, *by).sortWithinPartitions(*by).select(*df.columns)
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, write_partitions: int | None = None,
                  db_prefix: str = "", dim_slots: int | None = None):
@@ -141,8 +151,7 @@ class Warehouse:
         ``layout`` (K8: row groups with tight bounds, a hot partition value in
         many tasks), as read back; and what was counted while writing."""
         path, counted = f"{self.location(name)}__next", Observation()
-        cols = list({c if isinstance(c, str) else id(c): c for c in layout}.values())  # each name once
-        (df.repartitionByRange(self.partitions(), *cols).sortWithinPartitions(*cols)
+        (in_layout(df, self.partitions(), *layout)
          .observe(counted, F.count(F.lit(1)).alias("n_rows"), *metrics).write.mode("overwrite").parquet(path))
         return self.spark.read.schema(df.schema).parquet(path), counted.get
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ledgerline.operators.zorder import curve
 from ledgerline.plans.jobs import job_load_csv
-from ledgerline.plans.tables import Warehouse
+from ledgerline.plans.tables import Warehouse, in_layout
 from ledgerline.sources import landing
 from ledgerline.sources.csv_records import read_csv_split, read_records
 from ledgerline.sources.quarantine import REASONS, judged
@@ -145,3 +145,14 @@ def test_curve_of_nulls_and_constants(spark):
     assert all(v is not None for v in z) and z[0] <= z[1] <= z[2]
     empty = df.where("false")
     assert empty.select(curve(empty, ["a", "b"])).count() == 0
+
+
+def test_positions_are_computed_once_per_row_not_per_comparison(spark):
+    df = spark.createDataFrame([(f"{i * 37 % 50:032x}", i) for i in range(50)], "a string, b long")
+    laid = in_layout(df, 4, "b", curve(df, ["a", "b"]), "b", "a")
+    plan = laid._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.splitlines():
+        if "Sort [" in line or "RepartitionByExpression" in line:
+            assert "aggregate(" not in line and "transform(" not in line, line
+    assert plan.count("conv(") == 1  # the text key's number, not again at each step of the search
+    assert laid.columns == df.columns and sorted(laid.collect()) == sorted(df.collect())
