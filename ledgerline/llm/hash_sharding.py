@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import checkpoint, text_or_empty
 
 HASH_BITS = 60
-#: Directory levels worked out at a time.
+#: Directory levels worked out at a time, at most.
 LEVELS = 12
 #: Production limit of a shard.
 LIMIT_BYTES = 8 * 1024 * 1024
@@ -42,9 +42,9 @@ def directory(sized: DataFrame, limit_bytes: int) -> DataFrame:
     """Leaf buckets (depth, prefix, shard_bytes, oversized) of rows (h, n_bytes)."""
     leaves = None
     live = sized.select("h", "n_bytes", F.lit(0).alias("base"))
-    base = 0
+    base, ahead = 0, LEVELS
     while base <= HASH_BITS:
-        top = min(base + LEVELS, HASH_BITS)
+        top = min(base + ahead, HASH_BITS)
         fine = (live.groupBy(_prefix(F.col("h"), F.lit(top)).alias("fine"))
                 .agg(F.sum("n_bytes").alias("b"), F.min("h").alias("lo"), F.max("h").alias("hi")))
         depths = F.explode(F.sequence(F.lit(base), F.lit(top))).alias("depth")
@@ -66,8 +66,11 @@ def directory(sized: DataFrame, limit_bytes: int) -> DataFrame:
                 "depth", "prefix", "shard_bytes", (F.col("shard_bytes") > limit_bytes).alias("oversized")))
         leaves = found if leaves is None else leaves.unionByName(found)
         split = levels.where((F.col("depth") == top) & ~F.col("fits"))
-        if top == HASH_BITS or split.isEmpty():
+        largest = split.agg(F.max("shard_bytes")).first()[0]
+        if top == HASH_BITS or largest is None:
             return leaves
+        # a bit halves a bucket, roughly: levels below the fitting one would be a row for nearly every document
+        ahead = min(LEVELS, (int(largest) // max(limit_bytes, 1)).bit_length() + 1)
         live = live.join(split.select(F.col("prefix").alias("p")),
                          _prefix(F.col("h"), F.lit(top)) == F.col("p"), "left_semi")
         base = top

@@ -475,3 +475,22 @@ def test_warc_of_another_writer(spark, tmpdir_path):
 def test_registered_names():
     names = list(queries.registry())
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
+
+
+def test_later_directory_rounds_take_few_levels(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"{i:0100d}") for i in range(2000)], "doc_id long, text string")
+    limit = 2000 * 100 // 23  # a bucket needs four or five bits
+    want = sorted(map(tuple, hash_sharding.shard(docs, limit).collect()))
+    made, kept = [], hash_sharding.checkpoint
+
+    def counted(df):
+        out = kept(df)
+        made.append(out.count() if "fits" in out.columns else 0)
+        return out
+
+    monkeypatch.setattr(hash_sharding, "LEVELS", 4)
+    monkeypatch.setattr(hash_sharding, "checkpoint", counted)
+    assert sorted(map(tuple, hash_sharding.shard(docs, limit).collect())) == want
+    rounds = [n for n in made if n]
+    assert len(rounds) == 2 and rounds[0] == 31
+    assert rounds[1] <= 16 * 7, rounds  # two levels below each bucket, not four
