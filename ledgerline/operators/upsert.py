@@ -80,12 +80,14 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update_cols: tuple[st
            insert_cols: tuple[str, ...], key_col: str, key_kind: str, run_ts: str,
            schema: T.StructType, num_partitions: int | None = None,
            order_cols: list[str] | None = None, key_start: int | None = None,
-           strategy: str | None = None, seq: KeySequence | None = None) -> DataFrame:
+           strategy: str | None = None, seq: KeySequence | None = None,
+           held: DataFrame | None = None) -> DataFrame:
     """Merge ``source`` into ``target`` on ``key``.
 
     Old rows are one left join of the target with the source, new rows the
     source rows without a target id (anti join). Catalyst and AQE choose the
     joins' form by size; ``strategy`` is a join hint for the source side.
+    ``held``: the keys of the source that the target holds, when the caller has them.
     """
     src_cols = list(source.columns)
     s = source.select(*[F.col(c).alias(f"_s_{c}") for c in src_cols], F.lit(True).alias("_s"))
@@ -94,10 +96,11 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update_cols: tuple[st
     cols = _merge_columns(schema, key, key_col, update_cols, insert_cols, src_cols, matched_s, F.lit(True))
     old = target.join(hinted, target[key] == s[f"_s_{key}"], "left").select(
         F.col(key_col).cast(schema[key_col].dataType).alias(key_col), *cols).select(*schema.names)
-    ids = target.select(F.col(key).alias("_m_key"))
-    wanted = source.select(F.col(key).alias("_k"))
-    wanted = wanted.hint(strategy) if strategy else wanted
-    hit_ids = ids.join(wanted, F.col("_m_key") == F.col("_k"), "left_semi")
+    if held is None:
+        wanted = source.select(F.col(key).alias("_k"))
+        wanted = wanted.hint(strategy) if strategy else wanted
+        held = target.select(key).join(wanted, F.col(key) == F.col("_k"), "left_semi")
+    hit_ids = held.select(F.col(key).alias("_m_key"))
     fresh = s.join(hit_ids, s[f"_s_{key}"] == hit_ids["_m_key"], "left_anti")
     fresh = _fresh_rows(fresh, schema, key, key_col, update_cols, insert_cols, src_cols)
     if key_kind == "epoch":
@@ -127,9 +130,10 @@ def _fresh_rows(fresh: DataFrame, schema: T.StructType, key: str, key_col: str,
 
 def upsert_fact(target: DataFrame, staged: DataFrame, profile: Profile, run_ts: str,
                 num_partitions: int | None = None, key_start: int | None = None,
-                strategy: str | None = None, seq: KeySequence | None = None) -> DataFrame:
+                strategy: str | None = None, seq: KeySequence | None = None,
+                held: DataFrame | None = None) -> DataFrame:
     """D5 (psql: 8 update columns, sale_date_key kept) / D6 (gcp: 11)."""
     return upsert(target, staged, "id", profile.fact_update_cols, FACT_INSERT_COLS,
                   "sales_key", profile.fact_key_kind, run_ts, fact_schema(profile),
                   num_partitions, order_cols=["sales_id"], key_start=key_start,
-                  strategy=strategy, seq=seq)
+                  strategy=strategy, seq=seq, held=held)

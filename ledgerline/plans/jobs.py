@@ -178,12 +178,13 @@ def merge_fact_partitions(spark: SparkSession, wh: Warehouse, profile: Profile,
     sequence = profile.fact_key_kind == "sequence"
     if skip_unchanged:
         staged = materialize(staged.join(unchanged_sales(fact, staged, profile), "id", "left_anti"))
-    moved_from = fact.select("id", "sale_date_key").join(staged.select("id"), "id", "left_semi").select("sale_date_key")
-    days = [r[0] for r in staged.select("sale_date_key").unionByName(moved_from).distinct().collect()]
+    # read three times: here, and by the merge for its new rows in the pass that finds ranges and the one that writes
+    held = materialize(fact.select("id", "sale_date_key").join(staged.select("id"), "id", "left_semi"))
+    days = [r[0] for r in staged.select("sale_date_key").unionByName(held.select("sale_date_key")).distinct().collect()]
     if not days:
         return 0
     start = wh.last_key(name, "sales_key") if sequence else 0
-    merged = upsert_fact(_on_days(fact, days), staged, profile, run_ts, key_start=start)
+    merged = upsert_fact(_on_days(fact, days), staged, profile, run_ts, key_start=start, held=held.select("id"))
     required, largest = ("sales_key", *REQUIRED), ("sales_key",) if sequence else ()
     # K8: along a Z-order curve of the dimension keys, so that each of them skips row groups
     # (sales_key begins with the run's second, so its quantiles tell no rows apart)

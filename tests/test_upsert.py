@@ -3,7 +3,9 @@
 from datetime import date, datetime
 from decimal import Decimal
 
-from ledgerline.operators.upsert import fact_schema, upsert_fact
+from pyspark.sql import types as T
+
+from ledgerline.operators.upsert import fact_schema, upsert, upsert_fact
 from ledgerline.plans.profiles import GCP, PSQL
 
 D1, D2 = datetime(2024, 1, 1, 13), datetime(2024, 1, 2, 13)
@@ -50,3 +52,17 @@ def test_gcp_moves_sale_date_key(spark):
     assert got["global_1"].sales_key == "1704078000_global_1"  # kept from day 1
     assert got["global_5"].sales_key == "1704164400_global_5"
     assert got["global_1"].created_at is None  # staged, never inserted
+
+
+def test_held_keys_are_not_looked_up_again(spark):
+    schema = "k long, id string, v long"
+    target = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, None, 1)], schema)
+    source = spark.createDataFrame([("b", 2), ("c", 2), (None, 2)], "id string, v long")
+    args = (target, source, "id", ("v",), ("id", "v"), "k", "sequence", "2024-01-01 00:00:00", target.schema)
+    plain = upsert(*args, key_start=3)
+    given = upsert(*args, key_start=3, held=spark.createDataFrame([("b",)], "id string"))
+    assert sorted(map(str, plain.collect())) == sorted(map(str, given.collect()))
+    assert given.count() == 5
+    epoch = (*args[:6], "epoch", *args[7:8], T.StructType([T.StructField("k", T.StringType()), *target.schema.fields[1:]]))
+    joins = [upsert(*epoch, **kw)._jdf.queryExecution().analyzed().toString().count("Join ") for kw in ({}, {"held": spark.createDataFrame([("b",)], "id string")})]
+    assert joins[1] == joins[0] - 1
