@@ -10,10 +10,11 @@ counters over the whole corpus. Matching lines share a word of their prefixes
 (the first ``n - ceil(t*n) + 1`` words), so lines meet in the posting lists of
 prefix words, and a pair is dropped there if the sizes (length filter) or the
 places of the word in both lines (positional filter) rule a match out, as
-does a sketch of 64 parities, which bounds how much two sets differ. Equal lines
-need no join: they collapse by hash before any posting is made.
+does a sketch of 64 parities, which bounds how much two sets differ (256 for lines of
+``WIDE_FROM`` words on, whose sets may differ in more words than 64 parities show).
+Equal lines need no join: they collapse by hash before any posting is made.
 
-A posting is four longs. Lists of up to ``SHORT`` rows are paired in one
+A posting is four longs, and three more for such long lines. Lists of up to ``SHORT`` rows are paired in one
 self-join; in longer ones a line is held against the first of the list and its
 two predecessors. Words whose counters stand out are dealt over blocks from
 the start. Lines that this leaves unmatched are then tried against all earlier
@@ -44,6 +45,9 @@ PERCENT, MIN_WORDS = 80, 1
 #: Rows of a posting list that are paired at once, and rows of a block of a long one.
 SHORT, BLOCK_ROWS = 64, 1024
 CLASSES = 64
+#: Distinct words from which a line has the wide sketch.
+WIDE_FROM = 96
+WIDE = ["w1", "w2", "w3"]
 #: Largest checkpointed table, in bytes, that is broadcast; a larger one is shuffled to the same joins.
 MAX_BROADCAST_BYTES = 16 << 20
 
@@ -94,6 +98,15 @@ def _sketch(tokens: str) -> Column:
         F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
 
 
+def _wide(tokens: str, n: str) -> list[Column]:
+    """Three of the four longs that make the sketch of a long line 256 parities; their
+    exclusive or, the sketch, gives the fourth. Null for shorter lines."""
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))
+    part = lambda k: F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: F.when(
+        F.shiftright(t, 6).bitwiseAND(3) == k, a.bitwiseXOR(bit(t))).otherwise(a))
+    return [F.when(F.col(n) >= WIDE_FROM, part(k)).alias(name) for k, name in enumerate(WIDE, 1)]
+
+
 # A posting's ``shape``: line number, set size and place of the word in one long. Sizes
 # and places beyond their bits stand at the largest value, which only weakens the filters.
 _N_MOST, _POS_MOST = (1 << 24) - 1, 255
@@ -127,8 +140,14 @@ def _may_match(percent: int) -> Column:
     bound = F.least(place("x"), place("y")) + F.least(size("x") - place("x"), size("y") - place("y"))
     # J >= p/100  <=>  (100 + p) * overlap >= p * (n1 + n2)  <=>  (100 + p) * difference <= (100 - p) * (n1 + n2)
     differ = F.bit_count(F.col("x.sketch").bitwiseXOR(F.col("y.sketch")))
+    parts = [F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}")) for c in WIDE]
+    rest = F.col("x.sketch").bitwiseXOR(F.col("y.sketch"))
+    for part in parts:
+        rest = rest.bitwiseXOR(part)
+    wide = sum((F.bit_count(part) for part in parts), F.bit_count(rest))  # null if a line is short
+    most = (100 - percent) * (small + large)
     return ((100 * small >= percent * large) & ((100 + percent) * bound >= percent * (small + large))
-            & ((100 + percent) * differ <= (100 - percent) * (small + large)))
+            & ((100 + percent) * differ <= most) & F.coalesce((100 + percent) * wide <= most, F.lit(True)))
 
 
 def _named(rows: DataFrame, percent: int) -> DataFrame:
@@ -175,7 +194,7 @@ def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _long_lists(rows: DataFrame, matched: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y) of the long lists' rows (token, rid, shape, sketch), y not
+    """Pairs (x, y) of the long lists' rows (token, rid, shape, sketch, wide), y not
     yet matched, x any earlier row, by pairs of blocks."""
     sizes = checkpoint(rows.groupBy("token").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")))
     per = _bounded(sizes)
@@ -183,7 +202,7 @@ def _long_lists(rows: DataFrame, matched: DataFrame, percent: int) -> DataFrame:
     def dealt(some: DataFrame) -> DataFrame:
         some = some.join(per, "token").withColumn("block", F.pmod(F.xxhash64(F.lit(1), "rid", "shape"), F.col("blocks")).cast("int"))
         return some.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-            "token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rid", "shape", "sketch")
+            "token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rid", "shape", "sketch", *WIDE)
 
     done = _bounded(matched).select(F.col("rid").alias("mr"), F.col("ln").alias("ml"))
     open_ = rows.join(done, (F.col("rid") == F.col("mr")) & (_ln("shape") == F.col("ml")), "left_anti")
@@ -209,12 +228,13 @@ def removed_lines(texts: DataFrame, percent: int = PERCENT, min_words: int = MIN
     coded = lines.select("rid", "ln", *line_key, _words(F.col("line")).alias("words"))
     coded = coded.select("rid", "ln", "h1", "h2", _ordered(classes).alias("tokens")).withColumn("n", F.size("tokens"))
     prefix = F.slice("tokens", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)
-    firsts = coded.select("rid", "ln", "h1", "h2", "n", prefix.alias("prefix"), _sketch("tokens").alias("sketch"))
-    firsts = firsts.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.first(F.struct("n", "prefix", "sketch")).alias("s"))
-    postings = (firsts.select("first.rid", "first.ln", "s.n", "s.sketch", F.posexplode("s.prefix").alias("pos", "token"))
-                .select("token", "rid", _shape("ln", "n", "pos").alias("shape"), "sketch"))
+    firsts = coded.select("rid", "ln", "h1", "h2", "n", prefix.alias("prefix"), _sketch("tokens").alias("sketch"),
+                          *_wide("tokens", "n"))
+    firsts = firsts.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.first(F.struct("n", "prefix", "sketch", *WIDE)).alias("s"))
+    postings = (firsts.select("first.rid", "first.ln", "s.n", "s.sketch", *[f"s.{c}" for c in WIDE], F.posexplode("s.prefix").alias("pos", "token"))
+                .select("token", "rid", _shape("ln", "n", "pos").alias("shape"), "sketch", *WIDE))
     # never null; said here, as the join says it of its sides, so that all three uses share one shuffle
-    postings = postings.select(F.col("token").bitwiseXOR(_salt(blocks)).alias("key"), "rid", "shape", "sketch").where("key IS NOT NULL")
+    postings = postings.select(F.col("token").bitwiseXOR(_salt(blocks)).alias("key"), "rid", "shape", "sketch", *WIDE).where("key IS NOT NULL")
 
     # one shuffle by word feeds both sides of the self-join and the rows of long lists
     per = Window.partitionBy("key")
@@ -222,9 +242,9 @@ def removed_lines(texts: DataFrame, percent: int = PERCENT, min_words: int = MIN
     near = (F.col("y.c") <= SHORT) | (F.col("x.r") == 1) | (F.col("y.r") - F.col("x.r") <= 2)
     met = lists.alias("x").join(lists.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.r") < F.col("y.r")) & near & _may_match(percent))
     token = F.col("key").alias("token")
-    hot = postings.withColumn("c", F.count("*").over(per)).select(token, "rid", "shape", "sketch", "c")
+    hot = postings.withColumn("c", F.count("*").over(per)).select(token, "rid", "shape", "sketch", *WIDE, "c")
     salt = _salt(blocks)
-    hot = hot.where((F.col("c") > SHORT) | (salt != 0)).select(F.col("token").bitwiseXOR(salt).alias("token"), "rid", "shape", "sketch")
+    hot = hot.where((F.col("c") > SHORT) | (salt != 0)).select(F.col("token").bitwiseXOR(salt).alias("token"), "rid", "shape", "sketch", *WIDE)
     nowhere = F.lit(None).cast("struct<rid:bigint,ln:int>")
     out = written(_named(met, percent).select("*", *[F.lit(None).cast("long").alias(c) for c in hot.columns]).unionByName(
         hot.select(nowhere.alias("x"), nowhere.alias("y"), F.lit(None).cast("tinyint").alias("d"), F.lit(None).cast("int").alias("need"), "*")))
@@ -251,10 +271,10 @@ def removed_lines(texts: DataFrame, percent: int = PERCENT, min_words: int = MIN
     release(texts.sparkSession)
     # lines that this left: each word that a pair shares stands in a short list or in a long one
     far = written(_long_lists(out.where("x IS NULL").select(*hot.columns), matched, percent))
-    both = met.unionByName(far).select("x", "y", "need", F.xxhash64("x", "y").alias("h"))
+    done = _bounded(matched).select(F.struct("rid", "ln").alias("y"))
+    both = met.join(done, "y", "left_anti").unionByName(far).select("x", "y", "need", F.xxhash64("x", "y").alias("h"))
     asked = checkpoint(both.groupBy("h").agg(F.count("*").alias("k"), F.min("need").alias("need")).where("k >= need").select("h"))
     left = both.join(_bounded(asked), "h", "left_semi").select("x", "y").distinct()
-    left = left.join(matched.select(F.struct("rid", "ln").alias("y")), "y", "left_anti")
     return copies.unionByName(matched).unionByName(verified(left)).distinct()
 
 
