@@ -15,8 +15,9 @@ inside the posting list of a prefix shingle; lists longer than ``BLOCK_ROWS``
 are dealt out as pairs of blocks, so no task gets a whole hot list. A pair is
 dropped if its sizes, or the L1 distance of two vectors of hashed counts (a
 lower bound of the symmetric difference), rule a link out. The work comes in
-two rounds: neighbours in the lists are verified first and give components;
-then every remaining candidate pair *between different components* is verified.
+rounds: neighbours in the lists are verified first and give components; then,
+``NEAREST_ROUNDS`` times, each document's likeliest of another component; then
+every remaining candidate pair *between different components* is verified.
 So groups of near copies are joined without forming all their pairs, and no
 link between components is lost.
 
@@ -45,6 +46,8 @@ COUNTERS = 1 << 16
 CELLS, WIDE_CELLS, WIDE_FROM = 64, 256, 2000
 #: Rows of a posting list that meet in one task.
 BLOCK_ROWS = 4096
+#: Rounds in which a document names one candidate a list, before all are paired.
+NEAREST_ROUNDS = 2
 #: Estimated candidates beyond which the prefix grows by one more match.
 COSTS = (64, 512, 4096, 32768)
 
@@ -175,10 +178,11 @@ def _sets(k: int):
     return run
 
 
-def _pairs(percent: int, max_lag: int | None):
+def _pairs(percent: int, max_lag: int | None, nearest: bool = False):
     """Candidate pairs inside the groups of sorted rows (token, i, j, block,
     rid, n, m, comp, cells): (a, b, need, distance). With ``max_lag``, pairs of
-    members further apart give only a row (rid, -1, ...) for each member."""
+    members further apart give only a row (rid, -1, ...) for each member. With ``nearest``,
+    each later member gives its nearest earlier one alone."""
     def pairs(t: pa.Table):
         col = {c: t.column(c).to_numpy(zero_copy_only=False) for c in ("token", "i", "j", "block", "rid", "n", "m", "comp")}
         raw = [np.frombuffer(c, np.uint8) for c in t.column("cells").to_pylist()]
@@ -192,6 +196,7 @@ def _pairs(percent: int, max_lag: int | None):
             cells[small] = np.concatenate([raw[i] for i in small]).reshape(-1, CELLS)
         cells[wide] = np.minimum(_fold(wides), 255)
         live, lag, further = np.arange(len(cells)), 1, np.zeros(len(cells), bool)
+        least, first = np.full(len(cells), np.iinfo(np.int64).max), np.full(len(cells), -1)
         while len(live):
             live = live[live + lag < len(cells)]
             x, y = live, live + lag
@@ -207,14 +212,22 @@ def _pairs(percent: int, max_lag: int | None):
                 if len(both):
                     distance[both] = np.abs(wides[wide_at[p[both]]] - wides[wide_at[q[both]]]).sum(1, dtype=np.int64)
                 keep = (100 + percent) * distance <= (100 - percent) * (col["n"][p] + col["n"][q])
-                p, q = p[keep], q[keep]
+                p, q, distance = p[keep], q[keep], distance[keep]
                 if not len(p):
                     continue
+                if nearest:
+                    nearer = distance < least[q]  # a lag has one p for each q
+                    first[q[nearer]], least[q[nearer]] = p[nearer], distance[nearer]
+                    continue
                 if max_lag is not None and lag > max_lag:
                     further[p] = further[q] = True
                     continue
-                yield _batch("a b need distance", col["rid"][p], col["rid"][q], np.minimum(col["m"][p], col["m"][q]).astype(np.int64), distance[keep])
+                yield _batch("a b need distance", col["rid"][p], col["rid"][q], np.minimum(col["m"][p], col["m"][q]).astype(np.int64), distance)
             lag += 1
+        q = np.flatnonzero(first >= 0)
+        if len(q):
+            p = first[q]
+            yield _batch("a b need distance", col["rid"][p], col["rid"][q], np.minimum(col["m"][p], col["m"][q]).astype(np.int64), least[q])
         if further.any():
             rid = np.unique(col["rid"][further])
             yield _batch("a b need distance", rid, np.full(len(rid), -1), np.zeros(len(rid), np.int64), np.zeros(len(rid), np.int64))
@@ -275,7 +288,7 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def _candidates(live: DataFrame, labels: DataFrame, percent: int, max_lag: int | None) -> DataFrame:
+def _candidates(live: DataFrame, labels: DataFrame, percent: int, max_lag: int | None, nearest: bool = False) -> DataFrame:
     """Rows (a, b, need, distance) of the lists of ``live`` (token, rid, n, m, c),
     for the documents in ``labels`` (rid, cells, comp)."""
     rows = live.join(labels, "rid")
@@ -285,7 +298,12 @@ def _candidates(live: DataFrame, labels: DataFrame, percent: int, max_lag: int |
     rows = rows.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
                        "rid", "n", "m", "comp", "cells")
     dealt = rows.repartition(partitions(live), "token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "rid")
-    return dealt.mapInArrow(textops.released(_pairs(percent, max_lag)), "a long, b long, need long, distance long")
+    return dealt.mapInArrow(textops.released(_pairs(percent, max_lag, nearest)), "a long, b long, need long, distance long")
+
+
+def _likeliest(pairs: DataFrame) -> DataFrame:
+    """Of each b the two pairs of the least distance."""
+    return pairs.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy("distance", "a"))).where("r <= 2")
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -322,12 +340,23 @@ def join(docs: DataFrame, shingle: int = 3, percent: int = 90, id_col: str = "do
     named = near.select(F.col("a").alias("rid")).union(near.where("b >= 0").select("b")).distinct()
     sets = written(texts.mapInArrow(textops.released(_squeeze), "rid long, text binary").join(named, "rid", "left_semi")
                       .mapInArrow(textops.released(_sets(shingle)), "rid long, shingles binary"))
-    best = near.where("b >= 0").withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy("distance", "a"))).where("r <= 2")
-    links = _links(best, sets, percent)
+    links = _links(_likeliest(near.where("b >= 0")), sets, percent)
     comps = checkpoint(components(links))
-    # round 2: all candidates between different components
-    labels = cells.join(named, "rid", "left_semi").join(comps, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
-    rest = _candidates(live, labels, percent, None).groupBy("a", "b").agg(
+    known = written(cells.join(named, "rid", "left_semi"))
+    open_ = written(live.join(named, "rid", "left_semi"))
+
+    def candidates(**options) -> DataFrame:
+        """Candidates between different components."""
+        labels = known.join(comps, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
+        return _candidates(open_, labels, percent, None, **options)
+
+    # the nearest of another component: most members of a group meet before all pairs are made
+    for _ in range(NEAREST_ROUNDS):
+        others = candidates(nearest=True).groupBy("a", "b").agg(F.min("distance").alias("distance"))
+        links = links.unionByName(_links(_likeliest(others), sets, percent))
+        comps = checkpoint(components(links))
+    # last round: all candidates between different components
+    rest = candidates().groupBy("a", "b").agg(
         F.min("need").alias("need"), F.count("*").alias("shared")).where("shared >= need")
     links = links.unionByName(_links(rest, sets, percent))
     comps = checkpoint(components(links))

@@ -6,7 +6,7 @@ import time
 import numpy as np
 from pyspark.sql import functions as F
 
-from ledgerline.llm import common, line_dedup
+from ledgerline.llm import common, jaccard_join, line_dedup
 from tests.llm import brute
 from tests.llm.fixtures import norm, table
 
@@ -64,3 +64,28 @@ def test_unrelated_long_lines_are_no_candidates(spark):
     x, y = posted.alias("x"), posted.alias("y")
     assert x.join(y, (F.col("x.rid") < F.col("y.rid")) & line_dedup._may_match(80)).count() == 0
     assert x.join(y, (F.col("x.rid") == F.col("y.rid")) & line_dedup._may_match(80)).count() == 30
+
+
+def test_a_group_of_near_copies_forms_few_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for i in range(80):
+        words = list(base)
+        for at in rng.choice(200, 2 - (i % 13 == 0), replace=False):
+            words[at] = f"u{i}"
+        rows.append((i, " ".join(words)))
+    made, whole = [], jaccard_join._candidates
+
+    def counted(live, labels, percent, max_lag, **options):
+        pairs = whole(live, labels, percent, max_lag, **options)
+        if max_lag is None and not options.get("nearest"):
+            made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jaccard_join, "_candidates", counted)
+    got = [norm(jaccard_join.components_of(table(spark, rows)).collect())]
+    monkeypatch.setattr(jaccard_join, "NEAREST_ROUNDS", 0)
+    got.append(norm(jaccard_join.components_of(table(spark, rows)).collect()))
+    assert got == [norm(brute.components(rows))] * 2
+    assert made[0] < made[1] / 2, made
