@@ -6,6 +6,7 @@ import time
 import numpy as np
 from pyspark.sql import functions as F
 
+from ledgerline import session
 from ledgerline.llm import common, jaccard_join, line_dedup
 from tests.llm import brute
 from tests.llm.fixtures import norm, table
@@ -29,6 +30,17 @@ def test_tables_and_checkpoints_leave_no_shuffle_files(spark):
     assert rows.count() == 97 and len(rows.collect()) == 97
 
 
+def test_the_setting_is_given_back_by_the_last_thread(spark):
+    kept = spark.conf.get(session.CLEANUP, "false")
+    first, second = session.freed_shuffles(spark), session.freed_shuffles(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(session.CLEANUP) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(session.CLEANUP) == kept
+
+
 def _long_lines(rng, groups, per, size):
     """Lines of ``size`` and more words; in a group a few words differ."""
     out = []
