@@ -6,22 +6,28 @@ document, then line number) is removed. ``min_words`` > 1 leaves lines of fewer
 words alone; by default every line with a word takes part.
 
 Words have one order, rare before frequent, from a fixed number of hashed
-counters over the whole corpus. Matching lines share a word of their prefixes
-(the first ``n - ceil(t*n) + 1`` words), so lines meet in the posting lists of
-prefix words, and a pair is dropped there if the sizes (length filter) or the
-places of the word in both lines (positional filter) rule a match out, as
-does a sketch of 64 parities, which bounds how much two sets differ (256 for lines of
-``WIDE_FROM`` words on, whose sets may differ in more words than 64 parities show).
-Equal lines need no join: they collapse by hash before any posting is made.
-
-A posting is four longs, and three more for such long lines. Lists of up to ``SHORT`` rows are paired in one
-self-join; in longer ones a line is held against the first of the list and its
+counters over the whole corpus. In that order a line is also the set of its
+neighbouring words: two sets that share ``o`` words and differ in ``d`` have at
+least ``o - 1 - d`` neighbours in common, as every word of one set alone parts
+one such pair at most. So matching lines share two neighbours among the first
+``floor(2 * (1-t) * n) + 1`` (from 80 percent on; below, where no neighbours need be
+shared, a word of the first ``n - ceil(t*n) + 1``), and lines meet in the
+posting lists of these. Lists of two words stay short where those of one word
+grow with the corpus, and their pairs with its square. A pair is dropped if the
+sizes (length filter) or the places in both lines (positional filter) rule a
+match out. Equal lines need no join: they collapse by hash before any posting is made.
+
+A posting is three longs; those that stand alone in their list go in the task
+that sees it. Lists of up to ``SHORT`` rows are paired in one self-join; in longer ones a line is held against the first of the list and its
 two predecessors. Words whose counters stand out are dealt over blocks from
 the start. Lines that this leaves unmatched are then tried against all earlier
-rows of their long lists, dealt out as pairs of blocks: a group of near copies
-does not form all its pairs, and no list is one task's work. Candidates are
-verified on the whole sets: first each line's likeliest by sketch, then, for
-lines that this leaves, all that share as many prefix words as a match must.
+rows of their long lists, dealt out in blocks: a group of near copies
+does not form all its pairs, and no list is one task's work. There a sketch of 64
+parities, which bounds how much two sets differ, rules out more (256 for lines of
+``WIDE_FROM`` words on, whose sets may differ in more words than 64 parities show).
+Candidates share as many postings as a match must, and are
+verified on the whole sets: first, of each line, the one that shares most, then, for
+lines that this leaves, all.
 Built-in functions only.
 
 Defined results: null text has no lines and stays null; lines without words
@@ -45,6 +51,8 @@ PERCENT, MIN_WORDS = 80, 1
 #: Rows of a posting list that are paired at once, and rows of a block of a long one.
 SHORT, BLOCK_ROWS = 64, 1024
 CLASSES = 64
+#: Percent from which matching lines of two words on share neighbours, and the usual rows of a list that is dealt from the start.
+PAIRED_FROM, DEALT_ROWS = 80, 1 << 20
 #: Distinct words from which a line has the wide sketch.
 WIDE_FROM = 96
 WIDE = ["w1", "w2", "w3"]
@@ -87,7 +95,7 @@ def _ordered(classes: str) -> Column:
     are a constant of the plan."""
     table = F.split(F.lit(classes), ",").cast("array<bigint>")
     hashed = F.transform("words", lambda word: F.xxhash64(word))
-    return F.array_sort(F.array_distinct(F.transform(hashed, lambda t: F.shiftleft(
+    return F.sort_array(F.array_distinct(F.transform(hashed, lambda t: F.shiftleft(
         F.get(table, _cell(t).cast("int")), 57).bitwiseOR(F.shiftrightunsigned(t, 7)))))
 
 
@@ -129,36 +137,62 @@ def _salt(blocks: list[int]) -> Column:
     """What is mixed into the word of a posting: 0, or for a word of a class of
     several blocks one of their numbers, by line."""
     per = F.get(F.array(*[F.lit(b) for b in blocks]), F.shiftrightunsigned("token", 57).cast("int"))
-    return F.when(per > 1, F.shiftleft(F.pmod(F.xxhash64("rid", _ln("shape")), per), 20)).otherwise(F.lit(0).cast("long"))
+    return F.when(per > 1, F.shiftleft(F.pmod(F.xxhash64("rid", _ln("shape")), per) + 1, 20)).otherwise(F.lit(0).cast("long"))
 
 
-def _may_match(percent: int) -> Column:
-    """Length, positional and parity filters for postings x (earlier) and y."""
-    size = lambda s: F.shiftright(f"{s}.shape", 8).bitwiseAND(_N_MOST)
+def _keys(tokens: str, n: str, percent: int) -> Column:
+    """What a line is posted under: its rarest words, each with its neighbour (a
+    lone word by itself), in the frequency class of the first."""
+    if percent < PAIRED_FROM:
+        return F.slice(tokens, F.lit(1), F.col(n) - F.ceil(F.col(n) * percent / 100).cast("int") + 1)
+    take = F.least(_posted(F.col(n), percent), F.col(n) - 1)
+    two = F.zip_with(F.slice(tokens, F.lit(1), take), F.slice(tokens, F.lit(2), take), lambda a, b: F.shiftleft(
+        F.shiftrightunsigned(a, 57), 57).bitwiseOR(F.shiftrightunsigned(F.xxhash64(a, b), 7)))
+    return F.when(F.col(n) > 1, two).otherwise(F.col(tokens))
+
+
+def _posted(n: Column, percent: int) -> Column:
+    """Of how many words of a line of ``n`` the neighbours are posted, if it has so many."""
+    return (F.floor((200 - 2 * percent) * n / 100) + 1).cast("int")
+
+
+def _sizes(s: str) -> Column:
+    return F.shiftright(f"{s}.shape", 8).bitwiseAND(_N_MOST)
+
+
+def _fits(percent: int) -> Column:
+    """Length and positional filters for postings x (earlier) and y."""
     place = lambda s: F.col(f"{s}.shape").bitwiseAND(_POS_MOST)
-    small, large = F.least(size("x"), size("y")), F.greatest(size("x"), size("y"))
-    bound = F.least(place("x"), place("y")) + F.least(size("x") - place("x"), size("y") - place("y"))
+    small, large = F.least(_sizes("x"), _sizes("y")), F.greatest(_sizes("x"), _sizes("y"))
+    bound = F.least(place("x"), place("y")) + F.least(_sizes("x") - place("x"), _sizes("y") - place("y"))
     # J >= p/100  <=>  (100 + p) * overlap >= p * (n1 + n2)  <=>  (100 + p) * difference <= (100 - p) * (n1 + n2)
+    return (100 * small >= percent * large) & ((100 + percent) * bound >= percent * (small + large))
+
+
+def _may_match(percent: int) -> Column:
+    """Length, positional and parity filters for postings x (earlier) and y."""
     differ = F.bit_count(F.col("x.sketch").bitwiseXOR(F.col("y.sketch")))
     parts = [F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}")) for c in WIDE]
     rest = F.col("x.sketch").bitwiseXOR(F.col("y.sketch"))
     for part in parts:
         rest = rest.bitwiseXOR(part)
     wide = sum((F.bit_count(part) for part in parts), F.bit_count(rest))  # null if a line is short
-    most = (100 - percent) * (small + large)
-    return ((100 * small >= percent * large) & ((100 + percent) * bound >= percent * (small + large))
-            & ((100 + percent) * differ <= most) & F.coalesce((100 + percent) * wide <= most, F.lit(True)))
+    most = (100 - percent) * (_sizes("x") + _sizes("y"))
+    return _fits(percent) & ((100 + percent) * differ <= most) & F.coalesce((100 + percent) * wide <= most, F.lit(True))
 
 
 def _named(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of places from joined postings x and y, in how many bits their
-    sketches differ, and how many prefix words a match shares at least: what
-    the overlap must be, less the words after the larger line's prefix."""
-    nx, ny = (F.shiftright(f"{s}.shape", 8).bitwiseAND(_N_MOST) for s in "xy")
-    need = F.ceil(percent * (nx + ny) / (100 + percent)) - F.ceil(percent * F.greatest(nx, ny) / 100) + 1
+    """Pairs of places from joined postings x and y, and how many postings a match
+    shares at least: what the sets must have in common, less what comes after
+    the postings of the larger line."""
+    nx, ny = _sizes("x"), _sizes("y")
+    overlap, most = F.ceil(percent * (nx + ny) / (100 + percent)), F.greatest(nx, ny)
+    if percent < PAIRED_FROM:
+        need = overlap - F.ceil(percent * most / 100) + 1
+    else:
+        need = F.greatest(3 * overlap - 1 - nx - ny - F.greatest(most - 1 - _posted(most, percent), F.lit(0)), F.lit(1))
     at = lambda s: F.struct(F.col(f"{s}.rid").alias("rid"), _ln(f"{s}.shape").alias("ln"))
-    return rows.select(at("x").alias("x"), at("y").alias("y"), F.bit_count(F.col("x.sketch").bitwiseXOR(F.col("y.sketch"))).cast("tinyint").alias("d"),
-                       need.cast("int").alias("need"))
+    return rows.select(at("x").alias("x"), at("y").alias("y"), need.cast("int").alias("need"))
 
 
 def _bounded(df: DataFrame, row_bytes: int = 24) -> DataFrame:
@@ -167,8 +201,8 @@ def _bounded(df: DataFrame, row_bytes: int = 24) -> DataFrame:
 
 
 def _likeliest(pairs: DataFrame) -> DataFrame:
-    """Of each y the pair whose sketches differ least."""
-    return pairs.groupBy("y").agg(F.min(F.struct("d", "x")).alias("best")).select("best.x", "y")
+    """Of each y the pair that shares most."""
+    return pairs.groupBy("y").agg(F.min(F.struct(-F.col("k"), "x")).alias("best")).select("best.x", "y")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -195,20 +229,20 @@ def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _long_lists(rows: DataFrame, matched: DataFrame, percent: int) -> DataFrame:
     """Pairs (x, y) of the long lists' rows (token, rid, shape, sketch, wide), y not
-    yet matched, x any earlier row, by pairs of blocks."""
-    sizes = checkpoint(rows.groupBy("token").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")))
-    per = _bounded(sizes)
-
-    def dealt(some: DataFrame) -> DataFrame:
-        some = some.join(per, "token").withColumn("block", F.pmod(F.xxhash64(F.lit(1), "rid", "shape"), F.col("blocks")).cast("int"))
-        return some.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-            "token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rid", "shape", "sketch", *WIDE)
-
+    yet matched, x any earlier row: each block of a list's rows meets each block of its open ones."""
     done = _bounded(matched).select(F.col("rid").alias("mr"), F.col("ln").alias("ml"))
     open_ = rows.join(done, (F.col("rid") == F.col("mr")) & (_ln("shape") == F.col("ml")), "left_anti")
-    y = dealt(open_).alias("y")
-    met = dealt(rows).alias("x").join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
-                                & ((F.col("x.i") == F.col("x.j")) | (F.col("x.block") != F.col("y.block"))) & _before() & _may_match(percent))
+    blocks = F.ceil(F.count("*") / BLOCK_ROWS).cast("int")
+    per = _bounded(checkpoint(rows.groupBy("token").agg(blocks.alias("xs")).join(open_.groupBy("token").agg(blocks.alias("ys")), "token")))
+
+    def dealt(some: DataFrame, own: str, of: str, other: str, others: str) -> DataFrame:
+        some = some.join(per, "token").withColumn(own, F.pmod(F.xxhash64(F.lit(1), "rid", "shape"), F.col(of)).cast("int"))
+        return some.select("*", F.explode(F.sequence(F.lit(0), F.col(others) - 1)).alias(other)).select(
+            "token", "i", "j", "rid", "shape", "sketch", *WIDE)
+
+    x, y = dealt(rows, "i", "xs", "j", "ys").alias("x"), dealt(open_, "j", "ys", "i", "xs").alias("y")
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
+                 & _before() & _may_match(percent))
     return _named(met, percent)
 
 
@@ -216,66 +250,67 @@ def removed_lines(texts: DataFrame, percent: int = PERCENT, min_words: int = MIN
     """(rid, ln) of the lines of ``texts`` (rid, text) that match an earlier one."""
     lines = lines_of(texts, min_words)
     classes, usual = rarity(texts)
-    # a word's own lines, beyond the usual load of its counter
-    blocks = [1] + [max(1, math.ceil(usual * (2 ** ((c + 1) / 4) - 1) / (4 * BLOCK_ROWS))) for c in range(1, CLASSES)]
+    blocks = [max(1, math.ceil(usual * 2 ** ((c + 1) / 4) / DEALT_ROWS)) for c in range(CLASSES)]
     line_key = [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2")]
     place = F.struct("rid", "ln")
-    # equal lines: all but the first go, and that one stands for them
-    same = lines.select("rid", "ln", *line_key)
-    several = same.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
-    copies = checkpoint(same.join(checkpoint(several), ["h1", "h2"]).where(place != F.col("first")).select("rid", "ln"))
-
     coded = lines.select("rid", "ln", *line_key, _words(F.col("line")).alias("words"))
     coded = coded.select("rid", "ln", "h1", "h2", _ordered(classes).alias("tokens")).withColumn("n", F.size("tokens"))
-    prefix = F.slice("tokens", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)
-    firsts = coded.select("rid", "ln", "h1", "h2", "n", prefix.alias("prefix"), _sketch("tokens").alias("sketch"),
-                          *_wide("tokens", "n"))
-    firsts = firsts.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.first(F.struct("n", "prefix", "sketch", *WIDE)).alias("s"))
-    postings = (firsts.select("first.rid", "first.ln", "s.n", "s.sketch", *[f"s.{c}" for c in WIDE], F.posexplode("s.prefix").alias("pos", "token"))
-                .select("token", "rid", _shape("ln", "n", "pos").alias("shape"), "sketch", *WIDE))
-    # never null; said here, as the join says it of its sides, so that all three uses share one shuffle
-    postings = postings.select(F.col("token").bitwiseXOR(_salt(blocks)).alias("key"), "rid", "shape", "sketch", *WIDE).where("key IS NOT NULL")
-
-    # one shuffle by word feeds both sides of the self-join and the rows of long lists
-    per = Window.partitionBy("key")
-    lists = postings.withColumn("c", F.count("*").over(per)).withColumn("r", F.row_number().over(per.orderBy("rid", "shape"))).where("c > 1")
-    near = (F.col("y.c") <= SHORT) | (F.col("x.r") == 1) | (F.col("y.r") - F.col("x.r") <= 2)
-    met = lists.alias("x").join(lists.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.r") < F.col("y.r")) & near & _may_match(percent))
-    token = F.col("key").alias("token")
-    hot = postings.withColumn("c", F.count("*").over(per)).select(token, "rid", "shape", "sketch", *WIDE, "c")
+    firsts = coded.select("rid", "ln", "h1", "h2", F.struct("n", _keys("tokens", "n", percent).alias("keys")).alias("s"))
+    firsts = written(firsts.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.first("s").alias("s"), F.count("*").alias("c")))
+    # equal lines: all but the first go, and that one stands for them
+    several = checkpoint(firsts.where("c > 1").select("h1", "h2", "first"))
+    copies = checkpoint(lines.select("rid", "ln", *line_key).join(_bounded(several, 48), ["h1", "h2"]).where(
+        place != F.col("first")).select("rid", "ln"))
+    postings = (firsts.select("first.rid", "first.ln", "s.n", F.posexplode("s.keys").alias("pos", "token"))
+                .select("token", "rid", _shape("ln", "n", "pos").alias("shape")))
     salt = _salt(blocks)
-    hot = hot.where((F.col("c") > SHORT) | (salt != 0)).select(F.col("token").bitwiseXOR(salt).alias("token"), "rid", "shape", "sketch", *WIDE)
-    nowhere = F.lit(None).cast("struct<rid:bigint,ln:int>")
-    out = written(_named(met, percent).select("*", *[F.lit(None).cast("long").alias(c) for c in hot.columns]).unionByName(
-        hot.select(nowhere.alias("x"), nowhere.alias("y"), F.lit(None).cast("tinyint").alias("d"), F.lit(None).cast("int").alias("need"), "*")))
+    # most postings stand alone: one pass over the lists leaves the others
+    alone = postings.select(F.col("token").bitwiseXOR(salt).alias("token"), "rid", "shape").withColumn(
+        "c", F.count("*").over(Window.partitionBy("token")))
+    shared = written(alone.where((F.col("c") > 1) | (salt != 0)))
 
-    release(texts.sparkSession)  # the postings are not needed again
+    lists = shared.where("c > 1").withColumn("r", F.row_number().over(Window.partitionBy("token").orderBy("rid", "shape")))
+    near = (F.col("y.c") <= SHORT) | (F.col("x.r") == 1) | (F.col("y.r") - F.col("x.r") <= 2)
+    met = lists.alias("x").join(lists.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.r") < F.col("y.r")) & near & _fits(percent))
+    met = written(_named(met, percent).groupBy("x", "y").agg(F.count("*").alias("k"), F.first("need").alias("need")))
+
+    def named(pairs: DataFrame) -> DataFrame:
+        return pairs.select("x.*").union(pairs.select("y.*"))
 
-    def sets(pairs: DataFrame) -> DataFrame:
-        """(rid, ln, tokens) of the lines named in ``pairs``."""
-        named = pairs.select("x.*").union(pairs.select("y.*")).distinct()
-        wanted = named.groupBy("rid").agg(F.collect_list("ln").alias("lns"))
+    def named_lines(wanted: DataFrame) -> DataFrame:
+        """(rid, ln, tokens) of the lines (rid, ln) named in ``wanted``."""
+        wanted = wanted.groupBy("rid").agg(F.collect_set("ln").alias("lns"))
         # split before the join: below it the lines stay a column of their own
         chosen = texts.select("rid", F.split("text", "\n").alias("lines")).join(wanted, "rid")
         chosen = chosen.select("rid", F.explode(F.transform("lns", lambda i: F.struct(
             i.alias("ln"), F.get(F.col("lines"), i).alias("line")))).alias("l")).select("rid", "l.ln", _words(F.col("l.line")).alias("words"))
-        return checkpoint(chosen.select("rid", "ln", _ordered(classes).alias("tokens")))
+        return chosen.select("rid", "ln", _ordered(classes).alias("tokens"))
+
+    hot = shared.where((F.col("c") > SHORT) | (salt != 0)).select(
+        F.col("token").bitwiseXOR(salt).alias("token"), "rid", _ln("shape").alias("ln"), "shape")
+    # a pair that shares enough does so in short lists, or is of lines of long ones
+    likely = met.where("k >= need")
+    known = checkpoint(named_lines(named(likely).union(hot.select("rid", "ln"))))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = checkpoint(pairs)
-        known = sets(pairs)
-        return checkpoint(_verified(checkpoint(_plausible(pairs, known, percent)), known, percent))
+    def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        return checkpoint(_verified(checkpoint(_plausible(pairs, sets, percent)), sets, percent))
 
-    met = out.where("x IS NOT NULL").select("x", "y", "d", "need")
-    matched = verified(_likeliest(met))
+    matched = verified(checkpoint(_likeliest(likely)), known)
     release(texts.sparkSession)
-    # lines that this left: each word that a pair shares stands in a short list or in a long one
-    far = written(_long_lists(out.where("x IS NULL").select(*hot.columns), matched, percent))
+    # lines that this left: each posting that a pair shares stands in a short list or in a long one
     done = _bounded(matched).select(F.struct("rid", "ln").alias("y"))
-    both = met.join(done, "y", "left_anti").unionByName(far).select("x", "y", "need", F.xxhash64("x", "y").alias("h"))
-    asked = checkpoint(both.groupBy("h").agg(F.count("*").alias("k"), F.min("need").alias("need")).where("k >= need").select("h"))
-    left = both.join(_bounded(asked), "h", "left_semi").select("x", "y").distinct()
-    return copies.unionByName(matched).unionByName(verified(left)).distinct()
+    both = likely.join(done, "y", "left_anti").select("x", "y", "k", "need")
+    if not hot.isEmpty():
+        # a pair that shares too little so far can share more only if long lists hold both its lines
+        place_of = _bounded(checkpoint(hot.select(place.alias("at")).distinct()))
+        few = met.where("k < need").join(place_of.select(F.col("at").alias("y")), "y", "left_semi")
+        few = few.join(place_of.select(F.col("at").alias("x")), "x", "left_semi").join(done, "y", "left_anti")
+        marks = known.withColumn("n", F.size("tokens")).select("rid", "ln", _sketch("tokens").alias("sketch"), *_wide("tokens", "n"))
+        rows = checkpoint(hot.join(marks, ["rid", "ln"]).select("token", "rid", "shape", "sketch", *WIDE))
+        far = written(_long_lists(rows, matched, percent).groupBy("x", "y").agg(F.count("*").alias("k"), F.first("need").alias("need")))
+        both = both.unionByName(few.select("x", "y", "k", "need")).unionByName(far).groupBy("x", "y").agg(F.sum("k").alias("k"), F.first("need").alias("need"))
+    left = checkpoint(both.where("k >= need").select("x", "y"))
+    return copies.unionByName(matched).unionByName(verified(left, checkpoint(known.join(_bounded(named(left).distinct()), ["rid", "ln"], "left_semi")))).distinct()
 
 
 def dedup(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS, id_col: str = "doc_id",

@@ -78,6 +78,42 @@ def test_unrelated_long_lines_are_no_candidates(spark):
     assert x.join(y, (F.col("x.rid") == F.col("y.rid")) & line_dedup._may_match(80)).count() == 30
 
 
+def _word_lines(rng, lines, words, vocabulary):
+    """Lines of frequent words; every tenth is an earlier one with a word changed."""
+    out = []
+    for i in range(lines):
+        line = [f"v{int(x)}" for x in rng.choice(vocabulary, words, replace=False)]
+        if i % 10 == 9:
+            line = [*out[int(rng.integers(i))][:-1], f"n{i}"]
+        out.append(line)
+    return [(i, " ".join(line)) for i, line in enumerate(out)]
+
+
+def test_lines_of_frequent_words_stay_out_of_long_lists(spark, monkeypatch):
+    """Each of 200 words stands in some 210 of 3000 lines, two of them together in few."""
+    rows = _word_lines(np.random.default_rng(7), 3000, 14, 200)
+    made, whole = [], line_dedup._long_lists
+
+    def counted(rows, matched, percent):
+        made.append(rows.count())
+        return whole(rows, matched, percent)
+
+    monkeypatch.setattr(line_dedup, "_long_lists", counted)
+    got = norm(line_dedup.report(table(spark, rows)).collect())
+    assert got == norm(brute.matching_lines(rows))
+    assert sum(r[2] for r in got) >= 280
+    assert sum(made) < len(rows) / 10, made
+
+
+def test_lists_dealt_from_the_start_lose_no_match(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "DEALT_ROWS", 4)
+    monkeypatch.setattr(line_dedup, "BLOCK_ROWS", 3)
+    rows = _word_lines(np.random.default_rng(8), 200, 12, 40)
+    for percent in (60, 80, 90):
+        got = norm(line_dedup.report(table(spark, rows), percent=percent).collect())
+        assert got == norm(brute.matching_lines(rows, percent))
+
+
 def test_a_group_of_near_copies_forms_few_pairs(spark, monkeypatch):
     rng = np.random.default_rng(6)
     base = [f"b{i}" for i in range(200)]
